@@ -97,10 +97,12 @@ def agg_name(prefix: str, column: str, stat: str) -> str:
     return f"{prefix}_{column}_{stat}".replace(" ", "_")
 
 
-def flatten_agg_names(df: DataFrame, prefix: str, renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Prefix every non-key column and apply fixed renames."""
+def flatten_agg_names(df: DataFrame, prefix: str, renames: Mapping[str, str] | None = None,
+                      keys: Iterable[str] = ("SK_ID_CURR",)) -> DataFrame:
+    """Prefix every non-key column (``prefix_column_stat``) and apply fixed renames."""
     renames = dict(renames or {})
-    mapping = {c: renames.get(c, f"{prefix}_{c}".replace(" ", "_")) for c in df.columns}
+    keys = set(keys)
+    mapping = {c: renames.get(c, f"{prefix}_{c}".replace(" ", "_")) for c in df.columns if c not in keys}
     return df.withColumnsRenamed(mapping)
 
 

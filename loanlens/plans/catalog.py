@@ -142,3 +142,282 @@ def q_one_hot_infrequent(spark, d):
     wide = fe.category_counts(T(spark, d).bureau, fe.KEY, "CREDIT_TYPE", max_categories=7)
     value_cols = [c for c in wide.columns if c != fe.KEY]
     return wide.unpivot(fe.KEY, value_cols, "category", "n")
+
+
+# ------------------------------------------------------------------ §A sources, sinks, sampling
+
+from pyspark.sql import types as TY  # noqa: E402
+
+from ..functions import columns as fc  # noqa: E402
+from ..operators import quality as qa  # noqa: E402
+from ..operators import relational as rel  # noqa: E402
+from ..roles import REFUSED_MODEL_COLS_TO_DROP  # noqa: E402
+from ..sources import tables as io  # noqa: E402
+
+ORDERS_SCHEMA = TY.StructType([
+    TY.StructField("o_orderkey", TY.LongType()), TY.StructField("o_custkey", TY.LongType()),
+    TY.StructField("o_orderstatus", TY.StringType()), TY.StructField("o_totalprice", TY.DoubleType()),
+    TY.StructField("o_orderdate", TY.TimestampNTZType()), TY.StructField("o_orderpriority", TY.StringType()),
+])
+
+
+@register("scan_table")
+def q_scan(spark, d):
+    return io.scan_table(spark, d, "orders")
+
+
+@register("csv_to_parquet")
+def q_csv_to_parquet(spark, d):
+    base = io.work_dir(spark, "csv")
+    io.write_csv(io.scan_table(spark, d, "orders"), f"{base}/orders.csv")
+    return io.csv_to_parquet(spark, f"{base}/orders.csv", ORDERS_SCHEMA)
+
+
+def _app_split(spark, d):
+    return rel.holdout_split(T(spark, d).app, "SK_ID_CURR", test_size=0.05, seed=42)
+
+
+@register("holdout_split")
+def q_holdout(spark, d):
+    return _app_split(spark, d).select("SK_ID_CURR", "TARGET", "split")
+
+
+@register("write_split_tables")
+def q_write_split(spark, d):
+    app = _app_split(spark, d)
+    paths = io.write_split_tables({"app": app}, io.work_dir(spark, "split"))
+    return spark.read.parquet(paths["app"])
+
+
+@register("write_feature_table")
+def q_write_feature(spark, d):
+    return io.write_feature_table(fe.bureau_features_20(T(spark, d).bureau), io.work_dir(spark, "feat"))
+
+
+@register("write_report_csv")
+def q_write_report(spark, d):
+    top = rel.rank_top_categories(T(spark, d).prev, "NAME_GOODS_CATEGORY", 5)
+    return io.write_report_csv(top, io.work_dir(spark, "report"))
+
+
+@register("sample_fraction")
+def q_sample_fraction(spark, d):
+    return rel.sample_fraction(T(spark, d).app, 0.2, "SK_ID_CURR", seed=42)
+
+
+@register("sample_n")
+def q_sample_n(spark, d):
+    return rel.sample_n(T(spark, d).app, 100, "SK_ID_CURR", seed=42)
+
+
+# ------------------------------------------------------------------ §B quality
+
+@register("duplicate_row_counts")
+def q_dups(spark, d):
+    return qa.duplicate_row_counts(T(spark, d).balance)
+
+
+def _merged_bureau(t):
+    return fe.merge_balance_into_bureau(t.bureau, fe.balance_status_features(t.balance))
+
+
+@register("key_null_counts")
+def q_key_nulls(spark, d):
+    t = T(spark, d)
+    return qa.key_null_counts({"bureau_merged": _merged_bureau(t), "cash": t.cash, "inst": t.inst,
+                               "card": t.card, "prev": t.prev}, "SK_ID_CURR")
+
+
+@register("superset_check")
+def q_superset(spark, d):
+    t = T(spark, d)
+    return qa.superset_check(t.prev, t.cash, ["SK_ID_PREV"])
+
+
+@register("null_proportions")
+def q_null_props(spark, d):
+    return qa.null_proportions(T(spark, d).prev)
+
+
+@register("sentinel_audit")
+def q_sentinel(spark, d):
+    return qa.sentinel_audit(T(spark, d).app, "DAYS_EMPLOYED", fc.DAYS_SENTINEL)
+
+
+@register("table_shape")
+def q_shape(spark, d):
+    t = T(spark, d)
+    return qa.table_shape({"application": t.app, "bureau": t.bureau, "bureau_balance": t.balance,
+                           "previous_application": t.prev, "pos_cash_balance": t.cash,
+                           "installments_payments": t.inst, "credit_card_balance": t.card})
+
+
+PROFILE_COLS = ["AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_DOWN_PAYMENT", "RATE_DOWN_PAYMENT",
+                "DAYS_DECISION", "SELLERPLACE_AREA", "HOUR_APPR_PROCESS_START", "CNT_PAYMENT",
+                "NAME_CONTRACT_TYPE", "NAME_CONTRACT_STATUS", "NAME_TYPE_SUITE", "NAME_GOODS_CATEGORY",
+                "NAME_PORTFOLIO", "PRODUCT_COMBINATION"]
+
+
+@register("table_profile")
+def q_profile(spark, d):
+    return qa.table_profile(T(spark, d).prev, PROFILE_COLS)
+
+
+def _refusal(t):
+    return fc.binary_label(t.prev)
+
+
+RATE_COLS = ["NAME_CONTRACT_TYPE", "NAME_PORTFOLIO", "NAME_YIELD_GROUP", "AMT_APPLICATION", "DAYS_DECISION"]
+
+
+@register("target_rate_by_column")
+def q_target_rate(spark, d):
+    return qa.target_rate_by_column(_refusal(T(spark, d)), "NAME_CONTRACT_STATUS_Refused", RATE_COLS, bins=10)
+
+
+ASSOC_COLS = ["NAME_CONTRACT_TYPE", "NAME_PORTFOLIO", "NAME_PRODUCT_TYPE", "PRODUCT_COMBINATION"]
+
+
+@register("categorical_association")
+def q_assoc(spark, d):
+    return qa.categorical_association(T(spark, d).prev, ASSOC_COLS)
+
+
+CORR_COLS = ["AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_GOODS_PRICE", "AMT_DOWN_PAYMENT"]
+
+
+@register("numeric_correlation")
+def q_corr(spark, d):
+    return qa.numeric_correlation(T(spark, d).prev, CORR_COLS)
+
+
+# ------------------------------------------------------------------ §C column operators
+
+@register("recode_status")
+def q_recode(spark, d):
+    return T(spark, d).balance.withColumn("STATUS_num", fc.recode_status("STATUS"))
+
+
+@register("flip_sign_columns")
+def q_flip(spark, d):
+    return fc.flip_sign_columns(T(spark, d).app.select("SK_ID_CURR", "DAYS_BIRTH", "DAYS_EMPLOYED"),
+                                ["DAYS_BIRTH", "DAYS_EMPLOYED"])
+
+
+@register("null_sentinel")
+def q_null_sentinel(spark, d):
+    return T(spark, d).app.select("SK_ID_CURR", fc.null_sentinel("DAYS_EMPLOYED").alias("DAYS_EMPLOYED_clean"))
+
+
+@register("difference_feature")
+def q_difference(spark, d):
+    return T(spark, d).inst.select(
+        "SK_ID_PREV", "NUM_INSTALMENT_NUMBER",
+        fc.difference_feature("DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT").alias("Days_till_deadline"),
+        fc.difference_feature("AMT_INSTALMENT", "AMT_PAYMENT").alias("Amt_deficit"))
+
+
+@register("overdue_flags")
+def q_overdue(spark, d):
+    return T(spark, d).cash.select("SK_ID_PREV", "MONTHS_BALANCE",
+                                   fc.positive_flag("SK_DPD").alias("Has_overdue"),
+                                   fc.positive_flag("SK_DPD_DEF").alias("Has_overdue_def"),
+                                   fc.positive_flag("CNT_INSTALMENT").alias("Has_instalments"))
+
+
+@register("binary_label")
+def q_binary_label(spark, d):
+    return _refusal(T(spark, d)).select("SK_ID_PREV", "NAME_CONTRACT_STATUS", "NAME_CONTRACT_STATUS_Refused")
+
+
+@register("exclude_values")
+def q_exclude(spark, d):
+    prev = T(spark, d).prev
+    return prev.where(fc.exclude_values("NAME_CASH_LOAN_PURPOSE", ["XAP", "XNA"])).select(
+        "SK_ID_PREV", "NAME_CASH_LOAN_PURPOSE")
+
+
+@register("fill_constant")
+def q_fill(spark, d):
+    prev = T(spark, d).prev.select("SK_ID_PREV", "NAME_TYPE_SUITE", "AMT_DOWN_PAYMENT", "RATE_DOWN_PAYMENT")
+    prev = fc.fill_constant(prev, ["NAME_TYPE_SUITE"], "NONE")
+    return fc.fill_constant(prev, ["AMT_DOWN_PAYMENT", "RATE_DOWN_PAYMENT"], -1)
+
+
+@register("select_roles")
+def q_select_roles(spark, d):
+    return fc.select_roles(T(spark, d).prev, drop=REFUSED_MODEL_COLS_TO_DROP)
+
+
+@register("flatten_agg_names")
+def q_flatten(spark, d):
+    agg = fe.keyed(T(spark, d).cash).groupBy("SK_ID_CURR").agg(
+        F.count("SK_ID_PREV").alias("SK_ID_PREV_count"), F.max("CNT_INSTALMENT").alias("CNT_INSTALMENT_max"),
+        F.avg("SK_DPD").alias("SK DPD mean"))
+    return fc.flatten_agg_names(agg, "cash", renames={"SK DPD mean": "cash_dpd_mean"})
+
+
+@register("recency_filter")
+def q_recency(spark, d):
+    return T(spark, d).prev.where(fc.recency_filter("DAYS_DECISION", 365)).select("SK_ID_PREV", "DAYS_DECISION")
+
+
+@register("rank_top_categories")
+def q_top_categories(spark, d):
+    return rel.rank_top_categories(T(spark, d).prev, "NAME_GOODS_CATEGORY", 5)
+
+
+@register("entity_history")
+def q_entity_history(spark, d):
+    cash = T(spark, d).cash
+    sizes = fe.keyed(cash).groupBy("SK_ID_CURR").agg(F.count(F.lit(1)).alias("n"))
+    busiest = sizes.join(sizes.agg(F.max("n").alias("n")), on="n", how="left_semi")
+    return rel.entity_history(cash, busiest, "SK_ID_CURR", ["SK_ID_PREV", "MONTHS_BALANCE"])
+
+
+# ------------------------------------------------------------------ §D joins
+
+def _test_clients(spark, d):
+    return _app_split(spark, d).where(F.col("split") == "test").select("SK_ID_CURR")
+
+
+@register("split_children")
+def q_split_children(spark, d):
+    return rel.split_children(T(spark, d).bureau, _test_clients(spark, d), "SK_ID_CURR")
+
+
+@register("split_grandchildren")
+def q_split_grandchildren(spark, d):
+    t = T(spark, d)
+    return rel.split_grandchildren(t.balance, t.bureau, _test_clients(spark, d), "SK_ID_CURR", "SK_ID_BUREAU")
+
+
+@register("merge_last_and_stats")
+def q_merge_last_stats(spark, d):
+    return fe.balance_status_features(T(spark, d).balance)
+
+
+def _stand_in_predictions(prev: DataFrame) -> DataFrame:
+    """A probability per previous application derived from its key, standing
+    in for model output where the report logic, not the model, is checked."""
+    return prev.select("SK_ID_PREV", rel.hash_unit("SK_ID_PREV", 7).alias("proba_1"))
+
+
+@register("enrich_predictions")
+def q_enrich(spark, d):
+    t = T(spark, d)
+    prev = _refusal(t)
+    return rel.enrich_predictions(_stand_in_predictions(prev), prev,
+                                  t.app.select("SK_ID_CURR", "CODE_GENDER", "AMT_INCOME_TOTAL", "DAYS_BIRTH"))
+
+
+@register("compare_importances")
+def q_compare_importances(spark, d):
+    prev = _refusal(T(spark, d))
+    corr = qa.numeric_correlation(prev.withColumn("y", F.col("NAME_CONTRACT_STATUS_Refused").cast("double")),
+                                  ["y"] + CORR_COLS)
+    a = (corr.where(F.col("column_a") == "y").select(F.col("column_b").alias("col_name"),
+                                                     F.abs("corr").alias("importance")))
+    b = qa.null_proportions(prev, CORR_COLS + ["DAYS_DECISION"]).select(
+        F.col("column").alias("col_name"), F.col("filled_share").alias("importance"))
+    return rel.compare_importances(a, b)

@@ -217,3 +217,198 @@ SELECT k.SK_ID_CURR, bk.category, CAST(count(l.SK_ID_CURR) AS BIGINT) AS n
 FROM keys k CROSS JOIN buckets bk
 LEFT JOIN labelled l ON l.SK_ID_CURR = k.SK_ID_CURR AND l.category = bk.category
 GROUP BY k.SK_ID_CURR, bk.category"""
+
+
+# ------------------------------------------------------------------ §A sources, sinks, sampling
+
+from ..sources import standins as _S  # noqa: E402
+
+
+def hash_unit_sql(key: str, seed: int) -> str:
+    return (f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 8)) AS BIGINT)"
+            " / CAST(4294967296 AS DOUBLE))")
+
+
+APP_SPLIT = (f"app_split AS (SELECT *, CASE WHEN {hash_unit_sql('SK_ID_CURR', 42)} < 0.05 THEN 'test' "
+             "ELSE 'train' END AS split FROM v_app)")
+TEST_IDS = "test_ids AS (SELECT SK_ID_CURR FROM app_split WHERE split = 'test')"
+LAB = ("lab AS (SELECT *, CAST(CASE WHEN NAME_CONTRACT_STATUS = 'Refused' THEN 1 ELSE 0 END AS INT) "
+       "AS NAME_CONTRACT_STATUS_Refused FROM v_prev WHERE NAME_CONTRACT_STATUS IS DISTINCT FROM 'Canceled')")
+
+SQL["scan_table"] = "SELECT * FROM orders"
+SQL["csv_to_parquet"] = "SELECT * FROM orders"
+SQL["holdout_split"] = with_views(["v_app"], APP_SPLIT) + "SELECT SK_ID_CURR, TARGET, split FROM app_split"
+SQL["write_split_tables"] = with_views(["v_app"], APP_SPLIT) + "SELECT * FROM app_split"
+SQL["write_feature_table"] = SQL["bureau_features_20"]
+SQL["sample_fraction"] = with_views(["v_app"]) + f"SELECT * FROM v_app WHERE {hash_unit_sql('SK_ID_CURR', 42)} < 0.2"
+SQL["sample_n"] = with_views(["v_app"]) + (f"SELECT * FROM v_app ORDER BY {hash_unit_sql('SK_ID_CURR', 42)}, "
+                                           "SK_ID_CURR LIMIT 100")
+
+# ------------------------------------------------------------------ §B quality
+
+SQL["duplicate_row_counts"] = with_views(["v_bal"]) + """, g AS (
+  SELECT SK_ID_BUREAU, MONTHS_BALANCE, STATUS, count(*) AS c FROM v_bal GROUP BY ALL
+), t AS (SELECT count(*) AS first, CAST(sum(c - 1) AS BIGINT) AS dups FROM g)
+SELECT * FROM (SELECT false AS is_dup, first AS n FROM t UNION ALL SELECT true, dups FROM t) WHERE n > 0"""
+
+SQL["key_null_counts"] = with_views(["v_bal", "v_bur", "v_cash", "v_inst", "v_cred", "v_prev"], BAL_FEAT,
+                                    BUR_MERGED) + """, u AS (
+  SELECT 'bureau_merged' AS "table", count(*) - count(SK_ID_CURR) AS nulls FROM bur_m
+  UNION ALL SELECT 'cash', count(*) - count(SK_ID_CURR) FROM v_cash
+  UNION ALL SELECT 'inst', count(*) - count(SK_ID_CURR) FROM v_inst
+  UNION ALL SELECT 'card', count(*) - count(SK_ID_CURR) FROM v_cred
+  UNION ALL SELECT 'prev', count(*) - count(SK_ID_CURR) FROM v_prev
+)
+SELECT "table", nulls, nulls = 0 AS ok FROM u"""
+
+SQL["superset_check"] = with_views(["v_prev", "v_cash"]) + """
+SELECT missing = 0 AS is_superset, missing FROM (
+  SELECT count(*) AS missing FROM v_cash c
+  WHERE NOT EXISTS (SELECT 1 FROM v_prev p WHERE p.SK_ID_PREV = c.SK_ID_PREV))"""
+
+_PREV_COLS = [c for c, _ in _S.PREVIOUS.columns]
+SQL["null_proportions"] = with_views(["v_prev"]) + "SELECT *, 1 - null_share AS filled_share FROM (\n" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", avg(CAST({c} IS NULL AS DOUBLE)) AS null_share FROM v_prev" for c in _PREV_COLS) + ")"
+
+SQL["sentinel_audit"] = with_views(["v_app"]) + """
+SELECT DAYS_EMPLOYED = 365243 AS is_sentinel, count(*) AS n FROM v_app WHERE DAYS_EMPLOYED > 0 GROUP BY 1"""
+
+_SHAPES = [("application", "v_app", _S.APPLICATION), ("bureau", "v_bur", _S.BUREAU),
+           ("bureau_balance", "v_bal", _S.BUREAU_BALANCE), ("previous_application", "v_prev", _S.PREVIOUS),
+           ("pos_cash_balance", "v_cash", _S.CASH), ("installments_payments", "v_inst", _S.INSTALLMENTS),
+           ("credit_card_balance", "v_cred", _S.CARD)]
+SQL["table_shape"] = with_views([v for _, v, _ in _SHAPES]) + "\n  UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS rows, {len(s.columns)} AS cols FROM {v}" for n, v, s in _SHAPES)
+
+
+def _profile_sql(cols, numeric, discrete) -> str:
+    parts = []
+    for c in cols:
+        num = c in numeric
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS missing, "
+            f"count(DISTINCT {c}) AS \"distinct\", "
+            + (f"count(*) FILTER (WHERE {x} = 0) AS zeros, min({x}) AS min, max({x}) AS max, avg({x}) AS mean, "
+               f"stddev_samp({x}) AS std, quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, "
+               f"quantile_cont({x}, 0.75) AS q75" if num else
+               "CAST(NULL AS BIGINT) AS zeros, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, "
+               "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS q25, "
+               "CAST(NULL AS DOUBLE) AS q50, CAST(NULL AS DOUBLE) AS q75")
+            + " FROM v_prev")
+    tops = "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS v, count(*) AS n FROM v_prev "
+        f"WHERE {c} IS NOT NULL GROUP BY 2" for c in discrete)
+    return ("stats AS (" + "\n  UNION ALL ".join(parts) + "),\nfreq AS (" + tops + "),\n"
+            "top AS (SELECT \"column\", v AS top, n AS top_freq FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY \"column\" ORDER BY n DESC, v ASC) AS r FROM freq) WHERE r = 1)")
+
+
+_PROFILE_COLS = ["AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_DOWN_PAYMENT", "RATE_DOWN_PAYMENT",
+                 "DAYS_DECISION", "SELLERPLACE_AREA", "HOUR_APPR_PROCESS_START", "CNT_PAYMENT",
+                 "NAME_CONTRACT_TYPE", "NAME_CONTRACT_STATUS", "NAME_TYPE_SUITE", "NAME_GOODS_CATEGORY",
+                 "NAME_PORTFOLIO", "PRODUCT_COMBINATION"]
+_PROFILE_NUM = _PROFILE_COLS[:9]
+_PROFILE_DISCRETE = ["DAYS_DECISION", "SELLERPLACE_AREA", "HOUR_APPR_PROCESS_START"] + _PROFILE_COLS[9:]
+SQL["table_profile"] = (with_views(["v_prev"], _profile_sql(_PROFILE_COLS, _PROFILE_NUM, _PROFILE_DISCRETE))
+                        + "SELECT * FROM stats LEFT JOIN top USING (\"column\")")
+
+SQL["target_rate_by_column"] = with_views(["v_prev"], LAB) + """, mm AS (
+  SELECT min(CAST(AMT_APPLICATION AS DOUBLE)) AS lo1, max(CAST(AMT_APPLICATION AS DOUBLE)) AS hi1,
+         min(CAST(DAYS_DECISION AS DOUBLE)) AS lo2, max(CAST(DAYS_DECISION AS DOUBLE)) AS hi2 FROM lab
+), long AS (
+  SELECT 'NAME_CONTRACT_TYPE' AS "column", NAME_CONTRACT_TYPE AS bucket, NAME_CONTRACT_STATUS_Refused AS y FROM lab
+  UNION ALL SELECT 'NAME_PORTFOLIO', NAME_PORTFOLIO, NAME_CONTRACT_STATUS_Refused FROM lab
+  UNION ALL SELECT 'NAME_YIELD_GROUP', NAME_YIELD_GROUP, NAME_CONTRACT_STATUS_Refused FROM lab
+  UNION ALL SELECT 'AMT_APPLICATION', CASE WHEN AMT_APPLICATION IS NOT NULL THEN CAST(CAST(least(floor(
+      (CAST(AMT_APPLICATION AS DOUBLE) - lo1) * CAST(10 AS DOUBLE) / (hi1 - lo1)), 9) AS BIGINT) AS VARCHAR) END,
+      NAME_CONTRACT_STATUS_Refused FROM lab, mm
+  UNION ALL SELECT 'DAYS_DECISION', CASE WHEN DAYS_DECISION IS NOT NULL THEN CAST(CAST(least(floor(
+      (CAST(DAYS_DECISION AS DOUBLE) - lo2) * CAST(10 AS DOUBLE) / (hi2 - lo2)), 9) AS BIGINT) AS VARCHAR) END,
+      NAME_CONTRACT_STATUS_Refused FROM lab, mm
+)
+SELECT "column", bucket, count(*) AS n, avg(y) AS rate FROM long GROUP BY ALL"""
+
+
+def _assoc_sql(a: str, b: str) -> str:
+    return f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
+    CASE WHEN hx > 0 THEN (hx - hxy) / hx ELSE CAST(1 AS DOUBLE) END AS uncertainty_coefficient
+  FROM (SELECT -sum(n / tot * ln(nx / tot)) AS hx, -sum(n / tot * ln(n / ny)) AS hxy FROM (
+    SELECT n, CAST(sum(n) OVER () AS DOUBLE) AS tot, CAST(sum(n) OVER (PARTITION BY x) AS DOUBLE) AS nx,
+           CAST(sum(n) OVER (PARTITION BY y) AS DOUBLE) AS ny
+    FROM (SELECT coalesce(CAST({a} AS VARCHAR), '<null>') AS x, coalesce(CAST({b} AS VARCHAR), '<null>') AS y,
+                 CAST(count(*) AS DOUBLE) AS n FROM v_prev GROUP BY 1, 2)))"""
+
+
+_ASSOC = ["NAME_CONTRACT_TYPE", "NAME_PORTFOLIO", "NAME_PRODUCT_TYPE", "PRODUCT_COMBINATION"]
+SQL["categorical_association"] = with_views(["v_prev"]) + "\nUNION ALL ".join(
+    _assoc_sql(a, b) for a in _ASSOC for b in _ASSOC if a != b)
+
+_CORR = ["AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_GOODS_PRICE", "AMT_DOWN_PAYMENT"]
+SQL["numeric_correlation"] = with_views(["v_prev"]) + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS corr FROM v_prev"
+    for i, a in enumerate(_CORR) for b in _CORR[i + 1:])
+
+# ------------------------------------------------------------------ §C column operators
+
+SQL["recode_status"] = with_views(["v_bal"]) + """
+SELECT *, CASE WHEN STATUS = 'C' THEN CAST(-1 AS DOUBLE) WHEN STATUS = 'X' THEN NULL
+               ELSE TRY_CAST(STATUS AS DOUBLE) END AS STATUS_num FROM v_bal"""
+SQL["flip_sign_columns"] = with_views(["v_app"]) + \
+    "SELECT SK_ID_CURR, -DAYS_BIRTH AS DAYS_BIRTH, -DAYS_EMPLOYED AS DAYS_EMPLOYED FROM v_app"
+SQL["null_sentinel"] = with_views(["v_app"]) + \
+    "SELECT SK_ID_CURR, CASE WHEN DAYS_EMPLOYED <> 365243 THEN DAYS_EMPLOYED END AS DAYS_EMPLOYED_clean FROM v_app"
+SQL["difference_feature"] = with_views(["v_inst"]) + """
+SELECT SK_ID_PREV, NUM_INSTALMENT_NUMBER, DAYS_INSTALMENT - DAYS_ENTRY_PAYMENT AS Days_till_deadline,
+       AMT_INSTALMENT - AMT_PAYMENT AS Amt_deficit FROM v_inst"""
+SQL["overdue_flags"] = with_views(["v_cash"]) + """
+SELECT SK_ID_PREV, MONTHS_BALANCE, coalesce(SK_DPD > 0, false) AS Has_overdue,
+       coalesce(SK_DPD_DEF > 0, false) AS Has_overdue_def, coalesce(CNT_INSTALMENT > 0, false) AS Has_instalments
+FROM v_cash"""
+SQL["binary_label"] = with_views(["v_prev"], LAB) + \
+    "SELECT SK_ID_PREV, NAME_CONTRACT_STATUS, NAME_CONTRACT_STATUS_Refused FROM lab"
+SQL["exclude_values"] = with_views(["v_prev"]) + """
+SELECT SK_ID_PREV, NAME_CASH_LOAN_PURPOSE FROM v_prev
+WHERE NAME_CASH_LOAN_PURPOSE NOT IN ('XAP', 'XNA') OR NAME_CASH_LOAN_PURPOSE IS NULL"""
+SQL["fill_constant"] = with_views(["v_prev"]) + """
+SELECT SK_ID_PREV, coalesce(NAME_TYPE_SUITE, 'NONE') AS NAME_TYPE_SUITE,
+       coalesce(AMT_DOWN_PAYMENT, -1) AS AMT_DOWN_PAYMENT, coalesce(RATE_DOWN_PAYMENT, -1) AS RATE_DOWN_PAYMENT
+FROM v_prev"""
+_DROP = [c for c in ["SK_ID_CURR", "RATE_INTEREST_PRIMARY", "RATE_INTEREST_PRIVILEGED", "NAME_CONTRACT_STATUS",
+                     "NFLAG_INSURED_ON_APPROVAL"] if c in _PREV_COLS]
+SQL["select_roles"] = with_views(["v_prev"]) + f"SELECT * EXCLUDE ({', '.join(_DROP)}) FROM v_prev"
+SQL["flatten_agg_names"] = with_views(["v_cash"]) + """
+SELECT SK_ID_CURR, count(SK_ID_PREV) AS cash_SK_ID_PREV_count, max(CNT_INSTALMENT) AS cash_CNT_INSTALMENT_max,
+       avg(SK_DPD) AS cash_dpd_mean FROM v_cash WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR"""
+SQL["recency_filter"] = with_views(["v_prev"]) + \
+    "SELECT SK_ID_PREV, DAYS_DECISION FROM v_prev WHERE DAYS_DECISION >= -365"
+SQL["rank_top_categories"] = with_views(["v_prev"]) + """
+SELECT NAME_GOODS_CATEGORY, count(*) AS count FROM v_prev WHERE NAME_GOODS_CATEGORY IS NOT NULL
+GROUP BY 1 ORDER BY count DESC, NAME_GOODS_CATEGORY LIMIT 5"""
+SQL["entity_history"] = with_views(["v_cash"]) + """, sizes AS (
+  SELECT SK_ID_CURR, count(*) AS n FROM v_cash WHERE SK_ID_CURR IS NOT NULL GROUP BY 1)
+SELECT * FROM v_cash WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM sizes WHERE n = (SELECT max(n) FROM sizes))
+ORDER BY SK_ID_PREV DESC, MONTHS_BALANCE DESC"""
+
+# ------------------------------------------------------------------ §D joins
+
+SQL["split_children"] = with_views(["v_app", "v_bur"], APP_SPLIT, TEST_IDS) + \
+    "SELECT * FROM v_bur WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM test_ids)"
+SQL["split_grandchildren"] = with_views(["v_app", "v_bur", "v_bal"], APP_SPLIT, TEST_IDS) + """
+SELECT * FROM v_bal WHERE SK_ID_BUREAU IN (
+  SELECT SK_ID_BUREAU FROM v_bur WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM test_ids))"""
+SQL["merge_last_and_stats"] = SQL["balance_status_features"]
+SQL["enrich_predictions"] = with_views(["v_prev", "v_app"], LAB) + f""", preds AS (
+  SELECT SK_ID_PREV, {hash_unit_sql('SK_ID_PREV', 7)} AS proba_1 FROM lab)
+SELECT p.SK_ID_PREV, p.proba_1, l.SK_ID_CURR, l.DAYS_DECISION, l.NAME_CONTRACT_STATUS_Refused,
+       a.CODE_GENDER, a.AMT_INCOME_TOTAL, a.DAYS_BIRTH
+FROM preds p LEFT JOIN lab l ON p.SK_ID_PREV = l.SK_ID_PREV LEFT JOIN v_app a ON l.SK_ID_CURR = a.SK_ID_CURR"""
+SQL["compare_importances"] = with_views(["v_prev"], LAB) + """, a AS (
+""" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, abs(corr(CAST(NAME_CONTRACT_STATUS_Refused AS DOUBLE), {c})) AS importance FROM lab"
+    for c in _CORR) + """), b AS (
+""" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, 1 - avg(CAST({c} IS NULL AS DOUBLE)) AS importance FROM lab"
+    for c in _CORR + ["DAYS_DECISION"]) + """)
+SELECT coalesce(a.col_name, b.col_name) AS col_name, a.importance AS importance_a, b.importance AS importance_b
+FROM a FULL OUTER JOIN b ON a.col_name = b.col_name"""

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 # a few per core locally, and at cluster scale ~ (shuffle bytes / 128 MB).
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
