@@ -421,3 +421,222 @@ def q_compare_importances(spark, d):
     b = qa.null_proportions(prev, CORR_COLS + ["DAYS_DECISION"]).select(
         F.col("column").alias("col_name"), F.col("filled_share").alias("importance"))
     return rel.compare_importances(a, b)
+
+
+# ------------------------------------------------------------------ §E group tables, §F reports
+
+from ..operators import evaluate as ev  # noqa: E402
+from ..operators import reports as rp  # noqa: E402
+from ..operators import splits as sp  # noqa: E402
+from ..operators import stats as st  # noqa: E402
+
+
+def _purpose_population(t):
+    prev = _refusal(t)
+    return prev.where(fc.exclude_values("NAME_CASH_LOAN_PURPOSE", ["XAP", "XNA"]))
+
+
+@register("group_rate_and_median")
+def q_group_rate_median(spark, d):
+    return rp.group_rate_and_median(_purpose_population(T(spark, d)), "NAME_CASH_LOAN_PURPOSE",
+                                    "NAME_CONTRACT_STATUS_Refused", "AMT_APPLICATION")
+
+
+@register("filter_groups_by_median")
+def q_filter_groups(spark, d):
+    """Goods categories (XNA excluded) whose median amount is the most shared one."""
+    prev = _refusal(T(spark, d))
+    pop = prev.where(fc.exclude_values("NAME_GOODS_CATEGORY", ["XNA"])).withColumn(
+        "AMT_BAND", F.floor(F.col("AMT_APPLICATION") / 100000) * 100000)
+    return rp.filter_groups_by_median(pop, "NAME_GOODS_CATEGORY", "AMT_BAND").select(
+        "SK_ID_PREV", "NAME_GOODS_CATEGORY", "AMT_BAND", "NAME_CONTRACT_STATUS_Refused")
+
+
+@register("crosstab_counts")
+def q_crosstab(spark, d):
+    return rp.crosstab_counts(_purpose_population(T(spark, d)), "NAME_CASH_LOAN_PURPOSE",
+                              "NAME_CONTRACT_STATUS_Refused", [0, 1])
+
+
+@register("grouped_describe")
+def q_grouped_describe(spark, d):
+    return rp.grouped_describe(T(spark, d).scores, "label", "score")
+
+
+@register("category_percent")
+def q_category_percent(spark, d):
+    return rp.category_percent(T(spark, d).balance, "STATUS")
+
+
+@register("histogram")
+def q_histogram(spark, d):
+    return rp.histogram(T(spark, d).bureau, "DAYS_CREDIT", bins=20)
+
+
+@register("class_density")
+def q_class_density(spark, d):
+    return rp.class_density(T(spark, d).scores, "score", "label")
+
+
+@register("within_group_percent")
+def q_within(spark, d):
+    return rp.within_group_percent(T(spark, d).app, "ORGANIZATION_TYPE", "TARGET")
+
+
+@register("overall_positive_rate")
+def q_overall_rate(spark, d):
+    return rp.overall_positive_rate(T(spark, d).app, "TARGET")
+
+
+@register("group_outcome_report")
+def q_group_outcome(spark, d):
+    return rp.group_outcome_report(T(spark, d).app, "NAME_EDUCATION_TYPE", "TARGET")
+
+
+@register("quantile_groups")
+def q_quantile_groups(spark, d):
+    app = T(spark, d).app
+    return rp.quantile_groups(app, "AMT_INCOME_TOTAL", ["Low", "Medium", "High"], "Income Group").select(
+        "SK_ID_CURR", "AMT_INCOME_TOTAL", "Income Group")
+
+
+def impact_rows(spark, d, threshold: float = 0.35) -> DataFrame:
+    """Last-year previous applications with stand-in predictions, the
+    applicant's gender and income / age terciles."""
+    t = T(spark, d)
+    prev = _refusal(t)
+    enriched = rel.enrich_predictions(_stand_in_predictions(prev), prev,
+                                      t.app.select("SK_ID_CURR", "CODE_GENDER", "AMT_INCOME_TOTAL", "DAYS_BIRTH"))
+    year = enriched.where(fc.recency_filter("DAYS_DECISION", 365)).withColumn(
+        "Prediction", ev.apply_threshold("proba_1", threshold))
+    year = rp.quantile_groups(year, "AMT_INCOME_TOTAL", ["Low", "Medium", "High"], "Income Group")
+    return rp.quantile_groups(year, "DAYS_BIRTH", ["Lower Quantile", "Middle Quantile", "Upper Quantile"],
+                              "Age Group")
+
+
+@register("group_impact_report")
+def q_group_impact(spark, d):
+    rows = impact_rows(spark, d)
+    out = None
+    for grouping in ["CODE_GENDER", "Income Group", "Age Group"]:
+        for outcome in ["Prediction", "NAME_CONTRACT_STATUS_Refused"]:
+            part = rp.within_group_percent(rows, grouping, outcome).select(
+                F.lit(grouping).alias("grouping"), F.col(f"`{grouping}`").cast("string").alias("group"),
+                F.lit(outcome).alias("outcome_kind"), F.col(outcome).cast("int").alias("outcome"), "n", "percent")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ------------------------------------------------------------------ §G chi-square
+
+@register("chi2_independence")
+def q_chi2(spark, d):
+    return st.chi2_independence(_purpose_population(T(spark, d)), "NAME_CASH_LOAN_PURPOSE",
+                                "NAME_CONTRACT_STATUS_Refused", y_values=[0, 1]).select("chi2", "dof", "n_cells")
+
+
+@register("chi2_p_value")
+def q_chi2_p(spark, d):
+    return st.chi2_independence(_purpose_population(T(spark, d)), "NAME_CASH_LOAN_PURPOSE",
+                                "NAME_CONTRACT_STATUS_Refused", y_values=[0, 1])
+
+
+@register("chi2_drop_group")
+def q_chi2_drop(spark, d):
+    pop = _purpose_population(T(spark, d)).where(F.col("NAME_CASH_LOAN_PURPOSE") != "Other")
+    return st.chi2_independence(pop, "NAME_CASH_LOAN_PURPOSE", "NAME_CONTRACT_STATUS_Refused",
+                                y_values=[0, 1]).select("chi2", "dof", "n_cells")
+
+
+@register("chi2_expected_counts")
+def q_chi2_expected(spark, d):
+    return st.chi2_expected_counts(_purpose_population(T(spark, d)), "NAME_CASH_LOAN_PURPOSE",
+                                   "NAME_CONTRACT_STATUS_Refused", y_values=[0, 1])
+
+
+# ------------------------------------------------------------------ §H splits
+
+@register("stratified_split")
+def q_stratified_split(spark, d):
+    return sp.stratified_split(T(spark, d).app, "TARGET", "SK_ID_CURR", 0.2, seed=42).select(
+        "SK_ID_CURR", "TARGET", "split")
+
+
+@register("stratified_folds")
+def q_stratified_folds(spark, d):
+    return sp.stratified_folds(T(spark, d).app, "TARGET", "SK_ID_CURR", 5, seed=0).select(
+        "SK_ID_CURR", "TARGET", "fold")
+
+
+@register("recency_split")
+def q_recency_split(spark, d):
+    return sp.recency_split(T(spark, d).prev, "DAYS_DECISION", 0.2).select("SK_ID_PREV", "DAYS_DECISION", "split")
+
+
+# ------------------------------------------------------------------ §K evaluation
+
+@register("log_loss")
+def q_log_loss(spark, d):
+    return ev.log_loss(T(spark, d).scores)
+
+
+@register("precision_recall_curve")
+def q_pr_curve(spark, d):
+    return ev.precision_recall_curve(T(spark, d).scores)
+
+
+@register("average_precision")
+def q_ap(spark, d):
+    return ev.average_precision(T(spark, d).scores)
+
+
+@register("apply_threshold")
+def q_apply_threshold(spark, d):
+    s = T(spark, d).scores
+    return s.select("l_orderkey", "l_linenumber", "score", ev.apply_threshold("score", 0.2).alias("prediction"))
+
+
+def _predicted(spark, d, t=0.35):
+    return T(spark, d).scores.withColumn("prediction", ev.apply_threshold("score", t))
+
+
+@register("confusion_matrix")
+def q_confusion(spark, d):
+    return ev.confusion_matrix(_predicted(spark, d))
+
+
+@register("classification_report")
+def q_class_report(spark, d):
+    return ev.classification_report(_predicted(spark, d))
+
+
+@register("cumulative_gain")
+def q_gain(spark, d):
+    return ev.cumulative_gain(T(spark, d).scores)
+
+
+@register("lift_at_fraction")
+def q_lift(spark, d):
+    return ev.lift_at_fraction(T(spark, d).scores, 0.2)
+
+
+@register("profit_at_threshold")
+def q_profit(spark, d):
+    return ev.profit_at_threshold(T(spark, d).scores, 0.35)
+
+
+@register("profit_sweep")
+def q_sweep(spark, d):
+    return ev.profit_sweep(T(spark, d).scores)
+
+
+@register("best_threshold")
+def q_best_threshold(spark, d):
+    return ev.best_threshold(ev.profit_sweep(T(spark, d).scores), base=0.5)
+
+
+@register("decision_certainty")
+def q_certainty(spark, d):
+    s = T(spark, d).scores
+    return s.select("l_orderkey", "l_linenumber", "score",
+                    ev.decision_certainty("score", 0.35).alias("certainty_pct"))

@@ -412,3 +412,263 @@ SQL["compare_importances"] = with_views(["v_prev"], LAB) + """, a AS (
     for c in _CORR + ["DAYS_DECISION"]) + """)
 SELECT coalesce(a.col_name, b.col_name) AS col_name, a.importance AS importance_a, b.importance AS importance_b
 FROM a FULL OUTER JOIN b ON a.col_name = b.col_name"""
+
+
+# ------------------------------------------------------------------ §E group tables, §F reports
+
+POP = ("pop AS (SELECT * FROM lab WHERE NAME_CASH_LOAN_PURPOSE NOT IN ('XAP', 'XNA') "
+       "OR NAME_CASH_LOAN_PURPOSE IS NULL)")
+
+SQL["group_rate_and_median"] = with_views(["v_prev"], LAB, POP) + """
+SELECT NAME_CASH_LOAN_PURPOSE, avg(NAME_CONTRACT_STATUS_Refused) AS NAME_CONTRACT_STATUS_Refused_mean,
+       quantile_cont(AMT_APPLICATION, 0.5) AS AMT_APPLICATION_median
+FROM pop GROUP BY 1"""
+
+SQL["filter_groups_by_median"] = with_views(["v_prev"], LAB) + """, gp AS (
+  SELECT *, CAST(floor(AMT_APPLICATION / 100000) AS BIGINT) * 100000 AS AMT_BAND FROM lab
+  WHERE NAME_GOODS_CATEGORY NOT IN ('XNA') OR NAME_GOODS_CATEGORY IS NULL
+), med AS (SELECT NAME_GOODS_CATEGORY, quantile_cont(AMT_BAND, 0.5) AS m FROM gp GROUP BY 1),
+pick AS (SELECT m FROM med GROUP BY m ORDER BY count(*) DESC, m ASC LIMIT 1)
+SELECT SK_ID_PREV, NAME_GOODS_CATEGORY, AMT_BAND, NAME_CONTRACT_STATUS_Refused FROM gp
+WHERE NAME_GOODS_CATEGORY IN (SELECT NAME_GOODS_CATEGORY FROM med WHERE m IN (SELECT m FROM pick))"""
+
+SQL["crosstab_counts"] = with_views(["v_prev"], LAB, POP) + """
+SELECT NAME_CASH_LOAN_PURPOSE, count(*) FILTER (WHERE NAME_CONTRACT_STATUS_Refused = 0) AS "0",
+       count(*) FILTER (WHERE NAME_CONTRACT_STATUS_Refused = 1) AS "1"
+FROM pop WHERE NAME_CASH_LOAN_PURPOSE IS NOT NULL GROUP BY 1"""
+
+SQL["grouped_describe"] = with_views(["v_score"]) + """
+SELECT label, count(*) AS count, avg(score) AS mean, stddev_samp(score) AS std, CAST(min(score) AS DOUBLE) AS min,
+       CAST(max(score) AS DOUBLE) AS max, quantile_cont(score, 0.25) AS q25, quantile_cont(score, 0.5) AS q50,
+       quantile_cont(score, 0.75) AS q75
+FROM v_score WHERE score IS NOT NULL GROUP BY label"""
+
+SQL["category_percent"] = with_views(["v_bal"]) + """
+SELECT STATUS, count(*) AS n, CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER () AS DOUBLE) AS pct
+FROM v_bal WHERE STATUS IS NOT NULL GROUP BY STATUS"""
+
+SQL["histogram"] = with_views(["v_bur"]) + """, mm AS (
+  SELECT min(CAST(DAYS_CREDIT AS DOUBLE)) AS lo, max(CAST(DAYS_CREDIT AS DOUBLE)) AS hi FROM v_bur
+), b AS (
+  SELECT CAST(least(floor((CAST(DAYS_CREDIT AS DOUBLE) - lo) * CAST(20 AS DOUBLE) / (hi - lo)), 19) AS INTEGER) AS bin,
+         count(*) AS n
+  FROM v_bur CROSS JOIN mm WHERE DAYS_CREDIT IS NOT NULL GROUP BY 1
+), g AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20))
+SELECT g.bin, lo + g.bin * ((hi - lo) / 20) AS bin_lo,
+       CASE WHEN g.bin = 19 THEN hi ELSE lo + (g.bin + 1) * ((hi - lo) / 20) END AS bin_hi, coalesce(b.n, 0) AS n
+FROM g CROSS JOIN mm LEFT JOIN b ON g.bin = b.bin"""
+
+SQL["class_density"] = with_views(["v_score"]) + """, base AS (
+  SELECT label AS cls, score AS x FROM v_score WHERE score IS NOT NULL AND label IS NOT NULL
+), st AS (
+  SELECT cls, count(*) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) AS sd FROM base GROUP BY cls
+), st2 AS (
+  SELECT *, sd * pow(CAST(n AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS bw, (hi - lo) / CAST(1024 AS DOUBLE) AS width FROM st
+), binned AS (
+  SELECT b.cls, CAST(CASE WHEN width > 0 THEN least(floor((x - lo) / width), 1023) ELSE 0 END AS INTEGER) AS bb,
+         count(*) AS m
+  FROM base b JOIN st2 ON b.cls = st2.cls GROUP BY 1, 2
+), centres AS (
+  SELECT binned.cls, m, lo + (bb + CAST(0.5 AS DOUBLE)) * width AS c FROM binned JOIN st2 ON binned.cls = st2.cls
+), pts AS (
+  SELECT cls, CAST(t.g AS INTEGER) AS g, n, bw,
+         lo - CAST(3 AS DOUBLE) * bw + t.g * (hi - lo + CAST(6 AS DOUBLE) * bw) / CAST(199 AS DOUBLE) AS x
+  FROM st2 CROSS JOIN range(200) t(g)
+)
+SELECT pts.cls AS label, g AS point, x AS score,
+       sum(m * exp(CAST(-0.5 AS DOUBLE) * ((x - c) / bw) * ((x - c) / bw))) / (n * bw * sqrt(2 * pi())) AS density
+FROM pts JOIN centres ON pts.cls = centres.cls GROUP BY pts.cls, g, x, n, bw"""
+
+SQL["within_group_percent"] = with_views(["v_app"]) + """
+SELECT ORGANIZATION_TYPE, TARGET, count(*) AS n,
+       CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER (PARTITION BY ORGANIZATION_TYPE) AS DOUBLE) AS percent
+FROM v_app WHERE ORGANIZATION_TYPE IS NOT NULL AND TARGET IS NOT NULL GROUP BY 1, 2"""
+
+SQL["overall_positive_rate"] = with_views(["v_app"]) + """
+SELECT CAST(count(*) FILTER (WHERE TARGET = 1) AS DOUBLE) * 100 / count(*) AS positive_percent FROM v_app"""
+
+SQL["group_outcome_report"] = with_views(["v_app"]) + """, w AS (
+  SELECT NAME_EDUCATION_TYPE, TARGET, count(*) AS n,
+         CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER (PARTITION BY NAME_EDUCATION_TYPE) AS DOUBLE) AS percent
+  FROM v_app WHERE NAME_EDUCATION_TYPE IS NOT NULL AND TARGET IS NOT NULL GROUP BY 1, 2
+), s AS (
+  SELECT NAME_EDUCATION_TYPE, CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER () AS DOUBLE) AS group_percent
+  FROM v_app WHERE NAME_EDUCATION_TYPE IS NOT NULL GROUP BY 1
+), r AS (SELECT CAST(count(*) FILTER (WHERE TARGET = 1) AS DOUBLE) * 100 / count(*) AS positive_percent FROM v_app)
+SELECT w.*, s.group_percent, r.positive_percent FROM w LEFT JOIN s USING (NAME_EDUCATION_TYPE) CROSS JOIN r"""
+
+
+def _qcut_sql(col: str, labels, src: str, edges: str) -> str:
+    q = len(labels)
+    parts = [f"WHEN {col} IS NULL THEN NULL"]
+    for i, lab in enumerate(labels):
+        parts.append(f"WHEN {col} <= {edges}[{i + 2}] AND {col} >= {edges}[1] THEN '{lab}'")
+    probs = ", ".join(f"{i}/{q}" for i in range(q + 1))
+    return f"(SELECT quantile_cont({col}, [{probs}]) FROM {src})", "CASE " + " ".join(parts) + " END"
+
+
+_inc_edges, _inc_case = _qcut_sql("AMT_INCOME_TOTAL", ["Low", "Medium", "High"], "v_app", "e")
+SQL["quantile_groups"] = with_views(["v_app"]) + f""", eq AS (SELECT {_inc_edges} AS e)
+SELECT SK_ID_CURR, AMT_INCOME_TOTAL, {_inc_case} AS "Income Group" FROM v_app CROSS JOIN eq"""
+
+_yr_inc_edges, _yr_inc_case = _qcut_sql("AMT_INCOME_TOTAL", ["Low", "Medium", "High"], "yr", "ei")
+_yr_age_edges, _yr_age_case = _qcut_sql("DAYS_BIRTH", ["Lower Quantile", "Middle Quantile", "Upper Quantile"],
+                                        "yr", "ea")
+IMPACT = f"""preds AS (SELECT SK_ID_PREV, {hash_unit_sql('SK_ID_PREV', 7)} AS proba_1 FROM lab),
+enr AS (
+  SELECT p.SK_ID_PREV, p.proba_1, l.SK_ID_CURR, l.DAYS_DECISION, l.NAME_CONTRACT_STATUS_Refused,
+         a.CODE_GENDER, a.AMT_INCOME_TOTAL, a.DAYS_BIRTH
+  FROM preds p LEFT JOIN lab l ON p.SK_ID_PREV = l.SK_ID_PREV LEFT JOIN v_app a ON l.SK_ID_CURR = a.SK_ID_CURR
+),
+yr AS (SELECT *, CASE WHEN proba_1 > CAST(0.35 AS DOUBLE) THEN 1 ELSE 0 END AS Prediction FROM enr
+       WHERE DAYS_DECISION >= -365),
+edges AS (SELECT {_yr_inc_edges} AS ei, {_yr_age_edges} AS ea),
+impact AS (SELECT yr.*, {_yr_inc_case} AS "Income Group", {_yr_age_case} AS "Age Group" FROM yr CROSS JOIN edges)"""
+
+
+def _within_sql(grouping: str, outcome: str) -> str:
+    return f"""SELECT '{grouping}' AS grouping, CAST("{grouping}" AS VARCHAR) AS "group", '{outcome}' AS outcome_kind,
+    CAST({outcome} AS INTEGER) AS outcome, count(*) AS n,
+    CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER (PARTITION BY "{grouping}") AS DOUBLE) AS percent
+  FROM impact WHERE "{grouping}" IS NOT NULL AND {outcome} IS NOT NULL GROUP BY "{grouping}", {outcome}"""
+
+
+SQL["group_impact_report"] = with_views(["v_prev", "v_app"], LAB, IMPACT) + "\nUNION ALL ".join(
+    _within_sql(g, o) for g in ["CODE_GENDER", "Income Group", "Age Group"]
+    for o in ["Prediction", "NAME_CONTRACT_STATUS_Refused"])
+
+# ------------------------------------------------------------------ §G chi-square
+
+def _chi2_sql(pop_filter: str = "") -> str:
+    return f"""cells0 AS (
+  SELECT NAME_CASH_LOAN_PURPOSE AS x, count(*) FILTER (WHERE NAME_CONTRACT_STATUS_Refused = 0) AS o0,
+         count(*) FILTER (WHERE NAME_CONTRACT_STATUS_Refused = 1) AS o1
+  FROM pop WHERE NAME_CASH_LOAN_PURPOSE IS NOT NULL {pop_filter} GROUP BY 1
+), cells AS (SELECT x, '0' AS y, o0 AS observed FROM cells0 UNION ALL SELECT x, '1', o1 FROM cells0),
+e AS (
+  SELECT x, y, observed, CAST(sum(observed) OVER (PARTITION BY x) AS DOUBLE) * sum(observed) OVER (PARTITION BY y)
+         / sum(observed) OVER () AS expected FROM cells
+), shape AS (SELECT count(DISTINCT x) AS r, count(DISTINCT y) AS c FROM cells)"""
+
+
+_CHI2_SELECT = """
+SELECT sum(power(CASE WHEN (r - 1) * (c - 1) = 1
+                      THEN observed + sign(expected - observed) * least(0.5, abs(expected - observed))
+                      ELSE observed END - expected, 2) / expected) AS chi2,
+       CAST((r - 1) * (c - 1) AS BIGINT) AS dof, count(*) AS n_cells
+FROM e CROSS JOIN shape GROUP BY r, c"""
+
+SQL["chi2_independence"] = with_views(["v_prev"], LAB, POP, _chi2_sql()) + _CHI2_SELECT
+SQL["chi2_drop_group"] = with_views(["v_prev"], LAB, POP, _chi2_sql("AND NAME_CASH_LOAN_PURPOSE <> 'Other'")) \
+    + _CHI2_SELECT
+SQL["chi2_expected_counts"] = with_views(["v_prev"], LAB, POP, _chi2_sql()) + """
+SELECT x AS NAME_CASH_LOAN_PURPOSE, y AS NAME_CONTRACT_STATUS_Refused, observed, expected,
+       avg(CAST(expected >= 5 AS DOUBLE)) OVER () AS share_expected_ge5 FROM e"""
+
+# ------------------------------------------------------------------ §H splits
+
+
+def _strat_sql(seed: int) -> str:
+    return f"""r AS (
+  SELECT SK_ID_CURR, TARGET,
+         row_number() OVER (PARTITION BY TARGET ORDER BY {hash_unit_sql('SK_ID_CURR', seed)}, SK_ID_CURR) - 1 AS pos,
+         count(*) OVER (PARTITION BY TARGET) AS n
+  FROM v_app)"""
+
+
+SQL["stratified_split"] = with_views(["v_app"], _strat_sql(42)) + """
+SELECT SK_ID_CURR, TARGET, CASE WHEN pos < floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM r"""
+SQL["stratified_folds"] = with_views(["v_app"], _strat_sql(0)) + \
+    "SELECT SK_ID_CURR, TARGET, CAST(pos % 5 AS INTEGER) AS fold FROM r"
+SQL["recency_split"] = with_views(["v_prev"]) + """
+SELECT SK_ID_PREV, DAYS_DECISION,
+       CASE WHEN DAYS_DECISION > (SELECT quantile_cont(DAYS_DECISION, 0.8) FROM v_prev) THEN 'test' ELSE 'train' END
+       AS split
+FROM v_prev"""
+
+# ------------------------------------------------------------------ §K evaluation
+
+SQL["log_loss"] = with_views(["v_score"]) + """
+SELECT avg(-(label * ln(p) + (1 - label) * ln(1 - p))) AS log_loss FROM (
+  SELECT CAST(label AS DOUBLE) AS label,
+         least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS p FROM v_score)"""
+
+CURVE = """g AS (
+  SELECT score AS threshold, count(*) FILTER (WHERE label = 1) AS tp_at, count(*) AS n_at FROM v_score GROUP BY 1
+), c AS (
+  SELECT threshold, tp_at, n_at, n_at - tp_at AS neg_at,
+         CAST(sum(tp_at) OVER w AS BIGINT) AS ctp, CAST(sum(n_at) OVER w AS BIGINT) AS cn,
+         CAST(sum(n_at - tp_at) OVER w AS BIGINT) AS cneg
+  FROM g WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), t AS (SELECT count(*) FILTER (WHERE label = 1) AS P, count(*) AS N FROM v_score)"""
+
+SQL["precision_recall_curve"] = with_views(["v_score"], CURVE) + """
+SELECT threshold, ctp AS tp, cn - ctp AS fp, CAST(ctp AS DOUBLE) / cn AS precision,
+       CAST(ctp AS DOUBLE) / CAST(P AS DOUBLE) AS recall, CAST(P AS DOUBLE) / N AS chance_level
+FROM c CROSS JOIN t"""
+SQL["average_precision"] = with_views(["v_score"], CURVE) + """
+SELECT sum((CAST(tp_at AS DOUBLE) / CAST(P AS DOUBLE)) * (CAST(ctp AS DOUBLE) / cn)) AS average_precision
+FROM c CROSS JOIN t"""
+SQL["cumulative_gain"] = with_views(["v_score"], CURVE) + """
+SELECT threshold, CAST(cn AS DOUBLE) / CAST(N AS DOUBLE) AS population_share,
+       CAST(ctp AS DOUBLE) / CAST(P AS DOUBLE) AS gain_1, CAST(cneg AS DOUBLE) / CAST(N - P AS DOUBLE) AS gain_0
+FROM c CROSS JOIN t"""
+SQL["lift_at_fraction"] = with_views(["v_score"], CURVE) + """
+SELECT CAST(0.2 AS DOUBLE) AS fraction, coalesce(max(CAST(cn AS DOUBLE) / CAST(N AS DOUBLE)), 0) AS population_share,
+       coalesce(max(CAST(ctp AS DOUBLE) / CAST(P AS DOUBLE)), 0) AS gain_1
+FROM c CROSS JOIN t WHERE CAST(cn AS DOUBLE) / CAST(N AS DOUBLE) <= CAST(0.2 AS DOUBLE)"""
+SQL["apply_threshold"] = with_views(["v_score"]) + """
+SELECT l_orderkey, l_linenumber, score, CASE WHEN score > CAST(0.2 AS DOUBLE) THEN 1 ELSE 0 END AS prediction
+FROM v_score"""
+
+CM = """cm AS (
+  SELECT count(*) FILTER (WHERE label = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
+         count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp
+  FROM (SELECT label, CASE WHEN score > CAST(0.35 AS DOUBLE) THEN 1 ELSE 0 END AS pred FROM v_score))"""
+SQL["confusion_matrix"] = with_views(["v_score"], CM) + "SELECT * FROM cm"
+
+
+def _div(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0)"
+
+
+SQL["classification_report"] = with_views(["v_score"], CM) + f""", m AS (
+  SELECT *, {_div('tp', 'tp + fp')} AS p1, {_div('tp', 'tp + fn')} AS r1, {_div('tn', 'tn + fn')} AS p0,
+         {_div('tn', 'tn + fp')} AS r0, tn + fp AS s0, tp + fn AS s1, tn + fp + fn + tp AS n FROM cm
+), f AS (SELECT *, {_div('2 * p0 * r0', 'p0 + r0')} AS f0, {_div('2 * p1 * r1', 'p1 + r1')} AS f1,
+         {_div('tn + tp', 'n')} AS acc FROM m)
+SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM f
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM f
+UNION ALL SELECT 'accuracy', acc, acc, acc, n FROM f
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM f
+UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n FROM f"""
+
+
+def _profit_sql(tn, fp, fn, tp) -> str:
+    return (f"CAST({tn} AS DOUBLE) * CAST(0.2 AS DOUBLE) + CAST({fp} AS DOUBLE) * CAST(-0.2 AS DOUBLE) "
+            f"+ CAST({fn} AS DOUBLE) * CAST(-0.8 AS DOUBLE) + CAST({tp} AS DOUBLE) * CAST(0.0 AS DOUBLE)")
+
+
+SQL["profit_at_threshold"] = with_views(["v_score"], CM) + \
+    f"SELECT CAST(0.35 AS DOUBLE) AS threshold, tn, fp, fn, tp, {_profit_sql('tn', 'fp', 'fn', 'tp')} AS profit FROM cm"
+
+SWEEP = f"""sw AS (
+  SELECT k * CAST(0.01 AS DOUBLE) AS threshold,
+         count(*) FILTER (WHERE label <> 1) - count(*) FILTER (WHERE label <> 1 AND score > k * CAST(0.01 AS DOUBLE)) AS tn,
+         count(*) FILTER (WHERE label <> 1 AND score > k * CAST(0.01 AS DOUBLE)) AS fp,
+         count(*) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1 AND score > k * CAST(0.01 AS DOUBLE)) AS fn,
+         count(*) FILTER (WHERE label = 1 AND score > k * CAST(0.01 AS DOUBLE)) AS tp
+  FROM v_score CROSS JOIN (SELECT range AS k FROM range(100)) ks GROUP BY k
+), swp AS (SELECT *, {_profit_sql('tn', 'fp', 'fn', 'tp')} AS profit FROM sw)"""
+SQL["profit_sweep"] = with_views(["v_score"], SWEEP) + "SELECT * FROM swp"
+SQL["best_threshold"] = with_views(["v_score"], SWEEP) + """
+SELECT b.threshold AS best_threshold, b.profit AS best_profit, (SELECT profit FROM swp
+        WHERE abs(threshold - 0.5) < 1e-9) AS base_profit, CAST(0.5 AS DOUBLE) AS base_threshold,
+       b.profit * 100 / (SELECT profit FROM swp WHERE abs(threshold - 0.5) < 1e-9) - 100 AS profit_increase_pct
+FROM (SELECT * FROM swp ORDER BY profit DESC, threshold ASC LIMIT 1) b"""
+SQL["decision_certainty"] = with_views(["v_score"]) + """
+SELECT l_orderkey, l_linenumber, score,
+       CASE WHEN score > CAST(0.35 AS DOUBLE) THEN (score - CAST(0.35 AS DOUBLE)) / (1 - CAST(0.35 AS DOUBLE))
+            ELSE (CAST(0.35 AS DOUBLE) - score) / CAST(0.35 AS DOUBLE) END * 100 AS certainty_pct
+FROM v_score"""
