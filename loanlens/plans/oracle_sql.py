@@ -672,3 +672,108 @@ SELECT l_orderkey, l_linenumber, score,
        CASE WHEN score > CAST(0.35 AS DOUBLE) THEN (score - CAST(0.35 AS DOUBLE)) / (1 - CAST(0.35 AS DOUBLE))
             ELSE (CAST(0.35 AS DOUBLE) - score) / CAST(0.35 AS DOUBLE) END * 100 AS certainty_pct
 FROM v_score"""
+
+
+# ------------------------------------------------------------------ §I fitted preprocessing
+
+from ..roles import REFUSED_TARGET_COLUMNS, REQUEST_FIELDS  # noqa: E402
+
+PREV_SPLIT = f"""prev_split AS (
+  SELECT *, CASE WHEN pos < floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS split FROM (
+    SELECT *, row_number() OVER (PARTITION BY NAME_CONTRACT_STATUS_Refused
+                                 ORDER BY {hash_unit_sql('SK_ID_PREV', 42)}, SK_ID_PREV) - 1 AS pos,
+           count(*) OVER (PARTITION BY NAME_CONTRACT_STATUS_Refused) AS n
+    FROM lab)
+), ptrain AS (SELECT * FROM prev_split WHERE split = 'train')"""
+
+SQL["mode_impute_sentinel"] = with_views(["v_app"], _strat_sql(42)) + """, split AS (
+  SELECT r.*, CASE WHEN pos < floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS part FROM r
+), mode AS (
+  SELECT CODE_GENDER AS v FROM v_app WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM split WHERE part = 'train')
+    AND CODE_GENDER IS NOT NULL AND CODE_GENDER <> 'XNA'
+  GROUP BY 1 ORDER BY count(*) DESC, v ASC LIMIT 1
+)
+SELECT SK_ID_CURR, CASE WHEN CODE_GENDER = 'XNA' THEN (SELECT v FROM mode) ELSE CODE_GENDER END AS CODE_GENDER
+FROM v_app"""
+
+SQL["constant_impute_sentinel"] = with_views(["v_app"]) + """
+SELECT SK_ID_CURR, CASE WHEN ORGANIZATION_TYPE = 'XNA' THEN 'missing_value' ELSE ORGANIZATION_TYPE END
+       AS ORGANIZATION_TYPE FROM v_app"""
+
+_ONEHOT = [
+    ("FLAG_LAST_APPL_PER_CONTRACT", ["Y"]),
+    ("NAME_CONTRACT_TYPE", ["Cash loans", "Consumer loans", "Revolving loans", "XNA"]),
+    ("NAME_TYPE_SUITE", ["Family", "Group of people", "Spouse, partner", "Unaccompanied", None]),
+]
+
+
+def _onehot_cols(drop=()):
+    out = []
+    for c, cats in _ONEHOT:
+        for v in cats:
+            name = f"{c}_{'nan' if v is None else v}"
+            if name in drop:
+                continue
+            cond = f"{c} IS NULL" if v is None else f"coalesce({c} = '{v}', false)"
+            out.append(f'CAST({cond} AS DOUBLE) AS "{name}"')
+    return ", ".join(out)
+
+
+SQL["one_hot_encode"] = with_views(["v_prev"], LAB) + f"SELECT SK_ID_PREV, {_onehot_cols()} FROM lab"
+SQL["drop_after_encoding"] = with_views(["v_prev"], LAB) + \
+    f"SELECT SK_ID_PREV, {_onehot_cols(('NAME_CONTRACT_TYPE_XNA', 'NAME_TYPE_SUITE_Group of people'))} FROM lab"
+
+
+def _te_sql() -> str:
+    parts, sel, joins = [], [], []
+    for i, c in enumerate(REFUSED_TARGET_COLUMNS):
+        parts.append(f"""st{i} AS (
+  SELECT coalesce(CAST({c} AS VARCHAR), '<null>') AS k, count(*) AS n,
+         avg(CAST(NAME_CONTRACT_STATUS_Refused AS DOUBLE)) AS m FROM ptrain GROUP BY 1),
+enc{i} AS (
+  SELECT k, CASE WHEN n = 1 THEN p ELSE p * (1 - w) + m * w END AS e
+  FROM (SELECT *, 1 / (1 + exp(-(CAST(n AS DOUBLE) - 20) / 10)) AS w FROM st{i} CROSS JOIN prior))""")
+        sel.append(f"coalesce(enc{i}.e, (SELECT p FROM prior)) AS {c}")
+        joins.append(f"LEFT JOIN enc{i} ON coalesce(CAST(l.{c} AS VARCHAR), '<null>') = enc{i}.k")
+    return (",\nprior AS (SELECT avg(CAST(NAME_CONTRACT_STATUS_Refused AS DOUBLE)) AS p FROM ptrain),\n"
+            + ",\n".join(parts) + "\nSELECT l.SK_ID_PREV, " + ", ".join(sel) + " FROM lab l " + " ".join(joins))
+
+
+SQL["target_encode"] = with_views(["v_prev"], LAB, PREV_SPLIT) + _te_sql()
+
+_MART_NUMERIC = ["EXT_SOURCE_2", "EXT_SOURCE_3", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "OWN_CAR_AGE", "AMT_ANNUITY",
+                 "cash_CNT_INSTALMENT_max", "inst_Days_till_deadline_min", "inst_Amt_deficit_mean",
+                 "bur_DAYS_CREDIT_mean", "prev_AMT_ANNUITY_mean", "prev_Credit_diff_max"]
+SQL["missing_value_fill"] = (with_views(["v_app", "v_cash", "v_inst", "v_bur", "v_prev"], CASH20, INST20, BUR20,
+                                        PREV20, MART20)
+                             + "SELECT SK_ID_CURR, " + ", ".join(
+                                 f"coalesce(CAST({c} AS DOUBLE), (SELECT min(CAST({c} AS DOUBLE)) FROM mart20) - 1) AS {c}"
+                                 for c in _MART_NUMERIC) + " FROM mart20")
+
+# ------------------------------------------------------------------ §J naive baseline
+
+SQL["naive_baseline_log_loss"] = with_views(["v_app"], _strat_sql(0)) + """, f AS (
+  SELECT CAST(pos % 5 AS INTEGER) AS fold, count(*) AS n, sum(CAST(TARGET AS DOUBLE)) AS s FROM r GROUP BY 1
+), t AS (SELECT sum(n) AS tot_n, sum(s) AS tot_s FROM f),
+m AS (SELECT fold, n, s, (tot_s - s) / CAST(tot_n - n AS DOUBLE) AS train_mean FROM f CROSS JOIN t),
+c AS (SELECT *, least(greatest(train_mean, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS p FROM m)
+SELECT fold, train_mean, -(s * ln(p) + (n - s) * ln(1 - p)) / n AS log_loss FROM c"""
+
+# ------------------------------------------------------------------ §M validation
+
+
+def _validate_sql() -> str:
+    texts, checks = [], []
+    for n, t in REQUEST_FIELDS:
+        txt = f"CAST({n} AS VARCHAR)"
+        if t == "double":
+            txt = f"coalesce({txt}, 'n/a')"
+        texts.append(f"{txt} AS {n}")
+        target = {"int": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}[t]
+        checks.append(f"CASE WHEN {n} IS NULL OR TRY_CAST({n} AS {target}) IS NULL THEN '{n}' END")
+    return ("req AS (SELECT " + ", ".join(texts) + " FROM v_prev)\n"
+            "SELECT CAST(SK_ID_PREV AS BIGINT) AS SK_ID_PREV, concat_ws(',', " + ", ".join(checks)
+            + ") AS errors FROM req")
+
+
+SQL["validate_records"] = with_views(["v_prev"], _validate_sql())
