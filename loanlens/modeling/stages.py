@@ -247,4 +247,5 @@ class DropColumns(Transformer, HasInputCols, DefaultParamsReadable, DefaultParam
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.drop(*self.getInputCols())
+        present = [c for c in self.getInputCols() if c in df.columns]
+        return df.drop(*present)

@@ -223,7 +223,7 @@ def hyperparameter_search(spark, df: DataFrame, label: str, key: str, n_trials:
         pm = {getattr(gbt, name): value for name, value in t.items()}
         grid.append(pm)
     ev_ = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=ev_, foldCol="fold",
+    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=ev_, foldCol="fold", numFolds=k,
                         parallelism=parallelism, seed=seed)
     fitted = cv.fit(folded.withColumn("fold", F.col("fold").cast("int")))
     rows = [(i, json.dumps(t), float(m)) for i, (t, m) in enumerate(zip(trials, fitted.avgMetrics))]
@@ -250,7 +250,7 @@ def model_leaderboard(spark, df: DataFrame, label: str, key: str, sample_frac: f
         cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
                             evaluator=BinaryClassificationEvaluator(labelCol=label, metricName=metric,
                                                                     rawPredictionCol="rawPrediction"),
-                            foldCol="fold")
+                            foldCol="fold", numFolds=k)
         rows.append((name, metric, float(cv.fit(sample).avgMetrics[0])))
     sample.unpersist()
     return spark.createDataFrame(rows, "model string, metric string, cv_score double")

@@ -16,8 +16,8 @@ from ..operators import attribution as at
 from ..operators import evaluate as ev
 from ..operators import relational as rel
 from ..operators import splits as sp
-from ..roles import (REFUSED_BINARY_COLUMNS, REFUSED_ONE_HOT_COLUMNS, REFUSED_PASSTHROUGH_COLUMNS,
-                     REFUSED_TARGET_COLUMNS, REQUEST_FIELDS)
+from ..roles import (REFUSED_BINARY_COLUMNS, REFUSED_FEAT_SEL_AFTER_PREP, REFUSED_FEAT_SEL_BEFORE_PREP,
+                     REFUSED_ONE_HOT_COLUMNS, REFUSED_PASSTHROUGH_COLUMNS, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS)
 from ..sources.tables import work_dir
 from ..streaming import scoring as sc
 from . import marts
@@ -49,10 +49,12 @@ def refusal_frame(spark, d) -> DataFrame:
 
 
 def refusal_pipeline() -> Pipeline:
-    # the previous-application key is carried, not used as a feature
-    return tr.column_role_pipeline(onehot_cols=REFUSED_BINARY_COLUMNS + REFUSED_ONE_HOT_COLUMNS,
-                                   target_cols=REFUSED_TARGET_COLUMNS, label_col=LABEL_R,
-                                   exclude_cols=["SK_ID_PREV"])
+    """The final refusal model's preprocessing: the contract type is left out
+    before encoding and eight dummies after it (its feature selection); the
+    previous-application key is carried, not used as a feature."""
+    onehot = REFUSED_BINARY_COLUMNS + [c for c in REFUSED_ONE_HOT_COLUMNS if c not in REFUSED_FEAT_SEL_BEFORE_PREP]
+    return tr.column_role_pipeline(onehot_cols=onehot, target_cols=REFUSED_TARGET_COLUMNS, label_col=LABEL_R,
+                                   exclude_cols=["SK_ID_PREV"], drop_after=REFUSED_FEAT_SEL_AFTER_PREP)
 
 
 def _gbt(label, max_iter=100, step=0.1, depth=4):
@@ -139,7 +141,7 @@ def q_naive(spark, d):
     return tr.naive_baseline_log_loss(folds, LABEL_T)
 
 
-def _target_fit(spark, d, max_iter=100, patience=20):
+def _target_fit(spark, d, max_iter=60, patience=15):
     pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
     tr_, va = tr_.cache(), va.cache()
     res = tr.train_with_early_stopping(tr_, va, _gbt(LABEL_T, max_iter), patience)

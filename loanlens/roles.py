@@ -53,3 +53,11 @@ REQUEST_FIELDS = [
 INCOME_TN, INCOME_FP, INCOME_FN, INCOME_TP = 0.2, -0.2, -0.8, 0.0
 # Decision threshold the scoring service applies.
 PROFITABLE_THRESHOLD = 0.35
+
+# Final refusal model: encoded columns removed by feature selection, before and after encoding.
+REFUSED_FEAT_SEL_BEFORE_PREP = ["NAME_CONTRACT_TYPE"]
+REFUSED_FEAT_SEL_AFTER_PREP = [
+    "NAME_PORTFOLIO_XNA", "NAME_YIELD_GROUP_XNA", "NAME_PAYMENT_TYPE_Non-cash from your account",
+    "NAME_TYPE_SUITE_Group of people", "NAME_PORTFOLIO_Cards", "NAME_CLIENT_TYPE_XNA",
+    "NAME_PAYMENT_TYPE_Cashless from the account of the employer", "NAME_PORTFOLIO_Cars",
+]
