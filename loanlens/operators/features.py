@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import agg_name, positive_flag, recode_status
+from .ranking import exact_quantiles
 
 KEY = "SK_ID_CURR"
 LOAN = "SK_ID_BUREAU"
@@ -223,17 +224,37 @@ CARD_SPEC_TAIL = [
 ]
 
 
-def card_features(card: DataFrame, prefix: str = "cred") -> DataFrame:
-    """45 card features + active count; the two medians are exact and
-    interpolated (``median`` = ``percentile(col, 0.5)``)."""
-    return keyed(card).groupBy(KEY).agg(
+def grouped_medians(df: DataFrame, key: str, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Exact interpolated medians of several columns per key, from one global
+    ranking of (column, key, value): a key holding a third of all rows is
+    spread over many range partitions, never buffered in one aggregate."""
+    long = df.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("_c"), F.col(c).cast("double").alias("_x"))
+                                               for c, n in zip(cols, names)])).alias("r")).select(key, "r.*")
+    q = exact_quantiles(long, "_x", [0.5], groups=["_c", key])
+    return q.groupBy(key).pivot("_c", list(names)).agg(F.first("q"))
+
+
+def card_features(card: DataFrame, prefix: str = "cred", exact_skew_safe_median: bool = True) -> DataFrame:
+    """45 card features + active count. The two medians are exact and
+    interpolated; by default they come from global ranks (skew-safe), else
+    from Spark's ``median`` aggregate (one buffer of distinct values per key)."""
+    keyed_card = keyed(card)
+    medians = [(c, agg_name(prefix, c, "median")) for c, stats in CARD_SPEC_TAIL if "median" in stats]
+    tail = CARD_SPEC_TAIL
+    if exact_skew_safe_median:
+        tail = [(c, [s for s in stats if s != "median"]) for c, stats in CARD_SPEC_TAIL]
+    out = keyed_card.groupBy(KEY).agg(
         *spec_aggs(prefix, [("SK_ID_PREV", ["nunique", "count"]), ("SK_DPD", ["mean", "max"])]),
         count_true(positive_flag("SK_DPD")).alias(f"{prefix}_Has_overdue_sum"),
         *spec_aggs(prefix, [("SK_DPD_DEF", ["mean", "max"])]),
         count_true(positive_flag("SK_DPD_DEF")).alias(f"{prefix}_Has_overdue_def_sum"),
-        *spec_aggs(prefix, CARD_SPEC_TAIL),
+        *spec_aggs(prefix, tail),
         active_count_at_month(name=f"{prefix}_Status_Active_count"),
     )
+    if exact_skew_safe_median and medians:
+        med = grouped_medians(keyed_card, KEY, [c for c, _ in medians], [n for _, n in medians])
+        out = out.join(med, on=KEY, how="left")
+    return out
 
 
 PREV_SPEC = [

@@ -75,52 +75,54 @@ def table_shape(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def table_profile(df: DataFrame, cols: Sequence[str] | None = None, quantiles: bool = True) -> DataFrame:
-    """Per column: rows, missing, distinct, zeros, min/max/mean/std, quartiles
-    and the most frequent value (ties: smallest). One aggregate pass for the
-    counters; exact quartiles via global ranks; top values via one grouped count
-    per column on the (column, value) pairs."""
+    """Per column: rows, missing, distinct, zeros, min/max/mean/std, exact
+    quartiles and the most frequent value of text/integer columns (ties: the
+    smallest). Three passes whatever the column count: one aggregate for the
+    counters; one grouped count over (column, value) pairs giving distinct
+    counts and modes; one global ranking of (column, value) for the quartiles."""
     types = dict(df.dtypes)
     cols = list(cols or df.columns)
     num = [c for c in cols if _is_numeric(types[c])]
     aggs = []
     for c in cols:
         x = F.col(f"`{c}`")
-        aggs += [F.count(F.lit(1)).alias(f"{c}|rows"), (F.count(F.lit(1)) - F.count(x)).alias(f"{c}|missing"),
-                 F.count_distinct(x).alias(f"{c}|distinct")]
+        aggs += [F.count(F.lit(1)).alias(f"{c}|rows"), (F.count(F.lit(1)) - F.count(x)).alias(f"{c}|missing")]
         if c in num:
             xd = x.cast("double")
             aggs += [F.count_if(xd == 0).alias(f"{c}|zeros"), F.min(xd).alias(f"{c}|min"),
                      F.max(xd).alias(f"{c}|max"), F.avg(xd).alias(f"{c}|mean"),
                      F.stddev_samp(xd).alias(f"{c}|std")]
     wide = df.agg(*aggs)
-    fields = ["rows", "missing", "distinct", "zeros", "min", "max", "mean", "std"]
+    fields = ["rows", "missing", "zeros", "min", "max", "mean", "std"]
     rows = []
     for c in cols:
         vals = [F.col(f"`{c}|{f}`") if f"{c}|{f}" in wide.columns else F.lit(None) for f in fields]
         rows.append(F.struct(F.lit(c).alias("column"),
-                             *[v.cast("bigint" if f in ("rows", "missing", "distinct", "zeros") else "double").alias(f)
+                             *[v.cast("bigint" if f in ("rows", "missing", "zeros") else "double").alias(f)
                                for f, v in zip(fields, vals)]))
     prof = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
-    # most frequent value per text or integer column, as text (continuous
-    # columns have no meaningful mode and their text form is engine-specific)
-    discrete = [c for c in cols if types[c] not in ("double", "float")]
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v"))
-                                         for c in discrete])).alias("r")).select("r.*").where(F.col("v").isNotNull())
+    def text(c):  # distinct-preserving text; x + 0.0 folds -0.0 into 0.0 like numeric grouping
+        x = F.col(f"`{c}`")
+        return (x.cast("double") + F.lit(0.0)).cast("string") if types[c] in ("double", "float") else x.cast("string")
+    discrete = {c for c in cols if types[c] not in ("double", "float")}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("v")) for c in cols]))
+                     .alias("r")).select("r.*").where(F.col("v").isNotNull())
     freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("v"))
-    top = (freq.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-           .select("column", F.col("v").alias("top"), F.col("n").alias("top_freq")))
-    prof = prof.join(top, on="column", how="left")
+    per_col = freq.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("v"))  # over distinct values, small per column
+    top = (freq.where(F.col("column").isin(list(discrete))).withColumn("_r", F.row_number().over(w))
+           .where(F.col("_r") == 1).select("column", F.col("v").alias("top"), F.col("n").alias("top_freq")))
+    prof = (prof.join(per_col.select("column", "distinct"), on="column", how="left")
+            .join(top, on="column", how="left"))
     if quantiles and num:
-        qs = None
-        for c in num:
-            q = exact_quantiles(df.select(F.col(f"`{c}`").cast("double").alias("x")), "x", [0.25, 0.5, 0.75])
-            q = q.groupBy().pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")).select(
-                F.lit(c).alias("column"), F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"),
-                F.col("`0.75`").alias("q75"))
-            qs = q if qs is None else qs.unionByName(q)
-        prof = prof.join(qs, on="column", how="left")
+        vals = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                      F.col(f"`{c}`").cast("double").alias("x")) for c in num]))
+                         .alias("r")).select("r.*")
+        q = exact_quantiles(vals, "x", [0.25, 0.5, 0.75], groups=["column"])
+        qw = q.groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")).select(
+            "column", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
+        prof = prof.join(qw, on="column", how="left")
     return prof
 
 

@@ -111,18 +111,46 @@ def quantile_groups(df: DataFrame, col: str, labels: Sequence[str], out: str | N
     """Equal-count groups by quantile edges (pandas ``qcut``): right-closed,
     lowest edge included, equal values never split, repeated edges an error.
     The q+1 exact edges are a small fitted parameter."""
-    q = len(labels)
-    probs = [i / q for i in range(q + 1)]
-    edges = sorted(exact_quantiles(df, col, probs).collect(), key=lambda r: r["p"])
-    e = [r["q"] for r in edges]
-    if len(set(e)) != len(e):
-        raise ValueError(f"quantile edges of {col} are not unique: {e}")
-    c = F.col(col)
-    expr = F.when(c.isNull(), F.lit(None).cast("string"))
-    for i, lab in enumerate(labels):
-        upper = c <= F.lit(e[i + 1])
-        expr = expr.when(upper & (c >= F.lit(e[0])), F.lit(lab))
-    return df.withColumn(out or f"{col}_group", expr)
+    return quantile_groups_many(df, {col: (labels, out or f"{col}_group")})
+
+
+def quantile_groups_many(df: DataFrame, specs: dict) -> DataFrame:
+    """Several ``qcut`` columns at once, ``{col: (labels, out_name)}``: the
+    edges of all columns come from one global ranking of (column, value)."""
+    cols = list(specs)
+    probs = sorted({i / len(specs[c][0]) for c in cols for i in range(len(specs[c][0]) + 1)})
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double")
+                                                  .alias("x")) for c in cols])).alias("r")).select("r.*")
+    got = exact_quantiles(long, "x", probs, groups=["column"]).collect()  # (columns x probs) rows
+    new = {}
+    for c in cols:
+        labels, out = specs[c]
+        q = len(labels)
+        table = {r["p"]: r["q"] for r in got if r["column"] == c}
+        e = [table[i / q] for i in range(q + 1)]
+        if len(set(e)) != len(e):
+            raise ValueError(f"quantile edges of {c} are not unique: {e}")
+        x = F.col(f"`{c}`")
+        expr = F.when(x.isNull(), F.lit(None).cast("string"))
+        for i, lab in enumerate(labels):
+            expr = expr.when((x <= F.lit(e[i + 1])) & (x >= F.lit(e[0])), F.lit(lab))
+        new[out] = expr
+    return df.withColumns(new)
+
+
+def group_impact_report(rows: DataFrame, groupings: Sequence[str], outcomes: Sequence[str]) -> DataFrame:
+    """Share of each outcome inside each group, for every (grouping, outcome)
+    pair, in one pass: rows are unpivoted to (grouping, group, outcome_kind,
+    outcome) and counted by one grouped aggregate; percentages come from a
+    window over that small table."""
+    cells = [F.struct(F.lit(g).alias("grouping"), F.col(f"`{g}`").cast("string").alias("group"),
+                      F.lit(o).alias("outcome_kind"), F.col(f"`{o}`").cast("int").alias("outcome"))
+             for g in groupings for o in outcomes]
+    long = rows.select(F.explode(F.array(*cells)).alias("r")).select("r.*").where(
+        F.col("group").isNotNull() & F.col("outcome").isNotNull())
+    g = long.groupBy("grouping", "group", "outcome_kind", "outcome").agg(_count().alias("n"))
+    w = Window.partitionBy("grouping", "group", "outcome_kind")
+    return g.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(w))
 
 
 def group_median(df: DataFrame, group: str, amount: str, name: str) -> DataFrame:

@@ -509,22 +509,15 @@ def impact_rows(spark, d, threshold: float = 0.35) -> DataFrame:
                                       t.app.select("SK_ID_CURR", "CODE_GENDER", "AMT_INCOME_TOTAL", "DAYS_BIRTH"))
     year = enriched.where(fc.recency_filter("DAYS_DECISION", 365)).withColumn(
         "Prediction", ev.apply_threshold("proba_1", threshold))
-    year = rp.quantile_groups(year, "AMT_INCOME_TOTAL", ["Low", "Medium", "High"], "Income Group")
-    return rp.quantile_groups(year, "DAYS_BIRTH", ["Lower Quantile", "Middle Quantile", "Upper Quantile"],
-                              "Age Group")
+    return rp.quantile_groups_many(year, {
+        "AMT_INCOME_TOTAL": (["Low", "Medium", "High"], "Income Group"),
+        "DAYS_BIRTH": (["Lower Quantile", "Middle Quantile", "Upper Quantile"], "Age Group")})
 
 
 @register("group_impact_report")
 def q_group_impact(spark, d):
-    rows = impact_rows(spark, d)
-    out = None
-    for grouping in ["CODE_GENDER", "Income Group", "Age Group"]:
-        for outcome in ["Prediction", "NAME_CONTRACT_STATUS_Refused"]:
-            part = rp.within_group_percent(rows, grouping, outcome).select(
-                F.lit(grouping).alias("grouping"), F.col(f"`{grouping}`").cast("string").alias("group"),
-                F.lit(outcome).alias("outcome_kind"), F.col(outcome).cast("int").alias("outcome"), "n", "percent")
-            out = part if out is None else out.unionByName(part)
-    return out
+    return rp.group_impact_report(impact_rows(spark, d), ["CODE_GENDER", "Income Group", "Age Group"],
+                                  ["Prediction", "NAME_CONTRACT_STATUS_Refused"])
 
 
 # ------------------------------------------------------------------ §G chi-square

@@ -385,6 +385,7 @@ SQL["recency_filter"] = with_views(["v_prev"]) + \
 SQL["rank_top_categories"] = with_views(["v_prev"]) + """
 SELECT NAME_GOODS_CATEGORY, count(*) AS count FROM v_prev WHERE NAME_GOODS_CATEGORY IS NOT NULL
 GROUP BY 1 ORDER BY count DESC, NAME_GOODS_CATEGORY LIMIT 5"""
+SQL["write_report_csv"] = SQL["rank_top_categories"]
 SQL["entity_history"] = with_views(["v_cash"]) + """, sizes AS (
   SELECT SK_ID_CURR, count(*) AS n FROM v_cash WHERE SK_ID_CURR IS NOT NULL GROUP BY 1)
 SELECT * FROM v_cash WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM sizes WHERE n = (SELECT max(n) FROM sizes))

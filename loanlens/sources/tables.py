@@ -75,4 +75,4 @@ def write_feature_table(df: DataFrame, path: str, key: str | None = "SK_ID_CURR"
 def write_report_csv(df: DataFrame, path: str) -> DataFrame:
     """Small report tables (comparisons, rankings) as one headed CSV file."""
     write_csv(df.coalesce(1), path)
-    return df.sparkSession.read.option("header", True).option("inferSchema", True).csv(path)
+    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
