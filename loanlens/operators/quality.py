@@ -156,28 +156,26 @@ def target_rate_by_column(df: DataFrame, label: str, cols: Sequence[str], bins:
 
 def categorical_association(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Uncertainty coefficient U(a|b) = (H(a) - H(a|b)) / H(a) for every ordered
-    pair of text columns, NULL being a category. Joint counts come from one
-    grouped count per pair (a table of distinct value pairs, small); both
-    entropies then come from one aggregate over it."""
-    out = None
-    for a in cols:
-        for b in cols:
-            if a == b:
-                continue
-            x = F.coalesce(F.col(f"`{a}`").cast("string"), F.lit("<null>"))
-            y = F.coalesce(F.col(f"`{b}`").cast("string"), F.lit("<null>"))
-            joint = df.select(x.alias("x"), y.alias("y")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-            j = joint.select("n", F.sum("n").over(Window.partitionBy()).alias("total"),
-                             F.sum("n").over(Window.partitionBy("x")).alias("nx"),
-                             F.sum("n").over(Window.partitionBy("y")).alias("ny"))
-            p = F.col("n") / F.col("total")
-            ent = j.agg((-F.sum(p * F.log(F.col("nx") / F.col("total")))).alias("hx"),
-                        (-F.sum(p * F.log(F.col("n") / F.col("ny")))).alias("hxy"))
-            pair = ent.select(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                              F.when(F.col("hx") > 0, (F.col("hx") - F.col("hxy")) / F.col("hx"))
-                              .otherwise(F.lit(1.0)).alias("uncertainty_coefficient"))
-            out = pair if out is None else out.unionByName(pair)
-    return out
+    pair of text columns, NULL being a category. One scan: rows are unpivoted
+    to (pair, x, y) for both directions of every pair and counted by one
+    grouped aggregate (a table of distinct value pairs); entropies come from
+    windows over that small table."""
+    def txt(c):
+        return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<null>"))
+    pairs = [(a, b) for a in cols for b in cols if a != b]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                                                  txt(a).alias("x"), txt(b).alias("y")) for a, b in pairs]))
+                     .alias("r")).select("r.*")
+    joint = long.groupBy("column_a", "column_b", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    pair = ["column_a", "column_b"]
+    j = joint.select(*pair, "n", F.sum("n").over(Window.partitionBy(*pair)).alias("total"),
+                     F.sum("n").over(Window.partitionBy(*pair, "x")).alias("nx"),
+                     F.sum("n").over(Window.partitionBy(*pair, "y")).alias("ny"))
+    p = F.col("n") / F.col("total")
+    ent = j.groupBy(*pair).agg((-F.sum(p * F.log(F.col("nx") / F.col("total")))).alias("hx"),
+                               (-F.sum(p * F.log(F.col("n") / F.col("ny")))).alias("hxy"))
+    return ent.select(*pair, F.when(F.col("hx") > 0, (F.col("hx") - F.col("hxy")) / F.col("hx"))
+                      .otherwise(F.lit(1.0)).alias("uncertainty_coefficient"))
 
 
 def numeric_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -22,8 +22,13 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def _sorted_checkpoint(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Range-partitioned sort + position id, written to the reliable checkpoint.
+    A random last sort key lets the range partitioner split a run of equal
+    keys (one value holding a third of the rows) over many partitions; ties
+    have no defined order anyway, and the checkpoint fixes the one drawn."""
     ensure_checkpoint_dir(df.sparkSession)
-    ranked = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    ranked = (df.withColumn("_tie", F.rand(7)).orderBy(*order, F.col("_tie"))
+              .withColumn("_mid", F.monotonically_increasing_id()).drop("_tie"))
     return ranked.checkpoint(eager=True)
 
 
@@ -76,9 +81,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                .withColumn("_lo", F.col("_start") + F.floor("_pos"))
                .withColumn("_hi", F.col("_start") + F.ceil("_pos"))
                .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
-    vals = ranked.select(F.col("_rank"), F.col("_v"))
-    lo = vals.withColumnsRenamed({"_rank": "_lo", "_v": "_vlo"})
-    hi = vals.withColumnsRenamed({"_rank": "_hi", "_v": "_vhi"})
-    out = targets.join(lo, on="_lo").join(hi, on="_hi")
+    # one equi-join on the rank fetches both order statistics of every target
+    need = targets.select(*groups, "p", "_frac", F.explode(F.array(
+        F.struct(F.lit(0).alias("_hi_side"), F.col("_lo").alias("_rank")),
+        F.struct(F.lit(1).alias("_hi_side"), F.col("_hi").alias("_rank")))).alias("t")).select(
+        *groups, "p", "_frac", "t.*")
+    got = need.join(ranked.select("_rank", "_v"), on="_rank")
+    out = got.groupBy(*groups, "p", "_frac").agg(
+        F.max(F.when(F.col("_hi_side") == 0, F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_hi_side") == 1, F.col("_v"))).alias("_vhi"))
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return out.select(*groups, "p", q.cast("double").alias("q"))

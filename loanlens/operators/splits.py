@@ -1,46 +1,86 @@
 """Splits and folds.
 
 ``holdout_split`` (in ``relational``) tags rows by a key hash with no
-shuffle. The stratified variants are exact: rows are ranked inside each label
-by a key hash using global ranks (range partitions + prefix offsets), so the
-split sizes per label are exact without gathering a label into one task.
+shuffle. The stratified variants are exact per label: only the narrow
+(label, hash, key) projection is ranked globally (range partitions + prefix
+offsets); the ranks give, per label, the (hash, key) value at each cut
+position - a few rows, one per label and cut - and every wide row is then
+assigned by comparing its own (hash, key) with its label's cuts, map-only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import exact_quantiles, with_global_rank
 from .relational import hash_unit
 
 
-def _rank_in_label(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    ordered = df.withColumn("_u", hash_unit(key, seed))
-    ranked = with_global_rank(ordered, [F.col(label).asc_nulls_first(), F.col("_u"), F.col(key)])
-    starts = ranked.groupBy(label).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n_label"))
-    return ranked.join(F.broadcast(starts), on=label, how="left") \
-        .withColumn("_pos", F.col("_rank") - F.col("_start"))
+def _label_cuts(df: DataFrame, label: str, key: str, seed: int,
+                positions: Callable[[int], list[int]]) -> dict:
+    """``{label value: [(u, key) at each cut position]}``; positions depend on
+    the label's row count and index its rows in (hash, key) order."""
+    narrow = df.select(label, key, hash_unit(key, seed).alias("_u"))
+    ranked = with_global_rank(narrow, [F.col(label).asc_nulls_first(), F.col("_u"), F.col(key)])
+    bounds = ranked.groupBy(label).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n")).collect()
+    wanted = [(r[label], r["_start"] + p, i) for r in bounds for i, p in enumerate(positions(r["_n"]))]
+    cuts = {r[label]: [None] * len(positions(r["_n"])) for r in bounds}
+    if wanted:
+        spark = df.sparkSession
+        w = spark.createDataFrame([(p, i) for _, p, i in wanted], "_rank long, _i int")
+        got = ranked.join(F.broadcast(w), on="_rank").collect()   # one row per label and cut
+        for r in got:
+            cuts[r[label]][r["_i"]] = (r["_u"], r[key])
+    return cuts
+
+
+def _before(cut: tuple, u: Column, key: str) -> Column:
+    """(u, key) strictly before the cut tuple in (hash, key) order."""
+    cu, ck = cut
+    return (u < F.lit(cu)) | ((u == F.lit(cu)) & (F.col(key) < F.lit(ck)))
+
+
+def _per_label(label: str, cases: dict, default: Column) -> Column:
+    expr = None
+    for value, c in cases.items():
+        cond = F.col(label).isNull() if value is None else F.col(label) == F.lit(value)
+        expr = F.when(cond, c) if expr is None else expr.when(cond, c)
+    return default if expr is None else expr.otherwise(default)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
     """Per label, the ``round(test_size * n_label)`` rows with the smallest key
-    hash go to ``test``; the rest to ``train``. Label shares are kept. The
-    per-label table broadcast back has one row per label value."""
-    r = _rank_in_label(df, label, key, seed)
-    n_test = F.floor(F.col("_n_label") * F.lit(float(test_size)) + F.lit(0.5))
-    return (r.withColumn(split_col, F.when(F.col("_pos") < n_test, F.lit("test")).otherwise(F.lit("train")))
-            .drop("_u", "_rank", "_start", "_n_label", "_pos"))
+    hash go to ``test``, the rest to ``train``; label shares are kept."""
+    def positions(n):
+        k = math.floor(n * test_size + 0.5)
+        return [k] if k < n else []
+    cuts = _label_cuts(df, label, key, seed, positions)
+    u = hash_unit(key, seed)
+    cases = {v: (F.lit(True) if not c else _before(c[0], u, key)) for v, c in cuts.items()}
+    is_test = _per_label(label, cases, F.lit(False))
+    return df.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 0,
                      fold_col: str = "fold") -> DataFrame:
-    """Fold number = position within the label (by key hash) modulo k, so every
-    fold holds the same share of each label (sizes differ by at most one)."""
-    r = _rank_in_label(df, label, key, seed)
-    return (r.withColumn(fold_col, (F.col("_pos") % k).cast("int"))
-            .drop("_u", "_rank", "_start", "_n_label", "_pos"))
+    """Fold = floor(position * k / n_label) in hash order: every fold holds the
+    same share of each label (sizes differ by at most one)."""
+    def positions(n):
+        return [math.ceil(i * n / k) for i in range(1, k) if math.ceil(i * n / k) < n]
+    cuts = _label_cuts(df, label, key, seed, positions)
+    u = hash_unit(key, seed)
+    cases = {}
+    for v, cs in cuts.items():
+        fold = F.lit(0)
+        for c in cs:
+            fold = fold + F.when(_before(c, u, key), 0).otherwise(1)
+        cases[v] = fold
+    return df.withColumn(fold_col, _per_label(label, cases, F.lit(0)).cast("int"))
 
 
 def recency_split(df: DataFrame, day_col: str, test_size: float = 0.2, split_col: str = "split") -> DataFrame:

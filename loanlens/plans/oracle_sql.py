@@ -581,7 +581,7 @@ SQL["stratified_split"] = with_views(["v_app"], _strat_sql(42)) + """
 SELECT SK_ID_CURR, TARGET, CASE WHEN pos < floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS split
 FROM r"""
 SQL["stratified_folds"] = with_views(["v_app"], _strat_sql(0)) + \
-    "SELECT SK_ID_CURR, TARGET, CAST(pos % 5 AS INTEGER) AS fold FROM r"
+    "SELECT SK_ID_CURR, TARGET, CAST((pos * 5) // n AS INTEGER) AS fold FROM r"
 SQL["recency_split"] = with_views(["v_prev"]) + """
 SELECT SK_ID_PREV, DAYS_DECISION,
        CASE WHEN DAYS_DECISION > (SELECT quantile_cont(DAYS_DECISION, 0.8) FROM v_prev) THEN 'test' ELSE 'train' END
@@ -754,7 +754,7 @@ SQL["missing_value_fill"] = (with_views(["v_app", "v_cash", "v_inst", "v_bur", "
 # ------------------------------------------------------------------ §J naive baseline
 
 SQL["naive_baseline_log_loss"] = with_views(["v_app"], _strat_sql(0)) + """, f AS (
-  SELECT CAST(pos % 5 AS INTEGER) AS fold, count(*) AS n, sum(CAST(TARGET AS DOUBLE)) AS s FROM r GROUP BY 1
+  SELECT CAST((pos * 5) // n AS INTEGER) AS fold, count(*) AS n, sum(CAST(TARGET AS DOUBLE)) AS s FROM r GROUP BY 1
 ), t AS (SELECT sum(n) AS tot_n, sum(s) AS tot_s FROM f),
 m AS (SELECT fold, n, s, (tot_s - s) / CAST(tot_n - n AS DOUBLE) AS train_mean FROM f CROSS JOIN t),
 c AS (SELECT *, least(greatest(train_mean, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS p FROM m)

@@ -60,17 +60,19 @@ def score_stream(spark: SparkSession, source_dir: str, model: PipelineModel, sin
                  threshold: float = PROFITABLE_THRESHOLD, key: str = "SK_ID_PREV", fmt: str = "parquet",
                  available_now: bool = True, quarantine_dir: str | None = None):
     """Stream request files from ``source_dir`` (text fields), validate, score
-    and append ``(key, refused, probability)`` to ``sink_dir``. The checkpoint
-    makes restarts resume where they stopped; the file sink commits each
-    micro-batch once. Returns the started query."""
+    and write ``(key, refused, probability)`` under ``sink_dir/batch_id=N``. The
+    checkpoint makes restarts resume where they stopped, and a replayed batch
+    overwrites its own folder, so each record is scored into the sink once.
+    Returns the started query."""
     raw = spark.readStream.schema(text_request_schema()).format(fmt).load(source_dir)
 
     def handle(batch: DataFrame, epoch: int) -> None:
+        # each micro-batch owns one folder, overwritten on a retry: a replayed
+        # batch after a failure replaces its own output instead of adding to it
         good, bad = validate_records(batch)
-        score_batch(good, model, threshold, key).withColumn("batch_id", F.lit(epoch)) \
-            .write.mode("append").parquet(sink_dir)
+        score_batch(good, model, threshold, key).write.mode("overwrite").parquet(f"{sink_dir}/batch_id={epoch}")
         if quarantine_dir is not None:
-            bad.withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(quarantine_dir)
+            bad.write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={epoch}")
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
