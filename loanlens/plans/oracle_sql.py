@@ -15,7 +15,7 @@ from ..sources.standins import cte
 SQL: dict[str, str] = {}
 
 _SQL_STAT = {"mean": "avg({})", "std": "stddev_samp({})", "max": "max({})", "min": "min({})",
-             "count": "count({})", "nunique": "count(DISTINCT {})", "median": "median({})", "sum": "sum({})"}
+             "count": "count({})", "nunique": "count(DISTINCT {})", "nunique_cat": "count(DISTINCT {})", "median": "median({})", "sum": "sum({})"}
 
 
 def with_views(views, *extra: str) -> str:
@@ -24,7 +24,7 @@ def with_views(views, *extra: str) -> str:
 
 
 def spec_sql(prefix: str, spec) -> list[str]:
-    return [f'{_SQL_STAT[s].format(c)} AS "{(prefix + "_" + c + "_" + s).replace(" ", "_")}"'
+    return [f'{_SQL_STAT[s].format(c)} AS "{(prefix + "_" + c + "_" + s.replace("_cat", "")).replace(" ", "_")}"'
             for c, stats in spec for s in stats]
 
 
