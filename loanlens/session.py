@@ -20,8 +20,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Let AQE turn a sort-merge join into a broadcast join only from measured
-    # runtime sizes of a finished shuffle stage (a proven size bound).
+    # No broadcast from planning-time size estimates; AQE turns a sort-merge
+    # join into a broadcast join only from the measured size of a finished
+    # shuffle stage (a proven size bound).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128MB",

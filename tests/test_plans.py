@@ -9,8 +9,10 @@ def _formatted(df) -> str:
 
 
 def _final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()       # let AQE finish its plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()                                            # run this plan so AQE finalises it
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan
 
 
 def test_scans_read_only_needed_columns_and_push_filters(spark):
@@ -30,3 +32,10 @@ def test_aggregates_are_partial_then_final(spark):
 
 def test_no_single_partition_exchange_in_flagship(spark):
     assert "SinglePartition" not in _final_plan(entry.entry(spark))
+
+
+def test_joins_broadcast_only_from_runtime_sizes(spark):
+    # no broadcast is planned from estimates; the final plan may broadcast the
+    # small measured aggregates (AQE), never a scan-side table planned up front
+    initial = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in initial
