@@ -22,6 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NULL_KEY = "\u0000null"  # map key standing for a missing category
+# Fitted category tables are embedded in the plan (literal maps / columns), so
+# their size is checked; a column past this many categories is refused.
+MAX_FITTED_CATEGORIES = 100_000
+
+
+def _check_size(n: int, what: str) -> None:
+    if n > MAX_FITTED_CATEGORIES:
+        raise ValueError(f"{what}: {n} categories exceed the fitted-table bound {MAX_FITTED_CATEGORIES}")
 
 
 def _key(c):
@@ -106,7 +114,9 @@ class NamedOneHotEncoder(Estimator, HasInputCols, DefaultParamsReadable, Default
         cols = self.getInputCols()
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string")
                                                       .alias("v")) for c in cols])).alias("r")).select("r.*")
-        counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")).collect()  # distinct categories
+        grouped = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = grouped.limit(MAX_FITTED_CATEGORIES + 1).collect()  # distinct categories, bounded fetch
+        _check_size(len(counts), "one-hot vocabulary")
         cap = self.getOrDefault(self.maxCategories)
         vocab = {}
         for c in cols:
@@ -184,7 +194,8 @@ class SmoothedTargetEncoder(Estimator, HasInputCols, HasLabelCol, DefaultParamsR
         weight = 1 / (1 + F.exp(-(F.col("n") - F.lit(msl)) / F.lit(sm)))
         enc = F.when(F.col("n") == 1, F.lit(prior)).otherwise(
             F.lit(prior) * (1 - weight) + F.col("m") * weight)
-        rows = stats.select("column", "v", enc.alias("e")).collect()
+        rows = stats.select("column", "v", enc.alias("e")).limit(MAX_FITTED_CATEGORIES + 1).collect()
+        _check_size(len(rows), "target-encoder table")
         mapping = {c: {} for c in cols}
         for r in rows:
             mapping[r["column"]][r["v"]] = r["e"]

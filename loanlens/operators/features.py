@@ -303,16 +303,21 @@ def prev_application_features(prev: DataFrame, prefix: str = "prev") -> DataFram
 
 # ---------------------------------------------------------------- generic category counts
 
+MAX_VOCABULARY = 10_000  # one output column per category: the learned vocabulary is size-checked
+
+
 def learn_vocabulary(df: DataFrame, column: str, max_categories: int | None = None) -> list:
     """Categories to keep. With a cap of N, keep the N-1 most frequent; ties
     keep the later category in sort order, missing sorting last. The result is
     one row per distinct category, a bounded fitted parameter."""
     counts = df.groupBy(column).count()
     if max_categories is None:
-        rows = counts.orderBy(F.col(column).asc_nulls_last()).collect()
+        rows = counts.orderBy(F.col(column).asc_nulls_last()).limit(MAX_VOCABULARY + 1).collect()
+        if len(rows) > MAX_VOCABULARY:
+            raise ValueError(f"{column}: more than {MAX_VOCABULARY} categories; give a cap or a vocabulary")
         return [r[0] for r in rows]
     ranked = counts.orderBy(F.desc("count"), F.col(column).desc_nulls_first())
-    rows = ranked.collect()
+    rows = ranked.limit(max_categories + 1).collect()  # only the kept ones and one more are needed
     if len(rows) <= max_categories:
         return [r[0] for r in rows]
     return [r[0] for r in rows[: max_categories - 1]]

@@ -181,8 +181,10 @@ def filter_groups_by_median(df: DataFrame, group: str, amount: str, value: float
 def crosstab_counts(df: DataFrame, x: str, y: str, y_values: Sequence | None = None) -> DataFrame:
     """Group x outcome count table; every outcome column present, 0 when empty."""
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if y_values is None:
-        y_values = [r[0] for r in base.select(y).distinct().orderBy(y).collect()]
+    if y_values is None:  # outcome values become columns: fetch at most 1001 and refuse more
+        y_values = [r[0] for r in base.select(y).distinct().orderBy(y).limit(1001).collect()]
+        if len(y_values) > 1000:
+            raise ValueError(f"{y}: too many outcome values for a crosstab")
     wide = base.groupBy(x).pivot(y, list(y_values)).agg(_count())
     return wide.fillna(0, subset=[str(v) for v in y_values])
 
