@@ -26,6 +26,8 @@ BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints (global ranks) are removed once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.files.maxPartitionBytes": "128MB",
 }
 
