@@ -194,6 +194,22 @@ def q_write_feature(spark, d):
     return io.write_feature_table(fe.bureau_features_20(T(spark, d).bureau), io.work_dir(spark, "feat"))
 
 
+@register("write_bucketed_tables")
+def q_write_bucketed(spark, d):
+    """The 20-feature mart rebuilt from saved, bucketed aggregates (the
+    reference saves feature tables in one step and joins them in the next)."""
+    t = T(spark, d)
+    tag = io.work_dir(spark, "t").rsplit("-", 1)[-1]
+    names = []
+    for name, agg in [("cash", fe.cash_features_20(t.cash)), ("inst", fe.installment_features_20(t.inst)),
+                      ("bur", fe.bureau_features_20(t.bureau)), ("prev", fe.prev_features_20(t.prev))]:
+        table = f"loanlens_{name}_{tag}"
+        io.write_bucketed_table(agg, table, io.work_dir(spark, f"{name}-bucketed"))
+        names.append(table)
+    from ..roles import APP_COLS_TARGET_20
+    return marts.feature_mart_from_saved(spark, t.app.select("SK_ID_CURR", *APP_COLS_TARGET_20), names)
+
+
 @register("write_report_csv")
 def q_write_report(spark, d):
     top = rel.rank_top_categories(T(spark, d).prev, "NAME_GOODS_CATEGORY", 5)

@@ -48,3 +48,14 @@ def feature_mart_full(app: DataFrame, bureau: DataFrame, balance: DataFrame, cas
     return join_feature_tables(app, [
         fe.bureau_and_latest_features(merged), fe.cash_features(cash),
         fe.installment_features(inst), fe.card_features(card), fe.prev_application_features(prev)])
+
+
+def feature_mart_from_saved(spark, app: DataFrame, saved: Iterable[str], key: str = KEY,
+                            buckets: int | None = None) -> DataFrame:
+    """The mart from saved, bucketed feature tables (``write_bucketed_table``):
+    the application is bucketed the same way once, and every left join then
+    reads matching buckets with no exchange."""
+    from ..sources.tables import work_dir, write_bucketed_table
+    base = write_bucketed_table(app, "loanlens_app_" + work_dir(spark, "b").rsplit("-", 1)[-1],
+                                work_dir(spark, "app-bucketed"), key, buckets)
+    return join_feature_tables(base, [spark.table(t) for t in saved], key)

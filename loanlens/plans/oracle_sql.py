@@ -240,6 +240,7 @@ SQL["csv_to_parquet"] = "SELECT * FROM orders"
 SQL["holdout_split"] = with_views(["v_app"], APP_SPLIT) + "SELECT SK_ID_CURR, TARGET, split FROM app_split"
 SQL["write_split_tables"] = with_views(["v_app"], APP_SPLIT) + "SELECT * FROM app_split"
 SQL["write_feature_table"] = SQL["bureau_features_20"]
+SQL["write_bucketed_tables"] = SQL["feature_mart_20"]
 SQL["sample_fraction"] = with_views(["v_app"]) + f"SELECT * FROM v_app WHERE {hash_unit_sql('SK_ID_CURR', 42)} < 0.2"
 SQL["sample_n"] = with_views(["v_app"]) + (f"SELECT * FROM v_app ORDER BY {hash_unit_sql('SK_ID_CURR', 42)}, "
                                            "SK_ID_CURR LIMIT 100")

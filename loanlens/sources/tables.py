@@ -72,6 +72,19 @@ def write_feature_table(df: DataFrame, path: str, key: str | None = "SK_ID_CURR"
     return df.sparkSession.read.parquet(path)
 
 
+def write_bucketed_table(df: DataFrame, name: str, path: str, key: str = "SK_ID_CURR",
+                         buckets: int | None = None) -> DataFrame:
+    """Save a feature table bucketed and sorted by ``key`` (files at ``path``,
+    table ``name`` in the session catalog). Tables saved with the same key and
+    bucket count join on the key without any exchange, so marts built from
+    saved aggregates re-read them without a shuffle."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key).option("path", path).format("parquet")
+     .saveAsTable(name))
+    return spark.table(name)
+
+
 def write_report_csv(df: DataFrame, path: str) -> DataFrame:
     """Small report tables (comparisons, rankings) as one headed CSV file."""
     write_csv(df.coalesce(1), path)

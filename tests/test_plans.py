@@ -39,3 +39,17 @@ def test_joins_broadcast_only_from_runtime_sizes(spark):
     # small measured aggregates (AQE), never a scan-side table planned up front
     initial = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in initial
+
+
+def test_bucketed_feature_tables_join_without_exchange(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from loanlens.plans.marts import join_feature_tables
+    from loanlens.sources.tables import write_bucketed_table
+    a = spark.range(1000).select(F.col("id").alias("SK_ID_CURR"), (F.col("id") % 7).alias("x"))
+    b = spark.range(0, 1000, 2).select(F.col("id").alias("SK_ID_CURR"), (F.col("id") * 2).alias("y"))
+    ta = write_bucketed_table(a, "t_bucket_a", str(tmp_path / "a"), buckets=4)
+    tb = write_bucketed_table(b, "t_bucket_b", str(tmp_path / "b"), buckets=4)
+    joined = join_feature_tables(ta, [tb])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert joined.count() == 1000 and joined.where("y IS NOT NULL").count() == 500
