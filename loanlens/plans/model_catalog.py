@@ -36,9 +36,13 @@ def mart20(spark, d) -> DataFrame:
     return marts.feature_mart_20(t.app, t.cash, t.inst, t.bureau, t.prev)
 
 
-def target_pipeline() -> Pipeline:
-    return tr.column_role_pipeline(onehot_cols=APP_ONEHOT, target_cols=APP_TARGET_ENC, label_col=LABEL_T,
-                                   exclude_cols=["SK_ID_CURR"], mode_impute_cols=APP_ONEHOT,
+def target_pipeline(use_gender: bool = False) -> Pipeline:
+    """Preprocessing of the payment-difficulty model. Gender stays in the mart
+    (the group-impact report needs it) but is a model feature only on request."""
+    onehot = APP_ONEHOT if use_gender else []
+    exclude = ["SK_ID_CURR"] + ([] if use_gender else APP_ONEHOT)
+    return tr.column_role_pipeline(onehot_cols=onehot, target_cols=APP_TARGET_ENC, label_col=LABEL_T,
+                                   exclude_cols=exclude, mode_impute_cols=onehot,
                                    constant_impute_cols=APP_TARGET_ENC)
 
 

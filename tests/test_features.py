@@ -107,3 +107,10 @@ def test_std_single_row_null(spark):
     df = spark.createDataFrame([(1, 1, 0, "2")], "SK_ID_CURR long, SK_ID_BUREAU long, MONTHS_BALANCE int, STATUS string")
     r = fe.balance_status_features(df.drop("SK_ID_CURR")).collect()[0]
     assert r.STATUS_std is None and not (isinstance(r.STATUS_mean, float) and math.isnan(r.STATUS_mean))
+
+
+def test_sign_flip_keeps_sentinel(spark):
+    from loanlens.functions.columns import flip_sign_columns
+    df = spark.createDataFrame([(1, 365243), (2, -100)], "k long, DAYS_EMPLOYED long")
+    out = {r.k: r.DAYS_EMPLOYED for r in flip_sign_columns(df, ["DAYS_EMPLOYED"]).collect()}
+    assert out == {1: -365243, 2: 100}

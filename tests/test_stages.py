@@ -89,3 +89,22 @@ def test_naive_baseline_closed_form(spark):
     m0 = 0.75  # fold 0 predicts fold 1's mean
     assert out[0]["train_mean"] == m0
     assert out[0]["log_loss"] == pytest.approx(-(2 * math.log(m0) + 2 * math.log(1 - m0)) / 4)
+
+
+def test_gbt_beats_naive_baseline_on_planted_signal(spark):
+    import numpy as np
+    from loanlens.operators import evaluate as ev
+    from loanlens.operators.splits import stratified_split
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=2000)
+    y = (rng.random(2000) < 1 / (1 + np.exp(-3 * x))).astype(int)
+    df = spark.createDataFrame([(i, float(a), int(b)) for i, (a, b) in enumerate(zip(x, y))], "k long, x double, y int")
+    parts = stratified_split(df, "y", "k", 0.25)
+    train, valid = parts.where("split = 'train'"), parts.where("split = 'test'")
+    pipe = Pipeline(stages=list(tr.column_role_pipeline(label_col="y", exclude_cols=["k"]).getStages())
+                    + [tr.boosted_tree_classifier(label="y", max_iter=20, max_depth=2)])
+    scored = tr.positive_probability(pipe.fit(train.drop("split")).transform(valid.drop("split")))
+    model_ll = ev.log_loss(scored.select(F.col("y").alias("label"), "score")).first()[0]
+    p = train.agg(F.avg("y")).first()[0]
+    naive_ll = ev.log_loss(valid.select(F.col("y").alias("label"), F.lit(p).alias("score"))).first()[0]
+    assert model_ll < naive_ll - 0.05
