@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as TY
+
+from ..functions import columns as fc
+from ..operators import evaluate as ev
 from ..operators import features as fe
+from ..operators import quality as qa
+from ..operators import relational as rel
+from ..operators import reports as rp
+from ..operators import splits as sp
+from ..operators import stats as st
+from ..roles import REFUSED_MODEL_COLS_TO_DROP
+from ..sources import tables as io
 from ..sources.standins import LoanTables
 from . import marts
 
@@ -146,13 +157,6 @@ def q_one_hot_infrequent(spark, d):
 
 # ------------------------------------------------------------------ §A sources, sinks, sampling
 
-from pyspark.sql import types as TY  # noqa: E402
-
-from ..functions import columns as fc  # noqa: E402
-from ..operators import quality as qa  # noqa: E402
-from ..operators import relational as rel  # noqa: E402
-from ..roles import REFUSED_MODEL_COLS_TO_DROP  # noqa: E402
-from ..sources import tables as io  # noqa: E402
 
 ORDERS_SCHEMA = TY.StructType([
     TY.StructField("o_orderkey", TY.LongType()), TY.StructField("o_custkey", TY.LongType()),
@@ -441,11 +445,6 @@ def q_compare_importances(spark, d):
 
 # ------------------------------------------------------------------ §E group tables, §F reports
 
-from ..operators import evaluate as ev  # noqa: E402
-from ..operators import reports as rp  # noqa: E402
-from ..operators import splits as sp  # noqa: E402
-from ..operators import stats as st  # noqa: E402
-
 
 def _purpose_population(t):
     prev = _refusal(t)

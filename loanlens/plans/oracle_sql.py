@@ -9,7 +9,8 @@ pandas behaviour (full outer merges, null handling, fan-out on repeated keys).
 from __future__ import annotations
 
 from ..operators import features as fe
-from ..roles import APP_COLS_TARGET_20
+from ..roles import APP_COLS_TARGET_20, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS
+from ..sources import standins as _S
 from ..sources.standins import cte
 
 SQL: dict[str, str] = {}
@@ -221,8 +222,6 @@ GROUP BY k.SK_ID_CURR, bk.category"""
 
 # ------------------------------------------------------------------ §A sources, sinks, sampling
 
-from ..sources import standins as _S  # noqa: E402
-
 
 def hash_unit_sql(key: str, seed: int) -> str:
     return (f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 8)) AS BIGINT)"
@@ -678,7 +677,6 @@ FROM v_score"""
 
 # ------------------------------------------------------------------ §I fitted preprocessing
 
-from ..roles import REFUSED_TARGET_COLUMNS, REQUEST_FIELDS  # noqa: E402
 
 PREV_SPLIT = f"""prev_split AS (
   SELECT *, CASE WHEN pos < floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS split FROM (
