@@ -54,6 +54,30 @@ def split_grandchildren(grandchild: DataFrame, child: DataFrame, parent_keys: Da
     return grandchild.join(kids.select(child_key).distinct(), on=child_key, how="left_semi")
 
 
+def propagate_split(child: DataFrame, parent_split: DataFrame, key: str, split_col: str = "split") -> DataFrame:
+    """Child rows take the split of their parent (inner join on the parent key,
+    so rows without a parent drop out, like the reference's ``isin`` filter).
+    The split is a function of the parent key; one row per key is kept with an
+    aggregate partitioned on the key, which the join then reuses."""
+    parents = parent_split.groupBy(key).agg(F.max(split_col).alias(split_col))
+    return child.join(parents, on=key, how="inner")
+
+
+def split_family(app: DataFrame, bureau: DataFrame, balance: DataFrame, prev: DataFrame, cash: DataFrame,
+                 inst: DataFrame, card: DataFrame, test_size: float = 0.05, seed: int = 42) -> dict:
+    """Train/test copies of all seven tables: the application by key hash,
+    bureau and previous applications through the client, bureau balance
+    through the bureau loan, the three monthly tables through the previous
+    application (two hops, as the reference derives them)."""
+    a = holdout_split(app, "SK_ID_CURR", test_size, seed)
+    b = propagate_split(bureau, a, "SK_ID_CURR")
+    p = propagate_split(prev, a, "SK_ID_CURR")
+    return {"application": a, "bureau": b, "bureau_balance": propagate_split(balance, b, "SK_ID_BUREAU"),
+            "previous_application": p, "pos_cash_balance": propagate_split(cash, p, "SK_ID_PREV"),
+            "installments_payments": propagate_split(inst, p, "SK_ID_PREV"),
+            "credit_card_balance": propagate_split(card, p, "SK_ID_PREV")}
+
+
 def rank_top_categories(df: DataFrame, col: str, n: int = 10) -> DataFrame:
     """``value_counts().head(n)``: the n most frequent values (ties by value)."""
     return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))

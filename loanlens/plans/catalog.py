@@ -188,9 +188,17 @@ def q_holdout(spark, d):
 
 @register("write_split_tables")
 def q_write_split(spark, d):
-    app = _app_split(spark, d)
-    paths = io.write_split_tables({"app": app}, io.work_dir(spark, "split"))
-    return spark.read.parquet(paths["app"])
+    """Train/test copies of the seven tables, written partitioned by split and
+    read back: rows per table and split."""
+    t = T(spark, d)
+    family = rel.split_family(t.app, t.bureau, t.balance, t.prev, t.cash, t.inst, t.card)
+    paths = io.write_split_tables(family, io.work_dir(spark, "split"))
+    out = None
+    for name, path in paths.items():
+        part = spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), "split", "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("write_feature_table")

@@ -145,11 +145,24 @@ def q_naive(spark, d):
     return tr.naive_baseline_log_loss(folds, LABEL_T)
 
 
+_FITS: dict = {}
+
+
+def _memo(key, build):
+    """Fits are reused within one session for the same data folder: several
+    registered queries report on the same fitted model."""
+    if key not in _FITS:
+        _FITS[key] = build()
+    return _FITS[key]
+
+
 def _target_fit(spark, d, max_iter=60, patience=15):
-    pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
-    tr_, va = tr_.cache(), va.cache()
-    res = tr.train_with_early_stopping(tr_, va, _gbt(LABEL_T, max_iter), patience)
-    return pm, tr_, va, res
+    def build():
+        pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
+        tr_, va = tr_.cache(), va.cache()
+        res = tr.train_with_early_stopping(tr_, va, _gbt(LABEL_T, max_iter), patience)
+        return pm, tr_, va, res
+    return _memo(("target", id(spark._jsparkSession), d, max_iter, patience), build)
 
 
 @register("boosted_tree_classifier")
@@ -207,8 +220,10 @@ def q_leaderboard(spark, d):
 
 
 def _refusal_model(spark, d, max_iter=60) -> PipelineModel:
-    train, _ = _prev_split(spark, d)
-    return Pipeline(stages=list(refusal_pipeline().getStages()) + [_gbt(LABEL_R, max_iter, 0.2)]).fit(train)
+    def build():
+        train, _ = _prev_split(spark, d)
+        return Pipeline(stages=list(refusal_pipeline().getStages()) + [_gbt(LABEL_R, max_iter, 0.2)]).fit(train)
+    return _memo(("refusal", id(spark._jsparkSession), d, max_iter), build)
 
 
 @register("save_load_model")

@@ -237,7 +237,19 @@ LAB = ("lab AS (SELECT *, CAST(CASE WHEN NAME_CONTRACT_STATUS = 'Refused' THEN 1
 SQL["scan_table"] = "SELECT * FROM orders"
 SQL["csv_to_parquet"] = "SELECT * FROM orders"
 SQL["holdout_split"] = with_views(["v_app"], APP_SPLIT) + "SELECT SK_ID_CURR, TARGET, split FROM app_split"
-SQL["write_split_tables"] = with_views(["v_app"], APP_SPLIT) + "SELECT * FROM app_split"
+SQL["write_split_tables"] = with_views(["v_app", "v_bur", "v_bal", "v_prev", "v_cash", "v_inst", "v_cred"],
+                                      APP_SPLIT) + """,
+b AS (SELECT x.*, s.split FROM v_bur x JOIN (SELECT DISTINCT SK_ID_CURR, split FROM app_split) s USING (SK_ID_CURR)),
+p AS (SELECT x.*, s.split FROM v_prev x JOIN (SELECT DISTINCT SK_ID_CURR, split FROM app_split) s USING (SK_ID_CURR)),
+bb AS (SELECT x.*, s.split FROM v_bal x JOIN (SELECT DISTINCT SK_ID_BUREAU, split FROM b) s USING (SK_ID_BUREAU)),
+pp AS (SELECT DISTINCT SK_ID_PREV, split FROM p)
+SELECT 'application' AS "table", split, count(*) AS rows FROM app_split GROUP BY split
+UNION ALL SELECT 'bureau', split, count(*) FROM b GROUP BY split
+UNION ALL SELECT 'bureau_balance', split, count(*) FROM bb GROUP BY split
+UNION ALL SELECT 'previous_application', split, count(*) FROM p GROUP BY split
+UNION ALL SELECT 'pos_cash_balance', s.split, count(*) FROM v_cash x JOIN pp s USING (SK_ID_PREV) GROUP BY s.split
+UNION ALL SELECT 'installments_payments', s.split, count(*) FROM v_inst x JOIN pp s USING (SK_ID_PREV) GROUP BY s.split
+UNION ALL SELECT 'credit_card_balance', s.split, count(*) FROM v_cred x JOIN pp s USING (SK_ID_PREV) GROUP BY s.split"""
 SQL["write_feature_table"] = SQL["bureau_features_20"]
 SQL["write_bucketed_tables"] = SQL["feature_mart_20"]
 SQL["sample_fraction"] = with_views(["v_app"]) + f"SELECT * FROM v_app WHERE {hash_unit_sql('SK_ID_CURR', 42)} < 0.2"
