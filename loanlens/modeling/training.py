@@ -170,15 +170,23 @@ def model_metrics(model, df: DataFrame, label: str) -> dict:
 
 def feature_set_experiments(spark, df: DataFrame, sets: Mapping[str, Sequence[str]], label: str, key: str,
                             make_pipeline, gbt: GBTClassifier, patience: int = 50) -> DataFrame:
-    """Same learner on several column sets: (set, n_features, rounds, log_loss, ap)."""
+    """Same learner on several column sets: (set, n_features, rounds, log_loss, ap).
+    The input is persisted (memory, spilling to disk) for the loop, since
+    every fit and evaluation reads it again."""
+    from pyspark import StorageLevel
     rows = []
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     for name, cols in sets.items():
         sub = df.select(key, label, *cols)
         pm, tr, va = fit_transform_split(sub, make_pipeline(cols), label, key)
+        tr, va = tr.persist(StorageLevel.MEMORY_AND_DISK), va.persist(StorageLevel.MEMORY_AND_DISK)
         res = train_with_early_stopping(tr, va, gbt.copy({gbt.labelCol: label}), patience)
         m = model_metrics(res.model, va, label)
         n_feat = len(pm.stages[-1].feature_names())
         rows.append((name, n_feat, res.best_round, float(m["log_loss"]), float(m["average_precision"])))
+        tr.unpersist()
+        va.unpersist()
+    df.unpersist()
     return spark.createDataFrame(rows, "feature_set string, n_features int, rounds int, log_loss double, "
                                        "average_precision double")
 
@@ -239,8 +247,8 @@ def model_leaderboard(spark, df: DataFrame, label: str, key: str, sample_frac: f
     models = {
         "logistic_regression": LogisticRegression(labelCol=label, maxIter=50),
         "decision_tree": DecisionTreeClassifier(labelCol=label, maxDepth=5, seed=seed),
-        "random_forest": RandomForestClassifier(labelCol=label, numTrees=50, maxDepth=5, seed=seed),
-        "gradient_boosted_trees": GBTClassifier(labelCol=label, maxIter=30, seed=seed),
+        "random_forest": RandomForestClassifier(labelCol=label, numTrees=30, maxDepth=5, seed=seed),
+        "gradient_boosted_trees": GBTClassifier(labelCol=label, maxIter=20, seed=seed),
         "naive_bayes": NaiveBayes(labelCol=label, modelType="gaussian"),
         "linear_svc": LinearSVC(labelCol=label, maxIter=50),
     }

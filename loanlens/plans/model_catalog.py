@@ -196,7 +196,7 @@ def q_experiments(spark, d):
     sets = {"application": app_cols, "+bureau": app_cols + bur, "+latest": app_cols + bur + lat,
             "+all": app_cols + bur + lat + rest}
     return tr.feature_set_experiments(spark, full, sets, LABEL_T, "SK_ID_CURR", lambda cols: target_pipeline(),
-                                      _gbt(LABEL_T, 60), patience=15)
+                                      _gbt(LABEL_T, 40), patience=10)
 
 
 @register("refit_full")
@@ -290,7 +290,7 @@ def q_backward(spark, d):
         return df.select("SK_ID_CURR", LABEL_T, vector_to_array("features").alias("_x")).select(
             "SK_ID_CURR", LABEL_T, *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
     return at.backward_selection(spark, expand(tr_), expand(va), names, LABEL_T, reduce_to=len(names) - 4,
-                                 make_gbt=lambda: _gbt(LABEL_T, 40), drop_per_round=1)
+                                 make_gbt=lambda: _gbt(LABEL_T, 30), drop_per_round=1)
 
 
 @register("shadow_feature_selection")
