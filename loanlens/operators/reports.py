@@ -28,11 +28,29 @@ def category_percent(df: DataFrame, col: str) -> DataFrame:
     return g.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
+def auto_bins(df: DataFrame, col: str) -> int:
+    """numpy's "auto" bin count: the narrower of the Sturges and
+    Freedman-Diaconis widths (FD uses the exact interquartile range)."""
+    x = F.col(col).cast("double")
+    n, lo, hi = df.agg(F.count(x), F.min(x), F.max(x)).first()
+    if not n or hi == lo:
+        return 1
+    qs = {r["p"]: r["q"] for r in exact_quantiles(df.select(x.alias("_x")), "_x", [0.25, 0.75]).collect()}
+    width = (hi - lo) / (math.log2(n) + 1.0)
+    iqr = qs[0.75] - qs[0.25]
+    if iqr > 0:
+        width = min(width, 2.0 * iqr * n ** (-1.0 / 3.0))
+    return int(math.ceil((hi - lo) / width))
+
+
+def histogram(df: DataFrame, col: str, bins: int | str = 10) -> DataFrame:
     """``(bin, bin_lo, bin_hi, n)`` over ``bins`` equal-width bins between the
-    column's min and max (last bin closed), empty bins included. Min and max
-    are two numbers fetched from one aggregate."""
+    column's min and max (last bin closed), empty bins included; ``bins="auto"``
+    picks the count like numpy. Min and max are two numbers fetched from one
+    aggregate."""
     x = F.col(col).cast("double")
+    if bins == "auto":
+        bins = auto_bins(df, col)
     lo, hi = df.agg(F.min(x), F.max(x)).first()
     spark = df.sparkSession
     if lo is None:
@@ -52,11 +70,14 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 
 def class_density(df: DataFrame, value: str, label: str, grid_points: int = 200, fine_bins: int = 1024,
-                  cut: float = 3.0) -> DataFrame:
+                  cut: float = 3.0, common_norm: bool = False) -> DataFrame:
     """Gaussian kernel density of ``value`` per class, each class normalised on
     its own, on a ``grid_points`` grid spanning min - cut*bw .. max + cut*bw.
 
-    Bandwidth is Scott's rule (n^-1/5 times the sample std). The kernel sum
+    With ``common_norm`` each class curve is scaled by the class's share of
+    rows instead, so the curves together integrate to one (the plotting
+    library's default with a hue). Bandwidth is Scott's rule (n^-1/5 times the
+    sample std). The kernel sum
     runs over a fine histogram of each class (``fine_bins`` bin centres with
     counts) instead of every row, so the work after one aggregation pass is
     classes x grid x bins, independent of the row count.
@@ -82,8 +103,11 @@ def class_density(df: DataFrame, value: str, label: str, grid_points: int = 200,
     dens = (pts.join(centres, on="cls")
             .groupBy("cls", "g", "x", "n", "bw")
             .agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("k")))
+    density = F.col("k") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
+    if common_norm:
+        density = density * F.col("n") / F.sum("n").over(Window.partitionBy("g"))  # one row per class and point
     return dens.select(F.col("cls").alias(label), F.col("g").alias("point"), F.col("x").alias(value),
-                       (F.col("k") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+                       density.alias("density"))
 
 
 def within_group_percent(df: DataFrame, x: str, hue: str) -> DataFrame:

@@ -76,3 +76,27 @@ def test_within_group_percent_sums_to_100(spark):
     out = rp.within_group_percent(df, "x", "y").groupBy("x").agg(F.sum("percent").alias("s")).collect()
     assert sorted(r["x"] for r in out) == ["a", "b"]
     assert all(r["s"] == pytest.approx(100.0) for r in out)
+
+
+def test_histogram_auto_bins_and_counts_match_numpy(spark):
+    import numpy as np
+    x = np.random.default_rng(4).gamma(2.0, 3.0, 700).round(2)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    edges = np.histogram_bin_edges(x, bins="auto")
+    assert rp.auto_bins(df, "x") == len(edges) - 1
+    out = rp.histogram(df, "x", bins="auto").orderBy("bin").collect()
+    counts, _ = np.histogram(x, bins=edges)
+    assert [r["n"] for r in out] == list(counts)
+
+
+def test_class_density_integrates_to_one_per_class(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    rows = [(0, float(v)) for v in rng.normal(0, 1, 400)] + [(1, float(v)) for v in rng.normal(2, 0.5, 100)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    for common, want in [(False, {0: 1.0, 1: 1.0}), (True, {0: 0.8, 1: 0.2})]:
+        pts = rp.class_density(df, "score", "label", common_norm=common).orderBy("label", "point").collect()
+        for c in (0, 1):
+            xs = np.array([r["score"] for r in pts if r["label"] == c])
+            ys = np.array([r["density"] for r in pts if r["label"] == c])
+            assert np.trapezoid(ys, xs) == pytest.approx(want[c], abs=0.02)
