@@ -18,7 +18,7 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_KEY = "\u0000null"  # map key standing for a missing category
@@ -70,8 +70,10 @@ class SentinelImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultPar
                                                           .alias("v")) for c in cols])).alias("r")).select("r.*")
             counts = (long.where(F.col("v").isNotNull() & (F.col("v") != s))
                       .groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")))
-            w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("v"))
-            top = counts.withColumn("r", F.row_number().over(w)).where("r = 1").collect()  # one row per column
+            # most frequent value per column (ties: smallest) by aggregates, not a window per column
+            best = counts.groupBy("column").agg(F.max("n").alias("_m"))
+            top = (counts.join(F.broadcast(best), on="column").where(F.col("n") == F.col("_m"))
+                   .groupBy("column").agg(F.min("v").alias("v")).collect())  # one row per column
             fills = {r["column"]: r["v"] for r in top}
         return SentinelImputerModel(inputCols=cols, sentinel=self.getOrDefault(self.sentinel),
                                     fitted=json.dumps(fills))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import exact_quantiles
@@ -110,9 +110,13 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None, quantiles: b
                      .alias("r")).select("r.*").where(F.col("v").isNotNull())
     freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
     per_col = freq.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("v"))  # over distinct values, small per column
-    top = (freq.where(F.col("column").isin(list(discrete))).withColumn("_r", F.row_number().over(w))
-           .where(F.col("_r") == 1).select("column", F.col("v").alias("top"), F.col("n").alias("top_freq")))
+    # mode without a window per column (a column may have billions of distinct
+    # values): highest count per column, then the smallest value at that count;
+    # the per-column maxima (one row per column) are broadcast
+    dfreq = freq.where(F.col("column").isin(list(discrete)))
+    best = dfreq.groupBy("column").agg(F.max("n").alias("top_freq"))
+    top = (dfreq.join(F.broadcast(best), on="column").where(F.col("n") == F.col("top_freq"))
+           .groupBy("column", "top_freq").agg(F.min("v").alias("top")))
     prof = (prof.join(per_col.select("column", "distinct"), on="column", how="left")
             .join(top, on="column", how="left"))
     if quantiles and num:
@@ -157,20 +161,21 @@ def target_rate_by_column(df: DataFrame, label: str, cols: Sequence[str], bins:
 def categorical_association(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Uncertainty coefficient U(a|b) = (H(a) - H(a|b)) / H(a) for every ordered
     pair of text columns, NULL being a category. One scan: rows are unpivoted
-    to (pair, x, y) for both directions of every pair and counted by one
-    grouped aggregate (a table of distinct value pairs); entropies come from
-    windows over that small table."""
+    to (pair, x, y) and counted by one grouped aggregate; the margins are
+    aggregates of that joint table joined back on (pair, x) and (pair, y), so
+    no task ever holds a whole pair's table."""
     def txt(c):
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<null>"))
     pairs = [(a, b) for a in cols for b in cols if a != b]
+    pair = ["column_a", "column_b"]
     long = df.select(F.explode(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                                                   txt(a).alias("x"), txt(b).alias("y")) for a, b in pairs]))
                      .alias("r")).select("r.*")
-    joint = long.groupBy("column_a", "column_b", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pair = ["column_a", "column_b"]
-    j = joint.select(*pair, "n", F.sum("n").over(Window.partitionBy(*pair)).alias("total"),
-                     F.sum("n").over(Window.partitionBy(*pair, "x")).alias("nx"),
-                     F.sum("n").over(Window.partitionBy(*pair, "y")).alias("ny"))
+    joint = long.groupBy(*pair, "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    total = joint.groupBy(*pair).agg(F.sum("n").alias("total"))          # one row per pair
+    nx = joint.groupBy(*pair, "x").agg(F.sum("n").alias("nx"))
+    ny = joint.groupBy(*pair, "y").agg(F.sum("n").alias("ny"))
+    j = joint.join(nx, on=pair + ["x"]).join(ny, on=pair + ["y"]).join(F.broadcast(total), on=pair)
     p = F.col("n") / F.col("total")
     ent = j.groupBy(*pair).agg((-F.sum(p * F.log(F.col("nx") / F.col("total")))).alias("hx"),
                                (-F.sum(p * F.log(F.col("n") / F.col("ny")))).alias("hxy"))

@@ -25,7 +25,8 @@ def _count() -> Column:
 def category_percent(df: DataFrame, col: str) -> DataFrame:
     """``(col, n, pct)``: share of each non-missing category, in percent."""
     g = df.where(F.col(col).isNotNull()).groupBy(col).agg(_count().alias("n"))
-    return g.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    total = g.agg(F.sum("n")).first()[0] or 0        # one number, not a window over all categories
+    return g.withColumn("pct", F.col("n") * 100.0 / F.lit(total))
 
 
 def auto_bins(df: DataFrame, col: str) -> int:
