@@ -73,15 +73,22 @@ def contingency_cells(df: DataFrame, x: str, y: str, y_values: Sequence | None =
     """Long table ``(x, y, observed, expected)`` with every cell present. Row and
     column sums are aggregates joined back on their key; the grand total is one
     number."""
+    cells, _ = _cells_and_shape(df, x, y, y_values)
+    return cells
+
+
+def _cells_and_shape(df: DataFrame, x: str, y: str, y_values: Sequence | None):
     wide = crosstab_counts(df, x, y, y_values)
     ycols = [c for c in wide.columns if c != x]
     long = wide.unpivot(x, ycols, y, "observed")
-    total = long.agg(F.sum("observed")).first()[0]
+    shape = long.agg(F.sum("observed").alias("total"), F.count_distinct(x).alias("r"),
+                     F.lit(len(ycols)).alias("c")).first()          # three numbers, one job
     rows = long.groupBy(x).agg(F.sum("observed").alias("_rs"))
     cols = long.groupBy(y).agg(F.sum("observed").alias("_cs"))
     cells = long.join(rows, on=x).join(cols, on=y)
-    return cells.select(x, y, "observed", (F.col("_rs").cast("double") * F.col("_cs") / F.lit(total))
-                        .alias("expected"))
+    cells = cells.select(x, y, "observed", (F.col("_rs").cast("double") * F.col("_cs") / F.lit(shape["total"]))
+                         .alias("expected"))
+    return cells, shape
 
 
 def chi2_independence(df: DataFrame, x: str, y: str, correction: bool = True,
@@ -89,8 +96,7 @@ def chi2_independence(df: DataFrame, x: str, y: str, correction: bool = True,
     """One row ``(chi2, dof, p, n_cells)``. With one degree of freedom and
     ``correction`` the observed counts move half a unit toward the expected
     ones (Yates), as the reference's test does by default."""
-    cells = contingency_cells(df, x, y, y_values)
-    shape = cells.agg(F.count_distinct(x).alias("r"), F.count_distinct(y).alias("c")).first()
+    cells, shape = _cells_and_shape(df, x, y, y_values)
     cells = cells.withColumns({"r": F.lit(shape["r"]), "c": F.lit(shape["c"])})
     dof = (F.col("r") - 1) * (F.col("c") - 1)
     diff = F.col("expected") - F.col("observed")
