@@ -20,10 +20,12 @@ def hash_unit(key: str | Column, seed: int = 42) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
 
 
-def sample_fraction(df: DataFrame, frac: float, key: str, seed: int = 42) -> DataFrame:
+def sample_fraction(df: DataFrame, frac: float, key: str, seed: int = 42, fast: bool = False) -> DataFrame:
     """Rows whose key hashes below ``frac``: map-only, reproducible, and all rows
-    of a key are kept or dropped together. ``df.sample`` is the faster,
-    non-reproducible variant."""
+    of a key are kept or dropped together. ``fast=True`` uses Spark's Bernoulli
+    ``sample`` instead (per row, reproducible only for the same partitioning)."""
+    if fast:
+        return df.sample(fraction=float(frac), seed=seed)
     return df.where(hash_unit(key, seed) < F.lit(float(frac)))
 
 

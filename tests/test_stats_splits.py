@@ -100,3 +100,11 @@ def test_class_density_integrates_to_one_per_class(spark):
             xs = np.array([r["score"] for r in pts if r["label"] == c])
             ys = np.array([r["density"] for r in pts if r["label"] == c])
             assert np.trapezoid(ys, xs) == pytest.approx(want[c], abs=0.02)
+
+
+def test_sample_fraction_hash_and_fast(spark):
+    from loanlens.operators.relational import sample_fraction
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    a = sample_fraction(df, 0.2, "k").count()
+    assert a == sample_fraction(df, 0.2, "k").count() and 850 < a < 1150
+    assert 850 < sample_fraction(df, 0.2, "k", fast=True).count() < 1150
