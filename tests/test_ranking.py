@@ -39,3 +39,24 @@ def test_exact_quantiles_match_numpy(spark, probs):
 def test_median_even_count(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (8.0,)], "x double")
     assert exact_quantiles(df, "x", [0.5]).collect()[0]["q"] == 3.0
+
+
+def test_hot_value_is_spread_over_range_partitions(spark):
+    """One value holding a third of all rows must not land in a single task.
+    (AQE coalescing is switched off here: on tiny data it merges every range
+    partition into one; at scale it only merges up to the advisory size.)"""
+    from loanlens.operators.ranking import _sorted_checkpoint
+    n = 6000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7.0))
+                               .otherwise(F.col("id").cast("double")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        s = _sorted_checkpoint(df, [F.col("v")])
+        sizes = [r["n"] for r in s.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = n // 3
+    assert sum(sizes) == n
+    assert max(sizes) < hot        # the 2000 rows with v = 7.0 are split across partitions
+    q = exact_quantiles(df, "v", [0.5]).collect()[0]["q"]
+    assert q == float(np.quantile(np.where(np.arange(n) % 3 == 0, 7.0, np.arange(n)), 0.5))
