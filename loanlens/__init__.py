@@ -1,0 +1,18 @@
+"""loanlens: credit-risk features, statistics and scoring as Spark jobs.
+
+Modules (all functions take and return DataFrames, or are Spark ML stages):
+
+* ``sources``    - parquet/CSV scans and sinks, loan stand-in views
+* ``functions``  - column-level recodes, flags, fills, renames
+* ``operators``  - features, quality, relational, reports, stats, splits,
+                   evaluate, ranking, attribution
+* ``modeling``   - fitted preprocessing stages, pipelines, boosted trees
+* ``plans``      - feature marts, the registered queries, oracle SQL
+* ``streaming``  - record validation, batch and stream scoring
+"""
+
+from .operators import (attribution, evaluate, features, quality, ranking, relational,  # noqa: F401
+                        reports, splits, stats)
+from .session import ensure_checkpoint_dir, get_spark  # noqa: F401
+
+__version__ = "0.1.0"
