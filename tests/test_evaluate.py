@@ -85,3 +85,12 @@ def test_gain_monotone_and_ends_at_one(spark):
 
 def test_cost_ratio_threshold():
     assert ev.cost_ratio_threshold(1, 4) == 0.2
+
+
+def test_best_threshold_profit_dominates_sweep(spark):
+    rng = np.random.default_rng(9)
+    df = _df(spark, rng.integers(0, 2, 400), rng.random(400))
+    sweep = ev.profit_sweep(df)
+    best = ev.best_threshold(sweep, base=0.2).collect()[0]
+    profits = [r["profit"] for r in sweep.collect()]
+    assert best["best_profit"] == max(profits)

@@ -108,3 +108,12 @@ def test_sample_fraction_hash_and_fast(spark):
     a = sample_fraction(df, 0.2, "k").count()
     assert a == sample_fraction(df, 0.2, "k").count() and 850 < a < 1150
     assert 850 < sample_fraction(df, 0.2, "k", fast=True).count() < 1150
+
+
+def test_quantile_groups_sizes_differ_only_by_ties(spark):
+    import numpy as np
+    x = np.random.default_rng(8).integers(0, 10_000, 3000).astype(float)   # few ties
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    sizes = [r["count"] for r in rp.quantile_groups(df, "x", ["L", "M", "H"], "g").groupBy("g").count().collect()]
+    ties = len(x) - len(set(x))
+    assert max(sizes) - min(sizes) <= 2 + ties
