@@ -22,11 +22,17 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def category_percent(df: DataFrame, col: str) -> DataFrame:
-    """``(col, n, pct)``: share of each non-missing category, in percent."""
+def category_percent(df: DataFrame, col: str, order: Sequence | None = None) -> DataFrame:
+    """``(col, n, pct)``: share of each non-missing category, in percent. With
+    ``order`` only those categories are returned, in that order (shares stay
+    relative to all non-missing rows)."""
     g = df.where(F.col(col).isNotNull()).groupBy(col).agg(_count().alias("n"))
     total = g.agg(F.sum("n")).first()[0] or 0        # one number, not a window over all categories
-    return g.withColumn("pct", F.col("n") * 100.0 / F.lit(total))
+    out = g.withColumn("pct", F.col("n") * 100.0 / F.lit(total))
+    if order is not None:
+        pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col).cast(df.schema[col].dataType))
+        out = out.where(pos > 0).orderBy(pos)
+    return out
 
 
 def auto_bins(df: DataFrame, col: str) -> int:

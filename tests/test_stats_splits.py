@@ -117,3 +117,10 @@ def test_quantile_groups_sizes_differ_only_by_ties(spark):
     sizes = [r["count"] for r in rp.quantile_groups(df, "x", ["L", "M", "H"], "g").groupBy("g").count().collect()]
     ties = len(x) - len(set(x))
     assert max(sizes) - min(sizes) <= 2 + ties
+
+
+def test_category_percent_order(spark):
+    df = spark.createDataFrame([(s,) for s in "CCXX0011X"] + [(None,)], "s string")
+    out = rp.category_percent(df, "s", order=["X", "C", "5"]).collect()
+    assert [r["s"] for r in out] == ["X", "C"]
+    assert out[0]["pct"] == pytest.approx(300 / 9) and out[1]["pct"] == pytest.approx(200 / 9)
