@@ -10,9 +10,11 @@ Jaccard similarity reaches the threshold. The join runs in five steps:
 3. groups that share a prefix shingle are paired along each shingle's list (each group
    with the list's first and with its predecessor), filtered by size and position;
 4. pairs expand to the classes of the groups and are verified on the whole sets;
-5. lists that still hold several components after that emit the remaining pairs across
-   components, which are verified too. Pairs inside one component are never emitted,
-   so a family of thousands of near copies costs linear, not quadratic, work.
+5. lists that still hold several components pair each group with its neighbours of other
+   components in a shuffled order, and then emit all remaining pairs across components.
+   Pairs inside one component are never emitted, so a family of thousands of near copies
+   costs linear, not quadratic, work. A parity sketch bounds the symmetric difference of
+   two sets from below and drops pairs that cannot link before they leave the join.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from loanlens.llm.common import Scratch, chunks, components, mix, shingle_sets, small
 
 SKETCH_BITS = 21          # 2 MB of order classes: the only broadcast besides counted tables
+PARITY_WORDS = 8          # 512 parity bits: XOR distance never exceeds the symmetric difference
+NEIGHBOURS = 4
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -52,11 +56,12 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:
-    """(id, n, node, gkey, prefix) of each document: set size, 128-bit set identity, group identity, prefix shingles."""
+    """(id, n, node, gkey, prefix, parity) of each document: set size, 128-bit set identity, group identity,
+    prefix shingles, and for each of 512 hash slots whether the set has an odd number of shingles there."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = klass.value
         for batch in batches:
-            n, node, gkey, prefix = [], [], [], []
+            n, node, gkey, prefix, parity = [], [], [], [], []
             for _, _, data, off in chunks(batch.column(1)):
                 for s in shingle_sets(data, off, size):
                     m = len(s)
@@ -65,6 +70,7 @@ def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:
                         node.append(None)
                         gkey.append(None)
                         prefix.append(None)
+                        parity.append(None)
                         continue
                     key = (order[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
                     key.sort()
@@ -72,13 +78,16 @@ def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:
                     node.append(f"{int(s.sum(dtype=np.uint64)):016x}{int(mix(s ^ _SALT).sum(dtype=np.uint64)):016x}")
                     gkey.append(int(mix(mix(head).sum(dtype=np.uint64, keepdims=True) + np.uint64(m)).view(np.int64)[0]))
                     prefix.append(head.view(np.int64))
+                    odd = np.bincount((s & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+                    parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             flat = pa.array(np.concatenate([p for p in prefix if p is not None] or [np.zeros(0, np.int64)]))
             ends = np.cumsum([0] + [0 if p is None else len(p) for p in prefix])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.string()), pa.array(gkey, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["id", "n", "node", "gkey", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(parity, pa.list_(pa.int64()))],
+                ["id", "n", "node", "gkey", "prefix", "parity"])
 
-    return docs.mapInArrow(describe, f"id {dict(docs.dtypes)['id']}, n long, node string, gkey long, prefix array<long>")
+    return docs.mapInArrow(describe, f"id {dict(docs.dtypes)['id']}, n long, node string, gkey long, prefix array<long>, parity array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -117,6 +126,16 @@ def _near_enough(n1: str, p1: str, n2: str, p2: str, percent: int) -> str:
             f"{100 + percent} * (least({p1}, {p2}) + 1 + least({n1} - {p1} - 1, {n2} - {p2} - 1)) >= {percent} * ({n1} + {n2})")
 
 
+_CARRIED = ("gkey", "n", "p", "lo", "hi", "parity")
+
+
+def _across(percent: int) -> str:
+    """Pairs of list entries (columns ..1 and ..2) of different components that may still link."""
+    odd = " + ".join(f"bit_count(parity1[{i}] ^ parity2[{i}])" for i in range(PARITY_WORDS))
+    return (f"(not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2) and {_near_enough('n1', 'p1', 'n2', 'p2', percent)} "
+            f"and coalesce({100 + percent} * ({odd}) <= {100 - percent} * (n1 + n2), true))")
+
+
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               shingle: int = 5, percent: int = 75) -> DataFrame:
     """One row per input row: its id, ``n_shingles`` (set size) and ``component_id``.
@@ -165,26 +184,38 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 
     # second round: pairs across components only
     member = scratch.save(classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "member")
-    span = member.groupBy("gkey").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_lists = lists.select("token", "gkey", "n", "p").join(span, "gkey")
-    mixed = open_lists.groupBy("token").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a <> b").select("token")
-    open_lists = scratch.save(open_lists.join(mixed, "token", "left_semi"), "open")
-    left = open_lists.select("token", *[F.col(c).alias(c + "1") for c in ("gkey", "n", "p", "lo", "hi")])
-    right = open_lists.select("token", *[F.col(c).alias(c + "2") for c in ("gkey", "n", "p", "lo", "hi")])
-    cross = (left.join(right, "token")
-             .filter("gkey1 < gkey2 and not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2) and ("
-                     + _near_enough("n1", "p1", "n2", "p2", percent) + ")")
-             .select(F.col("gkey1").alias("g"), F.col("gkey2").alias("h")).distinct())
-    several = span.filter("lo <> hi").select(F.col("gkey").alias("g"), F.col("gkey").alias("h"))
-    m1 = member.select(F.col("gkey").alias("g"), F.col("node").alias("u"), F.col("component").alias("c1"))
-    m2 = member.select(F.col("gkey").alias("h"), F.col("node").alias("v"), F.col("component").alias("c2"))
-    more = (cross.unionByName(several).join(m1, "g").join(m2, "h").filter("c1 <> c2")
-            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-            .join(tried, ["u", "v"], "left_anti"))
-    more = scratch.save(more, "more")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(scratch, docs, more, shingle, percent))
-        comp = scratch.save(components(spark, scratch, links), "components")
+    parity = full.groupBy("gkey").agg(F.first("parity").alias("parity"))
+    for step in ("neighbours", "all"):
+        span = (member.groupBy("gkey").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k"))
+                .join(parity, "gkey").withColumn("parity", F.expr("if(k = 1, parity, null)")).drop("k"))
+        open_lists = lists.select("token", "gkey", "n", "p").join(span, "gkey")
+        mixed = open_lists.groupBy("token").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a <> b").select("token")
+        open_lists = scratch.save(open_lists.join(mixed, "token", "left_semi"), "open")
+        m1 = member.select(F.col("gkey").alias("g"), F.col("node").alias("u"), F.col("component").alias("c1"))
+        m2 = member.select(F.col("gkey").alias("h"), F.col("node").alias("v"), F.col("component").alias("c2"))
+        if step == "neighbours":
+            shuffled = Window.partitionBy("token").orderBy(F.xxhash64("gkey", "token"))
+            row = F.struct("gkey", "n", "p", "lo", "hi", "parity")
+            near = open_lists.select("token", row.alias("x"), F.array(*[F.lag(row, i).over(shuffled) for i in range(1, NEIGHBOURS + 1)]).alias("y"))
+            near = near.select("x", F.explode("y").alias("y")).filter("y is not null")
+            cross = near.select(*[F.col(f"x.{c}").alias(c + "1") for c in _CARRIED], *[F.col(f"y.{c}").alias(c + "2") for c in _CARRIED]).filter(
+                _across(percent))
+        else:
+            left = open_lists.select("token", *[F.col(c).alias(c + "1") for c in _CARRIED])
+            right = open_lists.select("token", *[F.col(c).alias(c + "2") for c in _CARRIED])
+            cross = left.join(right, F.expr("gkey1 < gkey2 and " + _across(percent)) & (left["token"] == right["token"]))
+        pairs = cross.select(F.least("gkey1", "gkey2").alias("g"), F.greatest("gkey1", "gkey2").alias("h")).distinct()
+        several = span.filter("lo <> hi").select(F.col("gkey").alias("g"), F.col("gkey").alias("h"))
+        more = (pairs.unionByName(several).join(m1, "g").join(m2, "h").filter("c1 <> c2")
+                .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+                .join(tried, ["u", "v"], "left_anti"))
+        more = scratch.save(more, "more")
+        if not more.isEmpty():
+            links = links.unionByName(_verified(scratch, docs, more, shingle, percent))
+            comp = scratch.save(components(spark, scratch, links), "components")
+            tried = tried.unionByName(more)
+            member = scratch.save(classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "member")
+        scratch.drop(open_lists)
 
     # smallest id of each component, combined map-side from the rows
     root = classes.join(comp, "node").select("node", "component")
