@@ -19,7 +19,7 @@ from loanlens.session import ensure_checkpoint_dir
 # A table may be broadcast only after its rows were counted against this bound.
 BROADCAST_ROWS = 1_000_000
 # Bytes of text one vectorised step works on: bounds a worker's memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 # ---------------------------------------------------------------- shared tables
@@ -74,7 +74,6 @@ _WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _RNG = np.random.default_rng(2024)
-_POSITIONAL = _RNG.integers(0, 2**64, size=(64, 256), dtype=np.uint64)
 BYTE_VALUE = _RNG.integers(0, 2**64, size=256, dtype=np.uint64)
 _SHINGLE = _RNG.integers(0, 2**64, size=16, dtype=np.uint64) | np.uint64(1)
 
@@ -112,44 +111,53 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and byte length of each word ``[^\\x20\\x09-\\x0D]+``, and for each row the range of its words."""
+    """Start and end of each word ``[^\\x20\\x09-\\x0D]+``, and for each row the range of its words."""
     inside = _WORD[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    rows = offsets[:-1][offsets[:-1] < len(data)]
-    first[rows] = inside[rows]
-    begin = np.flatnonzero(first)
-    length = np.add.reduceat(inside, begin, dtype=np.int64) if len(begin) else np.zeros(0, np.int64)
-    return begin, length, np.searchsorted(begin, offsets)
-
-
-def word_hashes(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """64-bit tabulation hash of each word's bytes."""
-    if not len(begin):
-        return np.zeros(0, np.uint64)
-    gaps = np.diff(np.append(begin, len(data)))
-    pos = np.arange(begin[0], len(data)) - np.repeat(begin, gaps)
-    tail = data[begin[0]:]
-    value = _POSITIONAL[pos & 63, tail]
-    if int(length.max()) > 64:
-        value = value * ((pos >> 6).astype(np.uint64) * np.uint64(2) + np.uint64(1))
-    value[~_WORD[tail]] = 0
-    return mix(np.add.reduceat(value, begin - begin[0]) + length.astype(np.uint64))
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    turn = np.empty(len(data) + 1, bool)
+    turn[0], turn[-1] = inside[0], inside[-1]
+    np.not_equal(inside[1:], inside[:-1], out=turn[1:-1])
+    edge = np.flatnonzero(turn)
+    begin, end = edge[::2], edge[1::2]
+    # a word may not cross rows: cut it where a row starts inside it
+    cuts = np.unique(offsets[1:-1])
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    cuts = cuts[inside[cuts] & inside[cuts - 1]]
+    if len(cuts):
+        begin, end = np.sort(np.concatenate([begin, cuts])), np.sort(np.concatenate([end, cuts]))
+    return begin, end, np.searchsorted(begin, offsets)
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word's bytes (polynomial over random byte values, then mixed)."""
+    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE_VALUE[data] * up[:len(data)], out=total[1:])
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
+def distinct(s: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    s = np.sort(s)
+    new = s[1:] != s[:-1]
+    return s if new.all() else s[np.concatenate([[True], new])] if len(s) else s
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[np.ndarray]:
     """For each row the sorted distinct hashes of its word shingles; a row of fewer words has its whole sequence as one."""
-    begin, length, rows = word_spans(LOWER[data], offsets)
-    w = word_hashes(LOWER[data], begin, length)
+    low = LOWER[data]
+    begin, end, rows = word_spans(low, offsets)
+    w = word_hashes(low, begin, end)
     n = len(w)
     whole = np.zeros(max(0, n - size + 1), np.uint64)
-    for j in range(size):
-        whole += w[j:n - size + 1 + j] * _SHINGLE[j] if n >= size else whole
+    for j in range(size if n >= size else 0):
+        whole += w[j:n - size + 1 + j] * _SHINGLE[j]
     whole = mix(whole)
     out = []
     for a, b in zip(rows[:-1].tolist(), rows[1:].tolist()):
         if b - a >= size:
-            out.append(np.unique(whole[a:b - size + 1]))
+            out.append(distinct(whole[a:b - size + 1]))
         elif b > a:
             short = (w[a:b] * _SHINGLE[:b - a]).sum(dtype=np.uint64, keepdims=True)
             out.append(mix(short + np.uint64(b - a)))

@@ -57,7 +57,7 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:
     """(id, n, node, gkey, prefix, parity) of each document: set size, 128-bit set identity, group identity,
-    prefix shingles, and for each of 512 hash slots whether the set has an odd number of shingles there."""
+    prefix shingles, and for each of 2n to 4n (512 at least) hash slots whether the set has an odd number there."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = klass.value
         for batch in batches:
@@ -78,7 +78,8 @@ def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:
                     node.append(f"{int(s.sum(dtype=np.uint64)):016x}{int(mix(s ^ _SALT).sum(dtype=np.uint64)):016x}")
                     gkey.append(int(mix(mix(head).sum(dtype=np.uint64, keepdims=True) + np.uint64(m)).view(np.int64)[0]))
                     prefix.append(head.view(np.int64))
-                    odd = np.bincount((s & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+                    slots = max(64 * PARITY_WORDS, 1 << (2 * m).bit_length())
+                    odd = np.bincount((s & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
                     parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             flat = pa.array(np.concatenate([p for p in prefix if p is not None] or [np.zeros(0, np.int64)]))
             ends = np.cumsum([0] + [0 if p is None else len(p) for p in prefix])
@@ -90,8 +91,12 @@ def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(describe, f"id {dict(docs.dtypes)['id']}, n long, node string, gkey long, prefix array<long>, parity array<long>")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, s): the whole shingle sets of the classes in ``nodes``, recomputed from the texts."""
+def _sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, s): the whole shingle sets of the classes in ``nodes``, recomputed from one text of each.
+
+    ``rows`` has (id, node); the texts are fetched by the smallest id of each class, or by all null ids
+    where a class has no other. Repeated ids may bring other texts along; their classes are dropped again.
+    """
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, off in chunks(batch.column(1)):
@@ -104,14 +109,16 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                     [pa.array(node), pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(s) for s in found]), pa.int32()), flat)],
                     ["node", "s"])
 
-    return (docs.mapInArrow(whole, "node string, s array<long>").join(small(nodes), "node", "left_semi")
+    wanted = rows.join(small(nodes), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
+    texts = docs.join(small(wanted), docs["id"].eqNullSafe(wanted["id"]), "left_semi")
+    return (texts.mapInArrow(whole, "node string, s array<long>").join(small(nodes), "node", "left_semi")
             .groupBy("node").agg(F.first("s").alias("s")))
 
 
-def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(scratch: Scratch, docs: DataFrame, rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (u, v) of classes whose whole sets reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = scratch.save(_sets(docs, nodes, size), "sets")
+    nodes = scratch.save(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "nodes")
+    sets = scratch.save(_sets(docs, rows, nodes, size), "sets")
     both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("s").alias("a")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
             .withColumn("common", F.size(F.array_intersect("a", "b"))))
@@ -120,6 +127,32 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, size: int, pe
     return links
 
 
+def _fold(column: str, words: str) -> str:
+    """Parity bits folded by halves to ``words`` words: the parity of the coarser slots."""
+    once = "zip_with(slice({c}, 1, size({c}) div 2), slice({c}, size({c}) div 2 + 1, size({c}) div 2), (x, y) -> x ^ y)"
+    return f"if(size({column}) > {words}, {once.format(c=column)}, {column})"
+
+
+def _coarse() -> str:
+    """The parity bits folded to ``PARITY_WORDS`` words."""
+    word = f"transform(filter(parity, (x, j) -> j % {PARITY_WORDS} = i), x -> x)"
+    return f"transform(sequence(0, {PARITY_WORDS - 1}), i -> if(parity is null, null, aggregate({word}, 0L, (s, x) -> s ^ x)))"
+
+
+def _parity_allows(pairs: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
+    """Pairs (g, h) of groups whose parity bits differ in no more slots than linked sets can.
+
+    Sizes of paired groups differ by a third at most, so their slot counts by a factor of two at most.
+    Groups of several classes have no parity bits of their own and pass.
+    """
+    a = parity.select(F.col("gkey").alias("g"), F.col("parity").alias("a"), F.col("n").alias("na"))
+    b = parity.select(F.col("gkey").alias("h"), F.col("parity").alias("b"), F.col("n").alias("nb"))
+    words = "least(size(a), size(b))"
+    odd = f"aggregate(zip_with({_fold('a', words)}, {_fold('b', words)}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    return (pairs.join(a, "g").join(b, "h")
+            .filter(f"a is null or b is null or {100 + percent} * ({odd}) <= {100 - percent} * (na + nb)").select("g", "h"))
+
+
 def _near_enough(n1: str, p1: str, n2: str, p2: str, percent: int) -> str:
     """Size and position filter: an upper bound of the overlap still reaches the threshold."""
     return (f"100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2}) and "
@@ -174,20 +207,22 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     # first round: along each list, and inside each group from its first class
     first = lists.filter("g0 is not null and (" + _near_enough("n", "p", "n0", "p0", percent) + ")").select("gkey", F.col("g0").alias("g"))
     star = lists.filter("g1 <> gkey and (" + _near_enough("n", "p", "n1", "p1", percent) + ")").select("gkey", F.col("g1").alias("g"))
+    parity = scratch.save(full.groupBy("gkey").agg(F.first("n").alias("n"), F.first("parity").alias("parity")).join(lead, "gkey")
+                          .select("gkey", "n", F.expr("if(members = 1, parity, null)").alias("parity")), "parity")
     pairs = first.unionByName(star).select(F.least("gkey", "g").alias("g"), F.greatest("gkey", "g").alias("h")).distinct()
+    pairs = _parity_allows(pairs, parity, percent)
     pairs = (pairs.join(lead.select(F.col("gkey").alias("g"), F.col("head").alias("u")), "g")
              .join(lead.select(F.col("gkey").alias("h"), F.col("head").alias("v")), "h").select("u", "v"))
     inside = classes.join(lead.filter("members > 1"), "gkey").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))
     tried = scratch.save(pairs.unionByName(inside).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "tried")
-    links = _verified(scratch, docs, tried, shingle, percent)
+    links = _verified(scratch, docs, rows, tried, shingle, percent)
     comp = scratch.save(components(spark, scratch, links), "components")
 
     # second round: pairs across components only
     member = scratch.save(classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "member")
-    parity = full.groupBy("gkey").agg(F.first("parity").alias("parity"))
+    coarse = parity.select("gkey", F.expr(_coarse()).alias("parity"))
     for step in ("neighbours", "all"):
-        span = (member.groupBy("gkey").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k"))
-                .join(parity, "gkey").withColumn("parity", F.expr("if(k = 1, parity, null)")).drop("k"))
+        span = member.groupBy("gkey").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).join(coarse, "gkey")
         open_lists = lists.select("token", "gkey", "n", "p").join(span, "gkey")
         mixed = open_lists.groupBy("token").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a <> b").select("token")
         open_lists = scratch.save(open_lists.join(mixed, "token", "left_semi"), "open")
@@ -205,13 +240,14 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
             right = open_lists.select("token", *[F.col(c).alias(c + "2") for c in _CARRIED])
             cross = left.join(right, F.expr("gkey1 < gkey2 and " + _across(percent)) & (left["token"] == right["token"]))
         pairs = cross.select(F.least("gkey1", "gkey2").alias("g"), F.greatest("gkey1", "gkey2").alias("h")).distinct()
+        pairs = _parity_allows(pairs, parity, percent)
         several = span.filter("lo <> hi").select(F.col("gkey").alias("g"), F.col("gkey").alias("h"))
         more = (pairs.unionByName(several).join(m1, "g").join(m2, "h").filter("c1 <> c2")
                 .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
                 .join(tried, ["u", "v"], "left_anti"))
         more = scratch.save(more, "more")
         if not more.isEmpty():
-            links = links.unionByName(_verified(scratch, docs, more, shingle, percent))
+            links = links.unionByName(_verified(scratch, docs, rows, more, shingle, percent))
             comp = scratch.save(components(spark, scratch, links), "components")
             tried = tried.unionByName(more)
             member = scratch.save(classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "member")
