@@ -27,31 +27,59 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanlens.llm.common import Scratch, chunks, components, mix, shingle_sets, small
 
-SKETCH_BITS = 21          # 2 MB of order classes: the only broadcast besides counted tables
+SKETCH_BITS = 22          # 4 MB of order classes: the only broadcast besides counted tables
+SKETCH_CHUNKS = 64
 PARITY_WORDS = 8          # 512 parity bits: XOR distance never exceeds the symmetric difference
 NEIGHBOURS = 4
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
 def _sketch(docs: DataFrame, size: int) -> np.ndarray:
-    """Order class of each sketch bucket: 0 for rare, else 1 + log2 of the documents counted there.
+    """Order class of each sketch bucket: 0 for rare, else 1 + log2 of the documents counted above chance.
 
-    Every task counts all its documents and reports the buckets well above its own mean.
+    Every task counts the shingles of all its documents; the counters are summed chunk by chunk in a
+    tree, so no task holds more than a few hundred partial chunks and the result has a fixed size.
     """
+    chunk = (1 << SKETCH_BITS) // SKETCH_CHUNKS
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
         total = np.zeros(1 << SKETCH_BITS, np.int32)
         for batch in batches:
             for _, _, data, off in chunks(batch.column(0)):
                 found = [s for s in shingle_sets(data, off, size) if len(s)]
                 if found:
                     np.add.at(total, (np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        mean = float(total.mean())
-        at = np.flatnonzero(total > mean + 4 * np.sqrt(mean) + 3)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["bucket", "n"])
-
-    rows = docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    klass = np.zeros(1 << SKETCH_BITS, np.uint8)
-    klass[rows["bucket"].to_numpy()] = 1 + np.log2(np.maximum(rows["n"].to_numpy(), 1)).astype(np.uint8)
+        parts = total.reshape(SKETCH_CHUNKS, chunk)
+        used = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), pa.array(np.full(len(used), TaskContext.get().partitionId() // 256), pa.int32()),
+             pa.array([parts[i].tobytes() for i in used], pa.binary())], ["chunk", "part", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(chunk, np.int64)
+        for raw in table.column("counts"):
+            total += np.frombuffer(raw.as_buffer(), np.int32)
+        return pa.table({"chunk": table.column("chunk")[:1], "part": pa.array([int(table.column("part")[0].as_py()) // 256], pa.int32()),
+                         "counts": pa.array([np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())})
+
+    schema = "chunk int, part int, counts binary"
+    sums = docs.mapInArrow(count, schema)
+    parts = max(docs.rdd.getNumPartitions(), 1)
+    while True:
+        sums = sums.groupBy("chunk", "part").applyInArrow(add, schema)
+        if parts <= 256:
+            break
+        parts = -(-parts // 256)
+    total = np.zeros((SKETCH_CHUNKS, chunk), np.int32)
+    for r in sums.toArrow().to_pylist():
+        total[r["chunk"]] += np.frombuffer(r["counts"], np.int32)
+    total = total.ravel()
+    mean = float(total.mean())
+    above = total - mean
+    klass = np.zeros(len(total), np.uint8)
+    often = above > 4 * np.sqrt(mean) + 4
+    klass[often] = 1 + np.log2(above[often]).astype(np.uint8)
     return klass
 
 
@@ -153,19 +181,23 @@ def _parity_allows(pairs: DataFrame, parity: DataFrame, percent: int) -> DataFra
             .filter(f"a is null or b is null or {100 + percent} * ({odd}) <= {100 - percent} * (na + nb)").select("g", "h"))
 
 
-def _near_enough(n1: str, p1: str, n2: str, p2: str, percent: int) -> str:
-    """Size and position filter: an upper bound of the overlap still reaches the threshold."""
+def _near_enough(n1: str, p1: str, n2: str, p2: str, percent: int, before: str = "0") -> str:
+    """Size and position filter: an upper bound of the overlap still reaches the threshold.
+
+    With ``before`` = 0 it holds at the first shingle two linked sets share, which is enough where
+    every shared shingle of a pair is looked at; the smaller of the positions allows any shared shingle.
+    """
     return (f"100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2}) and "
-            f"{100 + percent} * (least({p1}, {p2}) + 1 + least({n1} - {p1} - 1, {n2} - {p2} - 1)) >= {percent} * ({n1} + {n2})")
+            f"{100 + percent} * ({before} + 1 + least({n1} - {p1} - 1, {n2} - {p2} - 1)) >= {percent} * ({n1} + {n2})")
 
 
 _CARRIED = ("gkey", "n", "p", "lo", "hi", "parity")
 
 
-def _across(percent: int) -> str:
+def _across(percent: int, before: str = "0") -> str:
     """Pairs of list entries (columns ..1 and ..2) of different components that may still link."""
     odd = " + ".join(f"bit_count(parity1[{i}] ^ parity2[{i}])" for i in range(PARITY_WORDS))
-    return (f"(not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2) and {_near_enough('n1', 'p1', 'n2', 'p2', percent)} "
+    return (f"(not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2) and {_near_enough('n1', 'p1', 'n2', 'p2', percent, before)} "
             f"and coalesce({100 + percent} * ({odd}) <= {100 - percent} * (n1 + n2), true))")
 
 
@@ -205,8 +237,8 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
         .filter("m > 1").drop("m"), "lists")
 
     # first round: along each list, and inside each group from its first class
-    first = lists.filter("g0 is not null and (" + _near_enough("n", "p", "n0", "p0", percent) + ")").select("gkey", F.col("g0").alias("g"))
-    star = lists.filter("g1 <> gkey and (" + _near_enough("n", "p", "n1", "p1", percent) + ")").select("gkey", F.col("g1").alias("g"))
+    first = lists.filter("g0 is not null and (" + _near_enough("n", "p", "n0", "p0", percent, "least(p, p0)") + ")").select("gkey", F.col("g0").alias("g"))
+    star = lists.filter("g1 <> gkey and (" + _near_enough("n", "p", "n1", "p1", percent, "least(p, p1)") + ")").select("gkey", F.col("g1").alias("g"))
     parity = scratch.save(full.groupBy("gkey").agg(F.first("n").alias("n"), F.first("parity").alias("parity")).join(lead, "gkey")
                           .select("gkey", "n", F.expr("if(members = 1, parity, null)").alias("parity")), "parity")
     pairs = first.unionByName(star).select(F.least("gkey", "g").alias("g"), F.greatest("gkey", "g").alias("h")).distinct()
@@ -234,7 +266,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
             near = open_lists.select("token", row.alias("x"), F.array(*[F.lag(row, i).over(shuffled) for i in range(1, NEIGHBOURS + 1)]).alias("y"))
             near = near.select("x", F.explode("y").alias("y")).filter("y is not null")
             cross = near.select(*[F.col(f"x.{c}").alias(c + "1") for c in _CARRIED], *[F.col(f"y.{c}").alias(c + "2") for c in _CARRIED]).filter(
-                _across(percent))
+                _across(percent, "least(p1, p2)"))
         else:
             left = open_lists.select("token", *[F.col(c).alias(c + "1") for c in _CARRIED])
             right = open_lists.select("token", *[F.col(c).alias(c + "2") for c in _CARRIED])
