@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loanlens.llm import near_join
+from loanlens.llm import near_join, suffix_dedup
 
 QUERIES = {
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op8_ngram_jaccard_join": near_join.op8_ngram_jaccard_join,
 }
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanlens.llm.common import Scratch, chunks, components, mix, shingle_sets, small
 
-SKETCH_BITS = 22          # 4 MB of order classes: the only broadcast besides counted tables
+SKETCH_BITS = 21          # 2 MB of order classes: the only broadcast besides counted tables
 SKETCH_CHUNKS = 64
 PARITY_WORDS = 8          # 512 parity bits: XOR distance never exceeds the symmetric difference
 NEIGHBOURS = 4
@@ -72,15 +72,14 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
             break
         parts = -(-parts // 256)
     total = np.zeros((SKETCH_CHUNKS, chunk), np.int32)
-    for r in sums.toArrow().to_pylist():
+    for r in sums.select("chunk", "counts").toLocalIterator():
         total[r["chunk"]] += np.frombuffer(r["counts"], np.int32)
-    total = total.ravel()
     mean = float(total.mean())
-    above = total - mean
-    klass = np.zeros(len(total), np.uint8)
-    often = above > 4 * np.sqrt(mean) + 4
-    klass[often] = 1 + np.log2(above[often]).astype(np.uint8)
-    return klass
+    klass = np.zeros((SKETCH_CHUNKS, chunk), np.uint8)
+    for row, out in zip(total, klass):
+        often = row > mean + 4 * np.sqrt(mean) + 4
+        out[often] = 1 + np.log2(row[often] - mean).astype(np.uint8)
+    return klass.ravel()
 
 
 def _describe(docs: DataFrame, klass, size: int, percent: int) -> DataFrame:

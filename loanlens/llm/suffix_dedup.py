@@ -39,43 +39,42 @@ COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 _IN_COVER = np.zeros(PERIOD, bool)
 _IN_COVER[list(COVER)] = True
 
-_BLOCK = "block long, doc binary, ends binary, text binary"
-
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Consecutive documents packed into rows: their ids, end offsets and concatenated UTF-8 bytes."""
+    """Consecutive rows (id, text) packed into blocks: ids, digests, end offsets and the concatenated UTF-8 bytes."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
-        rows, ends, parts, size = [], [], [], 0
+        ids, digests, ends, parts, size = [], [], [], [], 0
 
         def block():
+            one = pa.concat_arrays(ids)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) | seq], pa.int64()), pa.array([np.array(rows, np.int64).tobytes()], pa.binary()),
-                 pa.array([np.array(ends, np.int64).tobytes()], pa.binary()), pa.array([b"".join(parts)], pa.binary())],
-                ["block", "doc", "ends", "text"])
+                [pa.array([(part << 32) | seq], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(one)], pa.int32()), one),
+                 pa.array([digests], pa.list_(pa.binary())), pa.array([np.array(ends, np.int64).tobytes()], pa.binary()),
+                 pa.array([b"".join(parts)], pa.binary())], ["block", "ids", "digests", "ends", "text"])
 
         for batch in batches:
             data, off = utf8(batch.column(1))
-            key = batch.column(0).to_numpy()
-            for i in range(len(key)):
+            for i in range(batch.num_rows):
                 piece = data[off[i]:off[i + 1]].tobytes()
-                if rows and size + len(piece) > BLOCK_BYTES:
+                if ends and size + len(piece) > BLOCK_BYTES:
                     yield block()
-                    rows, ends, parts, size, seq = [], [], [], 0, seq + 1
-                rows.append(key[i])
+                    ids, digests, ends, parts, size, seq = [], [], [], [], 0, seq + 1
+                ids.append(batch.column(0).slice(i, 1))
+                digests.append(hashlib.sha256(piece).digest())
                 size += len(piece)
                 ends.append(size)
                 parts.append(piece)
-        if rows:
+        if ends:
             yield block()
 
-    return docs.select("row", "text").mapInArrow(pack, _BLOCK)
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "text").mapInArrow(pack, f"block long, ids array<{kind}>, digests array<binary>, ends binary, text binary")
 
 
-def _unpack(doc: bytes, ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    e = np.frombuffer(ends, np.int64)
-    return np.frombuffer(doc, np.int64), np.concatenate([[0], e]), np.frombuffer(text, np.uint8)
+def _unpack(ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([[0], np.frombuffer(ends, np.int64)]), np.frombuffer(text, np.uint8)
 
 
 def _room(off: np.ndarray, skip: np.ndarray, k: int, n: int) -> np.ndarray:
@@ -195,101 +194,100 @@ def _lists(column, i: int) -> list:
     return [(r["bucket"], r["bits"]) for r in got or []]
 
 
-def repeated_spans(docs: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """(row, text bytes, cover bits) of each row of (row long, text): the bytes of repeated ``length``-byte strings."""
-    spark = docs.sparkSession
+def _copy_masks(n: int, got: list | None) -> tuple[np.ndarray, np.ndarray]:
+    """Per document of a block: (left out of the sort, a copy of another document; repeated as a whole)."""
+    skip, whole = np.zeros(n, bool), np.zeros(n, bool)
+    for r in got or []:
+        whole[r["at"]], skip[r["at"]] = True, not r["stands"]
+    return skip, whole
+
+
+def cut_repeats(docs: DataFrame, scratch: Scratch, length: int, with_text: bool) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept_text]) of each row of (id, text)."""
     k = length - PERIOD + 1
     if k < 8:
         raise ValueError(f"length must be at least {PERIOD + 7}")
-    # copies of a whole document: the first stands for all, and all of them go if long enough
-    digest = docs.select("row", F.sha2(F.coalesce("text", F.lit("")), 256).alias("d"), F.octet_length("text").alias("size"))
-    copies = digest.filter(f"size >= {length}").groupBy("d").agg(F.min("row").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copied = scratch.save(digest.join(copies, "d").select("row", (F.col("row") == F.col("first")).alias("stands")), "copied")
     blocks = scratch.save(_blocks(docs), "blocks")
-    where = blocks.select("block", F.explode(_longs("doc")).alias("row"))
-    marks = where.join(copied, "row").groupBy("block").agg(F.collect_list(F.struct("row", "stands")).alias("copies"))
-    marks = scratch.save(marks, "marks")
+    # copies of a whole document: the first stands for all, and all of them go if long enough
+    each = blocks.select("block", F.posexplode("digests").alias("at", "d"))
+    first = each.groupBy("d").agg(F.min(F.struct("block", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("d", "first")
+    marks = scratch.save(each.join(first, "d").groupBy("block").agg(F.collect_list(
+        F.struct("at", (F.struct("block", "at") == F.col("first")).alias("stands"))).alias("copies")), "copies")
+    marked = blocks.join(marks, "block", "left")
     total = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, total // BUCKET_BYTES + 1)
+    buckets = int(max(8, total // BUCKET_BYTES + 1))
 
-    def copy_masks(doc: np.ndarray, got) -> tuple[np.ndarray, np.ndarray]:
-        """(not indexed: a copy of another document; wholly repeated) per document of the block."""
-        rows = {r["row"]: r["stands"] for r in got or []}
-        whole = np.array([d in rows for d in doc.tolist()], bool)
-        return np.array([d in rows and not rows[d] for d in doc.tolist()], bool), whole
-
-    def ask_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows_of(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for i in range(batch.num_rows):
-                doc, off, text = _unpack(*(batch.column(c)[i].as_py() for c in ("doc", "ends", "text")))
-                skip, _ = copy_masks(doc, batch.column("copies")[i].as_py())
-                yield from _requests(batch.column("block")[i].as_py(), _names(text, k, _sampled(off, skip, k, len(text))), buckets)
+                off, text = _unpack(batch.column("ends")[i].as_py(), batch.column("text")[i].as_py())
+                skip, whole = _copy_masks(len(off) - 1, batch.column("copies")[i].as_py())
+                whole &= np.diff(off) >= length
+                yield batch, i, off, text, skip, whole
 
-    def ask_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                doc, off, text = _unpack(*(batch.column(c)[i].as_py() for c in ("doc", "ends", "text")))
-                skip, _ = copy_masks(doc, batch.column("copies")[i].as_py())
-                sample = _sampled(off, skip, k, len(text))
-                again = _flags(_names(text, k, sample), _lists(batch.column("a0"), i), buckets)
-                wanted = _candidates(off, skip, sample, again, length, len(text))
-                yield from _requests(batch.column("block")[i].as_py(), _names(text, length, wanted), buckets)
+    def ask_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, i, off, text, skip, _ in rows_of(batches):
+            yield from _requests(batch.column("block")[i].as_py(), _names(text, k, _sampled(off, skip, k, len(text))), buckets)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                doc, off, text = _unpack(*(batch.column(c)[i].as_py() for c in ("doc", "ends", "text")))
-                n = len(text)
-                skip, whole = copy_masks(doc, batch.column("copies")[i].as_py())
-                sample = _sampled(off, skip, k, n)
-                again = _flags(_names(text, k, sample), _lists(batch.column("a0"), i), buckets)
-                wanted = _candidates(off, skip, sample, again, length, n)
-                hit = _flags(_names(text, length, wanted), _lists(batch.column("a1"), i), buckets)
-                gone = _covered(n, np.flatnonzero(wanted)[hit], length)
-                rows = []
-                for d, a, b, all_of_it in zip(doc.tolist(), off[:-1].tolist(), off[1:].tolist(), whole.tolist()):
-                    mask = np.ones(b - a, bool) if all_of_it else gone[a:b]
-                    edge = np.diff(mask.astype(np.int8), prepend=0) == 1
-                    kept = text[a:b][~mask].tobytes()
-                    rows.append((d, b - a, int(mask.sum()), int(edge.sum()), hashlib.sha256(kept).hexdigest(), kept))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))],
-                    ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+    def suspects(batch, i, off, text, skip) -> np.ndarray:
+        sample = _sampled(off, skip, k, len(text))
+        again = _flags(_names(text, k, sample), _lists(batch.column("a0"), i), buckets)
+        return _candidates(off, skip, sample, again, length, len(text))
 
-    marked = blocks.join(marks, "block", "left")
-    first = scratch.save(_answers(marked.mapInArrow(ask_names, _ASK)), "names")
-    second = scratch.save(_answers(_with_answers(marked, first).mapInArrow(ask_suffixes, _ASK)), "suffixes")
-    return _with_answers(marked, first, second).mapInArrow(
-        cut, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    def ask_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, i, off, text, skip, _ in rows_of(batches):
+            wanted = suspects(batch, i, off, text, skip)
+            yield from _requests(batch.column("block")[i].as_py(), _names(text, length, wanted), buckets)
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, i, off, text, skip, whole in rows_of(batches):
+            wanted = suspects(batch, i, off, text, skip)
+            hit = _flags(_names(text, length, wanted), _lists(batch.column("a1"), i), buckets)
+            gone = _covered(len(text), np.flatnonzero(wanted)[hit], length)
+            rows = []
+            for a, b, all_of_it in zip(off[:-1].tolist(), off[1:].tolist(), whole.tolist()):
+                mask = np.ones(b - a, bool) if all_of_it else gone[a:b]
+                kept = text[a:b][~mask].tobytes()
+                rows.append((b - a, int(mask.sum()), int((np.diff(mask.astype(np.int8), prepend=0) == 1).sum()),
+                             hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None))
+            cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("ids").slice(i, 1).flatten(), *cols],
+                                             ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+
+    slim = marked.select("block", "ends", "text", "copies")
+    names = scratch.save(_answers(slim.mapInArrow(ask_names, _ASK)), "names")
+    suffixes = scratch.save(_answers(_with_answers(slim, names).mapInArrow(ask_suffixes, _ASK)), "suffixes")
+    kind = docs.schema["id"].dataType.simpleString()
+    return _with_answers(marked.drop("digests"), names, suffixes).mapInArrow(
+        cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
+    """One row per input row: id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``.
 
-def _longs(column: str):
-    """The little-endian 8-byte integers of a binary column as array<long>."""
-    at = f"substring(hex({column}), 16 * i + 1, 16)"
-    turned = "concat(" + ", ".join(f"substring({at}, {2 * j + 1}, 2)" for j in range(7, -1, -1)) + ")"
-    return F.expr(f"transform(sequence(0, octet_length({column}) div 8 - 1), i -> cast(conv({turned}, 16, -10) as bigint))")
+    Texts are UTF-8 bytes; a byte goes when a ``length``-byte string that covers it starts at
+    any other place of the corpus too, overlapping places and the same document included.
+    Strings never cross documents and are judged on the input. Null texts count as empty and
+    have nothing removed. Repeated rows and null ids stay, one output row each; other columns
+    are ignored; an empty table gives no rows.
+    """
+    scratch = Scratch(docs.sparkSession, "suffix")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    cut = cut_repeats(texts, scratch, length, with_text=False)
+    return scratch.result(cut.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
-                   keep_text: bool = True) -> DataFrame:
-    """One row per input row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the kept text.
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200) -> DataFrame:
+    """The rows of ``docs`` with the repeated bytes cut from the text; rows and other columns stay as they are.
 
-    Texts are UTF-8 bytes; a byte goes when a ``length``-byte string that covers it starts at
-    any other place of the corpus too, overlapping places and the same document included.
-    Strings never cross documents and are judged on the input. Null texts count as empty.
-    ``kept_text`` decodes the remaining bytes and drops the incomplete characters a cut may
-    leave; ``kept_sha256`` is of the bytes themselves. Repeated rows and null ids stay, one
-    output row each; other columns are ignored; an empty table gives no rows.
+    Characters that a cut leaves incomplete are dropped. A null text becomes empty.
     """
     scratch = Scratch(docs.sparkSession, "suffix")
-    # a row number of its own keeps repeated and null ids apart; it is written, hence fixed
-    numbered = scratch.save(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id")), "ids")
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
-    cut = repeated_spans(texts, scratch, length)
-    kept = [F.expr("decode_lossy").alias("kept_text")] if False else []
-    out = cut.join(numbered, "row").select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", *kept)
-    return scratch.result(out)
+    rest = [c for c in docs.columns if c != text_col]
+    texts = docs.select(F.struct(*[docs[c] for c in rest]).alias("id"), docs[text_col].cast("string").alias("text"))
+    cut = cut_repeats(texts, scratch, length, with_text=True)
+    return scratch.result(cut.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in docs.columns]))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_text=False)
+    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
