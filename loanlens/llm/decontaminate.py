@@ -32,11 +32,6 @@ _FILTER_BITS = 22
 _UNKNOWN = 256
 
 
-def _fold(text: str | None) -> bytes:
-    """Lower case (ASCII), white-space runs as one blank."""
-    return b" ".join((text or "").encode().lower().split())
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -45,8 +40,13 @@ _FOLD[_SPACE] = 0x20
 
 
 def _folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes folded as in ``_fold`` (up to a blank at either end), new offsets, and each kept byte's old position."""
+    """Folded bytes, new offsets, and each kept byte's old position.
+
+    A-Z and the capitals of Latin-1 (two bytes in UTF-8) become small, white-space runs one blank.
+    """
     low = _FOLD[data]
+    accent = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
+    low[1:][accent] += 0x20
     keep = np.ones(len(low), bool)
     keep[1:] = ~((low[1:] == 0x20) & (low[:-1] == 0x20))
     rows = offsets[:-1][offsets[:-1] < len(low)]
@@ -55,6 +55,11 @@ def _folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return low[at], np.searchsorted(at, offsets), at
 
 
+def _fold(text: str | None) -> bytes:
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    return _folded(raw, np.array([0, len(raw)]))[0].tobytes().strip()
+
+
 def _qgrams(data: np.ndarray, q: int) -> np.ndarray:
     out = [h for _, h in rolling(data, q)]
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
