@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from loanlens.llm.common import Scratch, chunks, mix, rolling
 
 Q = 12                     # bytes of a q-gram
-WINDOW = 150               # bytes of an item window (a shorter item is one window)
+WINDOW = 100               # bytes of an item window (a shorter item is one window)
 EDIT_SHARE = 0.05          # edits allowed per window byte
 LEAST = 40                 # items of fewer normalised bytes are looked up exactly
 BLOCK_BYTES = 8 << 20      # benchmark bytes one scan looks for

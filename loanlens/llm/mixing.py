@@ -38,7 +38,8 @@ def _pour(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame
     """(children's columns, budget): each parent's budget poured over its children by weight, up to their limits.
 
     In order of limit / weight, a child is full if its limit is below its weight's share of what is left; from the
-    first child that is not full on, the rest is divided by weight and rounded down. ``keys`` name the parent.
+    first child that is not full on (whose level is the highest of the children not full), the rest is divided
+    by weight and rounded down. ``keys`` name the parent.
     """
     joined = children.join(parents.select(*keys, F.col("budget").alias("poured")), keys) if keys else children.crossJoin(
         F.broadcast(parents.select(F.col("budget").alias("poured"))))
@@ -48,7 +49,7 @@ def _pour(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame
     level = (F.col("poured") - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest)
     whole = Window.partitionBy(*keys)
     return (joined.withColumn("level", level).withColumn("full", F.col("cap") / F.col("weight") <= F.col("level"))
-            .withColumn("rate", F.min(F.when(~F.col("full"), F.col("level"))).over(whole))
+            .withColumn("rate", F.max(F.when(~F.col("full"), F.col("level"))).over(whole))
             .withColumn("budget", F.when(F.col("full"), F.col("cap")).otherwise(F.least("cap", F.floor(F.col("weight") * F.col("rate")))))
             .drop("level", "full", "rate", "poured"))
 
@@ -127,7 +128,7 @@ def _pour_sql(name: str, children: str, parents: str, keys: str) -> str:
    (p.budget - coalesce(sum(cap) over ({part}order by cap / weight, domain, lang, source rows between unbounded preceding and 1 preceding), 0))
    / cast(sum(weight) over ({part}order by cap / weight, domain, lang, source rows between current row and unbounded following) as double) as level
    from {children} c {join}),
-{name}_r as (select *, min(case when not (cap / weight <= level) then level end) {whole} as rate from {name}_l),
+{name}_r as (select *, max(case when not (cap / weight <= level) then level end) {whole} as rate from {name}_l),
 {name} as (select domain, lang, source, cap, case when cap / weight <= level then cap else least(cap, cast(floor(weight * rate) as bigint)) end as budget from {name}_r)"""
 
 

@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 FIT_URLS = 20_000              # documented bound of the fitting sample
 SUFFIXES = 1_000               # host suffixes whose block rate is kept (the most frequent ones of the sample)
-RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
-         ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy",
