@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType, StructType
 from loanlens.llm.common import LOWER, chunks, word_hashes, word_spans
 from loanlens.llm.quality_crf import fit_on_labels, held_out
 
-FIT_DOCUMENTS = 8000       # documented bound of the labelled fitting sample
+FIT_DOCUMENTS = 5000       # documented bound of the labelled fitting sample
 INDUCED = 8                # induced lexicons
 STEMS = (4, 5, 6, 7, 8)    # bytes of a word's beginning that an induced lexicon may list
 HASHES = 1 << 14           # slots of the classifier's word features
@@ -188,9 +188,13 @@ def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -
     base = [_lexicon(x) for x in LEXICONS.values()]
     y = np.array(labels, np.int64)
     column = pa.array([t or "" for t in texts], pa.large_string())
-    parts = [(a, data, off, *_words(LOWER[data], off)) for a, _, data, off in chunks(column)]
+
+    def parts():                # read again for each use: the words of the whole sample are never held
+        for _, _, data, off in chunks(column):
+            yield data, off, *_words(LOWER[data], off)
+
     anchor = np.arange(len(y)) % 3 > 0
-    words = [np.unique(np.concatenate([w[i:j], stems[:, i:j].ravel()])) for _, _, _, w, stems, rows in parts for i, j in zip(rows[:-1], rows[1:])]
+    words = [np.unique(np.concatenate([w[i:j], stems[:, i:j].ravel()])) for _, _, w, stems, rows in parts() for i, j in zip(rows[:-1], rows[1:])]
     bad = [w for w, t, s in zip(words, y, anchor) if t == 1 and s]
     ok = [w for w, t, s in zip(words, y, anchor) if t == 0 and s]
     lexicons = list(base)
@@ -204,20 +208,20 @@ def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -
         lexicons += [pick[pick % np.uint64(INDUCED) == i] for i in range(INDUCED)]
     else:
         lexicons += [np.zeros(0, np.uint64)] * INDUCED
-    votes = [_votes(data, off, w, stems, rows, lexicons) for _, data, off, w, stems, rows in parts]
+    votes = [_votes(data, off, w, stems, rows, lexicons) for data, off, w, stems, rows in parts()]
     votes = np.concatenate(votes) if votes else np.zeros((0, len(lexicons) + 8), np.int8)
     empty = ToxicityModel(lexicons, np.zeros(HASHES), float(np.log(0.02 / 0.98)), np.zeros(votes.shape[1]))
     if not len(y) or len(np.unique(y)) < 2:
         return empty
     known = np.where(anchor, y, -1)
     target = np.where(known >= 0, known, LabelModel(votes, known).posterior(votes))
-    # logistic regression by AdaGrad over rows: mean word slots scaled as in scoring, plus the votes
-    slots = [_slots(w) for w in words_in_order(parts)]
+    # logistic regression by AdaGrad over rows: word slots scaled as in scoring, plus the votes
+    del words
     weights, bias, vw = np.zeros(HASHES), float(np.log(target.mean() / (1 - target.mean()))), np.zeros(votes.shape[1])
     s_w, s_b, s_v = np.full(HASHES, 1e-3), 1e-3, np.full(len(vw), 1e-3)
     order = np.random.default_rng(7)
-    counted = [np.unique(s, return_counts=True) for s in slots]
-    for _ in range(epochs):
+    counted = [np.unique(_slots(w[i:j]), return_counts=True) for _, _, w, _, rows in parts() for i, j in zip(rows[:-1].tolist(), rows[1:].tolist())]
+    for epoch in range(epochs):
         for i in order.permutation(len(y)):
             at, c = counted[i]
             x = c / np.sqrt(max(1, c.sum()))
@@ -230,17 +234,11 @@ def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -
             weights[at] += 0.03 * gw / np.sqrt(s_w[at])
             vw += 0.1 * gv / np.sqrt(s_v)
             bias += 0.1 * g / np.sqrt(s_b)
-        if epochs > 10 and len(y) * (_ + 1) > 24_000:
+        if epoch >= 2 and len(y) * (epoch + 1) > 20_000:
             break
     return ToxicityModel(lexicons, weights, bias, vw)
 
 
-def words_in_order(parts) -> Iterator[np.ndarray]:
-    for _, _, _, w, _, rows in parts:
-        for i, j in zip(rows[:-1].tolist(), rows[1:].tolist()):
-            yield w[i:j]
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", threshold: float = 0.5, limit: int = FIT_DOCUMENTS) -> DataFrame:
     """``docs`` with ``score`` (probability of being toxic) and ``predicted`` (1 from ``threshold`` on).

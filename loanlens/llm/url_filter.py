@@ -14,6 +14,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from loanlens.session import ensure_checkpoint_dir
+
 FIT_URLS = 20_000              # documented bound of the fitting sample
 SUFFIXES = 1_000               # host suffixes whose block rate is kept (the most frequent ones of the sample)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -77,6 +79,7 @@ def fit_trees(labelled: DataFrame, limit: int = FIT_URLS, trees: int = 20, depth
 
     Returns (model, suffix table), or None where the labels hold fewer than two classes.
     """
+    ensure_checkpoint_dir(labelled.sparkSession)
     rows = labelled.select("url", F.col("label").cast("double").alias("label")).filter("label in (0, 1)").withColumns(
         {"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     sample = rows.withColumn("place", F.xxhash64("url")).orderBy("place", "url").limit(limit).drop("place")
