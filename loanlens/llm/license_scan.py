@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from loanlens.llm.common import Scratch
 from loanlens.session import ensure_checkpoint_dir
 
-UNKNOWN_PARAGRAPHS = 4_000     # documented bound of the sample of ordinary paragraphs
+UNKNOWN_DOCUMENTS = 2_000      # documented bound of the documents whose ordinary paragraphs are sampled
+UNKNOWN_PARAGRAPHS = 4_000     # and of the paragraphs
 WINDOW, STRIDE = 48, 24        # words; longer paragraphs are scanned in overlapping windows
 CONFIRM = 0.6                  # share of a window's licence n-grams, or of a template's, that have to be shared
 # Notices in their usual wording.
@@ -116,7 +117,8 @@ def fit_scanner(docs: DataFrame) -> LicenseScanner:
     vocabulary = sorted(r[0] for r in notice.select(F.explode("grams")).distinct().collect())
     anchors = [w for w in vocabulary if " " not in w]
     # ordinary paragraphs with an anchor word but no licence trigram: a bounded sample in hash order
-    plain = paragraphs(docs).filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in anchors])))
+    some = docs.filter("id is not null").select("id", F.xxhash64("id").alias("place")).orderBy("place", "id").limit(UNKNOWN_DOCUMENTS).select("id")
+    plain = paragraphs(docs.join(F.broadcast(some), "id", "left_semi")).filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in anchors])))
     tri = F.array(*[F.lit(g) for g in vocabulary if g.count(" ") == 2])
     plain = windows(plain).withColumn("grams", ngrams("words")).filter(~F.arrays_overlap("grams", tri))
     plain = plain.select(F.lit("").alias("family"), "words", "grams", F.xxhash64("words").alias("place")).orderBy("place").limit(UNKNOWN_PARAGRAPHS)
