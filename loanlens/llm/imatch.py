@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loanlens.llm.common import LOWER, Scratch, chunks, distinct, mix, word_hashes, word_spans
+from loanlens.llm.common import LOWER, chunks, distinct, mix, word_hashes, word_spans
 
 LOW_SHARE, HIGH_SHARE = 0.0005, 0.05      # document-frequency band (high to low idf)
 LEXICON_TERMS = 4_000_000                 # checked bound of the broadcast lexicon (8 bytes a term)
@@ -170,7 +170,6 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     lexicon = spark.sparkContext.broadcast(band_lexicon(texts, low, high))
     blocks = BLOCKS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    half = F.expr("char_length(text) div 2").cast("int")
     rows = with_next(texts, blocks).select(
         "id", F.col("text"), F.coalesce("next", F.col("text")).alias("next")).withColumns({
             "n_chars": F.char_length("text").cast("long"),

@@ -17,10 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from loanlens.llm.common import Scratch, chunks, small, word_spans
+from loanlens.llm.common import chunks, word_spans
 
-FIT_DOCUMENTS = 4000       # documented bound of the fitting sample
+FIT_DOCUMENTS = 2000       # documented bound of the fitting sample
 PIECE_BYTES = 400          # longest line piece that is labelled as one
 #: Line length (bytes) at which a line's own evidence counts once.
 _UNIT = 60.0
@@ -30,7 +31,6 @@ for _b in range(256):
     _KIND[_b] = (1 if _c in " \t\x0b\x0c\r\n" else 2 if "a" <= _c <= "z" else 3 if "A" <= _c <= "Z" else 4 if _c.isascii() and _c.isdigit()
                  else 5 if _c in ".,;:?'\"()-" else 6 if _c in "#%*&$<>{}[]|\\^~=+_@/!" else 7 if _b >= 128 else 0)
 _KINDS = 8
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +179,7 @@ def fit_line_field(texts: list[str | None], labels: list[int], rounds: int = 150
         starts, r = _pieces(data, off)
         if len(starts):
             x, size = _features(data, starts, r, off)
-            feats.append(x)
+            feats.append(x.astype(np.float32))
             sizes.append(size)
         ranges.append(r[1:] + shift)
         shift += len(starts)
@@ -187,7 +187,8 @@ def fit_line_field(texts: list[str | None], labels: list[int], rounds: int = 150
         p = float(np.clip(y_doc.mean() if len(y_doc) else 0.5, 0.01, 0.99))
         return LineField(0.0, 1.0, np.zeros(36), 0.0, 0.0, float(np.log(p / (1 - p))), p)
     x, size, ranges = np.concatenate(feats), np.concatenate(sizes), np.concatenate(ranges)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    del feats, sizes
+    mean, scale = x.mean(axis=0), x.std(axis=0) + np.float32(1e-6)
     mean[-1], scale[-1] = 0.0, 1.0        # the constant
     x = (x - mean) / scale
     doc = np.searchsorted(ranges, np.arange(len(x)), side="right") - 1
@@ -255,7 +256,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             value = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, pa.float64())], [*rest, "score"])
 
-    from pyspark.sql.types import DoubleType, StructType
     schema = StructType([*docs.select(*rest).schema.fields]).add("score", DoubleType())
     return docs.select(*rest).mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
