@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
@@ -21,9 +22,13 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import work_dir
+
 NULL_KEY = "\u0000null"  # map key standing for a missing category
-# Fitted category tables are embedded in the plan (literal maps / columns), so
-# their size is checked; a column past this many categories is refused.
+# Up to this many fitted categories are literals in the plan; a larger target
+# encoder keeps its table in the shared folder and joins it.
+LITERAL_CATEGORIES = 5_000
+# The one-hot encoder makes a column per category, which has to be a bounded number.
 MAX_FITTED_CATEGORIES = 100_000
 
 
@@ -196,8 +201,12 @@ class SmoothedTargetEncoder(Estimator, HasInputCols, HasLabelCol, DefaultParamsR
         weight = 1 / (1 + F.exp(-(F.col("n") - F.lit(msl)) / F.lit(sm)))
         enc = F.when(F.col("n") == 1, F.lit(prior)).otherwise(
             F.lit(prior) * (1 - weight) + F.col("m") * weight)
-        rows = stats.select("column", "v", enc.alias("e")).limit(MAX_FITTED_CATEGORIES + 1).collect()
-        _check_size(len(rows), "target-encoder table")
+        table = stats.select("column", "v", enc.alias("e"))
+        rows = table.limit(LITERAL_CATEGORIES + 1).collect()
+        if len(rows) > LITERAL_CATEGORIES:      # too many for the plan: the table stays on the cluster
+            path = f"{work_dir(df.sparkSession, 'target-encoder')}/{uuid.uuid4().hex}"
+            table.write.parquet(path)
+            return SmoothedTargetModel(inputCols=cols, fitted=json.dumps({"prior": prior, "table": path}))
         mapping = {c: {} for c in cols}
         for r in rows:
             mapping[r["column"]][r["v"]] = r["e"]
@@ -214,6 +223,14 @@ class SmoothedTargetModel(Model, HasInputCols, _JsonParams, DefaultParamsReadabl
         fit = self._get_fitted()
         prior = fit["prior"]
         new = {}
+        if "table" in fit:                      # one row per (column, category): joins by key, no size bound
+            names, out = df.columns, df
+            table = df.sparkSession.read.schema("column string, v string, e double").parquet(fit["table"])
+            for i, c in enumerate(self.getInputCols()):
+                part = table.where(F.col("column") == c).select(F.col("v").alias(f"_k{i}"), F.col("e").alias(f"_e{i}"))
+                out = out.join(part, on=_key(c) == F.col(f"_k{i}"), how="left").withColumn(
+                    c, F.coalesce(F.col(f"_e{i}"), F.lit(prior).cast("double"))).drop(f"_k{i}", f"_e{i}")
+            return out.select(*[F.col(f"`{n}`") for n in names])
         for c in self.getInputCols():
             m = fit["mapping"][c]
             lookup = F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(v).cast("double"))])

@@ -197,10 +197,10 @@ def feature_importance_rank(long: DataFrame) -> DataFrame:
 
 
 def top_and_tail(ranking: DataFrame, n: int = 10, order: str = "rank") -> DataFrame:
-    """First ``n`` and last ``n`` rows of a ranking."""
+    """First ``n`` and last ``n`` rows of a ranking; a row in both ends appears twice."""
     head = ranking.orderBy(F.asc(order)).limit(n)
     tail = ranking.orderBy(F.desc(order)).limit(n)
-    return head.union(tail).distinct()
+    return head.union(tail)
 
 
 def contribution_summary(values: DataFrame, long: DataFrame, key: Sequence[str], bins: int = 10) -> DataFrame:
@@ -254,28 +254,34 @@ def backward_selection(spark, train: DataFrame, valid: DataFrame, features: Sequ
 
 def _shadow(df: DataFrame, features: Sequence[str], key: str, seed: int) -> DataFrame:
     """Each feature also as a shuffled copy ``shadow_<f>``: rows get a global
-    rank by key hash; copy f takes its values from the row at rank
-    (a_f * r + b_f) mod n, a bijection, joined on the rank."""
+    rank by key hash; the value of f at rank r goes to rank (a_f * r + b_f)
+    mod n, a bijection. All copies travel in long form: one grouping by their
+    new rank and one join, whatever the number of features."""
     ranked = with_global_rank(df.withColumn("_u", hash_unit(key, seed)), [F.col("_u"), F.col(key)], "_r")
     n = ranked.count()
-    out = ranked
     rng = np.random.default_rng(seed)
-    for f in features:
+    moves = []
+    for i, f in enumerate(features):
         a = int(rng.integers(1, max(n, 2)))
         while math.gcd(a, n) != 1:
             a += 1
         b = int(rng.integers(0, max(n, 1)))
-        src = ranked.select(F.col("_r").alias("_src"), F.col(f"`{f}`").alias(f"shadow_{f}"))
-        out = out.withColumn("_src", (F.col("_r") * F.lit(a) + F.lit(b)) % F.lit(n)).join(
-            src, on="_src", how="left").drop("_src")
-    return out.drop("_u", "_r")
+        moves.append(F.struct(F.lit(i).alias("i"), ((F.col("_r") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("_r"),
+                              F.col(f"`{f}`").cast("double").alias("v")))
+    long = ranked.select(F.explode(F.array(*moves)).alias("m")).select("m.*")
+    copies = long.groupBy("_r").agg(*[F.max(F.when(F.col("i") == i, F.col("v"))).alias(f"shadow_{f}")
+                                      for i, f in enumerate(features)])
+    return ranked.join(copies, on="_r").drop("_u", "_r")
 
 
 def shadow_feature_selection(spark, df: DataFrame, features: Sequence[str], label: str, key: str,
-                             iterations: int = 10, alpha: float = 0.05, seed: int = 42) -> DataFrame:
+                             iterations: int = 20, alpha: float = 0.05, seed: int = 42) -> DataFrame:
     """Keep features whose random-forest importance beats the best shuffled
     copy in significantly more than half the iterations (one-sided binomial
-    test). Returns (feature, hits, p_value, keep)."""
+    test). Returns (feature, hits, p_value, keep, rank): rank 1 for the feature
+    with the most hits, ties sharing the smallest rank."""
+    if 0.5 ** iterations >= alpha:
+        raise ValueError(f"{iterations} iterations cannot reach alpha {alpha}")
     hits = {f: 0 for f in features}
     for it in range(iterations):
         data = _shadow(df.select(key, label, *features), features, key, seed + it)
@@ -291,6 +297,6 @@ def shadow_feature_selection(spark, df: DataFrame, features: Sequence[str], labe
     rows = []
     for f, h in hits.items():
         p = sum(math.comb(iterations, k) for k in range(h, iterations + 1)) / 2 ** iterations
-        rows.append((f, h, float(p), bool(p < alpha)))
-    return spark.createDataFrame(rows, "feature string, hits int, p_value double, keep boolean")
+        rows.append((f, h, float(p), bool(p < alpha), 1 + sum(o > h for o in hits.values())))
+    return spark.createDataFrame(rows, "feature string, hits int, p_value double, keep boolean, rank int")
 

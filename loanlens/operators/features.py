@@ -323,6 +323,12 @@ def learn_vocabulary(df: DataFrame, column: str, max_categories: int | None = No
     return [r[0] for r in rows[: max_categories - 1]]
 
 
+def category_counts_long(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``(key, column, n)``: per-key count of each category that occurs, for any
+    number of categories: no vocabulary is learned and nothing reaches the driver."""
+    return keyed(df, key).groupBy(key, column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def category_counts(df: DataFrame, key: str, column: str, vocab: Sequence | None = None,
                     max_categories: int | None = None, prefix: str = "") -> DataFrame:
     """Per-key count of each category (a pivot without a pivot shuffle):

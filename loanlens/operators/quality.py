@@ -161,17 +161,19 @@ def target_rate_by_column(df: DataFrame, label: str, cols: Sequence[str], bins:
 def categorical_association(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Uncertainty coefficient U(a|b) = (H(a) - H(a|b)) / H(a) for every ordered
     pair of text columns, NULL being a category. One scan: rows are unpivoted
-    to (pair, x, y) and counted by one grouped aggregate; the margins are
-    aggregates of that joint table joined back on (pair, x) and (pair, y), so
-    no task ever holds a whole pair's table."""
+    to (unordered pair, x, y) and counted by one grouped aggregate, which gives
+    both directions; the margins are aggregates of that joint table joined back
+    on (pair, x) and (pair, y), so no task ever holds a whole pair's table."""
     def txt(c):
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<null>"))
-    pairs = [(a, b) for a in cols for b in cols if a != b]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     pair = ["column_a", "column_b"]
     long = df.select(F.explode(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                                                   txt(a).alias("x"), txt(b).alias("y")) for a, b in pairs]))
                      .alias("r")).select("r.*")
     joint = long.groupBy(*pair, "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    joint = joint.unionByName(joint.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
+                                           F.col("y").alias("x"), F.col("x").alias("y"), "n"))
     total = joint.groupBy(*pair).agg(F.sum("n").alias("total"))          # one row per pair
     nx = joint.groupBy(*pair, "x").agg(F.sum("n").alias("nx"))
     ny = joint.groupBy(*pair, "y").agg(F.sum("n").alias("ny"))

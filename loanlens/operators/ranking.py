@@ -7,6 +7,7 @@ each row gets its partition index and position from
 per-partition totals (one row per partition, a bounded table) give prefix
 offsets, and the offsets are broadcast back. The sorted table is checkpointed
 to the reliable checkpoint folder first so both uses see the same partitions.
+Quantiles sort counted values, never raw rows.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ _LOW_BITS = (1 << 33) - 1
 
 def _sorted_checkpoint(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Range-partitioned sort + position id, written to the reliable checkpoint.
-    A random last sort key lets the range partitioner split a run of equal
-    keys (one value holding a third of the rows) over many partitions; ties
-    have no defined order anyway, and the checkpoint fixes the one drawn."""
+    A hash of the whole row is the last sort key, so the range partitioner can
+    split a run of equal keys over many partitions, and a retried task draws
+    the same order again: rows equal in every column are interchangeable and
+    stay together. Callers whose rows repeat count them first."""
     ensure_checkpoint_dir(df.sparkSession)
-    ranked = (df.withColumn("_tie", F.rand(7)).orderBy(*order, F.col("_tie"))
+    ranked = (df.withColumn("_tie", F.xxhash64(*df.columns)).orderBy(*order, F.col("_tie"))
               .withColumn("_mid", F.monotonically_increasing_id()).drop("_tie"))
     return ranked.checkpoint(eager=True)
 
@@ -67,28 +69,35 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     """Exact, linearly interpolated quantiles (pandas/numpy "linear") of
     ``value`` per group, NULLs ignored. Output: ``groups..., p, q``.
 
-    Rows are globally ranked by (groups, value); each group's start rank and
-    size give the two order statistics around ``p * (n - 1)``, fetched by an
-    equi-join on the rank. No group is ever gathered into one task.
+    Rows are first counted by (groups, value), combined map-side, so no raw
+    row is sorted. Running counts over the distinct values give each value the
+    interval of ranks it holds; a value is an order statistic around
+    ``p * (n - 1)`` when that rank lies in its interval.
     """
     groups = list(groups)
     base = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    ranked = with_global_rank(base, [F.col(g).asc_nulls_first() for g in groups] + [F.col("_v")])
-    bounds = ranked.groupBy(*groups).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (bounds.select(*groups, "_start", "_n", F.explode(probs_arr).alias("p"))
-               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_lo", F.col("_start") + F.floor("_pos"))
-               .withColumn("_hi", F.col("_start") + F.ceil("_pos"))
-               .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
-    # one equi-join on the rank fetches both order statistics of every target
-    need = targets.select(*groups, "p", "_frac", F.explode(F.array(
-        F.struct(F.lit(0).alias("_hi_side"), F.col("_lo").alias("_rank")),
-        F.struct(F.lit(1).alias("_hi_side"), F.col("_hi").alias("_rank")))).alias("t")).select(
-        *groups, "p", "_frac", "t.*")
-    got = need.join(ranked.select("_rank", "_v"), on="_rank")
-    out = got.groupBy(*groups, "p", "_frac").agg(
-        F.max(F.when(F.col("_hi_side") == 0, F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_hi_side") == 1, F.col("_v"))).alias("_vhi"))
+    counts = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    held = running_sums(counts, [F.col(g).asc_nulls_first() for g in groups] + [F.col("_v")], ["_n"], prefix="_cum")
+    held = held.withColumn("_from", F.col("_cum_n") - F.col("_n"))
+    bounds = held.groupBy(*groups).agg(F.min("_from").alias("_start"), F.sum("_n").alias("_size"))
+    if groups:
+        named = bounds.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(groups)})
+        same = F.lit(True)
+        for i, g in enumerate(groups):
+            same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+        held = held.join(named, on=same)
+    else:
+        whole = bounds.first()     # two numbers
+        held = held.withColumns({"_start": F.lit(whole["_start"]), "_size": F.lit(whole["_size"])})
+
+    def at(p, side):
+        rank = F.col("_start") + side(p * (F.col("_size") - 1))
+        return (F.col("_from") <= rank) & (rank < F.col("_cum_n"))
+    wanted = F.filter(F.array(*[F.lit(float(p)) for p in probs]), lambda p: at(p, F.floor) | at(p, F.ceil))
+    pos = F.col("p") * (F.col("_size") - 1)
+    out = held.withColumn("p", F.explode(wanted)).groupBy(*groups, "p").agg(
+        F.max(F.when(at(F.col("p"), F.floor), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(at(F.col("p"), F.ceil), F.col("_v"))).alias("_vhi"),
+        F.max(pos - F.floor(pos)).alias("_frac"))
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return out.select(*groups, "p", q.cast("double").alias("q"))

@@ -45,24 +45,36 @@ def split_children(child: DataFrame, parent_keys: DataFrame, key: str) -> DataFr
     """Child rows whose key occurs in the parent split (``isin`` -> semi join).
     Spark plans a broadcast semi join only when the key side is measured small
     (AQE runtime statistics), else a sort-merge semi join that AQE splits when
-    one key is skewed."""
-    return child.join(parent_keys.select(key).distinct(), on=key, how="left_semi")
+    one key is skewed: that needs a bare shuffle on either side, so the keys
+    are not made distinct first (a semi join does not need it)."""
+    return child.join(parent_keys.select(key), on=key, how="left_semi")
 
 
 def split_grandchildren(grandchild: DataFrame, child: DataFrame, parent_keys: DataFrame, parent_key: str,
                         child_key: str) -> DataFrame:
     """Two hops: parent split -> child rows -> grandchild rows."""
     kids = split_children(child.select(parent_key, child_key), parent_keys, parent_key)
-    return grandchild.join(kids.select(child_key).distinct(), on=child_key, how="left_semi")
+    return grandchild.join(kids.select(child_key), on=child_key, how="left_semi")
 
 
 def propagate_split(child: DataFrame, parent_split: DataFrame, key: str, split_col: str = "split") -> DataFrame:
-    """Child rows take the split of their parent (inner join on the parent key,
-    so rows without a parent drop out, like the reference's ``isin`` filter).
-    The split is a function of the parent key; one row per key is kept with an
-    aggregate partitioned on the key, which the join then reuses."""
-    parents = parent_split.groupBy(key).agg(F.max(split_col).alias(split_col))
-    return child.join(parents, on=key, how="inner")
+    """Child rows take the split of their parent; rows without a parent drop
+    out, like the reference's ``isin`` filter. One semi join per split value:
+    both sides are bare shuffles, so AQE can split a hot parent key, and parent
+    rows that repeat a key cannot multiply its children."""
+    out = None
+    for value in ("train", "test"):
+        keys = parent_split.where(F.col(split_col) == value).select(key)
+        part = child.join(keys, on=key, how="left_semi").withColumn(split_col, F.lit(value))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def split_by_own_key(child: DataFrame, parents: DataFrame, key: str, test_size: float = 0.05, seed: int = 42,
+                     split_col: str = "split") -> DataFrame:
+    """Direct children of a hash-split parent: the split follows from the hash of
+    the child's own parent key, and a plain semi join drops rows without a parent."""
+    return holdout_split(split_children(child, parents, key), key, test_size, seed, split_col)
 
 
 def split_family(app: DataFrame, bureau: DataFrame, balance: DataFrame, prev: DataFrame, cash: DataFrame,
@@ -72,8 +84,8 @@ def split_family(app: DataFrame, bureau: DataFrame, balance: DataFrame, prev: Da
     through the bureau loan, the three monthly tables through the previous
     application (two hops, as the reference derives them)."""
     a = holdout_split(app, "SK_ID_CURR", test_size, seed)
-    b = propagate_split(bureau, a, "SK_ID_CURR")
-    p = propagate_split(prev, a, "SK_ID_CURR")
+    b = split_by_own_key(bureau, a, "SK_ID_CURR", test_size, seed)
+    p = split_by_own_key(prev, a, "SK_ID_CURR", test_size, seed)
     return {"application": a, "bureau": b, "bureau_balance": propagate_split(balance, b, "SK_ID_BUREAU"),
             "previous_application": p, "pos_cash_balance": propagate_split(cash, p, "SK_ID_PREV"),
             "installments_payments": propagate_split(inst, p, "SK_ID_PREV"),

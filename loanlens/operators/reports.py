@@ -76,39 +76,29 @@ def histogram(df: DataFrame, col: str, bins: int | str = 10) -> DataFrame:
                                                            F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def class_density(df: DataFrame, value: str, label: str, grid_points: int = 200, fine_bins: int = 1024,
-                  cut: float = 3.0, common_norm: bool = False) -> DataFrame:
+def class_density(df: DataFrame, value: str, label: str, grid_points: int = 200, cut: float = 3.0,
+                  common_norm: bool = False) -> DataFrame:
     """Gaussian kernel density of ``value`` per class, each class normalised on
     its own, on a ``grid_points`` grid spanning min - cut*bw .. max + cut*bw.
 
     With ``common_norm`` each class curve is scaled by the class's share of
     rows instead, so the curves together integrate to one (the plotting
     library's default with a hue). Bandwidth is Scott's rule (n^-1/5 times the
-    sample std). The kernel sum
-    runs over a fine histogram of each class (``fine_bins`` bin centres with
-    counts) instead of every row, so the work after one aggregation pass is
-    classes x grid x bins, independent of the row count.
+    sample std). The kernel sum is exact: equal values are counted first, each
+    distinct value adds its term to every grid point, and the terms are summed
+    map-side, so the shuffle holds classes x grid rows per task.
     """
     x = F.col(value).cast("double")
     base = df.where(x.isNotNull() & F.col(label).isNotNull()).select(F.col(label).alias("cls"), x.alias("x"))
     st = base.groupBy("cls").agg(_count().alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
                                  F.stddev_samp("x").alias("sd"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    st = st.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(float(fine_bins)))
-    binned = (base.join(F.broadcast(st.select("cls", "lo", "hi", "width")), on="cls")
-              .withColumn("b", F.when(F.col("width") > 0,
-                                      F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")),
-                                              F.lit(fine_bins - 1))).otherwise(F.lit(0)).cast("int"))
-              .groupBy("cls", "b").agg(_count().alias("m")))
-    centres = binned.join(F.broadcast(st.select("cls", "lo", "width")), on="cls").select(
-        "cls", "m", (F.col("lo") + (F.col("b") + 0.5) * F.col("width")).alias("c"))
-    pts = st.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
-    pts = pts.select("cls", "g", "n", "bw",
-                     (F.col("lo") - cut * F.col("bw") + F.col("g") * (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw"))
-                      / F.lit(float(grid_points - 1))).alias("x"))
-    z = (F.col("x") - F.col("c")) / F.col("bw")
-    dens = (pts.join(centres, on="cls")
-            .groupBy("cls", "g", "x", "n", "bw")
+    counted = base.groupBy("cls", F.col("x").alias("c")).agg(_count().alias("m"))
+    terms = counted.join(st, on="cls").withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+    point = (F.col("lo") - cut * F.col("bw") + F.col("g") * (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw"))
+             / F.lit(float(grid_points - 1)))
+    z = (point - F.col("c")) / F.col("bw")
+    dens = (terms.groupBy("cls", "g", point.alias("x"), "n", "bw")
             .agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("k")))
     density = F.col("k") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
     if common_norm:
@@ -191,7 +181,9 @@ def group_median(df: DataFrame, group: str, amount: str, name: str) -> DataFrame
 
 
 def group_rate_and_median(df: DataFrame, group: str, label: str, amount: str) -> DataFrame:
-    """Per group: mean label and exact median amount, ordered by the rate."""
+    """Per group: mean label and exact median amount, ordered by the rate; rows
+    without a group are left out."""
+    df = df.where(F.col(group).isNotNull())
     rate = df.groupBy(group).agg(F.avg(label).alias(f"{label}_mean"))
     med = group_median(df, group, amount, f"{amount}_median")
     return rate.join(med, on=group, how="left").orderBy(f"{label}_mean", group)
@@ -210,20 +202,25 @@ def filter_groups_by_median(df: DataFrame, group: str, amount: str, value: float
 
 
 def crosstab_counts(df: DataFrame, x: str, y: str, y_values: Sequence | None = None) -> DataFrame:
-    """Group x outcome count table; every outcome column present, 0 when empty."""
+    """Group x outcome count table; every outcome column present, 0 when empty.
+    The wide form has a column per outcome; for outcomes without a bound use
+    ``crosstab_long``, which no outcome name ever leaves the cluster for."""
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if y_values is None:  # outcome values become columns: fetch at most 1001 and refuse more
-        y_values = [r[0] for r in base.select(y).distinct().orderBy(y).limit(1001).collect()]
-        if len(y_values) > 1000:
-            raise ValueError(f"{y}: too many outcome values for a crosstab")
+    if y_values is None:  # the outcome values become columns, so their names are fetched
+        y_values = [r[0] for r in base.select(y).distinct().orderBy(y).collect()]
     wide = base.groupBy(x).pivot(y, list(y_values)).agg(_count())
     return wide.fillna(0, subset=[str(v) for v in y_values])
 
 
+def crosstab_long(df: DataFrame, x: str, y: str) -> DataFrame:
+    """``(x, y, n)``: one row per pair that occurs, whatever the number of outcomes."""
+    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(_count().alias("n"))
+
+
 def grouped_describe(df: DataFrame, group: str, value: str) -> DataFrame:
     """pandas ``groupby().describe()``: count, mean, std, min, quartiles, max.
-    Quartiles are exact and interpolated, computed from global ranks."""
-    base = df.where(F.col(value).isNotNull())
+    Quartiles are exact and interpolated; rows without a group are left out."""
+    base = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
     stats = base.groupBy(group).agg(_count().alias("count"), F.avg(value).alias("mean"),
                                     F.stddev_samp(value).alias("std"), F.min(value).cast("double").alias("min"),
                                     F.max(value).cast("double").alias("max"))

@@ -40,7 +40,7 @@ def target_pipeline(use_gender: bool = False) -> Pipeline:
     """Preprocessing of the payment-difficulty model. Gender stays in the mart
     (the group-impact report needs it) but is a model feature only on request."""
     onehot = APP_ONEHOT if use_gender else []
-    exclude = ["SK_ID_CURR"] + ([] if use_gender else APP_ONEHOT)
+    exclude = ["SK_ID_CURR", "fold"] + ([] if use_gender else APP_ONEHOT)
     return tr.column_role_pipeline(onehot_cols=onehot, target_cols=APP_TARGET_ENC, label_col=LABEL_T,
                                    exclude_cols=exclude, mode_impute_cols=onehot,
                                    constant_impute_cols=APP_TARGET_ENC)
@@ -209,14 +209,13 @@ def q_refit(spark, d):
 
 @register("hyperparameter_search")
 def q_search(spark, d):
-    m = target_pipeline().fit(mart20(spark, d)).transform(mart20(spark, d)).select("SK_ID_CURR", LABEL_T, "features")
-    return tr.hyperparameter_search(spark, m, LABEL_T, "SK_ID_CURR", n_trials=4, k=5, max_iter=20)
+    return tr.hyperparameter_search(spark, mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), n_trials=4, k=5,
+                                    max_iter=20)
 
 
 @register("model_leaderboard")
 def q_leaderboard(spark, d):
-    m = target_pipeline().fit(mart20(spark, d)).transform(mart20(spark, d)).select("SK_ID_CURR", LABEL_T, "features")
-    return tr.model_leaderboard(spark, m, LABEL_T, "SK_ID_CURR", sample_frac=0.2, k=3)
+    return tr.model_leaderboard(spark, mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), sample_frac=0.2, k=3)
 
 
 def _refusal_model(spark, d, max_iter=60) -> PipelineModel:
@@ -299,7 +298,7 @@ def q_shadow(spark, d):
     names = pm.stages[-1].feature_names()
     m = pm.transform(mart20(spark, d)).select("SK_ID_CURR", LABEL_T, vector_to_array("features").alias("_x")).select(
         "SK_ID_CURR", LABEL_T, *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
-    return at.shadow_feature_selection(spark, m, names, LABEL_T, "SK_ID_CURR", iterations=4)
+    return at.shadow_feature_selection(spark, m, names, LABEL_T, "SK_ID_CURR", iterations=6)
 
 
 # ------------------------------------------------------------------ §M scoring

@@ -476,21 +476,15 @@ SQL["class_density"] = with_views(["v_score"]) + """, base AS (
 ), st AS (
   SELECT cls, count(*) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) AS sd FROM base GROUP BY cls
 ), st2 AS (
-  SELECT *, sd * pow(CAST(n AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS bw, (hi - lo) / CAST(1024 AS DOUBLE) AS width FROM st
-), binned AS (
-  SELECT b.cls, CAST(CASE WHEN width > 0 THEN least(floor((x - lo) / width), 1023) ELSE 0 END AS INTEGER) AS bb,
-         count(*) AS m
-  FROM base b JOIN st2 ON b.cls = st2.cls GROUP BY 1, 2
-), centres AS (
-  SELECT binned.cls, m, lo + (bb + CAST(0.5 AS DOUBLE)) * width AS c FROM binned JOIN st2 ON binned.cls = st2.cls
+  SELECT *, sd * pow(CAST(n AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS bw FROM st
 ), pts AS (
   SELECT cls, CAST(t.g AS INTEGER) AS g, n, bw,
          lo - CAST(3 AS DOUBLE) * bw + t.g * (hi - lo + CAST(6 AS DOUBLE) * bw) / CAST(199 AS DOUBLE) AS x
   FROM st2 CROSS JOIN range(200) t(g)
 )
-SELECT pts.cls AS label, g AS point, x AS score,
-       sum(m * exp(CAST(-0.5 AS DOUBLE) * ((x - c) / bw) * ((x - c) / bw))) / (n * bw * sqrt(2 * pi())) AS density
-FROM pts JOIN centres ON pts.cls = centres.cls GROUP BY pts.cls, g, x, n, bw"""
+SELECT pts.cls AS label, g AS point, pts.x AS score,
+       sum(exp(CAST(-0.5 AS DOUBLE) * ((pts.x - base.x) / bw) * ((pts.x - base.x) / bw))) / (n * bw * sqrt(2 * pi())) AS density
+FROM pts JOIN base ON pts.cls = base.cls GROUP BY pts.cls, g, pts.x, n, bw"""
 
 SQL["within_group_percent"] = with_views(["v_app"]) + """
 SELECT ORGANIZATION_TYPE, TARGET, count(*) AS n,

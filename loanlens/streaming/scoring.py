@@ -69,10 +69,14 @@ def score_stream(spark: SparkSession, source_dir: str, model: PipelineModel, sin
     def handle(batch: DataFrame, epoch: int) -> None:
         # each micro-batch owns one folder, overwritten on a retry: a replayed
         # batch after a failure replaces its own output instead of adding to it
-        good, bad = validate_records(batch)
-        score_batch(good, model, threshold, key).write.mode("overwrite").parquet(f"{sink_dir}/batch_id={epoch}")
-        if quarantine_dir is not None:
-            bad.write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={epoch}")
+        batch.persist()      # good and bad rows both come from it: each file is parsed once
+        try:
+            good, bad = validate_records(batch)
+            score_batch(good, model, threshold, key).write.mode("overwrite").parquet(f"{sink_dir}/batch_id={epoch}")
+            if quarantine_dir is not None:
+                bad.write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={epoch}")
+        finally:
+            batch.unpersist()
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

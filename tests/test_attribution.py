@@ -73,3 +73,18 @@ def test_importance_rank_is_zero_based_and_sorted(spark, fitted):
     assert [r["rank"] for r in rank] == [0, 1, 2, 3]
     imps = [r["importance"] for r in rank]
     assert imps == sorted(imps, reverse=True)
+
+
+def test_top_and_tail_keeps_both_ends(spark):
+    from loanlens.operators.attribution import top_and_tail
+    ranking = spark.range(15).withColumnRenamed("id", "rank")
+    assert top_and_tail(ranking, 10).count() == 20
+
+
+def test_shadow_selection_keeps_a_planted_feature_and_refuses_too_few_rounds(spark):
+    from loanlens.operators.attribution import shadow_feature_selection
+    df = spark.range(600).selectExpr("id as k", "cast(id % 2 as double) as y", "cast(id % 2 as double) + 0.1 * rand(1) as signal", "rand(2) as noise")
+    got = {r["feature"]: r for r in shadow_feature_selection(spark, df, ["signal", "noise"], "y", "k", iterations=5).collect()}
+    assert got["signal"]["keep"] and not got["noise"]["keep"] and got["signal"]["rank"] == 1
+    with pytest.raises(ValueError):
+        shadow_feature_selection(spark, df, ["signal"], "y", "k", iterations=4)

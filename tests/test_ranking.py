@@ -42,13 +42,14 @@ def test_median_even_count(spark):
 
 
 def test_hot_value_is_spread_over_range_partitions(spark):
-    """One value holding a third of all rows must not land in a single task.
+    """One value holding a third of all rows must not land in a single task (the
+    rows differ in another column; equal rows are counted before any sort).
     (AQE coalescing is switched off here: on tiny data it merges every range
     partition into one; at scale it only merges up to the advisory size.)"""
     from loanlens.operators.ranking import _sorted_checkpoint
     n = 6000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7.0))
-                               .otherwise(F.col("id").cast("double")).alias("v"))
+                               .otherwise(F.col("id").cast("double")).alias("v"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         s = _sorted_checkpoint(df, [F.col("v")])
@@ -60,3 +61,24 @@ def test_hot_value_is_spread_over_range_partitions(spark):
     assert max(sizes) < hot        # the 2000 rows with v = 7.0 are split across partitions
     q = exact_quantiles(df, "v", [0.5]).collect()[0]["q"]
     assert q == float(np.quantile(np.where(np.arange(n) % 3 == 0, 7.0, np.arange(n)), 0.5))
+
+
+def test_quantiles_of_null_groups_and_heavy_ties(spark):
+    rows = [("a", 1.0)] * 50 + [("a", 2.0)] + [(None, 3.0), (None, 5.0), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "x", [0.5, 1.0], groups=["g"]).collect()}
+    assert got == {("a", 0.5): 1.0, ("a", 1.0): 2.0, (None, 0.5): 4.0, (None, 1.0): 5.0}
+    assert exact_quantiles(df.where("x > 9"), "x", [0.5]).collect() == []
+
+
+def test_quantiles_sort_counted_values_only(spark):
+    """No raw row is sorted: the sorted table holds one row per distinct value."""
+    from loanlens.operators import ranking
+    seen = []
+    plain = ranking._sorted_checkpoint
+    ranking._sorted_checkpoint = lambda df, order: seen.append(df.count()) or plain(df, order)
+    try:
+        exact_quantiles(spark.range(5000).select((F.col("id") % 7).alias("v")), "v", [0.5]).collect()
+    finally:
+        ranking._sorted_checkpoint = plain
+    assert seen == [7]

@@ -108,3 +108,19 @@ def test_gbt_beats_naive_baseline_on_planted_signal(spark):
     p = train.agg(F.avg("y")).first()[0]
     naive_ll = ev.log_loss(valid.select(F.col("y").alias("label"), F.lit(p).alias("score"))).first()[0]
     assert model_ll < naive_ll - 0.05
+
+
+def test_target_encoder_joins_a_table_of_many_categories(spark):
+    from loanlens.modeling.stages import SmoothedTargetEncoder, SmoothedTargetModel
+    from loanlens.sources.tables import work_dir
+    df = spark.range(200_000).select(F.concat(F.lit("c"), (F.col("id") % 60_000).cast("string")).alias("a"), F.lit("x").alias("b"),
+                                     (F.col("id") % 2).cast("double").alias("label"))
+    model = SmoothedTargetEncoder(inputCols=["a", "b"], labelCol="label").fit(df)
+    assert "table" in model._get_fitted()
+    path = work_dir(spark, "encoder-test")
+    model.write().overwrite().save(path)
+    unseen = spark.createDataFrame([("new", None, 1.0)], "a string, b string, label double")
+    out = SmoothedTargetModel.load(path).transform(df.limit(3).unionByName(unseen))
+    rows = out.collect()
+    assert out.columns == df.columns and len(rows) == 4
+    assert 0.5 in [r["a"] for r in rows] and all(0.0 <= r["a"] <= 1.0 for r in rows)

@@ -1,4 +1,5 @@
 """Chi-square test, splits and folds."""
+import numpy as np
 import math
 
 import pytest
@@ -124,3 +125,35 @@ def test_category_percent_order(spark):
     out = rp.category_percent(df, "s", order=["X", "C", "5"]).collect()
     assert [r["s"] for r in out] == ["X", "C"]
     assert out[0]["pct"] == pytest.approx(300 / 9) and out[1]["pct"] == pytest.approx(200 / 9)
+
+
+def test_density_is_the_exact_kernel_sum(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=300), 2)
+    y = rng.integers(0, 2, 300)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y)], "score double, label int")
+    for r in rp.class_density(df, "score", "label").collect()[::37]:
+        v = x[y == r["label"]]
+        bw = v.std(ddof=1) * len(v) ** -0.2
+        want = np.exp(-0.5 * ((r["score"] - v) / bw) ** 2).sum() / (len(v) * bw * np.sqrt(2 * np.pi))
+        assert r["density"] == pytest.approx(want, rel=1e-9)
+
+
+def test_rows_without_a_group_are_left_out_and_wide_outcomes_are_counted(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), (None, 0, 3.0), ("a", 0, 4.0)], "g string, y int, x double")
+    assert [r["g"] for r in rp.group_rate_and_median(df, "g", "y", "x").collect()] == ["a"]
+    assert [(r["g"], r["q50"]) for r in rp.grouped_describe(df, "g", "x").collect()] == [("a", 3.0)]
+    many = spark.range(200_000).select((F.col("id") % 2).alias("g"), F.col("id").alias("y"))
+    assert rp.crosstab_long(many, "g", "y").count() == 200_000
+
+
+def test_hot_parent_key_is_split_and_repeated_parents_do_not_multiply(spark):
+    from loanlens.operators import relational as rel
+    app = spark.range(50).select(F.col("id").alias("SK_ID_CURR"))
+    kids = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 80).alias("SK_ID_CURR"), F.col("id").alias("k"))
+    a = rel.holdout_split(app, "SK_ID_CURR", 0.3)
+    own = rel.split_by_own_key(kids, a, "SK_ID_CURR", 0.3)
+    via = rel.propagate_split(kids, a.union(a), "SK_ID_CURR")
+    want = {(r["k"], r["split"]) for r in kids.join(a, "SK_ID_CURR").collect()}
+    assert {(r["k"], r["split"]) for r in own.collect()} == want == {(r["k"], r["split"]) for r in via.select("k", "split").collect()}
+    assert via.count() == own.count() == len(want)
