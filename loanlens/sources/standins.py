@@ -73,7 +73,7 @@ BUREAU = StandIn(
     "v_bur", ("orders",),
     _cols(
         ("SK_ID_BUREAU", "o_orderkey"),
-        ("SK_ID_CURR", "o_custkey"),
+        ("SK_ID_CURR", "o_custkey * (1 - 2 * CAST(o_custkey % 10 = 3 AS INT))"),
         ("CREDIT_ACTIVE", "CASE WHEN o_orderstatus = 'F' THEN 'Closed' WHEN o_orderstatus = 'O' THEN 'Active' "
                           "WHEN o_orderkey % 5 = 0 THEN 'Bad debt' ELSE 'Sold' END"),
         ("CREDIT_CURRENCY", "CASE WHEN o_orderkey % 37 = 0 THEN 'currency 2' WHEN o_orderkey % 101 = 0 "
@@ -102,7 +102,6 @@ BUREAU = StandIn(
         ("AMT_CREDIT_SUM_OVERDUE", "CASE WHEN o_orderkey % 19 = 0 THEN o_totalprice * 0.05 ELSE CAST(0 AS DOUBLE) END"),
         ("AMT_ANNUITY", "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice / 36 END"),
     ),
-    where="o_custkey % 10 <> 3",
 )
 
 BUREAU_BALANCE = StandIn(
@@ -119,7 +118,7 @@ INSTALLMENTS = StandIn(
     "v_inst", ("lineitem", "orders"),
     _cols(
         ("SK_ID_PREV", "o_orderkey"),
-        ("SK_ID_CURR", "o_custkey"),
+        ("SK_ID_CURR", "o_custkey * (1 - 2 * CAST(o_custkey % 10 = 4 AS INT))"),
         ("NUM_INSTALMENT_VERSION", "CAST(l_linenumber % 2 AS DOUBLE)"),
         ("NUM_INSTALMENT_NUMBER", "l_linenumber"),
         ("DAYS_INSTALMENT", "DAYS[o_orderdate]"),
@@ -128,14 +127,13 @@ INSTALLMENTS = StandIn(
         ("AMT_PAYMENT", "CASE WHEN l_partkey % 20 = 0 THEN NULL ELSE l_extendedprice * (1 - l_discount) END"),
     ),
     join_on="l_orderkey = o_orderkey",
-    where="o_custkey % 10 <> 4",
 )
 
 CASH = StandIn(
     "v_cash", ("lineitem", "orders"),
     _cols(
         ("SK_ID_PREV", "o_orderkey"),
-        ("SK_ID_CURR", "o_custkey"),
+        ("SK_ID_CURR", "o_custkey * (1 - 2 * CAST(o_custkey % 10 = 5 AS INT))"),
         ("MONTHS_BALANCE", "CAST(-l_linenumber AS INT)"),
         ("CNT_INSTALMENT", "CASE WHEN l_linenumber = 5 THEN NULL ELSE l_quantity END"),
         ("NAME_CONTRACT_STATUS", "CASE WHEN l_linestatus = 'O' THEN 'Active' ELSE 'Completed' END"),
@@ -143,7 +141,6 @@ CASH = StandIn(
         ("SK_DPD_DEF", "CAST(greatest(DIFF[l_shipdate,o_orderdate] - 1900, 0) AS BIGINT)"),
     ),
     join_on="l_orderkey = o_orderkey",
-    where="o_custkey % 10 <> 5",
 )
 
 CARD = StandIn(
@@ -178,7 +175,7 @@ PREVIOUS = StandIn(
     "v_prev", ("orders",),
     _cols(
         ("SK_ID_PREV", "o_orderkey"),
-        ("SK_ID_CURR", "o_custkey"),
+        ("SK_ID_CURR", "o_custkey * (1 - 2 * CAST(o_custkey % 10 = 6 AS INT))"),
         ("NAME_CONTRACT_TYPE", "CASE WHEN o_orderkey % 41 = 0 THEN 'XNA' WHEN o_orderkey % 3 = 0 THEN 'Consumer loans' "
                                "WHEN o_orderkey % 3 = 1 THEN 'Cash loans' ELSE 'Revolving loans' END"),
         ("NAME_CONTRACT_STATUS", "CASE WHEN o_orderkey % 13 = 0 THEN 'Unused offer' WHEN o_orderstatus = 'F' "
@@ -240,7 +237,6 @@ PREVIOUS = StandIn(
                                 "ELSE 'Cash' END"),
         ("NFLAG_INSURED_ON_APPROVAL", "CASE WHEN o_orderstatus = 'O' THEN CAST(o_orderkey % 2 AS DOUBLE) ELSE NULL END"),
     ),
-    where="o_custkey % 10 <> 6",
 )
 
 SCORES = StandIn(

@@ -1,8 +1,8 @@
 """Scans and sinks.
 
 Paths for written artefacts come from the caller or from ``work_dir`` - a
-folder under the cluster's shared ``spark.checkpoint.dir`` - never from a
-machine-local temporary folder.
+folder under the cluster's shared ``spark.checkpoint.dir``. Only a local
+session without that setting writes to a scratch folder of its machine.
 """
 
 from __future__ import annotations
