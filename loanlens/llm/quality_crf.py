@@ -5,13 +5,14 @@ bad label. Its features describe the line's bytes and those of its neighbours; t
 neighbouring labels. Forward-backward gives each line's probability of being good, and the
 byte-length-weighted mean over the lines, put through a fitted logistic curve, is the score.
 
-The field is fitted on the driver from a bounded sample of labelled documents: lines start with
+The field is fitted in one task from a bounded sample of labelled documents: lines start with
 their document's label, then lines of bad documents that the first field calls good are relabelled
 once. Scoring streams over all documents, vectorised over the lines of a chunk.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -224,13 +225,24 @@ def fit_line_field(texts: list[str | None], labels: list[int], rounds: int = 150
     return LineField(mean, scale, w, bind, float(slope), float(at), p)
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, label_col: str, limit: int = FIT_DOCUMENTS) -> tuple[list, list]:
-    """(texts, labels) of at most ``limit`` labelled rows of (id, text), the same ones on every run (by hash of the id)."""
+def fit_on_labels(docs: DataFrame, labels: DataFrame, label_col: str, limit: int, fit):
+    """``fit(texts, labels)`` of at most ``limit`` labelled rows of (id, text), the same ones on every run (by hash of the id).
+
+    The bounded sample meets in one executor task, which returns the fitted model; the driver holds no text.
+    """
     ids = (labels.select("id", F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)").dropDuplicates(["id"])
            .orderBy(F.xxhash64("id"), "id").limit(limit))
-    rows = docs.join(F.broadcast(ids), "id").select("id", "text", "y").dropDuplicates(["id"]).collect()
-    rows.sort(key=lambda r: r["id"])
-    return [r["text"] for r in rows], [r["y"] for r in rows]
+    sample = docs.join(F.broadcast(ids), "id").select("id", "text", "y").dropDuplicates(["id"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, y = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            y += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, y))], pa.binary())], ["model"])
+
+    got = sample.repartition(1).sortWithinPartitions("id").select("text", "y").mapInArrow(learn, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit([], [])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -244,8 +256,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts, y = fit_on_labels(plain, labels.withColumnRenamed(id_col, "id"), label_col, limit)
-    field = spark.sparkContext.broadcast(fit_line_field(texts, y))
+    field = spark.sparkContext.broadcast(fit_on_labels(plain, labels.withColumnRenamed(id_col, "id"), label_col, limit, fit_line_field))
 
     rest = [c for c in docs.columns if c not in ("score", "predicted")]
 

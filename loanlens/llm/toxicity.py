@@ -250,8 +250,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts, y = fit_on_labels(plain, labels.withColumnRenamed(id_col, "id"), label_col, limit)
-    model = spark.sparkContext.broadcast(fit_toxicity(texts, y))
+    model = spark.sparkContext.broadcast(fit_on_labels(plain, labels.withColumnRenamed(id_col, "id"), label_col, limit, fit_toxicity))
     rest = [c for c in docs.columns if c not in ("score", "predicted")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
