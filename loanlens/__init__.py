@@ -11,8 +11,18 @@ Modules (all functions take and return DataFrames, or are Spark ML stages):
 * ``streaming``  - record validation, batch and stream scoring
 """
 
-from .operators import (attribution, evaluate, features, quality, ranking, relational,  # noqa: F401
-                        reports, splits, stats)
+from importlib import import_module
+
 from .session import ensure_checkpoint_dir, get_spark  # noqa: F401
 
+_OPERATORS = ("attribution", "evaluate", "features", "quality", "ranking", "relational", "reports", "splits", "stats")
+
+
+def __getattr__(name: str):
+    """Operator modules load on first use: Python workers import only what they run."""
+    if name in _OPERATORS:
+        return import_module(f".operators.{name}", __name__)
+    raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
+
+
 __version__ = "0.1.0"
