@@ -62,9 +62,9 @@ class Scratch:
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when it was counted to hold at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def few(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a written table holds at most ``rows`` rows, by the counts in its files."""
+    return df.count() <= rows
 
 
 # ---------------------------------------------------------------- text kernels
@@ -194,33 +194,28 @@ def rolling(data: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 # ---------------------------------------------------------------- components
 
-def components(spark: SparkSession, scratch: Scratch, edges: DataFrame) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected edge table (u, v); component is the smallest node reachable.
 
-    Alternating large-star and small-star rounds: each round hangs the neighbours of a
-    node on its smallest neighbour, the number of edges never grows, and every step is a
-    map-side-combined minimum and a join. No edge reaches the driver. Self-loops and
-    repeated edges are allowed; rows with a null end are ignored; no edges give no rows.
+    Alternating large-star and small-star rounds over edges kept as (larger end, smaller end): ``low`` holds the
+    smallest neighbour of each larger end, combined map-side. The large star hangs every larger end on the
+    smallest neighbour of its smaller end, the small star hangs all smaller neighbours of a node on the
+    smallest of them. The number of edges never grows, and the rounds end when every tree is flat. ``low`` is a
+    written table, so both sides of each join are plain shuffles that AQE can split at a hot node. No edge reaches
+    the driver. Self-loops and repeated edges are allowed; rows with a null end are ignored; no edges give no rows.
     """
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        near = both.join(low, "u")
-        if large:
-            out = near.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = near.filter("v <= u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-                low.select("u", F.col("m").alias("v")))
-        return out.filter("u <> v").distinct()
-
-    e = scratch.save(edges.filter("u is not null and v is not null and u <> v").select("u", "v").distinct(), "edges")
-    before = None
+    e = edges.filter("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    e = scratch.save(e.distinct(), "edges")
     while True:
-        e2 = scratch.save(star(star(e, True), False), "edges")
-        now = tuple(e2.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        e = e2
-        if now == before:
+        low = scratch.save(e.groupBy("u").agg(F.min("v").alias("m")), "low")
+        below = low.select(F.col("u").alias("v"), "m")
+        if low.count() == e.count() and e.join(below, "v", "left_semi").isEmpty():
             break
-        before = now
-    return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(
+        large = scratch.save(e.join(below, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "large")
+        scratch.drop(e)
+        low = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        hung = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        e = scratch.save(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        scratch.drop(large)
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from loanlens.llm.common import Scratch
+from loanlens.llm.common import Scratch, few
 
 LEVELS = ("domain", "lang", "source")
 #: Weights of the registered query; anything else weighs 1.
@@ -23,6 +23,7 @@ DOMAIN_WEIGHTS = {"reference": 3, "web": 2, "forum": 1}
 LANG_WEIGHTS = {"en": 6, "de": 2, "fr": 2, "es": 1}
 BUDGET_SHARE = (6, 10)         # budget = 6/10 of the tokens of the input
 MAX_EPOCHS = 3
+LEAVES = 100_000               # plans of more leaves are shuffled instead of broadcast
 #: Tokens: runs of characters other than blank, tab, line feed, vertical tab, form feed, carriage return.
 _TOKEN, _BETWEEN = r"[^ \t\n\x0B\f\r]+", r"[ \t\n\x0B\f\r]+"
 #: The domain of a source, by its trailing number (none: web).
@@ -94,22 +95,24 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     budgets = scratch.save(leaf_budgets(leaves, share, max_epochs).filter("budget > 0"), "budgets")
     # whole epochs, and what is left for the last one
     plan = budgets.withColumns({"whole": F.expr("budget div tokens"), "left": F.expr("budget % tokens")}).drop("tokens", "budget")
+    # one row per leaf at most in the plan and in the ends
+    hint = F.broadcast if few(budgets, LEAVES) else (lambda df: df)
 
     # last epoch: slot totals (combined map-side) locate the end, one slot is ordered by document
-    last = rows.join(F.broadcast(plan.filter("left > 0")) if plan.count() <= 100_000 else plan.filter("left > 0"), list(LEVELS)).withColumn(
+    last = rows.join(hint(plan.filter("left > 0")), list(LEVELS)).withColumn(
         "slot", _slot(seed, F.col("whole") + 1))
     totals = last.groupBy(*LEVELS, "left", "slot").agg(F.sum("tokens").alias("t"))
     upto = Window.partitionBy(*LEVELS).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     ends = totals.withColumn("before", F.coalesce(F.sum("t").over(upto), F.lit(0))).filter("before < left and before + t >= left").select(
         *LEVELS, F.col("slot").alias("end_slot"), "before")
     ends = scratch.save(ends, "ends")
-    last = last.join(F.broadcast(ends) if ends.count() <= 100_000 else ends, list(LEVELS))
+    last = last.join(hint(ends), list(LEVELS))
     inside = last.filter("slot < end_slot")
     order = Window.partitionBy(*LEVELS).orderBy(_place(seed, F.col("whole") + 1), "tokens", "digest").rowsBetween(Window.unboundedPreceding, -1)
     edge = last.filter("slot = end_slot").withColumn("sofar", F.col("before") + F.coalesce(F.sum("tokens").over(order), F.lit(0))).filter("sofar < left")
     keep = ["id", *LEVELS, "tokens"]
     partial = inside.unionByName(edge.drop("sofar")).select(*keep, (F.col("whole") + 1).alias("epoch"))
-    whole = rows.join(F.broadcast(plan.filter("whole > 0")) if plan.count() <= 100_000 else plan.filter("whole > 0"), list(LEVELS)).select(
+    whole = rows.join(hint(plan.filter("whole > 0")), list(LEVELS)).select(
         *keep, F.explode(F.sequence(F.lit(1).cast("long"), "whole")).alias("epoch"))
     out = whole.unionByName(partial).select(F.col("id").alias(id_col), *LEVELS, "tokens", F.col("epoch").cast("int"))
     return scratch.result(out)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loanlens.llm.common import Scratch, chunks, components, mix, shingle_sets, small
+from loanlens.llm.common import Scratch, chunks, components, few, mix, shingle_sets
 
 SKETCH_BITS = 21          # 2 MB of order classes: the only broadcast besides counted tables
 SKETCH_CHUNKS = 64
@@ -136,9 +136,11 @@ def _sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int) -> Data
                     [pa.array(node), pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(s) for s in found]), pa.int32()), flat)],
                     ["node", "s"])
 
-    wanted = rows.join(small(nodes), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
-    texts = docs.join(small(wanted), docs["id"].eqNullSafe(wanted["id"]), "left_semi")
-    return (texts.mapInArrow(whole, "node string, s array<long>").join(small(nodes), "node", "left_semi")
+    # one id per class, so the count of the classes bounds the ids, too
+    hint = F.broadcast if few(nodes) else (lambda df: df)
+    wanted = rows.join(hint(nodes), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
+    texts = docs.join(hint(wanted), docs["id"].eqNullSafe(wanted["id"]), "left_semi")
+    return (texts.mapInArrow(whole, "node string, s array<long>").join(hint(nodes), "node", "left_semi")
             .groupBy("node").agg(F.first("s").alias("s")))
 
 
@@ -216,6 +218,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     klass = spark.sparkContext.broadcast(_sketch(docs.select("text"), shingle))
     rows = scratch.save(_describe(docs, klass, shingle, percent), "rows")
+    klass.destroy()
     full = rows.filter("n > 0")
     classes = scratch.save(full.groupBy("gkey", "node").agg(F.min("id").alias("low")).drop("low"), "classes")
     lead = classes.groupBy("gkey").agg(F.min("node").alias("head"), F.count("*").alias("members"))
@@ -246,8 +249,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
              .join(lead.select(F.col("gkey").alias("h"), F.col("head").alias("v")), "h").select("u", "v"))
     inside = classes.join(lead.filter("members > 1"), "gkey").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))
     tried = scratch.save(pairs.unionByName(inside).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "tried")
-    links = _verified(scratch, docs, rows, tried, shingle, percent)
-    comp = scratch.save(components(spark, scratch, links), "components")
+    comp = components(scratch, _verified(scratch, docs, rows, tried, shingle, percent))
 
     # second round: pairs across components only
     member = scratch.save(classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "member")
@@ -278,16 +280,20 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
                 .join(tried, ["u", "v"], "left_anti"))
         more = scratch.save(more, "more")
         if not more.isEmpty():
-            links = links.unionByName(_verified(scratch, docs, rows, more, shingle, percent))
-            comp = scratch.save(components(spark, scratch, links), "components")
+            # the new links join whole components: only these are contracted further
+            links = _verified(scratch, docs, rows, more, shingle, percent)
+            of = member.select("node", "component")
+            joined = (links.join(of.withColumnsRenamed({"node": "u", "component": "c1"}), "u")
+                      .join(of.withColumnsRenamed({"node": "v", "component": "c2"}), "v").select(F.col("c1").alias("u"), F.col("c2").alias("v")))
+            comp = components(scratch, joined).select(F.col("node").alias("component"), F.col("component").alias("onto"))
+            member = scratch.save(member.join(comp, "component", "left").select(
+                "gkey", "node", F.coalesce("onto", "component").alias("component")), "member")
             tried = tried.unionByName(more)
-            member = scratch.save(classes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "member")
         scratch.drop(open_lists)
 
     # smallest id of each component, combined map-side from the rows
-    root = classes.join(comp, "node").select("node", "component")
     low = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("low"))
-    named = (low.join(root, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    named = low.join(member.select("node", "component"), "node")
     best = named.groupBy("component").agg(F.min("low").alias("component_id"))
     by_node = named.join(best, "component").select("node", "component_id")
     out = (rows.select("id", "n", "node").join(by_node, "node", "left")
