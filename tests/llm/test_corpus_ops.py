@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from loanlens.llm import decontaminate, imatch, license_scan, mixing, near_join, quality_crf, suffix_dedup, toxicity, url_filter, warc
+from loanlens.llm.common import Scratch, components
 from tests.conftest import SF
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, n long, token string, row long, prefix string"
@@ -75,6 +76,17 @@ def test_near_join_equals_brute_force(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == {i: (n[i], comp[i]) for i in range(len(texts))}
 
 
+def test_components_of_paths_stars_cycles_and_loops(spark):
+    path = [(f"p{i:02d}", f"p{i + 1:02d}") for i in range(40)]
+    star = [("m", f"s{i:03d}") for i in range(200)] + [(f"t{i:03d}", "z") for i in range(200)]     # small and large centres
+    cycle = [("c1", "c3"), ("c3", "c2"), ("c2", "c1"), ("c1", "c3")]
+    edges = path + star + cycle + [("l", "l"), (None, "q"), ("q", None)]
+    got = components(Scratch(spark, "test"), spark.createDataFrame(edges, "u string, v string")).collect()
+    want = {n: "p00" for e in path for n in e} | {n: "m" for e in star[:200] for n in e} | {n: "t000" for e in star[200:] for n in e}
+    assert len(got) == len(set(got)) and {r["node"]: r["component"] for r in got} == want | {"c1": "c1", "c2": "c1", "c3": "c1"}
+    assert components(Scratch(spark, "test"), spark.createDataFrame([], "u string, v string")).count() == 0
+
+
 def test_near_join_repeated_and_null_ids_and_empty(spark):
     got = near_join.near_duplicate_components(docs(spark, ["a b c d e f"] * 3 + ["q"], [7, None, 3, None])).collect()
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == [("3", "3"), ("7", "3"), ("None", "3"), ("None", "None")]
