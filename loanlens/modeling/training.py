@@ -11,7 +11,7 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import keyword_only
+from pyspark import SparkContext, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
@@ -145,17 +145,38 @@ def best_round_with_patience(valid_losses: Sequence[float], patience: int) -> in
     return best_i + 1
 
 
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` trees; nothing is fitted again."""
+    jvm = model._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    kind = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(kind.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    all_trees, all_weights = jvm.trees(), jvm.treeWeights()
+    for i in range(n):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    cut = GBTClassificationModel(kind.classification.GBTClassificationModel(jvm.uid(), trees, weights, jvm.numFeatures(),
+                                                                           jvm.numClasses()))
+    return model._copyValues(cut)
+
+
 def train_with_early_stopping(train: DataFrame, valid: DataFrame, gbt: GBTClassifier, patience: int = 50) -> BoostResult:
-    """Fit up to maxIter rounds, read the per-round loss on both splits
-    (Spark's logistic loss is twice the log loss), keep the best round count
-    under the patience rule and refit with exactly that many trees (a shorter
-    fit with the same seed and no subsampling is a prefix of the longer one)."""
-    full = gbt.fit(train)
+    """Boost until ``patience`` rounds pass without a new best validation loss,
+    and keep the trees of the best round (Spark's logistic loss is twice the
+    log loss). Spark cannot continue a fit, so the allowed rounds start at
+    twice the patience and double while the rule has not stopped yet, up to
+    maxIter; the last fit is cut to its best round, never fitted again."""
+    rounds = min(gbt.getMaxIter(), 2 * patience)
+    while True:
+        full = gbt.copy({gbt.maxIter: rounds}).fit(train)
+        va = [x / 2 for x in full.evaluateEachIteration(valid)]
+        best = best_round_with_patience(va, patience)
+        if rounds >= gbt.getMaxIter() or best + patience <= rounds:
+            break
+        rounds = min(gbt.getMaxIter(), 2 * rounds)
     tr = [x / 2 for x in full.evaluateEachIteration(train)]
-    va = [x / 2 for x in full.evaluateEachIteration(valid)]
-    best = best_round_with_patience(va, patience)
-    model = full if best == gbt.getMaxIter() else gbt.copy({gbt.maxIter: best}).fit(train)
-    return BoostResult(model, best, [(i + 1, a, b) for i, (a, b) in enumerate(zip(tr, va))])
+    seen = min(rounds, best + patience)
+    return BoostResult(first_trees(full, best), best, [(i + 1, tr[i], va[i]) for i in range(seen)])
 
 
 def learning_curve(spark, result: BoostResult) -> DataFrame:
@@ -173,7 +194,6 @@ def feature_set_experiments(spark, df: DataFrame, sets: Mapping[str, Sequence[st
     """Same learner on several column sets: (set, n_features, rounds, log_loss, ap).
     The input is persisted (memory, spilling to disk) for the loop, since
     every fit and evaluation reads it again."""
-    from pyspark import StorageLevel
     rows = []
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     for name, cols in sets.items():

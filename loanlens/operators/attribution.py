@@ -4,20 +4,19 @@
 (Lundberg et al., 2018) for a Spark GBT model, in log-odds units, so that
 ``base_value + sum(contributions) = log-odds of the model's probability``.
 
-The model (trees x nodes, a bounded table) is read from its saved files and
-turned on the driver into one small table per leaf: for every pattern of
-"does the row satisfy the path's conditions on feature u" over the leaf's
-distinct path features, the contribution of each of those features. The
-per-leaf path algorithm (extend / unwound sum over the path elements, with a
-feature repeated on a path merged into one element) runs once per pattern,
-not once per row. Rows are then scored inside ``mapInPandas`` with numpy:
-per leaf, compare the row's values with the path thresholds, build the
-pattern index, gather. Work per row is vectorised array lookups.
+The value of a set of known features at a leaf is the leaf's prediction times,
+per path feature, "row meets its conditions" (known) or the share of training
+rows that do (unknown). Averaging over all feature orders is an integral of a
+polynomial in one variable, so a Gauss-Legendre sum of half the path's length is
+exact. The driver only reads the leaves' paths (trees x leaves, size-checked)
+and broadcasts them; the sums run inside ``mapInPandas`` with numpy, once per
+pattern of met conditions for short paths, per row for long ones.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -38,47 +37,39 @@ from .relational import hash_unit
 class Leaf:
     conds: list            # (feature, threshold, goes_left) along the path
     feats: list            # distinct features on the path
-    table: np.ndarray      # (2**len(feats), len(feats)) contributions
+    shares: np.ndarray     # per path feature: share of training rows meeting its conditions
     value: float
 
 
-# ------------------------------------------------------------------ path algorithm on one leaf
-
-def _extend(m, pz, po, pi):
-    m = [list(e) for e in m]
-    l = len(m)
-    m.append([pi, pz, po, 1.0 if l == 0 else 0.0])
-    for i in range(l - 1, -1, -1):
-        m[i + 1][3] += po * m[i][3] * (i + 1) / (l + 1)
-        m[i][3] = pz * m[i][3] * (l - i) / (l + 1)
-    return m
-
-
-def _unwound_sum(m, i):
-    l = len(m) - 1
-    o, z = m[i][2], m[i][1]
-    total, nxt = 0.0, m[l][3]
-    if o != 0:
-        for j in range(l - 1, -1, -1):
-            t = nxt / ((j + 1) * o)
-            total += t
-            nxt = m[j][3] - t * z * (l - j)
-    else:
-        for j in range(l - 1, -1, -1):
-            total += m[j][3] / (z * (l - j))
-    return total * (l + 1)
-
-
-def leaf_contributions(zs: Sequence[float], os_: Sequence[float], value: float) -> list[float]:
-    """Contributions of the leaf's distinct path features for one pattern of
-    one-fractions (1 = the row satisfies every split on that feature)."""
-    m = _extend([], 1.0, 1.0, -1)
-    for k, (z, o) in enumerate(zip(zs, os_)):
-        m = _extend(m, z, o, k)
-    out = [0.0] * len(zs)
-    for i in range(1, len(m)):
-        out[m[i][0]] = _unwound_sum(m, i) * (m[i][2] - m[i][1]) * value
-    return out
+PATTERN_TABLE_FEATURES = 8      # up to so many path features, all 2^d patterns are tabulated in the task
+
+
+# ------------------------------------------------------------------ one leaf
+
+def leaf_contributions(met: np.ndarray, shares: np.ndarray, value: float) -> np.ndarray:
+    """Contributions of a leaf's path features, one row per row of ``met``
+    (1 where the row meets every condition on that feature)."""
+    n, d = met.shape
+    out = np.zeros((n, d))
+    if d == 0:
+        return out
+    nodes, weights = np.polynomial.legendre.leggauss((d + 1) // 2)     # exact up to degree d - 1
+    for t, w in zip((nodes + 1) / 2, weights / 2):
+        factor = t * met + (1 - t) * shares
+        before, after = np.ones((n, d)), np.ones((n, d))
+        before[:, 1:] = np.cumprod(factor[:, :-1], axis=1)
+        after[:, :-1] = np.cumprod(factor[:, :0:-1], axis=1)[:, ::-1]
+        out += w * before * after
+    return out * (met - shares) * value
+
+
+def pattern_table(leaf: Leaf) -> np.ndarray | None:
+    """Contributions for every pattern of met conditions, or None for a long path."""
+    d = len(leaf.feats)
+    if d > PATTERN_TABLE_FEATURES:
+        return None
+    met = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1
+    return leaf_contributions(met.astype(np.float64), leaf.shares, leaf.value)
 
 
 # ------------------------------------------------------------------ model extraction
@@ -100,7 +91,7 @@ def gbt_trees(model: GBTClassificationModel):
 
 
 def compile_leaves(tree: dict) -> tuple[list[Leaf], float]:
-    """Leaf tables of one tree and its cover-weighted mean prediction."""
+    """Leaf paths of one tree and its cover-weighted mean prediction."""
     leaves, root = [], 0
     expected = 0.0
     stack = [(root, [], 1.0)]
@@ -116,12 +107,7 @@ def compile_leaves(tree: dict) -> tuple[list[Leaf], float]:
                 else:
                     feats.append(f)
                     zs.append(ratio)
-            d = len(feats)
-            table = np.zeros((2 ** d, d))
-            for pattern in range(2 ** d):
-                os_ = [float((pattern >> k) & 1) for k in range(d)]
-                table[pattern] = leaf_contributions(zs, os_, node["value"])
-            leaves.append(Leaf([(f, t, left) for f, t, left, _ in conds], feats, table, node["value"]))
+            leaves.append(Leaf([(f, t, left) for f, t, left, _ in conds], feats, np.array(zs), node["value"]))
             expected += node["cover"] / total * node["value"]
             continue
         for child, left in ((node["left"], True), (node["right"], False)):
@@ -130,22 +116,27 @@ def compile_leaves(tree: dict) -> tuple[list[Leaf], float]:
     return leaves, expected
 
 
-def _score_block(X: np.ndarray, compiled, weights, n_features: int):
+def _score_block(X: np.ndarray, compiled, tables, weights, n_features: int):
     n = X.shape[0]
     phi = np.zeros((n, n_features))
     margin = np.zeros(n)
-    for (leaves, _), w in zip(compiled, weights):
-        for leaf in leaves:
+    for (leaves, _), per_leaf, w in zip(compiled, tables, weights):
+        for leaf, table in zip(leaves, per_leaf):
             ok = {}
             for f, t, left in leaf.conds:
                 c = X[:, f] <= t if left else X[:, f] > t
                 ok[f] = ok[f] & c if f in ok else c
-            pattern = np.zeros(n, dtype=np.int64)
             reach = np.ones(n, dtype=bool)
-            for k, f in enumerate(leaf.feats):
-                pattern |= ok[f].astype(np.int64) << k
+            for f in leaf.feats:
                 reach &= ok[f]
-            vals = leaf.table[pattern]          # (n, d)
+            if table is None:
+                vals = leaf_contributions(np.stack([ok[f] for f in leaf.feats], axis=1).astype(np.float64), leaf.shares,
+                                          leaf.value)
+            else:
+                pattern = np.zeros(n, dtype=np.int64)
+                for k, f in enumerate(leaf.feats):
+                    pattern |= ok[f].astype(np.int64) << k
+                vals = table[pattern]           # (n, d)
             for k, f in enumerate(leaf.feats):
                 phi[:, f] += w * vals[:, k]
             margin += w * leaf.value * reach
@@ -153,15 +144,20 @@ def _score_block(X: np.ndarray, compiled, weights, n_features: int):
 
 
 def tree_contributions(model: GBTClassificationModel, df: DataFrame, features_col: str = "features",
-                       keep: Sequence[str] = ()) -> DataFrame:
+                       keep: Sequence[str] = (), max_model_bytes: int = 256 << 20) -> DataFrame:
     """Per row: ``contributions`` (array, one per feature, log-odds units),
-    ``base_value`` and ``margin`` (log-odds), plus the ``keep`` columns."""
+    ``base_value`` and ``margin`` (log-odds), plus the ``keep`` columns. A model
+    whose leaf paths exceed ``max_model_bytes`` is refused, as they are broadcast."""
     trees, weights = gbt_trees(model)
     compiled = [compile_leaves(t) for t in trees]
     # Spark's logistic GBT: probability = 1 / (1 + exp(-2 F)); log-odds = 2 F
     weights2 = [2.0 * w for w in weights]
     base = float(sum(w * e for (_, e), w in zip(compiled, weights2)))
     n_feat = model.numFeatures
+    size = len(pickle.dumps(compiled))
+    if size > max_model_bytes:
+        raise ValueError(f"the model's leaf paths take {size} bytes, more than {max_model_bytes}")
+    shared = df.sparkSession.sparkContext.broadcast(compiled)
     keep = list(keep)
     src = df.select(*keep, vector_to_array(F.col(features_col)).alias("_x"))
     schema = T.StructType([f for f in src.schema.fields if f.name in keep] + [
@@ -169,11 +165,13 @@ def tree_contributions(model: GBTClassificationModel, df: DataFrame, features_co
         T.StructField("margin", T.DoubleType())])
 
     def run(batches):
+        leaves = shared.value
+        tables = [[pattern_table(leaf) for leaf in tree] for tree, _ in leaves]
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             X = np.vstack(pdf["_x"].to_numpy()).astype(np.float64)
-            phi, margin = _score_block(X, compiled, weights2, n_feat)
+            phi, margin = _score_block(X, leaves, tables, weights2, n_feat)
             out = pdf[keep].copy()
             out["contributions"] = list(phi)
             out["base_value"] = base

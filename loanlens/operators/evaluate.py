@@ -85,13 +85,19 @@ def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
         F.count_if(F.col(label) == 1).alias("tp_at"), _count().alias("n_at"))
 
 
+def _totals(cum: DataFrame) -> tuple[int, int]:
+    """Positives and rows: the last running sums of the saved score levels, so
+    the scored rows are not scanned again."""
+    t = cum.agg(F.max("cum_tp_at").alias("P"), F.max("cum_n_at").alias("N")).first()
+    return t["P"] or 0, t["N"] or 0
+
+
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row per distinct score t (predict 1 when score >= t): tp, fp,
     precision, recall, and the chance level (share of positives)."""
     g = _by_score(df, label, score)
     cum = running_sums(g, [F.desc("threshold")], ["tp_at", "n_at"])
-    tot = df.agg(F.count_if(F.col(label) == 1).alias("P"), _count().alias("N")).first()
-    P, N = tot["P"], tot["N"]
+    P, N = _totals(cum)
     recall = F.col("cum_tp_at") / F.lit(float(P)) if P else F.lit(1.0)
     return cum.select("threshold", F.col("cum_tp_at").alias("tp"),
                       (F.col("cum_n_at") - F.col("cum_tp_at")).alias("fp"),
@@ -103,7 +109,7 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
     """Step-sum area: sum over distinct scores of (recall gain) x precision."""
     g = _by_score(df, label, score)
     cum = running_sums(g, [F.desc("threshold")], ["tp_at", "n_at"])
-    P = df.agg(F.count_if(F.col(label) == 1)).first()[0]
+    P, _ = _totals(cum)
     if not P:
         return df.sparkSession.createDataFrame([(0.0,)], "average_precision double")
     return cum.agg(F.sum(F.col("tp_at") / F.lit(float(P)) * (F.col("cum_tp_at") / F.col("cum_n_at")))
@@ -115,8 +121,7 @@ def cumulative_gain(df: DataFrame, label: str = "label", score: str = "score") -
     share of positives (``gain_1``) and of negatives (``gain_0``) found."""
     g = _by_score(df, label, score).withColumn("neg_at", F.col("n_at") - F.col("tp_at"))
     cum = running_sums(g, [F.desc("threshold")], ["tp_at", "n_at", "neg_at"])
-    t = df.agg(F.count_if(F.col(label) == 1).alias("P"), _count().alias("N")).first()
-    P, N = t["P"], t["N"]
+    P, N = _totals(cum)
     return cum.select("threshold", (F.col("cum_n_at") / F.lit(float(N))).alias("population_share"),
                       (F.col("cum_tp_at") / F.lit(float(P or 1))).alias("gain_1"),
                       (F.col("cum_neg_at") / F.lit(float((N - P) or 1))).alias("gain_0"))
@@ -194,3 +199,28 @@ def decision_certainty(score: str | Column, t: float) -> Column:
     certainty of the decision taken."""
     s = F.col(score) if isinstance(score, str) else score
     return F.when(s > F.lit(t), (s - F.lit(t)) / F.lit(1 - t)).otherwise((F.lit(t) - s) / F.lit(t)) * 100
+
+
+def held_out_report(df: DataFrame, threshold: float, label: str = "label", score: str = "score") -> DataFrame:
+    """Everything a held-out run prints, in one long table: ``section`` is
+    'metric' (log loss, average precision), 'confusion' (cells at
+    ``threshold``), 'report' (per class and averages) or 'curve' (one row per
+    distinct score). Columns that a section lacks are NULL."""
+    decided = df.withColumn("_pred", apply_threshold(score, threshold))
+    cells = confusion_matrix(decided, label, "_pred").unpivot([], ["tn", "fp", "fn", "tp"], "name", "value")
+    text = lambda s: F.lit(s).alias("section")
+    parts = [
+        log_loss(df, label, score).select(text("metric"), F.lit("log_loss").alias("name"), F.col("log_loss").alias("value")),
+        average_precision(df, label, score).select(text("metric"), F.lit("average_precision").alias("name"),
+                                                   F.col("average_precision").alias("value")),
+        cells.select(text("confusion"), "name", F.lit(float(threshold)).alias("threshold"), F.col("value").cast("double")),
+        classification_report(decided, label, "_pred").select(
+            text("report"), F.col("class").alias("name"), F.lit(float(threshold)).alias("threshold"), "precision",
+            "recall", "f1_score", F.col("support").cast("bigint")),
+        precision_recall_curve(df, label, score).select(text("curve"), F.lit("score").alias("name"), "threshold",
+                                                        "precision", "recall"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.select("section", "name", "threshold", "precision", "recall", "f1_score", "support", "value")

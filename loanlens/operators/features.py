@@ -96,15 +96,29 @@ def balance_status_features(balance: DataFrame) -> DataFrame:
 
     A loan whose rows are all closed and which has no month-0 row is absent; a
     loan with several month-0 rows yields one row per month-0 row (the
-    reference's outer merge). The month-0 side is a filter of the same scan
-    and joins the aggregate on the loan key it is already partitioned by.
+    reference's outer merge). Rows are counted by (loan, status, is month 0)
+    first, combined map-side, so a loan of any length becomes a few counts; the
+    statistics and the month-0 rows both follow from them, from one scan.
     """
-    clean = balance.select(LOAN, "MONTHS_BALANCE", recode_status("STATUS").alias("S"))
-    stats = (clean.where((F.col("S") != -1) | F.col("S").isNull())
-             .groupBy(LOAN).agg(*_status_stats(F.col("S"))))
-    last = clean.where(F.col("MONTHS_BALANCE") == 0).select(LOAN, F.col("S").alias("STATUS_last"))
-    return (last.join(stats, on=LOAN, how="full_outer")
-            .select(LOAN, "STATUS_last", "STATUS_mean", "STATUS_std", "STATUS_max"))
+    s, n = F.col("S"), F.col("n")
+    is_open = s.isNotNull() & (s != -1)                  # X (NULL) counts as open but adds no value
+    counts = (balance.select(LOAN, recode_status("STATUS").alias("S"),
+                             F.coalesce(F.col("MONTHS_BALANCE") == 0, F.lit(False)).alias("now"))
+              .groupBy(LOAN, "S", "now").agg(F.count(F.lit(1)).alias("n")))
+    loans = counts.groupBy(LOAN).agg(
+        F.sum(F.when(is_open, n)).alias("N"), F.sum(F.when(is_open, n * s)).alias("T"),
+        F.sum(F.when(is_open, n * s * s)).alias("Q"), F.max(F.when(is_open, s)).alias("STATUS_max"),
+        count_true(is_open | s.isNull()).alias("open"),
+        F.collect_list(F.when(F.col("now"), F.struct("S", "n"))).alias("last"))     # at most one entry per status
+    N, total = F.col("N"), F.col("T")
+    loans = loans.where((F.col("open") > 0) | (F.size("last") > 0)).select(
+        LOAN, F.explode_outer("last").alias("l"), (total / N).alias("STATUS_mean"),
+        F.when(N > 1, F.sqrt(F.greatest(N * F.col("Q") - total * total, F.lit(0.0)) / N / (N - 1))).alias("STATUS_std"), "STATUS_max")
+    block = 1 << 16                                      # repeats come in blocks, so no array grows with a loan
+    times = F.coalesce(F.col("l.n"), F.lit(1))
+    loans = loans.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((times - 1) / block))))
+    loans = loans.withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(block).cast("bigint"), times - F.col("b") * block))))
+    return loans.select(LOAN, F.col("l.S").alias("STATUS_last"), "STATUS_mean", "STATUS_std", "STATUS_max")
 
 
 def balance_latest_status(balance: DataFrame) -> DataFrame:

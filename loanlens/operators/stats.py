@@ -14,54 +14,27 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .reports import crosstab_counts
 
 
-def _gammq(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x): series below a+1,
-    continued fraction above (Numerical Recipes, 2nd ed., 6.2)."""
-    if x <= 0:
-        return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1:
-        ap, s = a, 1.0 / a
-        d = s
-        for _ in range(10000):
-            ap += 1
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * 1e-15:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    tiny = 1e-300
-    b = x + 1 - a
-    c = 1 / tiny
-    d = 1 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = tiny if abs(d) < tiny else d
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        d = 1 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
-
-
 def chi2_sf(stat: float, dof: float) -> float:
-    """Survival function of the chi-square distribution."""
+    """Survival function of the chi-square distribution with whole degrees of
+    freedom, in closed form: a Poisson sum for an even number; for an odd one
+    the normal tail (``erfc``) plus the same sum over half-integers."""
     if stat is None or dof is None or dof <= 0:
         return float("nan")
-    return _gammq(dof / 2.0, stat / 2.0)
-
+    h = stat / 2.0
+    if h <= 0:
+        return 1.0
+    odd = int(dof) % 2 == 1
+    tail = math.erfc(math.sqrt(h)) if odd else 0.0
+    first = 0.5 if odd else 0.0
+    steps = (first + k for k in range(int(dof) // 2))
+    return min(1.0, tail + math.fsum(math.exp(a * math.log(h) - h - math.lgamma(a + 1)) for a in steps))
 
-from pyspark.sql import types as T  # noqa: E402
 
 
 @F.pandas_udf(T.DoubleType())
@@ -78,7 +51,8 @@ def contingency_cells(df: DataFrame, x: str, y: str, y_values: Sequence | None =
 
 
 def _cells_and_shape(df: DataFrame, x: str, y: str, y_values: Sequence | None):
-    wide = crosstab_counts(df, x, y, y_values)
+    ensure_checkpoint_dir(df.sparkSession)
+    wide = crosstab_counts(df, x, y, y_values).checkpoint()     # one row per category, read three times
     ycols = [c for c in wide.columns if c != x]
     long = wide.unpivot(x, ycols, y, "observed")
     shape = long.agg(F.sum("observed").alias("total"), F.count_distinct(x).alias("r"),

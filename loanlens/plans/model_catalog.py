@@ -16,7 +16,7 @@ from ..operators import attribution as at
 from ..operators import evaluate as ev
 from ..operators import relational as rel
 from ..operators import splits as sp
-from ..roles import (REFUSED_BINARY_COLUMNS, REFUSED_FEAT_SEL_AFTER_PREP, REFUSED_FEAT_SEL_BEFORE_PREP,
+from ..roles import (PROFITABLE_THRESHOLD, REFUSED_BINARY_COLUMNS, REFUSED_FEAT_SEL_AFTER_PREP, REFUSED_FEAT_SEL_BEFORE_PREP,
                      REFUSED_ONE_HOT_COLUMNS, REFUSED_PASSTHROUGH_COLUMNS, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS)
 from ..sources.tables import work_dir
 from ..streaming import scoring as sc
@@ -145,24 +145,17 @@ def q_naive(spark, d):
     return tr.naive_baseline_log_loss(folds, LABEL_T)
 
 
-_FITS: dict = {}
-
-
-def _memo(key, build):
-    """Fits are reused within one session for the same data folder: several
-    registered queries report on the same fitted model."""
-    if key not in _FITS:
-        _FITS[key] = build()
-    return _FITS[key]
-
-
 def _target_fit(spark, d, max_iter=60, patience=15):
-    def build():
-        pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
-        tr_, va = tr_.cache(), va.cache()
-        res = tr.train_with_early_stopping(tr_, va, _gbt(LABEL_T, max_iter), patience)
-        return pm, tr_, va, res
-    return _memo(("target", id(spark._jsparkSession), d, max_iter, patience), build)
+    """Preprocessing and boosted trees of the payment-difficulty model. The two
+    prepared parts are written once, since every boosting round reads them."""
+    pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
+    parts = []
+    for name, part in (("train", tr_), ("valid", va)):
+        path = work_dir(spark, f"target-{name}")
+        part.select("SK_ID_CURR", LABEL_T, "features").write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    res = tr.train_with_early_stopping(*parts, _gbt(LABEL_T, max_iter), patience)
+    return pm, *parts, res
 
 
 @register("boosted_tree_classifier")
@@ -219,10 +212,8 @@ def q_leaderboard(spark, d):
 
 
 def _refusal_model(spark, d, max_iter=60) -> PipelineModel:
-    def build():
-        train, _ = _prev_split(spark, d)
-        return Pipeline(stages=list(refusal_pipeline().getStages()) + [_gbt(LABEL_R, max_iter, 0.2)]).fit(train)
-    return _memo(("refusal", id(spark._jsparkSession), d, max_iter), build)
+    train, _ = _prev_split(spark, d)
+    return Pipeline(stages=list(refusal_pipeline().getStages()) + [_gbt(LABEL_R, max_iter, 0.2)]).fit(train)
 
 
 @register("save_load_model")
@@ -236,14 +227,24 @@ def q_save_load(spark, d):
 
 @register("final_test_run")
 def q_final_test(spark, d):
+    """Held-out run of both problems: log loss, average precision, curve,
+    confusion cells and report at each problem's profitable threshold (the
+    refusal model's is fixed, the other's comes from the training rows)."""
     m = rel.holdout_split(mart20(spark, d), "SK_ID_CURR", 0.05, 42)
-    train, test = m.where("split = 'train'").drop("split"), m.where("split = 'test'").drop("split")
-    model = Pipeline(stages=list(target_pipeline().getStages()) + [_gbt(LABEL_T, 60)]).fit(train)
-    scored = tr.positive_probability(model.transform(test)).select(F.col(LABEL_T).alias("label"), "score")
-    ll = ev.log_loss(scored)
-    ap = ev.average_precision(scored)
-    return ll.unionByName(ap, allowMissingColumns=True).agg(F.max("log_loss").alias("log_loss"),
-                                                           F.max("average_precision").alias("average_precision"))
+    r = rel.holdout_split(refusal_frame(spark, d), "SK_ID_PREV", 0.05, 42)
+    out = []
+    for name, df, label, pipeline, gbt, threshold in (
+            ("payment_difficulty", m, LABEL_T, target_pipeline(), _gbt(LABEL_T, 60), None),
+            ("refusal", r, LABEL_R, refusal_pipeline(), _gbt(LABEL_R, 60, 0.2), PROFITABLE_THRESHOLD)):
+        train, test = df.where("split = 'train'").drop("split"), df.where("split = 'test'").drop("split")
+        model = Pipeline(stages=[*pipeline.getStages(), gbt]).fit(train)
+
+        def scored(part):
+            return tr.positive_probability(model.transform(part)).select(F.col(label).alias("label"), "score")
+        if threshold is None:
+            threshold = ev.best_threshold(ev.profit_sweep(scored(train))).first()["best_threshold"]
+        out.append(ev.held_out_report(scored(test), threshold).select(F.lit(name).alias("problem"), "*"))
+    return out[0].unionByName(out[1])
 
 
 # ------------------------------------------------------------------ §L attribution
@@ -337,4 +338,6 @@ def q_score_stream(spark, d):
     q = sc.score_stream(spark, f"{base}/in", model, f"{base}/out", f"{base}/ckpt",
                         quarantine_dir=f"{base}/bad")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("SK_ID_PREV", "refused", "probability")
+    scored = spark.read.parquet(f"{base}/out").select("SK_ID_PREV", "refused", "probability")
+    bad = spark.read.parquet(f"{base}/bad").select(F.col("SK_ID_PREV").try_cast("bigint").alias("SK_ID_PREV"), "errors")
+    return scored.unionByName(bad, allowMissingColumns=True)

@@ -568,6 +568,10 @@ FROM e CROSS JOIN shape GROUP BY r, c"""
 SQL["chi2_independence"] = with_views(["v_prev"], LAB, POP, _chi2_sql()) + _CHI2_SELECT
 SQL["chi2_drop_group"] = with_views(["v_prev"], LAB, POP, _chi2_sql("AND NAME_CASH_LOAN_PURPOSE <> 'Other'")) \
     + _CHI2_SELECT
+# for an even number of degrees of freedom the tail is a Poisson sum
+SQL["chi2_p_value"] = with_views(["v_prev"], LAB, POP, _chi2_sql()) + f"""
+SELECT chi2, dof, n_cells, list_sum([exp(-chi2 / 2) * power(chi2 / 2, k) / gamma(k + 1) for k in range(0, dof // 2)]) AS p
+FROM ({_CHI2_SELECT})"""
 SQL["chi2_expected_counts"] = with_views(["v_prev"], LAB, POP, _chi2_sql()) + """
 SELECT x AS NAME_CASH_LOAN_PURPOSE, y AS NAME_CONTRACT_STATUS_Refused, observed, expected,
        avg(CAST(expected >= 5 AS DOUBLE)) OVER () AS share_expected_ge5 FROM e"""

@@ -66,6 +66,35 @@ def test_contributions_equal_brute_force_shapley(spark, fitted):
         assert np.allclose(r["contributions"], _brute(trees, weights, x, 4), atol=1e-10)
 
 
+def test_long_paths_use_no_pattern_table_and_still_add_up():
+    rng = np.random.default_rng(5)
+    for d in (3, 8, 10):
+        shares, met = rng.uniform(0.1, 0.9, d), rng.integers(0, 2, (6, d)).astype(float)
+        leaf = at.Leaf([], list(range(d)), shares, 1.7)
+        phi = at.leaf_contributions(met, shares, 1.7)
+        # known minus expected: the contributions add up to the leaf's value less its cover-weighted one
+        assert np.allclose(phi.sum(axis=1), 1.7 * (met.prod(axis=1) - shares.prod()))
+        table = at.pattern_table(leaf)
+        if d <= at.PATTERN_TABLE_FEATURES:
+            assert np.allclose(table[(met.astype(int) << np.arange(d)).sum(axis=1)], phi)
+        else:
+            assert table is None
+
+
+def test_deep_model_adds_up_and_oversized_models_are_refused(spark):
+    rng = np.random.default_rng(1)
+    X = rng.normal(size=(400, 12))
+    y = (np.sin(X).sum(axis=1) > 0).astype(int)
+    cols = [f"x{i}" for i in range(12)]
+    df = spark.createDataFrame([(i, *map(float, X[i]), int(y[i])) for i in range(400)], ["k", *cols, "y"])
+    df = VectorAssembler(inputCols=cols, outputCol="features").transform(df)
+    model = GBTClassifier(labelCol="y", maxIter=3, maxDepth=10, seed=3).fit(df)
+    for r in at.tree_contributions(model, df, keep=["k"]).limit(50).collect():
+        assert r["base_value"] + sum(r["contributions"]) == pytest.approx(r["margin"], abs=1e-9)
+    with pytest.raises(ValueError):
+        at.tree_contributions(model, df, max_model_bytes=1000)
+
+
 def test_importance_rank_is_zero_based_and_sorted(spark, fitted):
     df, model = fitted
     long = at.contributions_long(at.tree_contributions(model, df, keep=["k"]), ["a", "b", "c", "d"], ["k"])

@@ -52,3 +52,13 @@ def test_query_matches_oracle(spark, name):
                 assert x == pytest.approx(y, rel=1e-9, abs=2e-6)
             else:
                 assert x == y
+
+
+def test_model_queries_run(spark):
+    """The held-out run reports both problems; each streamed request is scored or quarantined."""
+    rows = entry.queries()["final_test_run"](spark, SF).where("section <> 'curve'").collect()
+    assert {(r["problem"], r["section"]) for r in rows} == {(p, s) for p in ("payment_difficulty", "refusal")
+                                                            for s in ("metric", "confusion", "report")}
+    n = entry.queries()["validate_records"](spark, SF).count()
+    stream = entry.queries()["score_stream"](spark, SF)
+    assert stream.count() == n and stream.where("(probability is null) = (errors is null)").count() == 0

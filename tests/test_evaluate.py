@@ -94,3 +94,13 @@ def test_best_threshold_profit_dominates_sweep(spark):
     best = ev.best_threshold(sweep, base=0.2).collect()[0]
     profits = [r["profit"] for r in sweep.collect()]
     assert best["best_profit"] == max(profits)
+
+
+def test_held_out_report_has_all_sections(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.4), (0, 0.1)], "label int, score double")
+    rows = ev.held_out_report(df, 0.5).collect()
+    by = {(r["section"], r["name"]): r for r in rows if r["section"] != "curve"}
+    assert [by["confusion", c]["value"] for c in ("tn", "fp", "fn", "tp")] == [1, 1, 1, 1]
+    assert by["metric", "average_precision"]["value"] == pytest.approx(0.5 + 0.5 * 2 / 3)
+    assert by["report", "accuracy"]["precision"] == 0.5 and by["report", "1"]["support"] == 2
+    assert sum(r["section"] == "curve" for r in rows) == 4

@@ -1,6 +1,7 @@
 """One test per trap of the feature aggregates (hand-made rows)."""
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import nan_to_null
@@ -114,3 +115,24 @@ def test_sign_flip_keeps_sentinel(spark):
     df = spark.createDataFrame([(1, 365243), (2, -100)], "k long, DAYS_EMPLOYED long")
     out = {r.k: r.DAYS_EMPLOYED for r in flip_sign_columns(df, ["DAYS_EMPLOYED"]).collect()}
     assert out == {1: -365243, 2: 100}
+
+
+def test_balance_features_repeat_month_zero_rows_and_count_hot_loans(spark):
+    from loanlens.operators import features as fe
+    rows = [(1, 0, "0"), (1, 0, "2"), (1, 0, "2"), (1, -1, "X"), (1, -2, "C"),      # three month-0 rows
+            (2, -1, "C"),                                                           # closed, no month 0: absent
+            (3, 0, "C"), (4, -1, "X"), (5, 0, "X"), (6, -1, "3")]
+    df = spark.createDataFrame(rows, "SK_ID_BUREAU long, MONTHS_BALANCE long, STATUS string")
+    got = sorted([tuple(r) for r in fe.balance_status_features(df).collect()], key=repr)
+    third = 2 / math.sqrt(3)
+    want = sorted([(1, 0.0, 4 / 3, third, 2.0), (1, 2.0, 4 / 3, third, 2.0), (1, 2.0, 4 / 3, third, 2.0),
+                   (3, -1.0, None, None, None), (4, None, None, None, None), (5, None, None, None, None),
+                   (6, None, 3.0, None, 3.0)], key=repr)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g == tuple(x if x is None else pytest.approx(x) for x in w)
+    hot = spark.range(200_000).selectExpr("cast(9 as long) as SK_ID_BUREAU", "0L as MONTHS_BALANCE", "'1' as STATUS")
+    out = fe.balance_status_features(hot)
+    assert out.count() == 200_000 and out.distinct().count() == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan

@@ -18,6 +18,14 @@ def test_chi2_sf_known_values():
     assert st.chi2_sf(30.0, 10) == pytest.approx(0.0008566412, rel=1e-6)
 
 
+def test_chi2_sf_closed_forms_odd_and_even():
+    x = 7.3
+    assert st.chi2_sf(x, 4) == pytest.approx(math.exp(-x / 2) * (1 + x / 2), rel=1e-12)
+    assert st.chi2_sf(x, 3) == pytest.approx(math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2), rel=1e-12)
+    assert st.chi2_sf(0.0, 5) == 1.0 and math.isnan(st.chi2_sf(1.0, 0))
+    assert st.chi2_sf(5000.0, 5000) == pytest.approx(0.5, abs=0.01)
+
+
 def test_chi2_statistic_by_hand(spark):
     # table [[10, 20], [30, 40]] with Yates correction (2x2)
     rows = [("a", 0)] * 10 + [("a", 1)] * 20 + [("b", 0)] * 30 + [("b", 1)] * 40
