@@ -156,6 +156,24 @@ def test_leaks_are_found_within_the_edit_budget_and_clean_texts_are_not(spark):
     assert not rows(decontaminate.contaminated_documents(docs(spark, texts[:2]), bench.limit(0)))[0]["contaminated"]
 
 
+def test_passages_of_a_window_are_found_at_every_offset(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    item = " ".join(word() for _ in range(60))[:233].strip()
+    starts = [s for s in range(len(item) - 100) if item[s] != " " != item[s + 99]]
+    planted = [item[s:s + 100] for s in starts] + [item[6:144]]
+    planted += [t[:30] + "#" + t[31:60] + t[61:] + item[s + 100:s + 101] for s, t in zip(starts, planted)]
+    short = [item[s:s + 60] for s in (0, 30, 90)]
+    around = [" ".join(word() for _ in range(20)) for _ in planted + short]
+    texts = [f"{a} {t} {a}" for a, t in zip(around, planted + short)] + ["it is a Zq  7 here", "it is a zq 8 here"]
+    bench = spark.createDataFrame([(1, item), (2, "zQ 7"), (3, "zq 7")], "item_id long, text string")
+    got = rows(decontaminate.contaminated_documents(docs(spark, texts), bench))
+    n = len(planted)
+    assert [got[i]["item_ids"] for i in range(len(texts))] == [[1]] * n + [[]] * len(short) + [[2, 3], []]
+    assert all(got[k]["n_spans"] == 1 and (got[k]["least_edits"] == 0) == (k <= len(starts)) for k in range(n))
+    assert texts[n + 3].encode()[got[n + 3]["spans"][0]["span_start"]:got[n + 3]["spans"][0]["span_end"]] == b"Zq  7"
+
+
 def test_banded_alignment_equals_full_edit_distance():
     rng = random.Random(4)
     for _ in range(200):
