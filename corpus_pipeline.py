@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's result below the
 shared checkpoint folder and reads it back as the next one's input. All but the last keep the columns of
-``documents``; the last returns one row per selected copy of a document. Null texts are kept as empty ones,
-repeated rows are near duplicates of each other, and an empty table passes every stage.
+``documents``; the last returns one row per selected copy of a document. Rows are judged one by one: the stages that
+decide on whole documents write a row key first, so null ids and ids with several texts lose nothing else. Null texts are
+kept as empty ones, repeated rows are near duplicates of each other, and an empty table passes every stage.
 """
 
 from __future__ import annotations
@@ -27,12 +28,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _columns(scored.filter("predicted = 1"))
 
 
+def _keyed(spark: SparkSession, docs: DataFrame, label: str) -> DataFrame:
+    """The columns and a written ``row`` key, the same in every later read."""
+    return Scratch(spark, label).save(_columns(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group; a repeated row of it is left out, too."""
-    docs = _columns(docs)
-    keep = near_join.near_duplicate_components(docs).filter("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """The row with the smallest id of each near-duplicate group, null ids last; a repeated row is left out, also without words."""
+    docs = _keyed(spark, docs, "groups")
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row").alias("name"), "text")
+    heads = near_join.near_duplicate_components(named, id_col="name").filter("name = component_id").select("name.row", "n_shingles")
+    wordless = docs.join(heads.filter("n_shingles = 0"), "row", "left_semi").groupBy(*COLUMNS).agg(F.min("row").alias("row"))
+    keep = heads.filter("n_shingles > 0").select("row").unionByName(wordless.select("row"))
+    return _columns(docs.join(keep, "row", "left_semi"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +50,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    docs = _columns(docs)
-    found = decontaminate.contaminated_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = found.filter("contaminated").select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    """Rows without a passage of the benchmark."""
+    docs = _keyed(spark, docs, "leaks")
+    found = decontaminate.contaminated_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    return _columns(docs.join(found.filter("contaminated").select("row"), "row", "left_anti"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 """The pipeline stage by stage: columns, order, and each stage's decision against its operator's rule."""
+import random
 import re
 
 import corpus_pipeline
@@ -37,3 +38,19 @@ def test_run_and_empty_input(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_null_and_shared_ids_lose_no_other_rows(spark):
+    rng = random.Random(13)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(40))
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    a, b, c, d, e = (text() for _ in range(5))
+    table = [(None, a), (None, b), (7, c), (7, d), (8, d + " more"), (9, c), (9, e), (None, leak), (7, leak), (3, c), (None, None), (4, ""), (4, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in table], "doc_id long, text string, lang string, source string, n_chars long")
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    want = [(None, a), (None, b), (7, d), (9, e), (3, c), (None, None), (4, ""), (7, leak)]
+    assert pairs(kept) == sorted(want, key=repr)
+    clean = corpus_pipeline.drop_leaks(spark, docs, SF)
+    assert pairs(clean) == sorted((x for x in table if x[1] != leak), key=repr)
+    assert clean.columns == kept.columns == list(corpus_pipeline.COLUMNS)
