@@ -1,7 +1,7 @@
 """Removal of byte strings that repeat anywhere in a corpus, by blockwise suffix sorting.
 
 Every suffix matters only through its first ``length`` bytes, so suffixes are sorted by a
-64-bit fingerprint of that prefix. Sorting all suffixes at once would move several times the
+128-bit fingerprint of that prefix. Sorting all suffixes at once would move several times the
 corpus; the construction is blockwise instead:
 
 1. the documents are packed into text blocks of a few MB, written once. Copies of a whole
@@ -9,11 +9,12 @@ corpus; the construction is blockwise instead:
 2. a difference cover D of period ``v`` marks the sampled positions: for any two positions
    there is a shift below ``v`` that takes both into the sample. If two ``length``-byte strings
    are equal, the ``length - v + 1`` bytes at that shift are equal at two sampled positions.
-   The names (fingerprints) of all sampled strings are sorted, one bucket of names per task,
-   which yields the rank class "occurs again" of each sample;
+   The names (64-bit fingerprints) of all sampled strings are sorted, one bucket of names per
+   task, which yields the rank class "occurs again" of each sample. Different strings with the
+   same name only add suffixes to the next step;
 3. only suffixes that see a repeated sample within the period can have a long common prefix.
-   They are sorted by their own prefix fingerprints, again one suffix bucket per task; a suffix
-   whose neighbour in the bucket carries the same fingerprint is a repeated string;
+   They are sorted by two independent 64-bit fingerprints of their prefix, again one suffix
+   bucket per task; a suffix whose neighbour in the bucket carries the same pair is a repeated string;
 4. the answers return to the text blocks as bit strings and the covered bytes are cut.
 
 Buckets are ranges of the fingerprint and their number follows the corpus, so a task holds one
@@ -24,12 +25,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanlens.llm.common import Scratch, rolling, utf8
+from loanlens.llm.common import SEGMENT, Scratch, mix, rolling, utf8
 
 BLOCK_BYTES = 4 << 20          # text of one block (a longer document is a block of its own)
 BUCKET_BYTES = 64 << 20        # corpus bytes behind one bucket of names or suffixes
@@ -94,6 +96,33 @@ def _names(text: np.ndarray, k: int, wanted: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+@cache
+def _word_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0xD1342543DE82EF95
+    up, down = (np.full(n, b, np.uint64) for b in (base, pow(base, -1, 2**64)))
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+def _second_names(text: np.ndarray, k: int, wanted: np.ndarray) -> np.ndarray:
+    """Second fingerprints as in ``_names``, polynomials over the mixed 8-byte words at every offset.
+
+    Over single bytes, polynomials modulo 2^64 are equal for some regular strings; mixed words have no such order.
+    """
+    out = [np.zeros(0, np.uint64)]
+    up, down = _word_powers(SEGMENT + k)
+    for a in range(0, len(text) - k + 1, SEGMENT):
+        piece = text[a:a + SEGMENT + k - 1]
+        m = len(piece) - k + 1
+        if not wanted[a:a + m].any():
+            continue
+        word = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(piece, 8)).view(np.uint64).ravel()
+        total = np.zeros(len(word) + 1, np.uint64)
+        np.cumsum(mix(word + np.uint64(0x632BE59BD9B4E019)) * up[:len(word)], out=total[1:])
+        out.append(mix((total[k - 7:] - total[:m]) * down[:m])[wanted[a:a + m]])
+    return np.concatenate(out)
+
+
 def _sampled(off: np.ndarray, skip: np.ndarray, k: int, n: int) -> np.ndarray:
     """Positions of the cover sample, counted from each document's start."""
     inside = np.arange(n) - np.repeat(off[:-1], np.diff(off))
@@ -132,46 +161,71 @@ def _unpack_sorted(width: int, raw: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([head, d.view(np.uint64).ravel()]), dtype=np.uint64)
 
 
-_ASK = "bucket int, block long, width int, names binary, twice binary"
+_ASK = "bucket int, block long, width int, names binary, second binary, twice binary"
+
 
+def _distinct(names: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
+    """Sorted distinct names (with their second halves), each input's place among them, and how often each occurs."""
+    if second is None:
+        s, back, count = np.unique(names, return_inverse=True, return_counts=True)
+        return s, None, back, count
+    order = np.lexsort((second, names))
+    s, t = names[order], second[order]
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1])
+    back = np.empty(len(s), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return s[new], t[new], back, np.bincount(back, minlength=int(new.sum()))
 
-def _requests(block: int, names: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+
+def _requests(block: int, names: np.ndarray, buckets: int, second: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """One row per bucket: the block's distinct fingerprints in the bucket, and which occur in the block more than once."""
-    s, count = np.unique(names, return_counts=True)
+    s, t, _, count = _distinct(names, second)
     if not len(s):
         return
     of = (s >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     cut = np.searchsorted(of, np.arange(buckets + 1))
-    rows = [(b, block, *_pack_sorted(s[i:j]), np.packbits(count[i:j] > 1).tobytes())
+    rows = [(b, block, *_pack_sorted(s[i:j]), None if t is None else t[i:j].tobytes(), np.packbits(count[i:j] > 1).tobytes())
             for b, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if j > i]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-        ["bucket", "block", "width", "names", "twice"])
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+        ["bucket", "block", "width", "names", "second", "twice"])
+
+
+def _again(parts: list[np.ndarray], seconds: list[bytes | None]) -> list[np.ndarray]:
+    """For each part, which of its names (with their second halves) occur in another part."""
+    every = np.concatenate(parts)
+    if seconds[0] is None:
+        every.sort()
+        again = np.unique(every[1:][every[1:] == every[:-1]])
+        if not len(again):
+            return [np.zeros(len(s), bool) for s in parts]
+        return [again[np.minimum(np.searchsorted(again, s), len(again) - 1)] == s for s in parts]
+    second = np.concatenate([np.frombuffer(t, np.uint64) for t in seconds])
+    order = np.lexsort((second, every))
+    every, second = every[order], second[order]
+    same = (every[1:] == every[:-1]) & (second[1:] == second[:-1])
+    again = np.zeros(len(order), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    return np.split(again, np.cumsum([len(s) for s in parts])[:-1])
 
 
 def _answers(asked: DataFrame) -> DataFrame:
     """Sort one bucket at a time: for each block and bucket, the bits of the names that occur again."""
     def sort_bucket(table: pa.Table) -> pa.Table:
-        block, width, raw, twice = (table.column(c).to_pylist() for c in ("block", "width", "names", "twice"))
+        block, width, raw, second, twice = (table.column(c).to_pylist() for c in ("block", "width", "names", "second", "twice"))
         parts = [_unpack_sorted(w, r) for w, r in zip(width, raw)]
-        every = np.concatenate(parts)
-        every.sort()
-        again = np.unique(every[1:][every[1:] == every[:-1]])
-        del every
-        out = []
-        for s, t in zip(parts, twice):
-            flag = np.unpackbits(np.frombuffer(t, np.uint8), count=len(s)).astype(bool)
-            if len(again):
-                flag |= again[np.minimum(np.searchsorted(again, s), len(again) - 1)] == s
-            out.append(np.packbits(flag).tobytes())
+        out = [np.packbits(again | np.unpackbits(np.frombuffer(t, np.uint8), count=len(again)).astype(bool)).tobytes()
+               for again, t in zip(_again(parts, second), twice)]
         return pa.table({"block": pa.array(block, pa.int64()), "bucket": table.column("bucket"), "bits": pa.array(out, pa.binary())})
 
     return asked.groupBy("bucket").applyInArrow(sort_bucket, "block long, bucket int, bits binary")
 
 
-def _flags(names: np.ndarray, bits: list, buckets: int) -> np.ndarray:
+def _flags(names: np.ndarray, bits: list, buckets: int, second: np.ndarray | None = None) -> np.ndarray:
     """The answers of a block put back in text order. ``bits``: (bucket, bits) rows of the block."""
-    s, back = np.unique(names, return_inverse=True)
+    s, _, back, _ = _distinct(names, second)
     of = (s >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     cut = np.searchsorted(of, np.arange(buckets + 1))
     flag = np.zeros(len(s), bool)
@@ -216,6 +270,7 @@ def cut_repeats(docs: DataFrame, scratch: Scratch, length: int, with_text: bool)
     marked = blocks.join(marks, "block", "left")
     total = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(8, total // BUCKET_BYTES + 1))
+    wide = 2 * buckets         # a suffix has twice the bytes of a sample's name
 
     def rows_of(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -237,12 +292,12 @@ def cut_repeats(docs: DataFrame, scratch: Scratch, length: int, with_text: bool)
     def ask_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, i, off, text, skip, _ in rows_of(batches):
             wanted = suspects(batch, i, off, text, skip)
-            yield from _requests(batch.column("block")[i].as_py(), _names(text, length, wanted), buckets)
+            yield from _requests(batch.column("block")[i].as_py(), _names(text, length, wanted), wide, _second_names(text, length, wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, i, off, text, skip, whole in rows_of(batches):
             wanted = suspects(batch, i, off, text, skip)
-            hit = _flags(_names(text, length, wanted), _lists(batch.column("a1"), i), buckets)
+            hit = _flags(_names(text, length, wanted), _lists(batch.column("a1"), i), wide, _second_names(text, length, wanted))
             gone = _covered(len(text), np.flatnonzero(wanted)[hit], length)
             rows = []
             for a, b, all_of_it in zip(off[:-1].tolist(), off[1:].tolist(), whole.tolist()):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from loanlens.llm import decontaminate, imatch, license_scan, mixing, near_join, quality_crf, suffix_dedup, toxicity, url_filter, warc
-from loanlens.llm.common import Scratch, components
+from loanlens.llm.common import Scratch, components, rolling
 from tests.conftest import SF
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, n long, token string, row long, prefix string"
@@ -130,6 +130,18 @@ def test_cover_has_every_difference():
     assert d == set(range(suffix_dedup.PERIOD))
 
 
+def test_strings_with_one_fingerprint_stay(spark):
+    # two different strings of 200 bytes whose 64-bit fingerprints are equal
+    pairs = ["di", "*c", "-t"]
+    a, b = ("".join(p[bin(i).count("1") % 2 ^ turn] for p in pairs for i in range(64)) + "same end" for turn in (0, 1))
+    one, two = (next(rolling(np.frombuffer(t.encode(), np.uint8), 200))[1] for t in (a, b))
+    assert a != b and one.tolist() == two.tolist()
+    got = rows(suffix_dedup.remove_repeats(docs(spark, [a, b, a[:150], b[:150], "c" + a, "c" + a])))
+    assert [got[i]["n_removed"] for i in range(6)] == [200, 0, 0, 0, 201, 201]
+    got = rows(suffix_dedup.remove_repeats(docs(spark, [a, b, a[:150], b[:150]])))
+    assert [got[i]["n_removed"] for i in range(4)] == [0, 0, 0, 0]
+
+
 def test_suffix_dedup_empty_and_repeated_ids(spark):
     assert suffix_dedup.remove_repeats(docs(spark, [])).count() == 0
     got = suffix_dedup.remove_repeats(docs(spark, ["k" * 150, "m" * 250], [None, None])).collect()
