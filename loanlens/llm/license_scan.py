@@ -25,7 +25,9 @@ from loanlens.session import ensure_checkpoint_dir
 UNKNOWN_DOCUMENTS = 2_000      # documented bound of the documents whose ordinary paragraphs are sampled
 UNKNOWN_PARAGRAPHS = 4_000     # and of the paragraphs
 WINDOW, STRIDE = 48, 24        # words; longer paragraphs are scanned in overlapping windows
-CONFIRM = 0.6                  # share of a window's licence n-grams, or of a template's, that have to be shared
+CONFIRM = 0.6                  # share of a template's n-grams that a window has to hold
+#: Between paragraphs: one or more lines without a letter or digit.
+BLANK = r"\R[^\p{L}\p{N}]*\R"
 # Notices in their usual wording.
 TEMPLATES = {
     "apache-2.0": [
@@ -73,9 +75,17 @@ def ngrams(words: str) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(id, row, at, words): paragraphs (lines) of (id, row, text) and their words."""
-    return (docs.select("id", "row", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"\R")).alias("at", "paragraph"))
-            .filter(F.length("paragraph") > 0).withColumn("words", tokens(F.col("paragraph"))).drop("paragraph"))
+    """(id, row, block, at, whole, words): paragraphs of (id, row, text) and the lines of those that have several, with their words.
+
+    Paragraphs are lines up to a blank one (without a letter or digit). ``block`` numbers a document's paragraphs, ``at``
+    a paragraph's lines, and ``whole`` marks the joined lines of a paragraph of several.
+    """
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\r\n"), F.lit("\n"))  # else BLANK finds two line ends in one
+    blocks = docs.select("id", "row", F.posexplode(F.split(text, BLANK)).alias("block", "paragraph"))
+    lines = blocks.withColumn("lines", F.filter(F.split("paragraph", r"\R"), lambda line: line != ""))
+    pieces = lines.select("id", "row", "block", F.size("lines").alias("n"), F.posexplode(
+        F.expr("if(size(lines) > 1, concat(lines, array(paragraph)), lines)")).alias("at", "piece"))
+    return pieces.select("id", "row", "block", "at", (F.col("at") == F.col("n")).alias("whole"), tokens(F.col("piece")).alias("words"))
 
 
 def windows(rows: DataFrame) -> DataFrame:
@@ -148,8 +158,9 @@ def fit_scanner(docs: DataFrame) -> LicenseScanner:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanner: LicenseScanner | None = None) -> DataFrame:
     """One row per input row: id, ``n_paragraphs``, ``n_licensed``, ``family``, ``probability``, ``likeness``, ``confirmed``.
 
-    Paragraphs are lines. ``n_licensed`` counts paragraphs in which a window is taken for a licence notice; the
-    other columns describe the best notice (confirmed first, then the highest likeness, probability, then the family's name) and are
+    Windows run over every line and over the joined lines of every paragraph (up to a blank line). ``n_paragraphs`` counts
+    the lines that are not empty, ``n_licensed`` the lines in which a window is taken for a licence notice, and one for a
+    paragraph in which only joined lines are; the other columns describe the best notice (confirmed first, then the highest likeness, probability, then the family's name) and are
     null, and ``confirmed`` false, where there is none. Null and empty texts have no paragraphs. Repeated rows and
     null ids keep a row each; other columns are ignored; an empty table gives no rows.
     """
@@ -158,9 +169,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = scratch.save(rows.select("id", "row", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda p: p != "")).cast("long").alias("n_paragraphs")), "rows")
     scanner = scanner or fit_scanner(rows)
     hits = scanner.scan(paragraphs(rows))
-    each = hits.groupBy("row").agg(
-        F.count_distinct("at").alias("n_licensed"),
+    by_block = hits.groupBy("row", "block").agg(
+        F.count_distinct(F.when(~F.col("whole"), F.col("at"))).alias("n"),
         F.max(F.struct("confirmed", "likeness", "probability", "family")).alias("best"))
+    each = by_block.groupBy("row").agg(F.sum(F.greatest("n", F.lit(1))).alias("n_licensed"), F.max("best").alias("best"))
     out = base.join(each, "row", "left").select(
         F.col("id").alias(id_col), "n_paragraphs", F.coalesce("n_licensed", F.lit(0)).alias("n_licensed"), F.col("best.family").alias("family"),
         F.col("best.probability").alias("probability"), F.col("best.likeness").alias("likeness"), F.coalesce("best.confirmed", F.lit(False)).alias("confirmed"))

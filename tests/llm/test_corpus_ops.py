@@ -371,6 +371,20 @@ def test_licence_notices_and_ordinary_lines(spark):
     assert not any(got[i]["confirmed"] for i in range(8, 48)) and got[1]["n_paragraphs"] == 3 and got[5]["n_paragraphs"] == 0
 
 
+def test_notices_wrapped_over_lines_are_scored_whole(spark):
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+           "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions", "are met:"]
+    mit = ["Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files (the \"Software\"), to deal"]
+    texts = ["\n".join(gpl), "A first paragraph.\n\n" + "\r\n".join(f" * {x}" for x in bsd) + "\n *\n * Some rest.", "\n".join(f"# {x}" for x in mit),
+             "one line\n\nReleased under the MIT License.\nLicensed under the MIT license.", gpl[0] + "\n\n" + "\n\n".join(f"words {i}" for i in range(9)) + "\n\n" + gpl[2]]
+    texts += [f"ordinary words number {i} about\nthe license of a driver\nand rights" for i in range(40)]
+    got = rows(license_scan.scan_licenses(docs(spark, texts)))
+    assert [(got[i]["family"], got[i]["confirmed"]) for i in range(4)] == [("gpl", True), ("bsd", True), ("mit", True), ("mit", True)]
+    assert min(got[i]["likeness"] for i in range(3)) > 0.9 and got[3]["n_licensed"] == 2 and got[3]["n_paragraphs"] == 3
+    assert not any(got[i]["confirmed"] for i in range(4, 45))
+
+
 # ---------------------------------------------------------------- 4: mixing, and the SQL checks
 
 def test_shortages_go_to_siblings_first(spark):
