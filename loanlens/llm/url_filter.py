@@ -2,7 +2,7 @@
 
 The trees learn from labelled URLs: a labelled table where there is one, else the URLs that the rules decide.
 Features are taken from the URL string alone: lengths, path depth, digit and hyphen ratios, character entropy of
-the host, parameter counts, and how often URLs with the same host suffix were blocked in the training sample.
+the host, parameter counts, and how often all labelled URLs with the same host suffix were blocked.
 Everything is DataFrame operations and Spark ML.
 """
 
@@ -14,10 +14,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from loanlens.llm.common import few
 from loanlens.session import ensure_checkpoint_dir
 
 FIT_URLS = 20_000              # documented bound of the fitting sample
-SUFFIXES = 1_000               # host suffixes whose block rate is kept (the most frequent ones of the sample)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy",
@@ -54,6 +54,10 @@ def _count(c: Column, chars: str) -> Column:
     return F.length(c) - F.length(F.regexp_replace(c, f"[{chars}]", ""))
 
 
+def _suffix() -> Column:
+    return F.substring_index("host", ".", -2)
+
+
 def lexical(urls: DataFrame) -> DataFrame:
     """Lexical feature columns of (url, host, path); a null or empty URL has zeros."""
     url = F.coalesce(F.col("url"), F.lit(""))
@@ -71,28 +75,27 @@ def lexical(urls: DataFrame) -> DataFrame:
         "has_fragment": F.contains(url, F.lit("#")).cast("double"),
         "has_extension": F.col("path").rlike(r"\.[A-Za-z0-9]{1,5}$").cast("double"),
         "is_https": url.startswith("https://").cast("double"),
-        "suffix": F.substring_index("host", ".", -2)})
+        "suffix": _suffix()})
 
 
 def fit_trees(labelled: DataFrame, limit: int = FIT_URLS, trees: int = 20, depth: int = 4):
-    """Boosted trees on (url, label): at most ``limit`` labelled URLs, the same ones on every run.
+    """Boosted trees on (url, label): fitted on at most ``limit`` labelled URLs, the same ones on every run.
 
-    Returns (model, suffix table), or None where the labels hold fewer than two classes.
+    The suffix table counts all labelled URLs. Returns (model, suffix table, rate of label 1), or None where the
+    labels hold fewer than two classes.
     """
     ensure_checkpoint_dir(labelled.sparkSession)
     rows = labelled.select("url", F.col("label").cast("double").alias("label")).filter("label in (0, 1)").withColumns(
         {"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    seen = rows.groupBy(_suffix().alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("bad")).checkpoint()
+    total, bad = seen.agg(F.sum("n"), F.sum("bad")).first()
+    if not total or bad in (0, total):
+        return None
+    prior = bad / total
     sample = rows.withColumn("place", F.xxhash64("url")).orderBy("place", "url").limit(limit).drop("place")
     sample = lexical(sample).checkpoint()
-    classes = sample.agg(F.count_distinct("label")).first()[0]
-    if classes < 2:
-        return None
-    seen = sample.groupBy("suffix").agg(F.count("*").alias("suffix_seen"), F.sum("label").alias("bad"))
-    prior = sample.agg(F.avg("label")).first()[0]
-    # block rate smoothed by ten URLs at the prior; a bounded table by construction
-    table = seen.orderBy(F.desc("suffix_seen"), "suffix").limit(SUFFIXES).select(
-        "suffix", ((F.col("bad") + 10 * prior) / (F.col("suffix_seen") + 10)).alias("suffix_rate"),
-        F.log1p("suffix_seen").alias("suffix_seen")).checkpoint()
+    # block rate smoothed by ten URLs at the prior
+    table = seen.select("suffix", ((F.col("bad") + 10 * prior) / (F.col("n") + 10)).alias("suffix_rate"), F.log1p("n").alias("suffix_seen"))
     stages = [VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
               GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=5, maxBins=32)]
     model = Pipeline(stages=stages).fit(_with_suffix(sample, table, prior).coalesce(4))
@@ -100,7 +103,7 @@ def fit_trees(labelled: DataFrame, limit: int = FIT_URLS, trees: int = 20, depth
 
 
 def _with_suffix(urls: DataFrame, table: DataFrame, prior: float) -> DataFrame:
-    return urls.join(F.broadcast(table), "suffix", "left").fillna({"suffix_rate": prior, "suffix_seen": 0.0})
+    return urls.join(F.broadcast(table) if few(table) else table, "suffix", "left").fillna({"suffix_rate": prior, "suffix_seen": 0.0})
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, labelled: DataFrame | None = None) -> DataFrame:

@@ -358,6 +358,21 @@ def test_trees_learn_lexical_labels(spark):
     assert sum(got[i]["verdict"] == ("block" if i < 100 else "allow") for i in range(200)) >= 195
 
 
+def test_all_labels_of_all_suffixes_count(spark):
+    rng = random.Random(14)
+    says = [rng.randint(0, 1) for _ in range(1500)]
+    name = lambda i: f"site{i:04d}.net"
+    train = spark.createDataFrame([(f"http://www.{name(i)}/{k}", label) for i, label in enumerate(says) for k in range(10, 20)], "url string, label int")
+    _, table, prior = url_filter.fit_trees(train, limit=3000, trees=2)
+    got = rows(table, "suffix")
+    assert len(got) == 1500 and abs(prior - sum(says) / 1500) < 1e-9
+    assert all(abs(got[name(i)]["suffix_seen"] - np.log1p(10)) < 1e-9 and abs(got[name(i)]["suffix_rate"] - (10 * y + 10 * prior) / 20) < 1e-9
+               for i, y in enumerate(says))
+    pages = spark.createDataFrame([(i, f"http://www.{name(i)}/77") for i in range(1500)], "page_id long, url string")
+    got = rows(url_filter.filter_urls(pages, labelled=train), "page_id")
+    assert all(got[i]["verdict"] == ("block" if y else "allow") for i, y in enumerate(says))
+
+
 # ---------------------------------------------------------------- 1: licences
 
 def test_licence_notices_and_ordinary_lines(spark):
