@@ -8,7 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import exact_quantiles
+from ..session import ensure_checkpoint_dir
+from .ranking import quantiles_of_counts
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -77,9 +78,9 @@ def table_shape(tables: Mapping[str, DataFrame]) -> DataFrame:
 def table_profile(df: DataFrame, cols: Sequence[str] | None = None, quantiles: bool = True) -> DataFrame:
     """Per column: rows, missing, distinct, zeros, min/max/mean/std, exact
     quartiles and the most frequent value of text/integer columns (ties: the
-    smallest). Three passes whatever the column count: one aggregate for the
-    counters; one grouped count over (column, value) pairs giving distinct
-    counts and modes; one global ranking of (column, value) for the quartiles."""
+    smallest). Two passes over the rows whatever the column count: one aggregate
+    for the counters, one grouped count over (column, value) pairs, which gives
+    distinct counts, modes and, ranked, the quartiles."""
     types = dict(df.dtypes)
     cols = list(cols or df.columns)
     num = [c for c in cols if _is_numeric(types[c])]
@@ -102,13 +103,15 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None, quantiles: b
                                for f, v in zip(fields, vals)]))
     prof = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
-    def text(c):  # distinct-preserving text; x + 0.0 folds -0.0 into 0.0 like numeric grouping
+    def both(c):  # distinct-preserving text and, for numbers, the value; x + 0.0 folds -0.0 into 0.0 like numeric grouping
         x = F.col(f"`{c}`")
-        return (x.cast("double") + F.lit(0.0)).cast("string") if types[c] in ("double", "float") else x.cast("string")
+        xd = x.cast("double") + F.lit(0.0) if c in num else F.lit(None).cast("double")
+        return F.struct(F.lit(c).alias("column"), (xd if types[c] in ("double", "float") else x).cast("string").alias("v"), xd.alias("x"))
     discrete = {c for c in cols if types[c] not in ("double", "float")}
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("v")) for c in cols]))
-                     .alias("r")).select("r.*").where(F.col("v").isNotNull())
-    freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(F.explode(F.array(*[both(c) for c in cols])).alias("r")).select("r.*").where(F.col("v").isNotNull())
+    # the cells are exploded and counted once; distinct counts, modes and quartiles read the written counts
+    ensure_checkpoint_dir(df.sparkSession)
+    freq = long.groupBy("column", "v", "x").agg(F.count(F.lit(1)).alias("n")).checkpoint()
     per_col = freq.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
     # mode without a window per column (a column may have billions of distinct
     # values): highest count per column, then the smallest value at that count;
@@ -120,12 +123,9 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None, quantiles: b
     prof = (prof.join(per_col.select("column", "distinct"), on="column", how="left")
             .join(top, on="column", how="left"))
     if quantiles and num:
-        vals = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
-                                                      F.col(f"`{c}`").cast("double").alias("x")) for c in num]))
-                         .alias("r")).select("r.*")
-        q = exact_quantiles(vals, "x", [0.25, 0.5, 0.75], groups=["column"])
-        qw = q.groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")).select(
-            "column", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
+        counts = freq.where(F.col("x").isNotNull()).select("column", F.col("x").alias("_v"), F.col("n").alias("_n"))
+        q = quantiles_of_counts(counts, [0.25, 0.5, 0.75], groups=["column"])
+        qw = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(name) for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))])
         prof = prof.join(qw, on="column", how="left")
     return prof
 

@@ -29,7 +29,7 @@ def _sorted_checkpoint(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     the same order again: rows equal in every column are interchangeable and
     stay together. Callers whose rows repeat count them first."""
     ensure_checkpoint_dir(df.sparkSession)
-    ranked = (df.withColumn("_tie", F.xxhash64(*df.columns)).orderBy(*order, F.col("_tie"))
+    ranked = (df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).orderBy(*order, F.col("_tie"))
               .withColumn("_mid", F.monotonically_increasing_id()).drop("_tie"))
     return ranked.checkpoint(eager=True)
 
@@ -46,22 +46,62 @@ def with_global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "_r
             .drop("_pid", "_off", "_mid"))
 
 
+def _part_offsets(s: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per range partition the totals ``_t_<col>`` and the sums ``_o_<col>`` of all earlier ones (one row per partition)."""
+    totals = s.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns({f"_o_{c}": F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)) for c in cols})
+
+
 def running_sums(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
                  prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``cols`` in ``order``. Each range partition is
     summed locally (a window keyed by partition index, so a partition stays in
     its own task), then shifted by the totals of all earlier partitions."""
     s = _sorted_checkpoint(df, order)
-    pid = F.shiftright(F.col("_mid"), 33)
-    s = s.withColumn("_pid", pid)
-    totals = s.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-                                      for c in cols])
+    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+    offsets = _part_offsets(s, cols)
     local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
     out = s.join(F.broadcast(offsets), on="_pid")
     out = out.withColumns({f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(local) for c in cols})
-    return out.drop("_pid", "_mid", *[f"_o_{c}" for c in cols])
+    return out.drop("_pid", "_mid", *[f"_{x}_{c}" for c in cols for x in "ot"])
+
+
+def _same(groups: Sequence[str], prefix: str) -> Column:
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(f"`{g}`").eqNullSafe(F.col(f"{prefix}{i}"))
+    return same
+
+
+def _held_ranks(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Counted values (groups, ``_v``, ``_n``) plus the ranks inside their group that each holds: from ``_from`` (counted
+    from 0) to ``_to`` (exclusive), and the group's ``_size``.
+
+    After the range-partitioned sort nearly every group lies in one partition, where local windows give its ranks. At
+    most one group a partition border straddles it, a hot one over many partitions: their pieces are put together by a
+    table of at most one row per border, which is broadcast. No value is joined with its group.
+    """
+    quoted = [F.col(f"`{g}`") for g in groups]
+    s = _sorted_checkpoint(counts, [g.asc_nulls_first() for g in quoted] + [F.col("_v")])
+    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+    ends = s.groupBy("_pid").agg(F.min("_mid").alias("_first"), F.max("_mid").alias("_last"))
+    ends = ends.select(F.explode(F.array("_first", "_last")).alias("_mid")).distinct()           # two rows a partition
+    edge = s.join(F.broadcast(ends), "_mid", "left_semi").select(
+        F.col("_pid").alias("_epid"), *[F.col(f"`{g}`").alias(f"_e{i}") for i, g in enumerate(groups)])
+    pieces = s.join(F.broadcast(edge), (F.col("_pid") == F.col("_epid")) & _same(groups, "_e"), "left_semi").groupBy(
+        "_pid", *quoted).agg(F.sum("_n").alias("_piece"))
+    before = Window.partitionBy(*quoted).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*quoted)
+    crossing = pieces.withColumns({"_done": F.coalesce(F.sum("_piece").over(before), F.lit(0)), "_all": F.sum("_piece").over(whole),
+                                   "_k": F.count(F.lit(1)).over(whole)}).where("_k > 1")
+    crossing = crossing.select(F.col("_pid").alias("_cpid"), *[F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(groups)], "_done", "_all")
+    piece = Window.partitionBy("_pid", *quoted)
+    local = piece.orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    held = s.withColumns({"_to": F.sum("_n").over(local), "_size": F.sum("_n").over(piece)})
+    held = held.join(F.broadcast(crossing), (F.col("_pid") == F.col("_cpid")) & _same(groups, "_g"), "left")
+    held = held.withColumns({"_to": F.col("_to") + F.coalesce("_done", F.lit(0)), "_size": F.coalesce("_all", "_size")})
+    return held.select(*quoted, "_v", (F.col("_to") - F.col("_n")).alias("_from"), "_to", "_size")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -70,34 +110,36 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     ``value`` per group, NULLs ignored. Output: ``groups..., p, q``.
 
     Rows are first counted by (groups, value), combined map-side, so no raw
-    row is sorted. Running counts over the distinct values give each value the
-    interval of ranks it holds; a value is an order statistic around
-    ``p * (n - 1)`` when that rank lies in its interval.
+    row is sorted.
+    """
+    quoted = [F.col(f"`{g}`") for g in groups]
+    base = df.select(*quoted, F.col(f"`{value}`").alias("_v")).where(F.col("_v").isNotNull())
+    return quantiles_of_counts(base.groupBy(*quoted, "_v").agg(F.count(F.lit(1)).alias("_n")), probs, groups)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+    """``exact_quantiles`` of counted values (groups, ``_v``, ``_n``), one row each.
+
+    Running counts over the distinct values give each value the interval of
+    ranks it holds; a value is an order statistic around ``p * (n - 1)`` when
+    that rank lies in its interval.
     """
-    groups = list(groups)
-    base = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    counts = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    held = running_sums(counts, [F.col(g).asc_nulls_first() for g in groups] + [F.col("_v")], ["_n"], prefix="_cum")
-    held = held.withColumn("_from", F.col("_cum_n") - F.col("_n"))
-    bounds = held.groupBy(*groups).agg(F.min("_from").alias("_start"), F.sum("_n").alias("_size"))
+    quoted = [F.col(f"`{g}`") for g in groups]
     if groups:
-        named = bounds.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(groups)})
-        same = F.lit(True)
-        for i, g in enumerate(groups):
-            same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-        held = held.join(named, on=same)
+        held = _held_ranks(counts, groups)
     else:
-        whole = bounds.first()     # two numbers
-        held = held.withColumns({"_start": F.lit(whole["_start"]), "_size": F.lit(whole["_size"])})
+        held = running_sums(counts, [F.col("_v")], ["_n"], prefix="_to")
+        size = held.agg(F.sum("_n")).first()[0]     # one number
+        held = held.select("_v", (F.col("_to_n") - F.col("_n")).alias("_from"), F.col("_to_n").alias("_to"), F.lit(size).alias("_size"))
 
     def at(p, side):
-        rank = F.col("_start") + side(p * (F.col("_size") - 1))
-        return (F.col("_from") <= rank) & (rank < F.col("_cum_n"))
+        rank = side(p * (F.col("_size") - 1))
+        return (F.col("_from") <= rank) & (rank < F.col("_to"))
     wanted = F.filter(F.array(*[F.lit(float(p)) for p in probs]), lambda p: at(p, F.floor) | at(p, F.ceil))
     pos = F.col("p") * (F.col("_size") - 1)
-    out = held.withColumn("p", F.explode(wanted)).groupBy(*groups, "p").agg(
+    out = held.withColumn("p", F.explode(wanted)).groupBy(*quoted, "p").agg(
         F.max(F.when(at(F.col("p"), F.floor), F.col("_v"))).alias("_vlo"),
         F.max(F.when(at(F.col("p"), F.ceil), F.col("_v"))).alias("_vhi"),
         F.max(pos - F.floor(pos)).alias("_frac"))
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
-    return out.select(*groups, "p", q.cast("double").alias("q"))
+    return out.select(*quoted, "p", q.cast("double").alias("q"))

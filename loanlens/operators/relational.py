@@ -8,16 +8,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _TWO_32 = 4294967296.0
 
 
-def hash_unit(key: str | Column, seed: int = 42) -> Column:
-    """Deterministic pseudo-uniform number in [0, 1) per key: the first 32 bits
-    of md5(key|seed). The same value is reproducible in any SQL engine with md5,
-    and computing it needs no shuffle."""
+def hash_bits(key: str | Column, seed: int = 42) -> Column:
+    """The first 32 bits of md5(key|seed) as a whole number. The same value is
+    reproducible in any SQL engine with md5, and computing it needs no shuffle."""
     k = F.col(key) if isinstance(key, str) else key
     h = F.md5(F.concat(k.cast("string"), F.lit(f"|{seed}")))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
+def hash_unit(key: str | Column, seed: int = 42) -> Column:
+    """Deterministic pseudo-uniform number in [0, 1) per key, from ``hash_bits``."""
+    return hash_bits(key, seed) / F.lit(_TWO_32)
 
 
 def sample_fraction(df: DataFrame, frac: float, key: str, seed: int = 42, fast: bool = False) -> DataFrame:
@@ -57,17 +63,24 @@ def split_grandchildren(grandchild: DataFrame, child: DataFrame, parent_keys: Da
     return grandchild.join(kids.select(child_key), on=child_key, how="left_semi")
 
 
+def split_keys(parent_split: DataFrame, key: str, split_col: str = "split") -> DataFrame:
+    """The distinct (key, split) pairs of a split parent, written once (reliable
+    checkpoint) for all its children."""
+    ensure_checkpoint_dir(parent_split.sparkSession)
+    return parent_split.where(F.col(split_col).isin("train", "test")).select(key, split_col).distinct().checkpoint()
+
+
 def propagate_split(child: DataFrame, parent_split: DataFrame, key: str, split_col: str = "split") -> DataFrame:
     """Child rows take the split of their parent; rows without a parent drop
-    out, like the reference's ``isin`` filter. One semi join per split value:
-    both sides are bare shuffles, so AQE can split a hot parent key, and parent
-    rows that repeat a key cannot multiply its children."""
-    out = None
-    for value in ("train", "test"):
-        keys = parent_split.where(F.col(split_col) == value).select(key)
-        part = child.join(keys, on=key, how="left_semi").withColumn(split_col, F.lit(value))
-        out = part if out is None else out.unionByName(part)
-    return out
+    out, like the reference's ``isin`` filter. One join of the child with the
+    parent's distinct keys: it is scanned and shuffled once, parent rows that
+    repeat a key cannot multiply its children, and as the keys are a written
+    table both sides are bare shuffles, which AQE can split at a hot key."""
+    return _with_split(child, split_keys(parent_split, key, split_col), key, split_col)
+
+
+def _with_split(child: DataFrame, keys: DataFrame, key: str, split_col: str = "split") -> DataFrame:
+    return child.join(keys.select(key, split_col), on=key).select(*[F.col(f"`{c}`") for c in child.columns], split_col)
 
 
 def split_by_own_key(child: DataFrame, parents: DataFrame, key: str, test_size: float = 0.05, seed: int = 42,
@@ -86,10 +99,11 @@ def split_family(app: DataFrame, bureau: DataFrame, balance: DataFrame, prev: Da
     a = holdout_split(app, "SK_ID_CURR", test_size, seed)
     b = split_by_own_key(bureau, a, "SK_ID_CURR", test_size, seed)
     p = split_by_own_key(prev, a, "SK_ID_CURR", test_size, seed)
-    return {"application": a, "bureau": b, "bureau_balance": propagate_split(balance, b, "SK_ID_BUREAU"),
-            "previous_application": p, "pos_cash_balance": propagate_split(cash, p, "SK_ID_PREV"),
-            "installments_payments": propagate_split(inst, p, "SK_ID_PREV"),
-            "credit_card_balance": propagate_split(card, p, "SK_ID_PREV")}
+    loans, earlier = split_keys(b, "SK_ID_BUREAU"), split_keys(p, "SK_ID_PREV")
+    return {"application": a, "bureau": b, "bureau_balance": _with_split(balance, loans, "SK_ID_BUREAU"),
+            "previous_application": p, "pos_cash_balance": _with_split(cash, earlier, "SK_ID_PREV"),
+            "installments_payments": _with_split(inst, earlier, "SK_ID_PREV"),
+            "credit_card_balance": _with_split(card, earlier, "SK_ID_PREV")}
 
 
 def rank_top_categories(df: DataFrame, col: str, n: int = 10) -> DataFrame:

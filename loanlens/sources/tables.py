@@ -86,6 +86,8 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str = "SK_ID_
 
 
 def write_report_csv(df: DataFrame, path: str) -> DataFrame:
-    """Small report tables (comparisons, rankings) as one headed CSV file."""
-    write_csv(df.coalesce(1), path)
+    """Report tables (comparisons, rankings) as headed CSV: rows are dealt to
+    files by their measured size, so a small report is one file and a table of
+    any size is written by many tasks."""
+    write_csv(df.hint("rebalance"), path)
     return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)

@@ -82,3 +82,29 @@ def test_quantiles_sort_counted_values_only(spark):
     finally:
         ranking._sorted_checkpoint = plain
     assert seen == [7]
+
+
+def test_group_with_a_third_of_the_values_is_not_joined_or_put_in_one_task(spark):
+    """A hot group straddles many range partitions; its values meet no join on the group."""
+    from loanlens.operators import ranking
+    n = 9000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g.x"),
+                               ((F.col("id") * 7919) % n / 3).alias("v")).unionByName(spark.createDataFrame([(None, 1.5), (None, 2.5)], "`g.x` string, v double"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        counts = df.groupBy(F.col("`g.x`"), F.col("v").alias("_v")).agg(F.count("*").alias("_n"))
+        held = ranking._held_ranks(counts, ["g.x"])
+        plan = held._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join LeftOuter" in plan and "Join Inner" not in plan
+        sizes = [r["n"] for r in ranking._sorted_checkpoint(counts, [F.col("`g.x`"), F.col("_v")]).where("`g.x` = 'hot'")
+                 .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) >= 4 and max(sizes) < n // 6
+        got = {(r["g.x"], r["p"]): r["q"] for r in exact_quantiles(df, "v", [0.0, 0.3, 0.5, 1.0], groups=["g.x"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    by = {}
+    for r in df.collect():
+        by.setdefault(r["g.x"], []).append(r["v"])
+    assert got == {(g, p): pytest.approx(float(np.quantile(v, p))) for g, v in by.items() for p in (0.0, 0.3, 0.5, 1.0)}
