@@ -201,13 +201,18 @@ def filter_groups_by_median(df: DataFrame, group: str, amount: str, value: float
     return df.join(chosen.select(group), on=group, how="left_semi")
 
 
+MAX_OUTCOMES = 1_000     # columns of the wide form; the long form has no bound
+
+
 def crosstab_counts(df: DataFrame, x: str, y: str, y_values: Sequence | None = None) -> DataFrame:
     """Group x outcome count table; every outcome column present, 0 when empty.
     The wide form has a column per outcome; for outcomes without a bound use
     ``crosstab_long``, which no outcome name ever leaves the cluster for."""
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if y_values is None:  # the outcome values become columns, so their names are fetched
-        y_values = [r[0] for r in base.select(y).distinct().orderBy(y).collect()]
+    if y_values is None:  # the outcome values become columns, so their names are fetched, up to a bound
+        y_values = sorted(r[0] for r in base.select(y).distinct().limit(MAX_OUTCOMES + 1).collect())
+        if len(y_values) > MAX_OUTCOMES:
+            raise ValueError(f"more than {MAX_OUTCOMES} outcomes: use crosstab_long")
     wide = base.groupBy(x).pivot(y, list(y_values)).agg(_count())
     return wide.fillna(0, subset=[str(v) for v in y_values])
 

@@ -1,8 +1,10 @@
 """Chi-square test of independence.
 
-Observed counts come from one grouped count; the full table (zero cells
-included) is built by pivoting on the outcome values, so no cross join is
-needed; margins are window sums over that small table.
+Observed counts come from one grouped count of the cells that occur; nothing
+is pivoted and no category or outcome name leaves the cluster. The statistic
+needs only those cells: empty ones add their expected count, and all expected
+counts add up to the number of rows. The share of cells with enough expected
+rows follows from the two histograms of the margins.
 """
 
 from __future__ import annotations
@@ -10,14 +12,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .reports import crosstab_counts
+from .ranking import running_sums
+from .reports import crosstab_long
+
+ENOUGH = 5       # expected rows of a cell that the rule of thumb asks for
 
 
 def chi2_sf(stat: float, dof: float) -> float:
@@ -37,55 +39,92 @@ def chi2_sf(stat: float, dof: float) -> float:
 
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_sf_udf(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(s, d) for s, d in zip(stat.to_numpy(), dof.to_numpy())], dtype=np.float64)
-
+def _cells_and_margins(df: DataFrame, x: str, y: str, y_values: Sequence | None) -> tuple[DataFrame, DataFrame, DataFrame, tuple]:
+    """(cells that occur ``x, y, observed``, margins ``x, _rs`` and ``y, _cs``, (rows, categories, outcomes)).
 
-def contingency_cells(df: DataFrame, x: str, y: str, y_values: Sequence | None = None) -> DataFrame:
-    """Long table ``(x, y, observed, expected)`` with every cell present. Row and
-    column sums are aggregates joined back on their key; the grand total is one
-    number."""
-    cells, _ = _cells_and_shape(df, x, y, y_values)
-    return cells
+    The three tables are written (reliable checkpoints), so they are counted
+    once and joins with them have bare shuffles on both sides, which AQE can
+    split at a hot category. Rows without a category or outcome are left out,
+    and so are outcomes outside ``y_values`` where it is given.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    if y_values is not None:
+        df = df.where(F.col(y).isin(list(y_values)))
+    cells = crosstab_long(df, x, y).withColumnRenamed("n", "observed").checkpoint()
+    rows = cells.groupBy(x).agg(F.sum("observed").alias("_rs")).checkpoint()
+    cols = cells.groupBy(y).agg(F.sum("observed").alias("_cs")).checkpoint()
+    total, r = rows.agg(F.sum("_rs"), F.count(F.lit(1))).first()
+    return cells, rows, cols, (total or 0, r, cols.count())
+
+
+def _expected(total: int):
+    return F.col("_rs").cast("double") * F.col("_cs") / F.lit(total)
+
+
+def share_of_expected(rows: DataFrame, cols: DataFrame, shape: tuple, least: int = ENOUGH) -> float | None:
+    """Share of all cells (empty ones too) whose expected count reaches ``least``, from the margins' histograms.
+
+    A category with r rows has enough expected rows in the outcomes of at least
+    ``least * total / r`` rows: both histograms are put in one order and summed
+    from the top, so no pair of margins is formed.
+    """
+    total, r, c = shape
+    if not total:
+        return None
+    held = cols.groupBy("_cs").agg(F.count(F.lit(1)).alias("n")).select(F.col("_cs").alias("at"), F.lit(0).alias("asks"), "n", F.lit(0).alias("k"))
+    asks = rows.groupBy("_rs").agg(F.count(F.lit(1)).alias("k")).select(
+        F.expr(f"({least} * {total} + _rs - 1) div _rs").alias("at"), F.lit(1).alias("asks"), F.lit(0).alias("n"), "k")
+    down = running_sums(held.unionByName(asks), [F.desc("at"), F.col("asks")], ["n"])
+    enough = down.agg(F.sum(F.col("k").cast("double") * F.col("cum_n"))).first()[0]
+    return enough / (float(r) * c)
+
+
+def _with_expected(x: str, y: str, y_values: Sequence | None, cells: DataFrame, rows: DataFrame, cols: DataFrame, shape: tuple) -> DataFrame:
+    if y_values is not None:
+        kind = cells.schema[y].dataType
+        every = rows.select(x, "_rs", F.explode(F.array(*[F.lit(v).cast(kind) for v in y_values])).alias(y))
+        out = every.join(cells, [x, y], "left").join(cols, y).fillna(0, subset=["observed"]).withColumn(y, F.col(y).cast("string"))
+    else:
+        out = cells.join(rows, x).join(cols, y)
+    return out.select(x, y, "observed", _expected(shape[0]).alias("expected"))
 
 
-def _cells_and_shape(df: DataFrame, x: str, y: str, y_values: Sequence | None):
-    ensure_checkpoint_dir(df.sparkSession)
-    wide = crosstab_counts(df, x, y, y_values).checkpoint()     # one row per category, read three times
-    ycols = [c for c in wide.columns if c != x]
-    long = wide.unpivot(x, ycols, y, "observed")
-    shape = long.agg(F.sum("observed").alias("total"), F.count_distinct(x).alias("r"),
-                     F.lit(len(ycols)).alias("c")).first()          # three numbers, one job
-    rows = long.groupBy(x).agg(F.sum("observed").alias("_rs"))
-    cols = long.groupBy(y).agg(F.sum("observed").alias("_cs"))
-    cells = long.join(rows, on=x).join(cols, on=y)
-    cells = cells.select(x, y, "observed", (F.col("_rs").cast("double") * F.col("_cs") / F.lit(shape["total"]))
-                         .alias("expected"))
-    return cells, shape
+def contingency_cells(df: DataFrame, x: str, y: str, y_values: Sequence | None = None) -> DataFrame:
+    """Long table ``(x, y, observed, expected)`` of the cells that occur; where
+    ``y_values`` lists the outcomes, also of the empty cells, with ``y`` as text."""
+    return _with_expected(x, y, y_values, *_cells_and_margins(df, x, y, y_values))
 
 
 def chi2_independence(df: DataFrame, x: str, y: str, correction: bool = True,
                       y_values: Sequence | None = None) -> DataFrame:
-    """One row ``(chi2, dof, p, n_cells)``. With one degree of freedom and
-    ``correction`` the observed counts move half a unit toward the expected
-    ones (Yates), as the reference's test does by default."""
-    cells, shape = _cells_and_shape(df, x, y, y_values)
-    cells = cells.withColumns({"r": F.lit(shape["r"]), "c": F.lit(shape["c"])})
-    dof = (F.col("r") - 1) * (F.col("c") - 1)
-    diff = F.col("expected") - F.col("observed")
-    shift = F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
-    obs = F.col("observed") + shift if correction else F.col("observed")
-    obs = F.when(dof == 1, obs).otherwise(F.col("observed")) if correction else obs
-    term = (obs - F.col("expected")) ** 2 / F.col("expected")
-    out = cells.groupBy("r", "c").agg(F.sum(term).alias("chi2"), F.count(F.lit(1)).alias("n_cells"))
-    out = out.select("chi2", ((F.col("r") - 1) * (F.col("c") - 1)).cast("bigint").alias("dof"), "n_cells")
-    return out.withColumn("p", chi2_sf_udf(F.col("chi2"), F.col("dof").cast("double")))
+    """One row ``(chi2, dof, n_cells, p)``, none for an empty table. With one
+    degree of freedom and ``correction`` the observed counts move half a unit
+    toward the expected ones (Yates), as the reference's test does by default."""
+    cells, rows, cols, (total, r, c) = _cells_and_margins(df, x, y, y_values)
+    dof = (r - 1) * (c - 1)
+    found = []
+    if total and dof == 1:                   # four cells: two margins of two rows each
+        row, col = ({k: n for k, n in t.collect()} for t in (rows, cols))
+        seen = {(a, b): n for a, b, n in cells.select(x, y, "observed").collect()}
+        chi2 = 0.0
+        for a, n in row.items():
+            for b, m in col.items():
+                off = abs(n * m / total - seen.get((a, b), 0))
+                chi2 += (off - (min(0.5, off) if correction else 0.0)) ** 2 / (n * m / total)
+        found = [(chi2, dof, r * c, chi2_sf(chi2, dof))]
+    elif total:
+        off = F.col("observed") - _expected(total)
+        # a cell that does not occur adds its expected count; together they add what the present ones leave of the total
+        part = cells.join(rows, x).join(cols, y).agg(F.sum(off * off / _expected(total)), F.sum(_expected(total))).first()
+        chi2 = part[0] + max(0.0, total - part[1])
+        found = [(chi2, dof, r * c, chi2_sf(chi2, dof))]
+    return df.sparkSession.createDataFrame(found, "chi2 double, dof bigint, n_cells bigint, p double")
 
 
 def chi2_expected_counts(df: DataFrame, x: str, y: str, y_values: Sequence | None = None) -> DataFrame:
-    """Cells with expected counts plus the rule of thumb: share of cells whose
-    expected count is at least 5 (the test is trusted when it is >= 80%)."""
-    cells = contingency_cells(df, x, y, y_values)
-    share = cells.agg(F.avg((F.col("expected") >= 5).cast("double"))).first()[0]
-    return cells.withColumn("share_expected_ge5", F.lit(share))
+    """Cells with expected counts (see ``contingency_cells``) plus the rule of
+    thumb: share of all cells whose expected count is at least 5 (the test is
+    trusted when it is >= 80%)."""
+    cells, rows, cols, shape = _cells_and_margins(df, x, y, y_values)
+    share = share_of_expected(rows, cols, shape)
+    return _with_expected(x, y, y_values, cells, rows, cols, shape).withColumn("share_expected_ge5", F.lit(share).cast("double"))

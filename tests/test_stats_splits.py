@@ -165,3 +165,79 @@ def test_hot_parent_key_is_split_and_repeated_parents_do_not_multiply(spark):
     want = {(r["k"], r["split"]) for r in kids.join(a, "SK_ID_CURR").collect()}
     assert {(r["k"], r["split"]) for r in own.collect()} == want == {(r["k"], r["split"]) for r in via.select("k", "split").collect()}
     assert via.count() == own.count() == len(want)
+
+
+def _brute_positions(rows, seed):
+    import hashlib
+    by = {}
+    for k, y in rows:
+        if k is not None:
+            by.setdefault(y, []).append((int(hashlib.md5(f"{k}|{seed}".encode()).hexdigest()[:8], 16), k))
+    return {(y, k): (i, len(v)) for y, v in by.items() for i, (_, k) in enumerate(sorted(v))}
+
+
+@pytest.mark.parametrize("bits, cell_rows, cut_rows", [(12, 100_000, 100_000), (3, 2, 100_000), (12, 0, 0), (5, 10, 1)])
+def test_splits_by_histogram_refinement_equal_sorting(spark, monkeypatch, bits, cell_rows, cut_rows):
+    # few bits a level force many refinements, no fetched cuts force the joined form
+    monkeypatch.setattr(sp, "LEVEL_BITS", bits)
+    monkeypatch.setattr(sp, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(sp, "CUT_ROWS", cut_rows)
+    rows = [(i, None if i % 11 == 0 else "a" if i % 3 else f"rare{i % 7}") for i in range(600)] + [(None, "a"), (None, None), (9000, "single")]
+    df = spark.createDataFrame(rows, "k long, `y.z` string")
+    at = _brute_positions(rows, 3)
+    for share in (0.0, 0.2, 0.5, 1.0):
+        got = sp.stratified_split(df, "y.z", "k", share, 3).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            i, n = at.get((r["y.z"], r["k"]), (1, 0))
+            assert r["split"] == ("test" if i < math.floor(n * share + 0.5) else "train")
+    for k in (1, 5, 8):
+        for r in sp.stratified_folds(df, "y.z", "k", k, 3).collect():
+            i, n = at.get((r["y.z"], r["k"]), (0, 1))
+            assert r["fold"] == i * k // n
+
+
+def test_splits_of_many_labels_stay_on_the_cluster(spark):
+    df = spark.range(600_000).select(F.col("id").alias("k"), (F.col("id") % 200_000).alias("y"))
+    out = sp.stratified_split(df, "y", "k", 0.34, 1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (y" not in plan and "BroadcastHint" not in plan and "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    sizes = out.groupBy("y").agg(F.sum((F.col("split") == "test").cast("int")).alias("t"), F.count("*").alias("n")).groupBy("t", "n").count().collect()
+    assert [(r["t"], r["n"], r["count"]) for r in sizes] == [(1, 3, 200_000)]
+    folds = sp.stratified_folds(df, "y", "k", 3, 1).groupBy("fold").count().collect()
+    assert sorted((r["fold"], r["count"]) for r in folds) == [(0, 200_000), (1, 200_000), (2, 200_000)]
+
+
+def test_splits_of_empty_tables(spark):
+    df = spark.createDataFrame([], "k long, y int")
+    assert sp.stratified_split(df, "y", "k").count() == 0 and sp.stratified_folds(df, "y", "k").columns == ["k", "y", "fold"]
+
+
+def test_chi2_from_present_cells_equals_the_dense_table(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"g{int(a)}", int(b)) for a, b in zip(rng.integers(0, 9, 900) ** 2 // 9, rng.integers(0, 6, 900) ** 2 // 6)] + [(None, 1), ("g0", None), ("lone", 3)]
+    df = spark.createDataFrame(rows, "x string, y int")
+    full = [(a, b) for a, b in rows if a is not None and b is not None]
+    xs, ys = sorted({a for a, _ in full}), sorted({b for _, b in full})
+    o = np.array([[sum(1 for r in full if r == (a, b)) for b in ys] for a in xs], float)
+    e = np.outer(o.sum(1), o.sum(0)) / o.sum()
+    got = st.chi2_independence(df, "x", "y").first()
+    assert got["chi2"] == pytest.approx(((o - e) ** 2 / e).sum()) and got["dof"] == (len(xs) - 1) * (len(ys) - 1) and got["n_cells"] == o.size
+    assert (o == 0).any()
+    long = st.chi2_expected_counts(df, "x", "y").collect()
+    assert len(long) == int((o > 0).sum()) and all(r["share_expected_ge5"] == pytest.approx((e >= 5).mean()) for r in long)
+    dense = st.chi2_expected_counts(df, "x", "y", y_values=ys).collect()
+    assert len(dense) == o.size and all(r["share_expected_ge5"] == pytest.approx((e >= 5).mean()) for r in dense)
+    cell = {(r["x"], r["y"]): (r["observed"], r["expected"]) for r in dense}
+    assert all(cell[a, str(b)] == (o[i, j], pytest.approx(e[i, j])) for i, a in enumerate(xs) for j, b in enumerate(ys))
+    assert st.chi2_independence(df.where("x = 'none'"), "x", "y").collect() == []
+
+
+def test_chi2_of_many_outcomes_fetches_no_name(spark):
+    df = spark.range(600_000).select((F.col("id") % 3).alias("x"), (F.col("id") % 200_000).alias("y"))
+    got = st.chi2_independence(df, "x", "y").first()
+    # 200,000 outcomes of 3 rows each; ids differ by 200,000, which is 2 modulo 3, so every row lies in another group: 3 cells of 1
+    assert got["chi2"] == pytest.approx(0.0, abs=1e-3) and got["dof"] == 2 * 199_999 and got["n_cells"] == 600_000
+    assert st.chi2_expected_counts(df, "x", "y").first()["share_expected_ge5"] == 0.0
+    with pytest.raises(ValueError, match="crosstab_long"):
+        rp.crosstab_counts(df, "x", "y")
