@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import agg_name, positive_flag, recode_status
+from ..session import ensure_checkpoint_dir
 from .ranking import exact_quantiles
 
 KEY = "SK_ID_CURR"
@@ -136,9 +137,70 @@ def balance_latest_status(balance: DataFrame) -> DataFrame:
                  *_status_stats(F.col("S"))))
 
 
+def balance_recent_status(balance: DataFrame, months: int = 6) -> DataFrame:
+    """Per loan: status features over its latest ``months`` months.
+
+    ``RECENT_n`` months found, ``RECENT_mean`` / ``RECENT_max`` of the status
+    over open rows, ``RECENT_late`` rows one month late or more,
+    ``RECENT_closed`` rows of closed months, ``RECENT_change`` mean status of
+    the newer half of those months minus that of the older half (NULL where a
+    half holds no status).
+
+    Rows are counted by (loan, month, status) first, combined map-side. The
+    dense rank of the months is cut at ``months`` before the shuffle too, so a
+    loan of any length sends a few counts from each task and no window sees its
+    rows. Rows without a month are left out.
+    """
+    s, n = F.col("S"), F.col("n")
+    counts = (balance.where(F.col("MONTHS_BALANCE").isNotNull()).select(LOAN, "MONTHS_BALANCE", recode_status("STATUS").alias("S"))
+              .groupBy(LOAN, "MONTHS_BALANCE", "S").agg(F.count(F.lit(1)).alias("n")))
+    latest = Window.partitionBy(LOAN).orderBy(F.desc("MONTHS_BALANCE"))
+    recent = counts.withColumn("k", F.dense_rank().over(latest)).where(F.col("k") <= months)
+    is_open = s.isNotNull() & (s != -1)
+
+    def mean(cond: Column) -> Column:
+        return F.sum(F.when(cond, n * s)) / F.sum(F.when(cond, n))
+    half = F.col("k") <= months // 2
+    return recent.groupBy(LOAN).agg(
+        F.max("k").alias("RECENT_n"), mean(is_open).alias("RECENT_mean"), F.max(F.when(is_open, s)).alias("RECENT_max"),
+        F.sum(F.when(s >= 1, n).otherwise(0)).alias("RECENT_late"), F.sum(F.when(s == -1, n).otherwise(0)).alias("RECENT_closed"),
+        (mean(is_open & half) - mean(is_open & ~half)).alias("RECENT_change"))
+
+
+def outer_merge(left: DataFrame, right: DataFrame, key: str = LOAN) -> DataFrame:
+    """The rows of a full outer join on ``key``, as a left outer join and an anti
+    join, which AQE can split at a hot key (it cannot split a full outer join).
+    That takes a bare shuffle on both sides, so ``right``, the narrow aggregated
+    side, is written first (reliable checkpoint) and computed once for both."""
+    ensure_checkpoint_dir(left.sparkSession)
+    features = right.checkpoint()
+    known = left.join(features, on=key, how="left")
+    unknown = features.join(left.select(key), on=key, how="left_anti")
+    return known.unionByName(unknown, allowMissingColumns=True)
+
+
+def month_zero_status(balance: DataFrame) -> DataFrame:
+    """Per row of month 0 the loan and its status (``STATUS_last``)."""
+    return balance.where(F.col("MONTHS_BALANCE") == 0).select(LOAN, recode_status("STATUS").alias("STATUS_last"))
+
+
+def open_status_stats(balance: DataFrame) -> DataFrame:
+    """Per loan mean/std/max of the status over months that were not closed."""
+    clean = balance.select(LOAN, recode_status("STATUS").alias("S")).where("S <> -1 or S is null")
+    return clean.groupBy(LOAN).agg(*_status_stats(F.col("S")))
+
+
+def merge_last_and_stats(last: DataFrame, stats: DataFrame) -> DataFrame:
+    """Month-0 rows with the statistics of their loan, and the statistics of
+    loans without a month-0 row (``balance_status_features`` gives the same from
+    one scan)."""
+    return outer_merge(last, stats, LOAN)
+
+
 def merge_balance_into_bureau(bureau: DataFrame, balance_features: DataFrame) -> DataFrame:
-    """Full outer join of bureau loans with per-loan status features."""
-    return bureau.join(balance_features, on=LOAN, how="full_outer")
+    """Bureau loans with per-loan status features, and the features of loans the
+    bureau table does not hold."""
+    return outer_merge(bureau, balance_features, LOAN)
 
 
 # ---------------------------------------------------------------- bureau

@@ -136,3 +136,46 @@ def test_balance_features_repeat_month_zero_rows_and_count_hot_loans(spark):
     assert out.count() == 200_000 and out.distinct().count() == 1
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Window" not in plan
+
+
+def test_recent_status_takes_the_latest_months(spark):
+    rows = [(1, -m, str(m % 4)) for m in range(10)] + [(1, 0, "5"), (1, -1, "X"), (1, -2, "C"), (2, -7, "C"), (2, None, "3"), (3, -4, "X"), (4, None, "1")]
+    df = spark.createDataFrame(rows, "SK_ID_BUREAU long, MONTHS_BALANCE long, STATUS string")
+    got = {r.SK_ID_BUREAU: r for r in fe.balance_recent_status(df, 4).collect()}
+    assert set(got) == {1, 2, 3}                                    # a loan without any month is absent
+    r = got[1]                                                      # months 0 to -3: 0, 5, 1, X, 2, C, 3
+    assert (r.RECENT_n, r.RECENT_max, r.RECENT_late, r.RECENT_closed) == (4, 5.0, 4, 1)
+    assert r.RECENT_mean == pytest.approx(11 / 5) and r.RECENT_change == pytest.approx(6 / 3 - 5 / 2)
+    assert tuple(got[2])[1:] == (1, None, None, 0, 1, None) and tuple(got[3])[1:] == (1, None, None, 0, 0, None)
+
+
+def test_recent_status_of_a_hot_loan_is_cut_before_the_shuffle(spark):
+    df = spark.range(90_000).selectExpr("if(id % 3 = 0, 7L, id) as SK_ID_BUREAU", "-(id % 3000) as MONTHS_BALANCE", "cast(id % 3 as string) as STATUS")
+    out = fe.balance_recent_status(df, 6)
+    got = {r.SK_ID_BUREAU: r for r in out.where("SK_ID_BUREAU in (7, 8)").collect()}
+    assert got[7].RECENT_n == 6 and got[7].RECENT_late == 1          # months 0, -3, -6, -9, -12 of status 0 and the loan's own row in month -7
+    assert got[7].RECENT_mean == pytest.approx(1 / 151)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") and "partial_count" in plan and "Partial" in plan.split("WindowGroupLimit", 1)[1]
+
+
+def test_full_outer_merge_splits_a_hot_loan(spark):
+    bureau = spark.range(60_000).selectExpr("if(id % 3 = 0, 5L, id) as SK_ID_BUREAU", "id as k", "repeat(cast(id as string), 40) as pad")
+    feats = spark.range(40_000, 70_000).selectExpr("id as SK_ID_BUREAU", "1.5D as STATUS_mean").unionByName(
+        spark.createDataFrame([(5, 2.5), (None, 3.5)], "SK_ID_BUREAU long, STATUS_mean double"))
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = fe.merge_balance_into_bureau(bureau.repartition(6), feats)
+        rows = out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    want = bureau.join(feats, "SK_ID_BUREAU", "full_outer").collect()
+    assert out.columns == ["SK_ID_BUREAU", "k", "pad", "STATUS_mean"]
+    assert sorted(map(repr, rows)) == sorted(map(repr, want))
