@@ -116,7 +116,7 @@ def test_target_encoder_joins_a_table_of_many_categories(spark):
     df = spark.range(200_000).select(F.concat(F.lit("c"), (F.col("id") % 60_000).cast("string")).alias("a"), F.lit("x").alias("b"),
                                      (F.col("id") % 2).cast("double").alias("label"))
     model = SmoothedTargetEncoder(inputCols=["a", "b"], labelCol="label").fit(df)
-    assert "table" in model._get_fitted()
+    assert model.has_table() and "mapping" not in model._get_fitted()
     path = work_dir(spark, "encoder-test")
     model.write().overwrite().save(path)
     unseen = spark.createDataFrame([("new", None, 1.0)], "a string, b string, label double")
@@ -124,3 +124,75 @@ def test_target_encoder_joins_a_table_of_many_categories(spark):
     rows = out.collect()
     assert out.columns == df.columns and len(rows) == 4
     assert 0.5 in [r["a"] for r in rows] and all(0.0 <= r["a"] <= 1.0 for r in rows)
+
+
+def _drop_folder(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def test_saved_models_hold_their_tables(spark, tmp_path):
+    """10,000 categories: saved, scratch removed, loaded and scored equally, alone and inside a pipeline."""
+    from pyspark.ml import Pipeline, PipelineModel
+    df = spark.range(30_000).select(F.concat(F.lit("c"), (F.col("id") % 10_000).cast("string")).alias("a"),
+                                    F.when(F.col("id") % 5 > 0, (F.col("id") % 3).cast("string")).alias("b"), (F.col("id") % 2).cast("double").alias("label"), "id")
+    model = Pipeline(stages=[stg.SmoothedTargetEncoder(inputCols=["a"], labelCol="label"), stg.SparseOneHotEncoder(inputCols=["b"], outputCol="v")]).fit(df)
+    unseen = spark.createDataFrame([("new", "new", 1.0, -1), (None, None, 0.0, -2)], "a string, b string, label double, id long")
+    every = df.unionByName(unseen)
+    want = {r["id"]: tuple(r) for r in model.transform(every).collect()}
+    model.write().overwrite().save(str(tmp_path / "m"))
+    for stage in model.stages:
+        _drop_folder(spark, stage.getOrDefault(stage.tablePath))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    got = {r["id"]: tuple(r) for r in loaded.transform(every).collect()}
+    assert got == want and got[-1][0] == 0.5 and got[-1][-1].numNonzeros() == 0
+    loaded.write().overwrite().save(str(tmp_path / "again"))
+    assert {r["id"]: tuple(r) for r in PipelineModel.load(str(tmp_path / "again")).transform(every).collect()} == want
+
+
+def test_sparse_one_hot_equals_the_named_columns(spark):
+    rows = [(i, ["x", "y", None, "nan?"][i % 4], ["N", "Y"][i % 2], "only") for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, `a.b` string, flag string, one string")
+    cols, drop = ["a.b", "flag", "one"], ["a.b_y"]
+    named = stg.NamedOneHotEncoder(inputCols=cols).fit(df)
+    sparse = stg.SparseOneHotEncoder(inputCols=cols, outputCol="v", dropNames=drop).fit(df)
+    names = [r["name"] for r in sparse.feature_table().orderBy("idx").collect()]
+    assert names == [n for n in named.output_names() if n not in drop] and sparse.size() == len(names)
+    new = df.unionByName(spark.createDataFrame([(99, "unseen", "Q", None)], df.schema))
+    want = {r["k"]: [r[n] for n in names] for r in named.transform(new).collect()}
+    got = sparse.transform(new)
+    assert got.columns == ["k", "v"] and {r["k"]: list(r["v"].toArray()) for r in got.collect()} == want
+    assert stg.SparseOneHotEncoder(inputCols=["flag"], dropBinary=False).fit(df).size() == 2
+    assert stg.SparseOneHotEncoder(inputCols=["flag"]).fit(df.where("k < 0")).size() == 0
+
+
+def test_sparse_one_hot_of_200_000_categories(spark):
+    """Fitted and applied without a cap, a Python worker or a category on the driver; a hot category is a third of the rows."""
+    df = spark.range(300_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("c"))
+    model = stg.SparseOneHotEncoder(inputCols=["c"], outputCol="v").fit(df)
+    assert model.size() == 200_001 and model.feature_table().count() == 200_001
+    out = model.transform(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" not in plan
+    ends = out.where("id in (0, 3, 1)").collect()
+    assert all(r["v"].size == 200_001 and r["v"].numNonzeros() == 1 for r in ends)
+    at = {r["id"]: int(r["v"].indices[0]) for r in ends}
+    assert at[0] == at[3] == 200_000 and at[1] != at[0]          # 'hot' sorts after every 'c...'
+
+
+def test_pipeline_with_sparse_one_hot(spark, tmp_path):
+    """200,000 categories through the whole pipeline: fitted, saved, loaded, and equal to the named form on a small table."""
+    rows = [(i, float(i % 7) if i % 5 else None, ["x", "y", None][i % 3], ["N", "Y"][i % 2], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, a double, c string, flag string, label int")
+    kw = dict(onehot_cols=["c", "flag"], label_col="label", exclude_cols=["k"], drop_after=["c_nan"])
+    named, sparse = tr.column_role_pipeline(**kw).fit(df), tr.column_role_pipeline(**kw, sparse=True).fit(df)
+    names = sparse.stages[-1].feature_names() + [r["name"] for r in sparse.stages[0].feature_table().orderBy("idx").collect()]
+    order = [named.stages[-1].feature_names().index(n) for n in names]
+    want = {r["k"]: [r["features"].toArray()[i] for i in order] for r in named.transform(df).collect()}
+    assert {r["k"]: list(r["features"].toArray()) for r in sparse.transform(df).collect()} == want
+    big = spark.range(200_000).select("id", (F.col("id") % 9).cast("double").alias("a"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"),
+                                      (F.col("id") % 2).cast("int").alias("label"))
+    model = tr.column_role_pipeline(onehot_cols=["c"], label_col="label", exclude_cols=["id"], sparse=True).fit(big)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    out = PipelineModel.load(str(tmp_path / "m")).transform(big.where("id < 3")).select("features").collect()
+    assert {r["features"].size for r in out} == {200_001}
