@@ -7,7 +7,6 @@ keeps per-round losses and metrics - small lists. All data stays in Spark.
 from __future__ import annotations
 
 import json
-import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -15,43 +14,46 @@ from pyspark import SparkContext, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators.splits import stratified_folds, stratified_split
+from ..sources.tables import work_dir
+from .search import SEARCH_SPACE, hyperparameter_search  # noqa: F401
 from .stages import (DropColumns, MissingValueFill, NamedOneHotEncoder, SentinelImputer, SmoothedTargetEncoder,
-                     _JsonParams)
+                     SparseOneHotEncoder, _JsonParams)
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
+SPARSE_COL = "_onehot"
 
 
 class RoleAssembler(Estimator, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):
     """Last pipeline stage: every numeric column except ``excludeCols`` becomes
     a feature (names kept, order kept); missing values go below the training
-    minimum; columns are packed into one vector."""
+    minimum; columns are packed into one vector. Vector columns ``vectorCols``
+    (sparse one-hot) follow the named ones."""
 
     excludeCols = Param(Params._dummy(), "excludeCols", "not features", typeConverter=TypeConverters.toListString)
+    vectorCols = Param(Params._dummy(), "vectorCols", "vectors that follow the named features", typeConverter=TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, excludeCols=None, featuresCol="features"):
+    def __init__(self, excludeCols=None, featuresCol="features", vectorCols=()):
         super().__init__()
-        self._setDefault(featuresCol="features", excludeCols=[])
-        self._set(**self._input_kwargs)
+        self._setDefault(featuresCol="features", excludeCols=[], vectorCols=[])
+        self._set(**{k: list(v) if k == "vectorCols" else v for k, v in self._input_kwargs.items()})
 
     def _fit(self, df: DataFrame):
         skip = set(self.getOrDefault(self.excludeCols)) | {self.getFeaturesCol()}
         names = [c for c, t in df.dtypes if c not in skip and (t in NUMERIC or t.startswith("decimal"))]
         fill = MissingValueFill(inputCols=names).fit(df)
         return RoleAssemblerModel(featuresCol=self.getFeaturesCol(),
-                                  fitted=json.dumps({"names": names, "fills": fill._get_fitted()}))
+                                  fitted=json.dumps({"names": names, "fills": fill._get_fitted(), "vectors": self.getOrDefault(self.vectorCols)}))
 
 
 class RoleAssemblerModel(Model, HasFeaturesCol, _JsonParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -61,33 +63,41 @@ class RoleAssemblerModel(Model, HasFeaturesCol, _JsonParams, DefaultParamsReadab
         self._set(**self._input_kwargs)
 
     def feature_names(self) -> list[str]:
+        """Names of the first positions of the vector; the positions of vector columns follow."""
         return self._get_fitted()["names"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
         fit = self._get_fitted()
         filled = df.withColumns({c: F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")),
                                                F.lit(v)) for c, v in fit["fills"].items()})
-        return VectorAssembler(inputCols=fit["names"], outputCol=self.getFeaturesCol()).transform(filled)
+        return VectorAssembler(inputCols=fit["names"] + fit.get("vectors", []), outputCol=self.getFeaturesCol()).transform(filled)
 
 
 def column_role_pipeline(onehot_cols: Sequence[str] = (), target_cols: Sequence[str] = (),
                          label_col: str = "label", exclude_cols: Sequence[str] = (),
                          mode_impute_cols: Sequence[str] = (), constant_impute_cols: Sequence[str] = (),
-                         drop_after: Sequence[str] = (), features_col: str = "features") -> Pipeline:
+                         drop_after: Sequence[str] = (), features_col: str = "features", sparse: bool = False) -> Pipeline:
     """Route columns to imputers / encoders, optionally drop encoded columns,
-    and assemble the rest (numeric, not excluded) into ``features``."""
+    and assemble the rest (numeric, not excluded) into ``features``.
+
+    With ``sparse`` the one-hot columns become positions of a sparse vector
+    after the named features, whatever the number of categories, and encoded
+    names in ``drop_after`` get no position."""
     stages = []
     if mode_impute_cols:
         stages.append(SentinelImputer(inputCols=list(mode_impute_cols), strategy="most_frequent"))
     if constant_impute_cols:
         stages.append(SentinelImputer(inputCols=list(constant_impute_cols), strategy="constant"))
-    if onehot_cols:
+    if onehot_cols and sparse:
+        stages.append(SparseOneHotEncoder(inputCols=list(onehot_cols), outputCol=SPARSE_COL, dropNames=list(drop_after)))
+    elif onehot_cols:
         stages.append(NamedOneHotEncoder(inputCols=list(onehot_cols)))
     if target_cols:
         stages.append(SmoothedTargetEncoder(inputCols=list(target_cols), labelCol=label_col))
     if drop_after:
         stages.append(DropColumns(inputCols=list(drop_after)))
-    stages.append(RoleAssembler(excludeCols=list(exclude_cols) + [label_col], featuresCol=features_col))
+    stages.append(RoleAssembler(excludeCols=list(exclude_cols) + [label_col], featuresCol=features_col,
+                                vectorCols=[SPARSE_COL] if onehot_cols and sparse else []))
     return Pipeline(stages=stages)
 
 
@@ -217,57 +227,10 @@ def refit_full(df: DataFrame, pipeline: Pipeline, gbt: GBTClassifier, rounds: in
     return Pipeline(stages=list(pipeline.getStages()) + [gbt.copy({gbt.maxIter: rounds})]).fit(df)
 
 
-# ------------------------------------------------------------------ search and leaderboard
-
-SEARCH_SPACE = {  # name: (low, high, kind)
-    "maxDepth": (2, 10, "int"),
-    "stepSize": (0.05, 0.3, "log"),
-    "minInfoGain": (0.0, 0.5, "float"),
-    "minInstancesPerNode": (1, 10, "int"),
-    "subsamplingRate": (0.5, 1.0, "float"),
-}
-
-
-def _draw(rng: random.Random, lo, hi, kind):
-    import math
-    if kind == "int":
-        return rng.randint(lo, hi)
-    if kind == "log":
-        return math.exp(rng.uniform(math.log(lo), math.log(hi)))
-    return rng.uniform(lo, hi)
-
-
-def hyperparameter_search(spark, df: DataFrame, label: str, key: str, pipeline: Pipeline, n_trials: int = 100, k: int = 5,
-                          max_iter: int = 1000, seed: int = 0, parallelism: int = 4) -> DataFrame:
-    """Seeded random search over the tree parameters Spark shares with the
-    reference's tuner, scored by the log loss of k-fold cross-validation on
-    stratified folds (``CrossValidator`` with a fold column; trials run in
-    parallel). The whole ``pipeline`` is fitted inside each fold, so no encoder
-    sees a validation label; it has to leave the column ``fold`` out."""
-    folded = stratified_folds(df, label, key, k, seed)
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, seed=42)
-    rng = random.Random(seed)
-    trials = [{name: _draw(rng, *spec) for name, spec in SEARCH_SPACE.items()} for _ in range(n_trials)]
-    grid = []
-    for t in trials:
-        pm = {getattr(gbt, name): value for name, value in t.items()}
-        grid.append(pm)
-    ev_ = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
-    cv = CrossValidator(estimator=Pipeline(stages=[*pipeline.getStages(), gbt]), estimatorParamMaps=grid, evaluator=ev_,
-                        foldCol="fold", numFolds=k, parallelism=parallelism, seed=seed)
-    fitted = cv.fit(folded.withColumn("fold", F.col("fold").cast("int")))
-    rows = [(i, json.dumps(t), float(m)) for i, (t, m) in enumerate(zip(trials, fitted.avgMetrics))]
-    return spark.createDataFrame(rows, "trial int, params string, cv_log_loss double")
-
+# ------------------------------------------------------------------ leaderboard
 
-def model_leaderboard(spark, df: DataFrame, label: str, key: str, pipeline: Pipeline, sample_frac: float = 0.2, k: int = 3,
-                      seed: int = 42) -> DataFrame:
-    """Several classifiers, k-fold CV on a hash sample: (model, cv metric). The
-    whole ``pipeline`` is fitted inside each fold and leaves ``fold`` out."""
-    from ..operators.relational import sample_fraction
-    sample = stratified_folds(sample_fraction(df, sample_frac, key, seed), label, key, k, seed)
-    sample = sample.withColumn("fold", F.col("fold").cast("int")).cache()
-    models = {
+def default_classifiers(label: str, seed: int = 42) -> dict[str, Estimator]:
+    return {
         "logistic_regression": LogisticRegression(labelCol=label, maxIter=50),
         "decision_tree": DecisionTreeClassifier(labelCol=label, maxDepth=5, seed=seed),
         "random_forest": RandomForestClassifier(labelCol=label, numTrees=30, maxDepth=5, seed=seed),
@@ -275,13 +238,38 @@ def model_leaderboard(spark, df: DataFrame, label: str, key: str, pipeline: Pipe
         "naive_bayes": NaiveBayes(labelCol=label, modelType="gaussian"),
         "linear_svc": LinearSVC(labelCol=label, maxIter=50),
     }
-    rows = []
-    for name, est in models.items():
-        metric = "areaUnderROC"
-        cv = CrossValidator(estimator=Pipeline(stages=[*pipeline.getStages(), est]), estimatorParamMaps=ParamGridBuilder().build(),
-                            evaluator=BinaryClassificationEvaluator(labelCol=label, metricName=metric,
-                                                                    rawPredictionCol="rawPrediction"),
-                            foldCol="fold", numFolds=k)
-        rows.append((name, metric, float(cv.fit(sample).avgMetrics[0])))
-    sample.unpersist()
-    return spark.createDataFrame(rows, "model string, metric string, cv_score double")
+
+
+def out_of_fold_predictions(df: DataFrame, label: str, key: str, pipeline: Pipeline, models: Mapping[str, Estimator],
+                            k: int = 3, seed: int = 42) -> DataFrame:
+    """One written table ``(key, label, model, fold, score, prediction)``: every
+    row scored by every model in the one fold where neither the model nor the
+    preprocessing has seen it. The preprocessing is fitted once per fold.
+    ``score`` orders the rows (probability, or the margin where there is none)."""
+    spark = df.sparkSession
+    base = work_dir(spark, "out-of-fold")
+    stratified_folds(df, label, key, k, seed).write.parquet(f"{base}/rows")
+    folded, table = spark.read.parquet(f"{base}/rows"), f"{base}/predictions"
+    for i in range(k):
+        train, valid = (folded.where(c).drop("fold") for c in (F.col("fold") != i, F.col("fold") == i))
+        fitted = pipeline.fit(train)
+        train, valid = (fitted.transform(p).select(key, label, "features").persist(StorageLevel.MEMORY_AND_DISK) for p in (train, valid))
+        for name, est in models.items():
+            scored = est.fit(train).transform(valid)
+            out = "probability" if "probability" in scored.columns else "rawPrediction"
+            scored.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.lit(name).alias("model"), F.lit(i).alias("fold"),
+                          vector_to_array(out)[1].alias("score"), F.col("prediction").cast("int").alias("prediction")).write.mode("append").parquet(table)
+        train.unpersist()
+        valid.unpersist()
+    return spark.read.parquet(table)
+
+
+def model_leaderboard(spark, df: DataFrame, label: str, key: str, pipeline: Pipeline, sample_frac: float = 0.2, k: int = 3,
+                      seed: int = 42, models: Mapping[str, Estimator] | None = None) -> DataFrame:
+    """Several classifiers, k-fold cross-validation on a hash sample: one row
+    per model with accuracy, AUC, recall, precision, F1, kappa and MCC (mean
+    over the folds), best AUC first."""
+    from ..operators.relational import sample_fraction
+    sample = sample_fraction(df, sample_frac, key, seed) if sample_frac < 1 else df
+    table = out_of_fold_predictions(sample, label, key, pipeline, models or default_classifiers(label, seed), k, seed)
+    return ev.prediction_metrics(table).orderBy(F.desc("auc"), "model")

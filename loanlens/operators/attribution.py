@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import work_dir
-from .ranking import with_global_rank
+from .ranking import _held_ranks, exact_quantiles, with_global_rank
 from .relational import hash_unit
 
 
@@ -201,100 +202,160 @@ def top_and_tail(ranking: DataFrame, n: int = 10, order: str = "rank") -> DataFr
     return head.union(tail)
 
 
-def contribution_summary(values: DataFrame, long: DataFrame, key: Sequence[str], bins: int = 10) -> DataFrame:
-    """Data of the summary plot: per feature and feature-value bin (equal width
-    between the feature's min and max), the count and the mean / min / max
-    contribution."""
+def contribution_summary(values: DataFrame, long: DataFrame, key: Sequence[str], bins: int = 10,
+                         probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Data of the summary plot: per feature and bucket of the feature's value,
+    the count, the range of values, and mean, extremes and exact quantiles
+    (``q25``, ...) of the contributions.
+
+    Buckets hold equal numbers of rows: a value belongs to bucket
+    ``floor(bins * rows below it / rows)``, so equal values stay together and
+    empty buckets are absent. Missing values are a bucket of their own (NULL).
+    Values are counted before they are ranked, and the bucket borders are one
+    small row per feature.
+    """
     feats = [c for c in values.columns if c not in key]
     vlong = values.select(*key, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"),
                                                              F.col(f"`{c}`").cast("double").alias("value"))
                                                     for c in feats])).alias("r")).select(*key, "r.*")
-    rng = vlong.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    j = long.join(vlong, on=list(key) + ["feature"]).join(F.broadcast(rng), on="feature")
-    b = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("value") - F.col("lo")) * bins /
-                                                          (F.col("hi") - F.col("lo"))), F.lit(bins - 1))) \
-        .otherwise(F.lit(0))
-    return (j.withColumn("bin", F.when(F.col("value").isNotNull(), b.cast("int")))
-            .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"),
-                                           F.avg("contribution").alias("mean_contribution"),
-                                           F.min("contribution").alias("min_contribution"),
-                                           F.max("contribution").alias("max_contribution")))
+    vlong = vlong.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    held = _held_ranks(vlong.where("value is not null").groupBy("feature", F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), ["feature"])
+    starts = held.groupBy("feature", F.floor(F.col("_from") * F.lit(bins) / F.col("_size")).cast("int").alias("bin")).agg(F.min("_v").alias("low"))
+    borders = starts.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("low", "bin"))).alias("borders"))   # one row per feature
+    j = long.join(vlong, on=[*key, "feature"]).join(F.broadcast(borders), on="feature", how="left")
+    reached = F.filter("borders", lambda b: b["low"] <= F.col("value"))
+    j = j.select("feature", F.when(F.col("value").isNotNull(), F.element_at(reached, -1)["bin"]).alias("bin"), "value", "contribution")
+    stats = j.groupBy("feature", "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("value_min"), F.max("value").alias("value_max"),
+        F.avg("contribution").alias("mean_contribution"), F.min("contribution").alias("min_contribution"), F.max("contribution").alias("max_contribution"))
+    q = exact_quantiles(j, "contribution", list(probs), groups=["feature", "bin"])
+    q = q.groupBy("feature", "bin").agg(*[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(f"q{round(100 * p):02d}") for p in probs])
+    q = q.withColumnsRenamed({"feature": "_f", "bin": "_b"})
+    return stats.join(q, (F.col("feature") == F.col("_f")) & F.col("bin").eqNullSafe(F.col("_b")), "left").drop("_f", "_b")
 
 
 # ------------------------------------------------------------------ selection
 
 def backward_selection(spark, train: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
                        reduce_to: int, make_gbt, drop_per_round: int = 1, sample_frac: float = 1.0,
-                       key: str | None = None) -> DataFrame:
+                       key: str | None = None, patience: int | None = None) -> DataFrame:
     """Refit, rank features by mean |contribution| on (a hash sample of) the
     validation rows, drop the least important ``drop_per_round``, repeat until
-    ``reduce_to`` remain. Returns one row per round."""
+    ``reduce_to`` remain. With ``patience`` every fit stops early on the
+    validation rows. One row per round: features, trees kept, validation log
+    loss (of the fit with early stopping) and what was dropped."""
+    from ..modeling.training import train_with_early_stopping
     selected = list(features)
     rows, rnd = [], 0
     while len(selected) > reduce_to:
         asm = VectorAssembler(inputCols=selected, outputCol="_f", handleInvalid="keep")
         tr, va = asm.transform(train), asm.transform(valid)
+        gbt = make_gbt().setFeaturesCol("_f").setLabelCol(label)
+        if patience is not None:
+            fit = train_with_early_stopping(tr, va, gbt, patience)
+            model, trees, loss = fit.model, fit.best_round, fit.curve[fit.best_round - 1][2]
+        else:
+            model, loss = gbt.fit(tr), None
+            trees = model.getNumTrees
         if sample_frac < 1.0 and key is not None:
             va = va.where(hash_unit(key, 42) < sample_frac)
-        model = make_gbt().setFeaturesCol("_f").setLabelCol(label).fit(tr)
         contrib = tree_contributions(model, va, "_f")
         rank = feature_importance_rank(contributions_long(contrib, selected)).collect()  # one row per feature
         order = [r["feature"] for r in sorted(rank, key=lambda r: r["rank"])]
         k = min(drop_per_round, len(selected) - reduce_to)
         dropped = order[-k:]
-        rows.append((rnd, len(selected), ",".join(dropped)))
+        rows.append((rnd, len(selected), trees, loss, ",".join(dropped)))
         selected = [c for c in selected if c not in dropped]
         rnd += 1
-    rows.append((rnd, len(selected), ""))
-    return spark.createDataFrame(rows, "round int, n_features int, dropped string") \
+    rows.append((rnd, len(selected), None, None, ""))
+    return spark.createDataFrame(rows, "round int, n_features int, trees int, log_loss double, dropped string") \
         .withColumn("selected", F.lit(",".join(selected)))
 
 
-def _shadow(df: DataFrame, features: Sequence[str], key: str, seed: int) -> DataFrame:
-    """Each feature also as a shuffled copy ``shadow_<f>``: rows get a global
-    rank by key hash; the value of f at rank r goes to rank (a_f * r + b_f)
-    mod n, a bijection. All copies travel in long form: one grouping by their
-    new rank and one join, whatever the number of features."""
-    ranked = with_global_rank(df.withColumn("_u", hash_unit(key, seed)), [F.col("_u"), F.col(key)], "_r")
-    n = ranked.count()
+def _shadow_moves(n: int, features: Sequence[str], seed: int) -> list[tuple[int, int]]:
+    """For each feature a bijection r -> (a * r + b) mod n of the row ranks."""
     rng = np.random.default_rng(seed)
     moves = []
-    for i, f in enumerate(features):
+    for _ in features:
         a = int(rng.integers(1, max(n, 2)))
         while math.gcd(a, n) != 1:
             a += 1
-        b = int(rng.integers(0, max(n, 1)))
-        moves.append(F.struct(F.lit(i).alias("i"), ((F.col("_r") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("_r"),
-                              F.col(f"`{f}`").cast("double").alias("v")))
-    long = ranked.select(F.explode(F.array(*moves)).alias("m")).select("m.*")
+        moves.append((a, int(rng.integers(0, max(n, 1)))))
+    return moves
+
+
+def _shadow(ranked: DataFrame, n: int, features: Sequence[str], seed: int) -> DataFrame:
+    """``ranked`` (features and a row rank ``_r`` from 0) with a shuffled copy
+    ``shadow_<f>`` of each feature: the value of f at rank r goes to rank
+    (a_f * r + b_f) mod n. All copies travel in long form: one grouping by
+    their new rank and one join, whatever the number of features."""
+    moves = F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_r") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("_r"),
+                               F.col(f"`{f}`").cast("double").alias("v"))
+                      for i, (f, (a, b)) in enumerate(zip(features, _shadow_moves(n, features, seed)))])
+    long = ranked.select(F.explode(moves).alias("m")).select("m.*")
     copies = long.groupBy("_r").agg(*[F.max(F.when(F.col("i") == i, F.col("v"))).alias(f"shadow_{f}")
                                       for i, f in enumerate(features)])
-    return ranked.join(copies, on="_r").drop("_u", "_r")
+    return ranked.join(copies, on="_r")
+
+
+def _tail(hits: int, trials: int, upper: bool) -> float:
+    """P(X >= hits) or P(X <= hits) of a fair binomial."""
+    ks = range(hits, trials + 1) if upper else range(hits + 1)
+    return sum(math.comb(trials, k) for k in ks) / 2 ** trials
 
 
 def shadow_feature_selection(spark, df: DataFrame, features: Sequence[str], label: str, key: str,
-                             iterations: int = 20, alpha: float = 0.05, seed: int = 42) -> DataFrame:
-    """Keep features whose random-forest importance beats the best shuffled
-    copy in significantly more than half the iterations (one-sided binomial
-    test). Returns (feature, hits, p_value, keep, rank): rank 1 for the feature
-    with the most hits, ties sharing the smallest rank."""
-    if 0.5 ** iterations >= alpha:
-        raise ValueError(f"{iterations} iterations cannot reach alpha {alpha}")
-    hits = {f: 0 for f in features}
+                             iterations: int = 20, alpha: float = 0.05, seed: int = 42, trees: int = 50, depth: int = 5,
+                             importances: DataFrame | None = None) -> DataFrame:
+    """All-relevant selection: features that beat the best shuffled copy.
+
+    Every iteration fits a random forest on the features still in play and
+    their shuffled copies; a feature scores a hit when its importance exceeds
+    every copy's. After each iteration a feature is ``confirmed`` when it has
+    significantly more hits than half its trials and ``rejected`` when it has
+    significantly fewer (binomial tails at ``alpha / 2`` each, divided by the
+    number of features); rejected features leave, with their copies, before the
+    next fit. What is undecided in the end is ``tentative``.
+
+    Columns ``feature, hits, trials, p_confirm, p_reject, decision, keep,
+    rank``: rank 1 for confirmed features, 2 for tentative ones, rejected ones
+    follow by when they left (last first). With ``importances`` (feature,
+    importance, rank from ``feature_importance_rank``) the result is merged
+    with the contributions by a full outer join, as columns ``importance`` and
+    ``contribution_rank``.
+    """
+    level = alpha / 2 / max(1, len(features))
+    if 0.5 ** iterations > level:
+        raise ValueError(f"{iterations} iterations cannot decide {len(features)} features at alpha {alpha}")
+    ranked = with_global_rank(df.select(key, label, *features).withColumn("_u", hash_unit(key, seed)), [F.col("_u"), F.col(key)], "_r")
+    ranked = ranked.drop("_u").fillna(-1.0, subset=list(features)).persist(StorageLevel.MEMORY_AND_DISK)     # read by every iteration
+    n = ranked.count()
+    hits, left_at, state = {f: 0 for f in features}, {}, {f: "tentative" for f in features}
+    ran = 0
     for it in range(iterations):
-        data = _shadow(df.select(key, label, *features), features, key, seed + it)
-        cols = list(features) + [f"shadow_{f}" for f in features]
-        data = VectorAssembler(inputCols=cols, outputCol="_f", handleInvalid="keep").transform(
-            data.fillna(-1.0, subset=cols))
-        rf = RandomForestClassifier(featuresCol="_f", labelCol=label, maxDepth=5, numTrees=50,
-                                    seed=seed + it).fit(data)
-        imp = rf.featureImportances.toArray()
-        best_shadow = imp[len(features):].max()
-        for i, f in enumerate(features):
+        if not n or "tentative" not in state.values():
+            break
+        active = [f for f in features if state[f] != "rejected"]
+        data = _shadow(ranked.select("_r", label, *active), n, active, seed + it)
+        cols = active + [f"shadow_{f}" for f in active]
+        data = VectorAssembler(inputCols=cols, outputCol="_f", handleInvalid="keep").transform(data)
+        imp = RandomForestClassifier(featuresCol="_f", labelCol=label, maxDepth=depth, numTrees=trees,
+                                     seed=seed + it).fit(data.select(label, "_f")).featureImportances.toArray()
+        ran, best_shadow = it + 1, imp[len(active):].max()
+        for i, f in enumerate(active):
             hits[f] += int(imp[i] > best_shadow)
+            if state[f] == "tentative":
+                if _tail(hits[f], ran, True) <= level:
+                    state[f] = "confirmed"
+                elif _tail(hits[f], ran, False) <= level:
+                    state[f], left_at[f] = "rejected", ran
+    ranked.unpersist()
     rows = []
-    for f, h in hits.items():
-        p = sum(math.comb(iterations, k) for k in range(h, iterations + 1)) / 2 ** iterations
-        rows.append((f, h, float(p), bool(p < alpha), 1 + sum(o > h for o in hits.values())))
-    return spark.createDataFrame(rows, "feature string, hits int, p_value double, keep boolean, rank int")
-
+    for f in features:
+        trials = left_at.get(f, ran)
+        rank = {"confirmed": 1, "tentative": 2}.get(state[f], 3 + sum(t > left_at.get(f, 0) for t in set(left_at.values())))
+        rows.append((f, hits[f], trials, float(_tail(hits[f], trials, True)), float(_tail(hits[f], trials, False)), state[f], state[f] == "confirmed", rank))
+    out = spark.createDataFrame(rows, "feature string, hits int, trials int, p_confirm double, p_reject double, decision string, keep boolean, rank int")
+    if importances is not None:
+        out = out.join(importances.select("feature", "importance", F.col("rank").alias("contribution_rank")), "feature", "full_outer")
+    return out

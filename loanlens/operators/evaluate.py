@@ -224,3 +224,38 @@ def held_out_report(df: DataFrame, threshold: float, label: str = "label", score
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
     return out.select("section", "name", "threshold", "precision", "recall", "f1_score", "support", "value")
+
+
+def prediction_metrics(predictions: DataFrame, by: str = "model", fold: str = "fold", label: str = "label", score: str = "score",
+                       pred: str = "prediction") -> DataFrame:
+    """One row per model of a prediction table (model, fold, label, score,
+    prediction): rows, folds and the mean over the folds of accuracy, AUC,
+    recall, precision, F1, Cohen's kappa and Matthews' correlation.
+
+    Rows are counted by (model, fold, score) first; running sums over those
+    levels give every fold's rank sum, ties at half. A zero division gives 0; a
+    fold without both classes has no AUC.
+    """
+    y, p = F.col(label) == 1, F.col(pred) == 1
+    levels = predictions.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(by).alias("model"), F.col(fold).alias("fold"), F.col(score).alias("_s")).agg(
+        F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg"), F.count_if(y & p).alias("_tp"), F.count_if(~y & p).alias("_fp"))
+    cum = running_sums(levels, [F.col("model"), F.col("fold"), F.col("_s")], ["_pos"], prefix="_cum")
+    wide = "decimal(38,0)"
+    # twice the number of (positive, negative) pairs in the wrong order: positives at or below a negative's score, ties once
+    below = F.sum(F.col("_neg").cast(wide) * (2 * F.col("_cum_pos") - F.col("_pos")))
+    g = cum.groupBy("model", "fold").agg(
+        F.sum("_pos").alias("_p"), F.sum("_neg").alias("_q"), F.sum("_tp").alias("tp"), F.sum("_fp").alias("fp"), below.alias("_below"),
+        F.min(F.col("_cum_pos") - F.col("_pos")).alias("_before"))     # positives of the groups sorted before this one
+    g = g.withColumns({"fn": F.col("_p") - F.col("tp"), "tn": F.col("_q") - F.col("fp"), "n": (F.col("_p") + F.col("_q")).cast("double")})
+    tn, fp, fn, tp, n = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp", "n"))
+    wrong = (F.col("_below") - 2 * F.col("_before").cast(wide) * F.col("_q")).cast("double") / 2
+    recall, precision = _ratio(tp, tp + fn), _ratio(tp, tp + fp)
+    chance = ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / (n * n)
+    folds = g.select(
+        "model", "fold", "n", ((tp + tn) / n).alias("accuracy"),
+        F.when((F.col("_p") > 0) & (F.col("_q") > 0), 1 - wrong / (F.col("_p").cast("double") * F.col("_q"))).alias("auc"),
+        recall.alias("recall"), precision.alias("precision"), _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        _ratio((tp + tn) / n - chance, 1 - chance).alias("kappa"),
+        _ratio(tp * tn - fp * fn, F.sqrt(tp + fp) * F.sqrt(tp + fn) * F.sqrt(tn + fp) * F.sqrt(tn + fn)).alias("mcc"))
+    return folds.groupBy("model").agg(F.sum("n").cast("bigint").alias("n_rows"), _count().alias("n_folds"),
+                                      *[F.avg(c).alias(c) for c in ("accuracy", "auc", "recall", "precision", "f1", "kappa", "mcc")])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
 from ..functions import columns as fc
+from ..operators import attribution as at
 from ..operators import evaluate as ev
 from ..operators import features as fe
 from ..operators import quality as qa
@@ -50,7 +51,9 @@ def q_feature_mart_20(spark, d):
 
 @register("join_feature_tables")
 def q_join_feature_tables(spark, d):
-    return q_feature_mart_20(spark, d)
+    """The monthly tables' aggregates on the applications' keys and labels."""
+    t = T(spark, d)
+    return marts.join_feature_tables(t.app.select("SK_ID_CURR", "TARGET"), [fe.cash_features(t.cash), fe.installment_features(t.inst)])
 
 
 @register("cash_features_20")
@@ -83,6 +86,11 @@ def q_balance_latest(spark, d):
     return fe.balance_latest_status(T(spark, d).balance)
 
 
+@register("balance_recent_status")
+def q_balance_recent(spark, d):
+    return fe.balance_recent_status(T(spark, d).balance, 6)
+
+
 @register("merge_balance_into_bureau")
 def q_merge_balance(spark, d):
     t = T(spark, d)
@@ -422,7 +430,8 @@ def q_split_grandchildren(spark, d):
 
 @register("merge_last_and_stats")
 def q_merge_last_stats(spark, d):
-    return fe.balance_status_features(T(spark, d).balance)
+    balance = T(spark, d).balance
+    return fe.merge_last_and_stats(fe.month_zero_status(balance), fe.open_status_stats(balance))
 
 
 def _stand_in_predictions(prev: DataFrame) -> DataFrame:
@@ -523,12 +532,13 @@ def q_quantile_groups(spark, d):
         "SK_ID_CURR", "AMT_INCOME_TOTAL", "Income Group")
 
 
-def impact_rows(spark, d, threshold: float = 0.35) -> DataFrame:
-    """Last-year previous applications with stand-in predictions, the
-    applicant's gender and income / age terciles."""
+def impact_rows(spark, d, threshold: float = 0.35, predictions: DataFrame | None = None) -> DataFrame:
+    """Last-year previous applications with predictions (``SK_ID_PREV,
+    proba_1``; stand-ins by default), the applicant's gender and income / age
+    terciles."""
     t = T(spark, d)
     prev = _refusal(t)
-    enriched = rel.enrich_predictions(_stand_in_predictions(prev), prev,
+    enriched = rel.enrich_predictions(predictions if predictions is not None else _stand_in_predictions(prev), prev,
                                       t.app.select("SK_ID_CURR", "CODE_GENDER", "AMT_INCOME_TOTAL", "DAYS_BIRTH"))
     year = enriched.where(fc.recency_filter("DAYS_DECISION", 365)).withColumn(
         "Prediction", ev.apply_threshold("proba_1", threshold))
@@ -537,10 +547,14 @@ def impact_rows(spark, d, threshold: float = 0.35) -> DataFrame:
         "DAYS_BIRTH": (["Lower Quantile", "Middle Quantile", "Upper Quantile"], "Age Group")})
 
 
+def impact_report(spark, d, predictions: DataFrame | None = None) -> DataFrame:
+    return rp.group_impact_report(impact_rows(spark, d, predictions=predictions), ["CODE_GENDER", "Income Group", "Age Group"],
+                                  ["Prediction", "NAME_CONTRACT_STATUS_Refused"])
+
+
 @register("group_impact_report")
 def q_group_impact(spark, d):
-    return rp.group_impact_report(impact_rows(spark, d), ["CODE_GENDER", "Income Group", "Age Group"],
-                                  ["Prediction", "NAME_CONTRACT_STATUS_Refused"])
+    return impact_report(spark, d)
 
 
 # ------------------------------------------------------------------ §G chi-square
@@ -656,3 +670,52 @@ def q_certainty(spark, d):
     s = T(spark, d).scores
     return s.select("l_orderkey", "l_linenumber", "score",
                     ev.decision_certainty("score", 0.35).alias("certainty_pct"))
+
+
+# Stand-in predictions of three models: the score, the score to one decimal (ties), and its complement.
+PREDICTION_MODELS = {"fine": "score", "coarse": "round(score, 1)", "reverse": "1 - score"}
+
+
+@register("prediction_metrics")
+def q_prediction_metrics(spark, d):
+    """The leaderboard's metrics on a given table of out-of-fold predictions."""
+    s = T(spark, d).scores
+    parts = [s.select(F.lit(name).alias("model"), (F.col("l_orderkey") % 3).cast("int").alias("fold"), "label", F.expr(e).alias("score"))
+             for name, e in PREDICTION_MODELS.items()]
+    table = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return ev.prediction_metrics(table.withColumn("prediction", ev.apply_threshold("score", 0.45)))
+
+
+# ------------------------------------------------------------------ §L on a given contribution table
+
+# feature: (centre, contribution per unit, contribution of a missing value)
+CONTRIBUTION_RULES = {
+    "EXT_SOURCE_1": (0.5, -1.5, 0.05), "EXT_SOURCE_2": (0.5, -2.0, 0.1), "EXT_SOURCE_3": (0.5, -1.25, 0.0),
+    "AMT_CREDIT": (250000.0, 0.000002, 0.0), "AMT_ANNUITY": (14000.0, 0.00001, -0.125), "OWN_CAR_AGE": (9.0, 0.03125, 0.0625),
+    "DAYS_BIRTH": (-16000.0, 0.00003, 0.0),
+}
+
+
+def given_contributions(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(feature values, long contribution table) of every application by fixed linear rules."""
+    app = T(spark, d).app
+    values = app.select("SK_ID_CURR", *[F.col(c).cast("double").alias(c) for c in CONTRIBUTION_RULES])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce((F.col(c) - F.lit(at)) * F.lit(per), F.lit(miss)).alias("contribution"))
+                     for c, (at, per, miss) in CONTRIBUTION_RULES.items()])
+    return values, values.select("SK_ID_CURR", F.explode(rows).alias("r")).select("SK_ID_CURR", "r.*")
+
+
+@register("feature_importance_rank")
+def q_feature_importance(spark, d):
+    return at.feature_importance_rank(given_contributions(spark, d)[1])
+
+
+@register("top_and_tail")
+def q_top_and_tail(spark, d):
+    return at.top_and_tail(at.feature_importance_rank(given_contributions(spark, d)[1]), 2)
+
+
+@register("contribution_summary")
+def q_contribution_summary(spark, d):
+    values, long = given_contributions(spark, d)
+    return at.contribution_summary(values, long, ["SK_ID_CURR"])

@@ -16,12 +16,13 @@ from ..operators import attribution as at
 from ..operators import evaluate as ev
 from ..operators import relational as rel
 from ..operators import splits as sp
-from ..roles import (PROFITABLE_THRESHOLD, REFUSED_BINARY_COLUMNS, REFUSED_FEAT_SEL_AFTER_PREP, REFUSED_FEAT_SEL_BEFORE_PREP,
-                     REFUSED_ONE_HOT_COLUMNS, REFUSED_PASSTHROUGH_COLUMNS, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS)
+from ..roles import (APP_COLS_TARGET_20, PROFITABLE_THRESHOLD, REFUSED_BINARY_COLUMNS, REFUSED_FEAT_SEL_AFTER_PREP, REFUSED_FEAT_SEL_BEFORE_PREP,
+                     REFUSED_ONE_HOT_COLUMNS, REFUSED_PASSTHROUGH_COLUMNS, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS,
+                     TARGET_DROP_AFTER_ALL, TARGET_DROP_AFTER_LATEST)
 from ..sources.tables import work_dir
 from ..streaming import scoring as sc
 from . import marts
-from .catalog import T, register
+from .catalog import T, impact_report, register
 
 LABEL_T = "TARGET"
 LABEL_R = "NAME_CONTRACT_STATUS_Refused"
@@ -127,14 +128,15 @@ def q_missing_fill(spark, d):
 def q_role_pipeline(spark, d):
     m = mart20(spark, d)
     model = target_pipeline().fit(m)
-    return model.transform(m).select("SK_ID_CURR", LABEL_T, vector_to_array("features").alias("features"))
+    return _named(model.transform(m), model.stages[-1].feature_names(), "SK_ID_CURR", LABEL_T)
 
 
 @register("fit_transform_split")
 def q_fit_transform_split(spark, d):
-    _, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
-    cols = ["SK_ID_CURR", LABEL_T, vector_to_array("features").alias("features")]
-    return tr_.select(*cols, F.lit("train").alias("part")).unionByName(va.select(*cols, F.lit("valid").alias("part")))
+    pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
+    names = pm.stages[-1].feature_names()
+    return _named(tr_, names, "SK_ID_CURR", LABEL_T).withColumn("part", F.lit("train")).unionByName(
+        _named(va, names, "SK_ID_CURR", LABEL_T).withColumn("part", F.lit("valid")))
 
 
 # ------------------------------------------------------------------ §J models
@@ -178,16 +180,25 @@ def q_learning_curve(spark, d):
 
 @register("feature_set_experiments")
 def q_experiments(spark, d):
+    """The reference's ladder of column sets, drop lists and the 20-feature cut
+    included (columns that the stand-in tables lack cannot be dropped)."""
     t = T(spark, d)
     full = marts.feature_mart_full(t.app, t.bureau, t.balance, t.cash, t.inst, t.card, t.prev)
-    app_cols = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
-                "DAYS_BIRTH", "DAYS_EMPLOYED", "OWN_CAR_AGE", "CODE_GENDER", "ORGANIZATION_TYPE",
-                "NAME_EDUCATION_TYPE"]
+    app_cols = [c for c in APP_COLS_TARGET_20 if c != LABEL_T]
     bur = [c for c in full.columns if c.startswith("bur_") and not c.startswith("bur_lat_")]
     lat = [c for c in full.columns if c.startswith("bur_lat_")]
     rest = [c for c in full.columns if c.split("_")[0] in ("cash", "inst", "cred", "prev")]
-    sets = {"application": app_cols, "+bureau": app_cols + bur, "+latest": app_cols + bur + lat,
-            "+all": app_cols + bur + lat + rest}
+
+    def without(cols, *lists):
+        return [c for c in cols if not any(c in gone for gone in lists)]
+    every = app_cols + bur + lat + rest
+    m20 = mart20(spark, d)
+    twenty = [c for c in m20.columns if c not in ("SK_ID_CURR", LABEL_T)]
+    sets = {"application": app_cols, "+bureau": app_cols + bur, "+latest": app_cols + bur + lat, "+all": every,
+            "+all, first drop list": without(every, TARGET_DROP_AFTER_LATEST),
+            "+all, both drop lists": without(every, TARGET_DROP_AFTER_LATEST, TARGET_DROP_AFTER_ALL), "20 features": twenty}
+    missing = [c for c in twenty if c not in full.columns]      # a 20-feature aggregate the full mart names differently
+    full = full.join(m20.select("SK_ID_CURR", *missing), "SK_ID_CURR", "left") if missing else full
     return tr.feature_set_experiments(spark, full, sets, LABEL_T, "SK_ID_CURR", lambda cols: target_pipeline(),
                                       _gbt(LABEL_T, 40), patience=10)
 
@@ -202,8 +213,9 @@ def q_refit(spark, d):
 
 @register("hyperparameter_search")
 def q_search(spark, d):
-    return tr.hyperparameter_search(spark, mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), n_trials=4, k=5,
-                                    max_iter=20)
+    """Eight trials, four of them guided, of up to 40 rounds with patience 5 (the operator's defaults: 100, 90, 1,000 and 20)."""
+    return tr.hyperparameter_search(spark, mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), n_trials=8, k=5,
+                                    max_iter=40, patience=5, startup=4)
 
 
 @register("model_leaderboard")
@@ -261,45 +273,54 @@ def q_contrib(spark, d):
     return c
 
 
-@register("feature_importance_rank")
+@register("model_importance_rank")
 def q_importance(spark, d):
     c, names, _, _ = _contrib(spark, d)
     return at.feature_importance_rank(at.contributions_long(c, names, ["SK_ID_CURR"]))
 
 
-@register("top_and_tail")
+@register("model_top_and_tail")
 def q_top_tail(spark, d):
     c, names, _, _ = _contrib(spark, d)
     return at.top_and_tail(at.feature_importance_rank(at.contributions_long(c, names, ["SK_ID_CURR"])), 5)
 
 
-@register("contribution_summary")
+def _named(df: DataFrame, names, *keep) -> DataFrame:
+    """The feature vector as named columns."""
+    return df.select(*keep, vector_to_array("features").alias("_x")).select(*keep, *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
+
+
+@register("model_contribution_summary")
 def q_contrib_summary(spark, d):
     c, names, va, pm = _contrib(spark, d)
-    values = va.select("SK_ID_CURR", vector_to_array("features").alias("_x")).select(
-        "SK_ID_CURR", *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
-    return at.contribution_summary(values, at.contributions_long(c, names, ["SK_ID_CURR"]), ["SK_ID_CURR"])
+    return at.contribution_summary(_named(va, names, "SK_ID_CURR"), at.contributions_long(c, names, ["SK_ID_CURR"]), ["SK_ID_CURR"])
 
 
 @register("backward_selection")
 def q_backward(spark, d):
-    pm, tr_, va, _ = _target_fit(spark, d, max_iter=10, patience=5)
-    names = pm.stages[-1].feature_names()
-
-    def expand(df):
-        return df.select("SK_ID_CURR", LABEL_T, vector_to_array("features").alias("_x")).select(
-            "SK_ID_CURR", LABEL_T, *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
-    return at.backward_selection(spark, expand(tr_), expand(va), names, LABEL_T, reduce_to=len(names) - 4,
-                                 make_gbt=lambda: _gbt(LABEL_T, 30), drop_per_round=1)
+    """From the application and bureau features down to 20, ten a round (the
+    reference drops one), with early stopping and contributions on 30% of the
+    validation rows."""
+    t = T(spark, d)
+    full = marts.feature_mart_full(t.app, t.bureau, t.balance, t.cash, t.inst, t.card, t.prev)
+    cols = [c for c in full.columns if c.startswith("bur_")] + [c for c in APP_COLS_TARGET_20 if c != LABEL_T]
+    pm, tr_, va = tr.fit_transform_split(full.select("SK_ID_CURR", LABEL_T, *cols), target_pipeline(), LABEL_T, "SK_ID_CURR")
+    names, parts = pm.stages[-1].feature_names(), []
+    for name, part in (("train", tr_), ("valid", va)):       # read by every round
+        path = work_dir(spark, f"backward-{name}")
+        _named(part, names, "SK_ID_CURR", LABEL_T).write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    return at.backward_selection(spark, *parts, names, LABEL_T, reduce_to=20, make_gbt=lambda: _gbt(LABEL_T, 40, 0.2),
+                                 drop_per_round=10, sample_frac=0.3, key="SK_ID_CURR", patience=5)
 
 
 @register("shadow_feature_selection")
 def q_shadow(spark, d):
-    pm = target_pipeline().fit(mart20(spark, d))
-    names = pm.stages[-1].feature_names()
-    m = pm.transform(mart20(spark, d)).select("SK_ID_CURR", LABEL_T, vector_to_array("features").alias("_x")).select(
-        "SK_ID_CURR", LABEL_T, *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
-    return at.shadow_feature_selection(spark, m, names, LABEL_T, "SK_ID_CURR", iterations=6)
+    """Twenty iterations on the 20-feature mart, merged with the contributions of its boosted trees."""
+    c, names, _, pm = _contrib(spark, d)
+    rank = at.feature_importance_rank(at.contributions_long(c, names, ["SK_ID_CURR"]))
+    m = _named(pm.transform(mart20(spark, d)), names, "SK_ID_CURR", LABEL_T)
+    return at.shadow_feature_selection(spark, m, names, LABEL_T, "SK_ID_CURR", iterations=20, importances=rank)
 
 
 # ------------------------------------------------------------------ §M scoring
@@ -321,6 +342,16 @@ def request_text(spark, d) -> DataFrame:
     return prev.select(*cols)
 
 
+@register("model_group_impact")
+def q_model_impact(spark, d):
+    """The impact report on the refusal model's own predictions for previous
+    applications it was not fitted on, with the applicants' groups."""
+    train, valid = _prev_split(spark, d)
+    model = Pipeline(stages=list(refusal_pipeline().getStages()) + [_gbt(LABEL_R, 60, 0.2)]).fit(train)
+    scored = sc.score_batch(valid, model).select("SK_ID_PREV", F.col("probability").alias("proba_1"))
+    return impact_report(spark, d, scored)
+
+
 @register("validate_records")
 def q_validate(spark, d):
     good, bad = sc.validate_records(request_text(spark, d))

@@ -12,6 +12,7 @@ from ..operators import features as fe
 from ..roles import APP_COLS_TARGET_20, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS
 from ..sources import standins as _S
 from ..sources.standins import cte
+from . import catalog
 
 SQL: dict[str, str] = {}
 
@@ -73,6 +74,16 @@ SELECT SK_ID_BUREAU,
        max(CASE WHEN S <> -1 THEN S END) AS STATUS_max
 FROM bal_clean GROUP BY SK_ID_BUREAU"""
 
+SQL["balance_recent_status"] = with_views(["v_bal"], BAL_FEAT.split(",\nbal_stats")[0], """recent AS (
+  SELECT * FROM (SELECT *, dense_rank() OVER (PARTITION BY SK_ID_BUREAU ORDER BY MONTHS_BALANCE DESC) AS k
+                 FROM bal_clean WHERE MONTHS_BALANCE IS NOT NULL) WHERE k <= 6
+)""") + """
+SELECT SK_ID_BUREAU, CAST(max(k) AS INTEGER) AS RECENT_n,
+       avg(S) FILTER (WHERE S <> -1) AS RECENT_mean, max(S) FILTER (WHERE S <> -1) AS RECENT_max,
+       count(*) FILTER (WHERE S >= 1) AS RECENT_late, count(*) FILTER (WHERE S = -1) AS RECENT_closed,
+       avg(S) FILTER (WHERE S <> -1 AND k <= 3) - avg(S) FILTER (WHERE S <> -1 AND k > 3) AS RECENT_change
+FROM recent GROUP BY SK_ID_BUREAU"""
+
 SQL["merge_balance_into_bureau"] = with_views(["v_bal", "v_bur"], BAL_FEAT, BUR_MERGED) + "SELECT * FROM bur_m"
 
 _BUR_AGGS = (spec_sql("bur", fe.BUREAU_SPEC)
@@ -177,7 +188,9 @@ FROM v_app a LEFT JOIN bur_feat USING (SK_ID_CURR) LEFT JOIN bur_lat USING (SK_I
   LEFT JOIN cash_feat USING (SK_ID_CURR) LEFT JOIN inst_feat USING (SK_ID_CURR)
   LEFT JOIN card_feat USING (SK_ID_CURR) LEFT JOIN prev_feat USING (SK_ID_CURR)"""
 
-SQL["join_feature_tables"] = SQL["feature_mart_20"]
+SQL["join_feature_tables"] = with_views(["v_app", "v_cash", "v_inst"], CASH_FEAT, INST_FEAT) + """
+SELECT a.SK_ID_CURR, TARGET, c.* EXCLUDE (SK_ID_CURR), i.* EXCLUDE (SK_ID_CURR)
+FROM v_app a LEFT JOIN cash_feat c ON a.SK_ID_CURR = c.SK_ID_CURR LEFT JOIN inst_feat i ON a.SK_ID_CURR = i.SK_ID_CURR"""
 
 SQL["outer_join_aggregates"] = with_views(["v_bur"]) + """
 SELECT COALESCE(a.SK_ID_CURR, e.SK_ID_CURR) AS SK_ID_CURR, a.bur_DAYS_CREDIT_mean,
@@ -760,6 +773,39 @@ SQL["missing_value_fill"] = (with_views(["v_app", "v_cash", "v_inst", "v_bur", "
                                  f"coalesce(CAST({c} AS DOUBLE), (SELECT min(CAST({c} AS DOUBLE)) FROM mart20) - 1) AS {c}"
                                  for c in _MART_NUMERIC) + " FROM mart20")
 
+
+def _role_sql(parts: str, fit: str) -> str:
+    """Named features of the payment-difficulty pipeline, fitted on the rows of ``parts`` (SK_ID_CURR, part) where ``fit`` holds."""
+    encoded, joins = "", ""
+    for i, c in enumerate(["ORGANIZATION_TYPE", "NAME_EDUCATION_TYPE"]):
+        encoded += f""", st{i} AS (
+  SELECT coalesce({c}, '<null>') AS k, count(*) AS n, avg(CAST(TARGET AS DOUBLE)) AS m FROM imputed WHERE {fit} GROUP BY 1
+), enc{i} AS (
+  SELECT k, CASE WHEN n = 1 THEN p ELSE p * (1 - w) + m * w END AS e
+  FROM (SELECT *, 1 / (1 + exp(-(CAST(n AS DOUBLE) - 20) / 10)) AS w FROM st{i} CROSS JOIN prior))"""
+        joins += f" LEFT JOIN enc{i} ON coalesce(l.{c}, '<null>') = enc{i}.k"
+    rest = "COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET, part))"
+    return f"""parts AS ({parts}), imputed AS (
+  SELECT m.* EXCLUDE (CODE_GENDER) REPLACE (
+    CASE WHEN ORGANIZATION_TYPE = 'XNA' THEN 'missing_value' ELSE ORGANIZATION_TYPE END AS ORGANIZATION_TYPE,
+    CASE WHEN NAME_EDUCATION_TYPE = 'XNA' THEN 'missing_value' ELSE NAME_EDUCATION_TYPE END AS NAME_EDUCATION_TYPE), part
+  FROM mart20 m JOIN parts USING (SK_ID_CURR)
+), prior AS (SELECT avg(CAST(TARGET AS DOUBLE)) AS p FROM imputed WHERE {fit}){encoded}, encoded AS (
+  SELECT l.* REPLACE (coalesce(enc0.e, (SELECT p FROM prior)) AS ORGANIZATION_TYPE,
+                      coalesce(enc1.e, (SELECT p FROM prior)) AS NAME_EDUCATION_TYPE) FROM imputed l{joins}
+), filled AS (
+  SELECT SK_ID_CURR, TARGET, part,
+         coalesce(CAST({rest} AS DOUBLE), min(CASE WHEN {fit} THEN CAST({rest} AS DOUBLE) END) OVER () - 1, -1)
+  FROM encoded)"""
+
+
+_MART20_VIEWS = (["v_app", "v_cash", "v_inst", "v_bur", "v_prev"], CASH20, INST20, BUR20, PREV20, MART20)
+SQL["column_role_pipeline"] = with_views(*_MART20_VIEWS, _role_sql("SELECT SK_ID_CURR, 'all' AS part FROM v_app", "true")) \
+    + "SELECT * EXCLUDE (part) FROM filled"
+SQL["fit_transform_split"] = with_views(*_MART20_VIEWS, _strat_sql(42), _role_sql(
+    "SELECT SK_ID_CURR, CASE WHEN pos < floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'valid' ELSE 'train' END AS part FROM r",
+    "part = 'train'")) + "SELECT * FROM filled"
+
 # ------------------------------------------------------------------ §J naive baseline
 
 SQL["naive_baseline_log_loss"] = with_views(["v_app"], _strat_sql(0)) + """, f AS (
@@ -787,3 +833,47 @@ def _validate_sql() -> str:
 
 
 SQL["validate_records"] = with_views(["v_prev"], _validate_sql())
+
+# ------------------------------------------------------------------ §J leaderboard metrics, §L contributions of a given table
+
+SQL["prediction_metrics"] = with_views(["v_score"], "preds AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, CAST(l_orderkey % 3 AS INTEGER) AS fold, label, {e} AS score FROM v_score"
+    for name, e in catalog.PREDICTION_MODELS.items()) + """), ranked AS (
+  SELECT *, CASE WHEN score > CAST(0.45 AS DOUBLE) THEN 1 ELSE 0 END AS pred,
+         rank() OVER w + (count(*) OVER (PARTITION BY model, fold, score) - 1) / 2.0 AS r
+  FROM preds WINDOW w AS (PARTITION BY model, fold ORDER BY score)
+), cells AS (
+  SELECT model, fold, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS P, CAST(count(*) - sum(label) AS DOUBLE) AS N0,
+         sum(CASE WHEN label = 1 THEN r END) AS ranks,
+         CAST(count(*) FILTER (WHERE label = 1 AND pred = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE label = 0 AND pred = 1) AS DOUBLE) AS fp,
+         CAST(count(*) FILTER (WHERE label = 1 AND pred = 0) AS DOUBLE) AS fn, CAST(count(*) FILTER (WHERE label = 0 AND pred = 0) AS DOUBLE) AS tn
+  FROM ranked GROUP BY model, fold
+), chance AS (SELECT *, ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / (n * n) AS pe FROM cells),
+folds AS (
+  SELECT model, n, (tp + tn) / n AS accuracy, (ranks - P * (P + 1) / 2) / (P * N0) AS auc,
+         coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(tp / nullif(tp + fp, 0), 0) AS "precision",
+         coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, coalesce(((tp + tn) / n - pe) / nullif(1 - pe, 0), 0) AS kappa,
+         coalesce((tp * tn - fp * fn) / nullif(sqrt(tp + fp) * sqrt(tp + fn) * sqrt(tn + fp) * sqrt(tn + fn), 0), 0) AS mcc
+  FROM chance
+)""") + """
+SELECT model, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_folds, avg(accuracy) AS accuracy, avg(auc) AS auc, avg(recall) AS recall,
+       avg("precision") AS "precision", avg(f1) AS f1, avg(kappa) AS kappa, avg(mcc) AS mcc
+FROM folds GROUP BY model"""
+
+_CONTRIB = "contrib AS (" + " UNION ALL ".join(
+    f"SELECT SK_ID_CURR, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, "
+    f"coalesce((CAST({c} AS DOUBLE) - CAST({at} AS DOUBLE)) * CAST({per} AS DOUBLE), CAST({miss} AS DOUBLE)) AS contribution FROM v_app"
+    for c, (at, per, miss) in catalog.CONTRIBUTION_RULES.items()) + """), ranking AS (
+  SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DESC, feature) - 1 AS INTEGER) AS rank
+  FROM (SELECT feature, avg(abs(contribution)) AS importance FROM contrib GROUP BY feature))"""
+SQL["feature_importance_rank"] = with_views(["v_app"], _CONTRIB) + "SELECT * FROM ranking"
+SQL["top_and_tail"] = with_views(["v_app"], _CONTRIB) + """
+(SELECT * FROM ranking ORDER BY rank LIMIT 2) UNION ALL (SELECT * FROM ranking ORDER BY rank DESC LIMIT 2)"""
+SQL["contribution_summary"] = with_views(["v_app"], _CONTRIB, """binned AS (
+  SELECT *, CASE WHEN value IS NOT NULL THEN CAST(floor((rank() OVER (PARTITION BY feature, value IS NULL ORDER BY value) - 1) * 10
+                 / CAST(count(*) OVER (PARTITION BY feature, value IS NULL) AS DOUBLE)) AS INTEGER) END AS bin
+  FROM contrib)""") + """
+SELECT feature, bin, count(*) AS n, min(value) AS value_min, max(value) AS value_max, avg(contribution) AS mean_contribution,
+       min(contribution) AS min_contribution, max(contribution) AS max_contribution, quantile_cont(contribution, 0.25) AS q25,
+       quantile_cont(contribution, 0.5) AS q50, quantile_cont(contribution, 0.75) AS q75
+FROM binned GROUP BY feature, bin"""

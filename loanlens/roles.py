@@ -11,16 +11,12 @@ APP_COLS_TARGET_20 = [
     "AMT_ANNUITY", "DAYS_BIRTH", "TARGET",
 ]
 
-# Day counts stored as negatives (days before the application).
-DAYS_COLUMNS = ["DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "DAYS_LAST_PHONE_CHANGE"]
-
 # Refusal model: columns dropped, label sources, and per-encoder routing.
 REFUSED_MODEL_COLS_TO_DROP = [
     "SK_ID_CURR", "RATE_INTEREST_PRIMARY", "RATE_INTEREST_PRIVILEGED", "NAME_CONTRACT_STATUS",
     "DAYS_FIRST_DRAWING", "DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION", "DAYS_LAST_DUE",
     "DAYS_TERMINATION", "NFLAG_INSURED_ON_APPROVAL",
 ]
-REFUSED_MODEL_TARGETS = ["CODE_REJECT_REASON", "NAME_CONTRACT_STATUS_Refused"]
 REFUSED_BINARY_COLUMNS = ["FLAG_LAST_APPL_PER_CONTRACT"]
 REFUSED_PASSTHROUGH_COLUMNS = [
     "SK_ID_PREV", "AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_DOWN_PAYMENT", "AMT_GOODS_PRICE",
@@ -61,3 +57,27 @@ REFUSED_FEAT_SEL_AFTER_PREP = [
     "NAME_TYPE_SUITE_Group of people", "NAME_PORTFOLIO_Cards", "NAME_CLIENT_TYPE_XNA",
     "NAME_PAYMENT_TYPE_Cashless from the account of the employer", "NAME_PORTFOLIO_Cars",
 ]
+
+# Payment-difficulty model: columns left out after the latest bureau features were added, and after all aggregates were.
+TARGET_DROP_AFTER_LATEST = [
+    "NONLIVINGAPARTMENTS_MODE", "FLAG_DOCUMENT_6", "bur_CREDIT_TYPE_nunique", "bur_Has_prolong_sum", "FLAG_EMAIL",
+    "FLAG_DOCUMENT_5", "FLAG_DOCUMENT_14", "FLAG_DOCUMENT_11", "FLAG_DOCUMENT_8", "AMT_REQ_CREDIT_BUREAU_HOUR",
+    "bur_CREDIT_CURRENCY_nunique", "FLAG_DOCUMENT_15", "REG_REGION_NOT_LIVE_REGION", "FLAG_CONT_MOBILE",
+    "HOUSETYPE_MODE", "FLAG_DOCUMENT_21", "FLAG_DOCUMENT_19", "bur_CREDIT_TYPE_infrequent_sum",
+    "bur_CREDIT_TYPE_business_sum", "FLAG_MOBIL", "FLAG_DOCUMENT_17", "bur_CREDIT_ACTIVE_Bad_debt_sum",
+    "FLAG_DOCUMENT_7", "FLAG_DOCUMENT_9", "FLAG_DOCUMENT_20",
+]
+TARGET_DROP_AFTER_ALL = [
+    "BASEMENTAREA_MEDI", "NONLIVINGAPARTMENTS_AVG", "FLAG_DOCUMENT_13", "COMMONAREA_AVG",
+    "prev_NAME_CONTRACT_STATUS_Unused_offer_sum", "prev_NAME_PORTFOLIO_POS_sum", "cred_SK_DPD_mean", "FLOORSMIN_AVG",
+    "FLOORSMIN_MODE", "cred_SK_DPD_max", "YEARS_BUILD_MEDI", "ENTRANCES_MODE", "NONLIVINGAPARTMENTS_MEDI",
+    "LIVE_CITY_NOT_WORK_CITY", "cred_AMT_DRAWINGS_OTHER_CURRENT_max", "AMT_REQ_CREDIT_BUREAU_WEEK",
+    "cred_AMT_DRAWINGS_OTHER_CURRENT_mean", "REG_REGION_NOT_WORK_REGION", "cred_Has_overdue_sum",
+    "prev_RATE_INTEREST_PRIMARY_max", "cred_CNT_DRAWINGS_OTHER_CURRENT_mean", "prev_RATE_INTEREST_PRIMARY_min",
+    "ELEVATORS_MODE", "prev_NFLAG_LAST_APPL_IN_DAY_mean", "cred_AMT_DRAWINGS_CURRENT_min", "cred_Status_Active_count",
+    "cred_SK_ID_PREV_nunique", "prev_RATE_INTEREST_PRIVILEGED_mean", "cred_Has_overdue_def_sum",
+    "cred_CNT_DRAWINGS_OTHER_CURRENT_max", "prev_RATE_INTEREST_PRIMARY_mean", "REG_CITY_NOT_WORK_CITY",
+    "cred_SK_DPD_DEF_max", "prev_RATE_INTEREST_PRIVILEGED_max", "cred_AMT_DRAWINGS_ATM_CURRENT_min", "FLAG_EMP_PHONE",
+    "prev_RATE_INTEREST_PRIVILEGED_min", "bur_Has_overdue_sum", "bur_lat_CNT_CREDIT_PROLONG",
+    "cred_AMT_TOTAL_RECEIVABLE_min", "cred_AMT_TOTAL_RECEIVABLE_max", "EMERGENCYSTATE_MODE",
+]

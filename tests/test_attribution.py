@@ -113,7 +113,88 @@ def test_top_and_tail_keeps_both_ends(spark):
 def test_shadow_selection_keeps_a_planted_feature_and_refuses_too_few_rounds(spark):
     from loanlens.operators.attribution import shadow_feature_selection
     df = spark.range(600).selectExpr("id as k", "cast(id % 2 as double) as y", "cast(id % 2 as double) + 0.1 * rand(1) as signal", "rand(2) as noise")
-    got = {r["feature"]: r for r in shadow_feature_selection(spark, df, ["signal", "noise"], "y", "k", iterations=5).collect()}
+    got = {r["feature"]: r for r in shadow_feature_selection(spark, df, ["signal", "noise"], "y", "k", iterations=10).collect()}
     assert got["signal"]["keep"] and not got["noise"]["keep"] and got["signal"]["rank"] == 1
     with pytest.raises(ValueError):
         shadow_feature_selection(spark, df, ["signal"], "y", "k", iterations=4)
+
+
+def test_contribution_summary_by_equal_frequency(spark):
+    rng = np.random.default_rng(7)
+    x = np.where(rng.random(400) < 0.3, 5.0, rng.normal(size=400).round(2))          # a third of the rows share one value
+    c = rng.normal(size=400)
+    rows = [(i, float(a), None if i % 9 == 0 else float(i % 4)) for i, a in enumerate(x)]
+    values = spark.createDataFrame(rows, "k long, `x.1` double, y double")
+    long = spark.createDataFrame([(i, f, float(v) * (1 if f == "y" else 2)) for i, v in enumerate(c) for f in ("x.1", "y")], "k long, feature string, contribution double")
+    got = {(r["feature"], r["bin"]): r for r in at.contribution_summary(values, long, ["k"], bins=10, probs=(0.1, 0.5, 0.9)).collect()}
+    for f, col, scale in (("x.1", 1, 2), ("y", 2, 1)):
+        have = [r[col] for r in rows if r[col] is not None]
+        by = {}
+        for r in rows:
+            v = r[col]
+            b = None if v is None else 10 * sum(o < v for o in have) // len(have)
+            by.setdefault(b, []).append((v, c[r[0]] * scale))
+        assert {b for g, b in got if g == f} == set(by)
+        for b, held in by.items():
+            r, contributions = got[f, b], np.array([h[1] for h in held])
+            assert r["n"] == len(held) and r["mean_contribution"] == pytest.approx(contributions.mean())
+            assert [r["q10"], r["q50"], r["q90"]] == pytest.approx(list(np.quantile(contributions, [0.1, 0.5, 0.9])))
+            assert (r["value_min"], r["value_max"]) == ((None, None) if b is None else (min(h[0] for h in held), max(h[0] for h in held)))
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(600, 6))
+    y = (X[:, 0] + 0.8 * X[:, 1] + rng.normal(0, 0.4, 600) > 0).astype(int)
+    # f2 repeats the first column with noise: neither clearly above nor clearly below the best shuffled copy
+    X[:, 2] = 0.12 * X[:, 0] + rng.normal(size=600)
+    return spark.createDataFrame([(i, int(y[i]), *map(float, X[i])) for i in range(600)], "k long, y int, " + ", ".join(f"f{j} double" for j in range(6)))
+
+
+def test_shadow_selection_confirms_rejects_and_leaves_open(spark, planted, monkeypatch):
+    sizes, plain = [], at._shadow
+    monkeypatch.setattr(at, "_shadow", lambda ranked, n, features, seed: sizes.append(len(features)) or plain(ranked, n, features, seed))
+    imp = spark.createDataFrame([("f0", 0.9, 0), ("f1", 0.5, 1), ("gone", 0.1, 2)], "feature string, importance double, rank int")
+    out = {r["feature"]: r for r in at.shadow_feature_selection(spark, planted, [f"f{j}" for j in range(6)], "y", "k", iterations=20, trees=20, importances=imp).collect()}
+    assert out["f0"]["decision"] == out["f1"]["decision"] == "confirmed" and out["f0"]["keep"] and out["f0"]["rank"] == 1
+    noise = [out[f"f{j}"] for j in (3, 4, 5)]
+    assert sum(r["decision"] == "rejected" for r in noise) >= 2 and not any(r["keep"] for r in noise)
+    assert all(r["rank"] >= 3 and r["p_reject"] <= 0.05 / 2 / 6 and r["trials"] < 20 for r in noise if r["decision"] == "rejected")
+    assert sizes == sorted(sizes, reverse=True) and sizes[0] == 6 and sizes[-1] < 6            # rejected features leave the next rounds
+    assert (out["f0"]["contribution_rank"], out["f3"]["contribution_rank"]) == (0, None) and out["gone"]["decision"] is None
+
+
+def test_shadow_selection_names_undecided_features(spark, planted, monkeypatch):
+    # importances that win every second iteration stay tentative
+    turn = iter(range(100))
+
+    class Fit:
+        def __init__(self, n):
+            self.n = n
+
+        @property
+        def featureImportances(self):
+            k = next(turn)
+            return type("V", (), {"toArray": lambda _: np.array([1.0, 0.3 + 0.4 * (k % 2)] + [0.5] * (self.n - 2))})()
+
+    class Forest:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, data):
+            return Fit(4)
+    monkeypatch.setattr(at, "RandomForestClassifier", Forest)
+    out = {r["feature"]: r for r in at.shadow_feature_selection(spark, planted, ["f0", "f1"], "y", "k", iterations=20).collect()}
+    assert out["f0"]["decision"] == "confirmed"
+    assert (out["f1"]["decision"], out["f1"]["rank"], out["f1"]["hits"], out["f1"]["trials"]) == ("tentative", 2, 10, 20)
+    with pytest.raises(ValueError, match="cannot decide"):
+        at.shadow_feature_selection(spark, planted, ["f0", "f1"], "y", "k", iterations=4)
+
+
+def test_backward_selection_stops_early_and_drops_noise(spark, planted):
+    from loanlens.modeling import training as tr
+    out = at.backward_selection(spark, planted.where("k < 450"), planted.where("k >= 450"), [f"f{j}" for j in range(6)], "y", 2,
+                                lambda: tr.boosted_tree_classifier(max_iter=60, step_size=0.3, max_depth=3), 2, patience=3).orderBy("round").collect()
+    assert [r["n_features"] for r in out] == [6, 4, 2] and out[-1]["selected"].split(",") == ["f0", "f1"]
+    assert all(r["trees"] < 57 and 0 < r["log_loss"] < 0.7 for r in out[:-1]) and out[-1]["trees"] is None
