@@ -67,6 +67,13 @@ def few(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= rows
 
 
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, text) of ``docs``; ``row`` is a digest of id and text, the same in every scan whatever the order of the input."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    marked = [F.concat(F.lit("="), c) for c in (F.col("id").cast("string"), F.col("text"))]       # null differs from empty
+    return rows.select(F.md5(F.concat(F.coalesce(marked[0], F.lit("")), F.lit("\x00"), F.coalesce(marked[1], F.lit("")))).alias("row"), "id", "text")
+
+
 # ---------------------------------------------------------------- text kernels
 
 _WORD = np.ones(256, dtype=bool)

@@ -22,8 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType
 
-from loanlens.llm.common import Scratch, chunks, mix, rolling
+from loanlens.llm.common import Scratch, chunks, few, keyed_rows, mix, rolling
 
 Q = 12                     # bytes of a q-gram
 WINDOW = 100               # bytes of an item window, at every offset (a shorter item is one window)
@@ -197,7 +198,7 @@ def _merged(found: list[tuple[int, int, int, int, int]]) -> Iterator[tuple[int,
         yield now
 
 
-_FOUND = "row long, item long, span_start long, span_end long, edits int"
+_FOUND = "row string, item long, span_start long, span_end long, edits int"
 
 
 def contaminated_spans(texts: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW,
@@ -259,7 +260,7 @@ def _search(index, q: int):
                         for d, i, begin, end, cost in _merged(list(leaks(ix, low, new)))]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*dict.fromkeys(rows)), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
+                        [pa.array(c, t) for c, t in zip(zip(*dict.fromkeys(rows)), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
                         ["row", "item", "span_start", "span_end", "edits"])
 
     return search
@@ -276,16 +277,19 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, id_col: str =
     a row each; extra columns are ignored; empty tables give clean documents or no rows.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    ids = scratch.save(rows.select("row", "id"), "ids")
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    found = contaminated_spans(rows.select("row", "text"), items)
+    # the key follows from the row's content, so it is the same in every scan of the input, whatever its order; equal rows share results
+    rows = keyed_rows(docs, id_col, text_col)
+    items = scratch.save(benchmark.select(F.monotonically_increasing_id().alias("nr"), F.col(f"`{item_col}`").alias("item"),
+                                          F.col(f"`{item_text_col}`").cast("string").alias("text")), "items")
+    found = contaminated_spans(rows.select("row", "text"), items.select(F.col("nr").alias("item"), "text"))
+    found = found.withColumnRenamed("item", "nr").join(items.select("nr", "item"), "nr")
     each = found.groupBy("row").agg(
         F.sort_array(F.collect_set("item")).alias("item_ids"), F.min("edits").alias("least_edits"),
         F.sort_array(F.collect_set(F.struct("span_start", "span_end", F.col("item").alias("item_id")))).alias("spans"))
-    out = ids.join(each, "row", "left").select(
+    each = scratch.save(each, "spans")
+    out = rows.select("row", "id").join(F.broadcast(each) if few(each) else each, "row", "left").select(
         F.col("id").alias(id_col), F.col("spans").isNotNull().alias("contaminated"),
-        F.coalesce("item_ids", F.expr("cast(array() as array<bigint>)")).alias("item_ids"),
+        F.coalesce("item_ids", F.array().cast(ArrayType(items.schema["item"].dataType))).alias("item_ids"),
         F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "least_edits", "spans")
     return scratch.result(out)
 

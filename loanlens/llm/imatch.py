@@ -130,7 +130,8 @@ def fingerprints(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: str
             out = [x for _, _, data, off in chunks(batch.column(rest.index(text_col))) for x in _hex(_signatures(_term_sets(data, off), lexicon.value))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*rest, "fingerprint"])
 
-    return docs.select(*rest).mapInArrow(stamp, StructType([*docs.select(*rest).schema.fields]).add("fingerprint", StringType()))
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
+    return rows.mapInArrow(stamp, StructType([*rows.schema.fields]).add("fingerprint", StringType()))
 
 
 def with_next(texts: DataFrame, blocks: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loanlens.llm.common import Scratch
+from loanlens.llm.common import Scratch, few, keyed_rows
 from loanlens.session import ensure_checkpoint_dir
 
 UNKNOWN_DOCUMENTS = 2_000      # documented bound of the documents whose ordinary paragraphs are sampled
@@ -74,18 +74,22 @@ def ngrams(words: str) -> Column:
     return F.expr(f"array_distinct(concat({one}, {touching(2)}, {touching(3)}))")
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(id, row, block, at, whole, words): paragraphs of (id, row, text) and the lines of those that have several, with their words.
+def paragraphs(docs: DataFrame, anchors: list[str]) -> DataFrame:
+    """(id, row, block, at, whole, words): paragraphs of (id, row, text) with an anchor word, and the lines of those that have several.
 
     Paragraphs are lines up to a blank one (without a letter or digit). ``block`` numbers a document's paragraphs, ``at``
-    a paragraph's lines, and ``whole`` marks the joined lines of a paragraph of several.
+    a paragraph's lines, and ``whole`` marks the joined lines of a paragraph of several. A paragraph's words are those of
+    its lines, so a paragraph without an anchor word holds no line with one and is left before its lines are cut.
     """
     text = F.replace(F.coalesce("text", F.lit("")), F.lit("\r\n"), F.lit("\n"))  # else BLANK finds two line ends in one
     blocks = docs.select("id", "row", F.posexplode(F.split(text, BLANK)).alias("block", "paragraph"))
+    blocks = blocks.withColumn("every", tokens(F.col("paragraph"))).filter(F.arrays_overlap("every", F.array(*[F.lit(w) for w in anchors])))
     lines = blocks.withColumn("lines", F.filter(F.split("paragraph", r"\R"), lambda line: line != ""))
-    pieces = lines.select("id", "row", "block", F.size("lines").alias("n"), F.posexplode(
+    pieces = lines.select("id", "row", "block", "every", F.size("lines").alias("n"), F.posexplode(
         F.expr("if(size(lines) > 1, concat(lines, array(paragraph)), lines)")).alias("at", "piece"))
-    return pieces.select("id", "row", "block", "at", (F.col("at") == F.col("n")).alias("whole"), tokens(F.col("piece")).alias("words"))
+    whole = (F.col("at") == F.col("n"))
+    return pieces.select("id", "row", "block", "at", whole.alias("whole"),
+                         F.when(whole | (F.col("n") == 1), F.col("every")).otherwise(tokens(F.col("piece"))).alias("words"))
 
 
 def windows(rows: DataFrame) -> DataFrame:
@@ -117,6 +121,21 @@ class LicenseScanner:
             "confirmed", F.col("likeness") >= CONFIRM).drop("templates", "grams")
 
 
+def calibrated(held: DataFrame, families: list[str]) -> dict[str, float]:
+    """The probability from which each family is believed, from held-back rows (family, or '' for unknown; p by class, unknown first).
+
+    It lies half-way between the highest probability that an unknown row has for the family and the lowest one of its own
+    variants; above the unknown rows where the two overlap; and never below 0.5.
+    """
+    tops = held.agg(*[F.max(F.when(F.col("family") == "", F.col("p")[i + 1])).alias(f"u{i}") for i in range(len(families))],
+                    *[F.min(F.when(F.col("family") == f, F.col("p")[i + 1])).alias(f"v{i}") for i, f in enumerate(families)]).first()
+    out = {}
+    for i, f in enumerate(families):
+        unknown, own = tops[f"u{i}"] or 0.0, tops[f"v{i}"]
+        out[f] = float(max(0.5, (unknown + own) / 2 if own is not None and own > unknown else min(0.99, unknown + 0.01)))
+    return out
+
+
 def fit_scanner(docs: DataFrame) -> LicenseScanner:
     """Train on template variants and a bounded sample of the paragraphs of (id, row, text) that hold an anchor word."""
     spark = docs.sparkSession
@@ -128,7 +147,7 @@ def fit_scanner(docs: DataFrame) -> LicenseScanner:
     anchors = [w for w in vocabulary if " " not in w]
     # ordinary paragraphs with an anchor word but no licence trigram: a bounded sample in hash order
     some = docs.filter("id is not null").select("id", F.xxhash64("id").alias("place")).orderBy("place", "id").limit(UNKNOWN_DOCUMENTS).select("id")
-    plain = paragraphs(docs.join(F.broadcast(some), "id", "left_semi")).filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in anchors])))
+    plain = paragraphs(docs.join(F.broadcast(some), "id", "left_semi"), anchors).filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in anchors])))
     tri = F.array(*[F.lit(g) for g in vocabulary if g.count(" ") == 2])
     plain = windows(plain).withColumn("grams", ngrams("words")).filter(~F.arrays_overlap("grams", tri))
     plain = plain.select(F.lit("").alias("family"), "words", "grams", F.xxhash64("words").alias("place")).orderBy("place").limit(UNKNOWN_PARAGRAPHS)
@@ -142,15 +161,11 @@ def fit_scanner(docs: DataFrame) -> LicenseScanner:
     rows = rows.unionByName(plain).checkpoint()
     names = F.array(*[F.lit(f) for f in families])
     rows = rows.withColumn("label", F.when(F.col("family") == "", 0).otherwise(F.array_position(names, F.col("family"))).cast("double"))
-    train, held = rows.filter("place % 4 <> 0 or family = ''"), rows.filter("place % 4 = 0")
+    train, held = rows.filter("place % 4 <> 0"), rows.filter("place % 4 = 0")
     count = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True)
     fit = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", regParam=1e-3, elasticNetParam=0.5, maxIter=100)
     model = Pipeline(stages=[count, fit]).fit(train)
-    # calibration: a family's limit lies above every held-back unknown row's probability and at 0.5 at least
-    p = vector_to_array("probability")
-    top = model.transform(held).select("family", *[p[i + 1].alias(f"p{i}") for i in range(len(families))])
-    worst = top.filter("family = ''").agg(*[F.coalesce(F.max(f"p{i}"), F.lit(0.0)).alias(f"p{i}") for i in range(len(families))]).first()
-    thresholds = {f: float(min(0.9, max(0.5, worst[i] + 0.01))) for i, f in enumerate(families)}
+    thresholds = calibrated(model.transform(held).select("family", vector_to_array("probability").alias("p")), families)
     templates = notice.groupBy("family").agg(F.collect_list("grams").alias("templates")).checkpoint()
     return LicenseScanner(model, families, thresholds, templates, anchors)
 
@@ -165,15 +180,16 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     null ids keep a row each; other columns are ignored; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "license")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    # the key follows from the row's content, so it is the same in every scan of the input, whatever its order; equal rows share results
+    rows = keyed_rows(docs, id_col, text_col)
     base = scratch.save(rows.select("id", "row", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda p: p != "")).cast("long").alias("n_paragraphs")), "rows")
     scanner = scanner or fit_scanner(rows)
-    hits = scanner.scan(paragraphs(rows))
+    hits = scanner.scan(paragraphs(rows, scanner.anchors))
     by_block = hits.groupBy("row", "block").agg(
         F.count_distinct(F.when(~F.col("whole"), F.col("at"))).alias("n"),
         F.max(F.struct("confirmed", "likeness", "probability", "family")).alias("best"))
-    each = by_block.groupBy("row").agg(F.sum(F.greatest("n", F.lit(1))).alias("n_licensed"), F.max("best").alias("best"))
-    out = base.join(each, "row", "left").select(
+    each = scratch.save(by_block.groupBy("row").agg(F.sum(F.greatest("n", F.lit(1))).alias("n_licensed"), F.max("best").alias("best")), "hits")
+    out = base.join(F.broadcast(each) if few(each) else each, "row", "left").select(
         F.col("id").alias(id_col), "n_paragraphs", F.coalesce("n_licensed", F.lit(0)).alias("n_licensed"), F.col("best.family").alias("family"),
         F.col("best.probability").alias("probability"), F.col("best.likeness").alias("likeness"), F.coalesce("best.confirmed", F.lit(False)).alias("confirmed"))
     return scratch.result(out)

@@ -225,14 +225,19 @@ def fit_line_field(texts: list[str | None], labels: list[int], rounds: int = 150
     return LineField(mean, scale, w, bind, float(slope), float(at), p)
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, label_col: str, limit: int, fit):
+def fit_on_labels(docs: DataFrame, labels: DataFrame, label_col: str, limit: int, fit, unlabelled: int = 0):
     """``fit(texts, labels)`` of at most ``limit`` labelled rows of (id, text), the same ones on every run (by hash of the id).
 
-    The bounded sample meets in one executor task, which returns the fitted model; the driver holds no text.
+    With ``unlabelled`` up to so many rows whose id has no label join them, with label -1. The bounded sample meets in one
+    executor task, which returns the fitted model; the driver holds no text.
     """
-    ids = (labels.select("id", F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)").dropDuplicates(["id"])
-           .orderBy(F.xxhash64("id"), "id").limit(limit))
-    sample = docs.join(F.broadcast(ids), "id").select("id", "text", "y").dropDuplicates(["id"])
+    # an id with several labels or texts has its largest label and its first text in order
+    known = labels.select("id", F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
+    ids = known.orderBy(F.xxhash64("id"), "id").limit(limit)
+    if unlabelled:
+        others = docs.select("id").filter("id is not null").join(labels.select("id"), "id", "left_anti").distinct()
+        ids = ids.unionByName(others.orderBy(F.xxhash64("id"), "id").limit(unlabelled).withColumn("y", F.lit(-1)))
+    sample = docs.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, y = [], []
@@ -255,10 +260,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     are left out; without any usable label every score is 0.5. Columns called score or predicted are replaced.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    field = spark.sparkContext.broadcast(fit_on_labels(plain, labels.withColumnRenamed(id_col, "id"), label_col, limit, fit_line_field))
+    plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y"))
+    field = spark.sparkContext.broadcast(fit_on_labels(plain, known, "y", limit, fit_line_field))
 
     rest = [c for c in docs.columns if c not in ("score", "predicted")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,8 +274,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             value = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, pa.float64())], [*rest, "score"])
 
-    schema = StructType([*docs.select(*rest).schema.fields]).add("score", DoubleType())
-    return docs.select(*rest).mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    schema = StructType([*rows.schema.fields]).add("score", DoubleType())
+    return rows.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def held_out(id_col: str, modulus: int, remainder: int):

@@ -3,8 +3,8 @@
 Voters are lexicon voters (one per insult family, plus lists of words and word beginnings induced from the
 labelled sample, which reach inflected forms and other languages) and pattern voters
 (shouting, exclamation runs, address followed by an insult, insult density, clean prose). The label model is a two-class latent model: the voters' accuracies and the correlations of the voter pairs
-that agree beyond independence are estimated by EM on unlabelled and labelled documents together; a few
-labels anchor which class is which. Its posteriors, clamped to the label where one is known, train the
+that agree beyond independence are estimated by EM on labelled and unlabelled documents together, where
+labels anchor which class is which. Its posteriors from the votes alone, for labelled rows too, train the
 linear classifier, which alone scores all documents.
 """
 
@@ -21,6 +21,9 @@ from loanlens.llm.common import LOWER, chunks, word_hashes, word_spans
 from loanlens.llm.quality_crf import fit_on_labels, held_out
 
 FIT_DOCUMENTS = 5000       # documented bound of the labelled fitting sample
+UNLABELLED_DOCUMENTS = 3000  # and of the documents without a label that join it
+EPOCHS = 5                 # passes over the sample that train the classifier
+LIFT = 10                  # times as often in toxic documents: words and beginnings for the induced lexicons
 INDUCED = 8                # induced lexicons
 STEMS = (4, 5, 6, 7, 8)    # bytes of a word's beginning that an induced lexicon may list
 HASHES = 1 << 14           # slots of the classifier's word features
@@ -178,12 +181,13 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -> ToxicityModel:
-    """Induce lexicons, fit the label model, train the classifier on its posteriors.
+def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = EPOCHS) -> ToxicityModel:
+    """Induce lexicons, fit the label model, train the classifier on its posteriors. ``labels``: 0, 1, or -1 for none.
 
     The induced lists split the words and word beginnings that occur in toxic documents far more often, and in
-    at least five of them, over ``INDUCED`` voters by their hash. Two thirds of the sample anchor the label
-    model; the rest is treated as unlabelled, so its accuracies do not rest on the words' own training labels alone.
+    at least five of them, over ``INDUCED`` voters by their hash. Labels anchor the label model's classes, from which
+    it learns the voters' accuracies; the classifier sees none: its target is the posterior of every row, labelled or
+    not, from the votes alone.
     """
     base = [_lexicon(x) for x in LEXICONS.values()]
     y = np.array(labels, np.int64)
@@ -193,10 +197,9 @@ def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -
         for _, _, data, off in chunks(column):
             yield data, off, *_words(LOWER[data], off)
 
-    anchor = np.arange(len(y)) % 3 > 0
     words = [np.unique(np.concatenate([w[i:j], stems[:, i:j].ravel()])) for _, _, w, stems, rows in parts() for i, j in zip(rows[:-1], rows[1:])]
-    bad = [w for w, t, s in zip(words, y, anchor) if t == 1 and s]
-    ok = [w for w, t, s in zip(words, y, anchor) if t == 0 and s]
+    bad = [w for w, t in zip(words, y) if t == 1]
+    ok = [w for w, t in zip(words, y) if t == 0]
     lexicons = list(base)
     if bad and ok:
         u, n = np.unique(np.concatenate(bad), return_counts=True)
@@ -204,24 +207,23 @@ def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -
         k = np.searchsorted(u2, u)
         clean = np.where(u2[np.minimum(k, len(u2) - 1)] == u, n2[np.minimum(k, len(u2) - 1)], 0)
         ratio = ((n + 0.5) / (len(bad) + 1)) / ((clean + 0.5) / (len(ok) + 1))
-        pick = u[(n >= 5) & (ratio > 20) & (n / len(bad) >= 0.01)]
+        pick = u[(n >= 5) & (ratio > LIFT) & (n / len(bad) >= 0.01)]
         lexicons += [pick[pick % np.uint64(INDUCED) == i] for i in range(INDUCED)]
     else:
         lexicons += [np.zeros(0, np.uint64)] * INDUCED
+    del words
     votes = [_votes(data, off, w, stems, rows, lexicons) for data, off, w, stems, rows in parts()]
     votes = np.concatenate(votes) if votes else np.zeros((0, len(lexicons) + 8), np.int8)
     empty = ToxicityModel(lexicons, np.zeros(HASHES), float(np.log(0.02 / 0.98)), np.zeros(votes.shape[1]))
-    if not len(y) or len(np.unique(y)) < 2:
+    if not bad or not ok:
         return empty
-    known = np.where(anchor, y, -1)
-    target = np.where(known >= 0, known, LabelModel(votes, known).posterior(votes))
+    target = LabelModel(votes, y).posterior(votes)
     # logistic regression by AdaGrad over rows: word slots scaled as in scoring, plus the votes
-    del words
     weights, bias, vw = np.zeros(HASHES), float(np.log(target.mean() / (1 - target.mean()))), np.zeros(votes.shape[1])
     s_w, s_b, s_v = np.full(HASHES, 1e-3), 1e-3, np.full(len(vw), 1e-3)
     order = np.random.default_rng(7)
     counted = [np.unique(_slots(w[i:j]), return_counts=True) for _, _, w, _, rows in parts() for i, j in zip(rows[:-1].tolist(), rows[1:].tolist())]
-    for epoch in range(epochs):
+    for _ in range(epochs):
         for i in order.permutation(len(y)):
             at, c = counted[i]
             x = c / np.sqrt(max(1, c.sum()))
@@ -234,36 +236,39 @@ def fit_toxicity(texts: list[str | None], labels: list[int], epochs: int = 60) -
             weights[at] += 0.03 * gw / np.sqrt(s_w[at])
             vw += 0.1 * gv / np.sqrt(s_v)
             bias += 0.1 * g / np.sqrt(s_b)
-        if epoch >= 2 and len(y) * (epoch + 1) > 20_000:
-            break
     return ToxicityModel(lexicons, weights, bias, vw)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", threshold: float = 0.5, limit: int = FIT_DOCUMENTS) -> DataFrame:
+                    label_col: str = "toxic", threshold: float = 0.5, limit: int = FIT_DOCUMENTS,
+                    unlabelled: int = UNLABELLED_DOCUMENTS, learn_from: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``score`` (probability of being toxic) and ``predicted`` (1 from ``threshold`` on).
 
-    ``labels`` holds the ids and labels to learn from; leave held-out rows out. Only the text enters a score.
+    ``labels`` holds the ids and labels to learn from; leave held-out rows out. ``learn_from`` (``docs`` by default) holds
+    the documents the fitting sample is drawn from, ``unlabelled`` of them without a label. Only the text enters a score.
     Null and empty texts score like a text without any word. Repeated rows and null ids are scored as they
     come; labels with a null id or label are left out; without both classes among the labels every score is
     the low base rate 0.02. Columns called score or predicted are replaced.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    model = spark.sparkContext.broadcast(fit_on_labels(plain, labels.withColumnRenamed(id_col, "id"), label_col, limit, fit_toxicity))
+    source = docs if learn_from is None else learn_from
+    plain = source.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y"))
+    model = spark.sparkContext.broadcast(fit_on_labels(plain, known, "y", limit, fit_toxicity, unlabelled))
     rest = [c for c in docs.columns if c not in ("score", "predicted")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [model.value.scores(data, off) for _, _, data, off in chunks(batch.column(rest.index(text_col)))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())], [*rest, "score"])
 
-    schema = StructType([*docs.select(*rest).schema.fields]).add("score", DoubleType())
-    return docs.select(*rest).mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    schema = StructType([*rows.schema.fields]).add("score", DoubleType())
+    return rows.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out("doc_id", 5, 0))
-    scored = toxicity_scores(docs, labels)
+    scored = toxicity_scores(docs, labels, learn_from=docs.filter(~held_out("doc_id", 5, 0)))
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")

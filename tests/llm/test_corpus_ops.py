@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from loanlens.llm import decontaminate, imatch, license_scan, mixing, near_join, quality_crf, suffix_dedup, toxicity, url_filter, warc
 from loanlens.llm.common import Scratch, components, rolling
+from loanlens.llm.common import utf8 as common_utf8
 from tests.conftest import SF
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, n long, token string, row long, prefix string"
@@ -429,3 +430,77 @@ def test_mixing_of_odd_rows(spark):
     assert sorted((r["domain"], r["lang"], r["tokens"], r["epoch"]) for r in got if r["tokens"]) == [
         ("reference", "en", 2, 1), ("reference", "en", 2, 2), ("web", "en", 2, 1)]
     assert mixing.mix_counts(docs(spark, [])).count() == 0
+
+
+# ---------------------------------------------------------------- any order of the input, odd names
+
+def _mixed_corpus(spark):
+    notice = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
+    leak = "the quick brown fox jumps over the lazy dog while seventeen grey geese fly slowly south across the frozen lake at dawn again"
+    texts = [f"plain words number {i} of an ordinary text" for i in range(40)] + [f"start {i}\n\n{notice}\n\nend" for i in range(6)]
+    texts += [f"opening {i} {leak} closing {i}" for i in range(6)] + [None, "", texts[41], f"again {leak}"]
+    ids = list(range(len(texts) - 2)) + [41, None]
+    return docs(spark, texts, ids), spark.createDataFrame([("item-a", leak), (None, "tiny"), ("empty", None)], "item_id string, text string")
+
+
+def test_results_belong_to_their_documents_in_any_order(spark):
+    """Files, a repartitioned and a shuffled input give the same rows; item ids may be strings."""
+    table, items = _mixed_corpus(spark)
+    scanner = license_scan.fit_scanner(table.select(F.col("doc_id").alias("id"), F.monotonically_increasing_id().cast("string").alias("row"), "text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        orders = [table.coalesce(1), table.repartition(5), table.repartition(7, "text"), table.orderBy(F.desc("text"))]
+        leaks = [sorted(map(repr, decontaminate.contaminated_documents(t, items).collect())) for t in orders]
+        found = [sorted(map(repr, license_scan.scan_licenses(t, scanner=scanner).collect())) for t in orders]
+        quality = [sorted(map(repr, near_join.near_duplicate_components(t).collect())) for t in orders]
+        cut = [sorted(map(repr, suffix_dedup.remove_repeats(t, length=140).collect())) for t in orders]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for results in (leaks, found, quality, cut):
+        assert all(r == results[0] for r in results)
+    bad = [r for r in decontaminate.contaminated_documents(orders[1], items).collect() if r["contaminated"]]
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in bad) == [-1, 46, 47, 48, 49, 50, 51] and {tuple(r["item_ids"]) for r in bad} == {("item-a",)}
+    licensed = [r["doc_id"] for r in license_scan.scan_licenses(orders[2], scanner=scanner).collect() if r["confirmed"]]
+    assert sorted(licensed) == [40, 41, 41, 42, 43, 44, 45]
+
+
+def test_dotted_names_and_label_tables_with_an_id(spark):
+    texts, _, _ = random_texts(3, 30)
+    table = docs(spark, texts).withColumn("a.b", F.lit(1)).withColumn("id", F.lit("x"))
+    labels = spark.createDataFrame([(i, i % 2, i % 2, "clash", 5.0) for i in range(30)] + [(3, 0, 0, "clash", 5.0)], "doc_id long, quality int, toxic int, id string, `c.d` double")
+    for scores in (quality_crf.quality_scores(table, labels), toxicity.toxicity_scores(table, labels)):
+        assert scores.columns == [*table.columns, "score", "predicted"] and scores.count() == 30
+    assert suffix_dedup.without_repeats(table).columns == table.columns
+
+
+def test_licence_limits_are_calibrated_on_held_back_rows(spark):
+    held = [("", [0.9, 0.1, 0.0]), ("", [0.3, 0.3, 0.4]), ("a", [0.1, 0.9, 0.0]), ("a", [0.3, 0.7, 0.0]), ("b", [0.65, 0.0, 0.35])]
+    df = spark.createDataFrame(held, "family string, p array<double>")
+    got = license_scan.calibrated(df, ["a", "b"])
+    assert got["a"] == pytest.approx(0.5) and got["b"] == pytest.approx(0.5)                  # (0.3 + 0.7) / 2; overlap: 0.41, raised to 0.5
+    moved = spark.createDataFrame([(f, [p[0], p[1] + (0.25 if f == "" else 0.05), p[2]]) for f, p in held], "family string, p array<double>")
+    assert license_scan.calibrated(moved, ["a"])["a"] == pytest.approx((0.55 + 0.75) / 2)     # moves with the held-back rows
+    assert license_scan.calibrated(df.where("family <> 'a'"), ["a"])["a"] == pytest.approx(0.5)
+
+
+def test_toxic_recall_and_precision_on_held_out_rows(spark):
+    """Held-out rows of the larger table; labels hold some noise, so a few toxic labels lie on ordinary text."""
+    big = SF.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{big}/labels.parquet")
+    got = toxicity.op10_toxicity(spark, big).filter("held_out").join(labels, "doc_id").filter("toxic is not null")
+    n = got.agg(F.sum(F.expr("cast(toxic = 1 and predicted = 1 as int)")), F.sum("toxic"), F.sum("predicted")).first()
+    assert n[0] >= 0.9 * n[1] and n[0] >= 0.95 * n[2]
+
+
+def test_toxicity_learns_from_posteriors_and_from_unlabelled_rows():
+    rng = random.Random(4)
+    plain = [" ".join(rng.choice(["tree", "river", "stone", "cloud", "meadow", "lamp"]) for _ in range(40)) for _ in range(300)]
+    nasty = [t + " you stupid worthless idiot " + rng.choice(["zug", "zog"]) for t in plain[:100]]
+    texts = nasty + plain[100:]
+    labels = [1] * 30 + [-1] * 70 + [0] * 60 + [-1] * 140
+    labels[5] = 0                                                            # a wrong label does not become a target
+    model = toxicity.fit_toxicity(texts, labels)
+    import pyarrow as pa
+    score = np.concatenate([model.scores(d, o) for _, _, d, o in toxicity.chunks(pa.array(texts, pa.large_string()))])
+    assert (score[:100] >= 0.5).all() and (score[100:] < 0.5).all()
+    assert (toxicity.fit_toxicity([], []).scores(*common_utf8(pa.array(["a"]))) < 0.1).all()
