@@ -209,7 +209,8 @@ def feature_set_experiments(spark, df: DataFrame, sets: Mapping[str, Sequence[st
     for name, cols in sets.items():
         sub = df.select(key, label, *cols)
         pm, tr, va = fit_transform_split(sub, make_pipeline(cols), label, key)
-        tr, va = tr.persist(StorageLevel.MEMORY_AND_DISK), va.persist(StorageLevel.MEMORY_AND_DISK)
+        # the fits and metrics read only the vector, so the wide columns are not kept
+        tr, va = (part.select(key, label, "features").persist(StorageLevel.MEMORY_AND_DISK) for part in (tr, va))
         res = train_with_early_stopping(tr, va, gbt.copy({gbt.labelCol: label}), patience)
         m = model_metrics(res.model, va, label)
         n_feat = len(pm.stages[-1].feature_names())
