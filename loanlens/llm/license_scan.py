@@ -6,13 +6,14 @@ cut, and set among words of the corpus) and a bounded sample of ordinary corpus
 threshold a family's probability has to reach is calibrated on held-back variants and paragraphs. A paragraph
 predicted as a family is confirmed where it shares enough n-grams with one of the family's templates.
 
-Only n-grams of the templates are features. A paragraph without any anchor word (a template word that is not a
-stop word) has no feature at all and gets the intercept's class, so paragraphs are looked up by anchor
-words first: that changes no prediction. Everything is DataFrame operations and Spark ML.
+Only n-grams of the templates are features. Paragraphs are looked up by anchor words first: template words without
+any of which the fitted weights cannot reach a family's threshold, so that changes no prediction. Everything is
+DataFrame operations and Spark ML.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -99,17 +100,24 @@ def windows(rows: DataFrame) -> DataFrame:
 
 
 class LicenseScanner:
-    """Fitted pipeline, family names, calibrated thresholds and template n-grams."""
+    """Fitted pipeline, family names, calibrated thresholds, template n-grams, and the words and n-grams a notice needs."""
 
-    def __init__(self, model, families: list[str], thresholds: dict[str, float], templates: DataFrame, anchors: list[str]):
+    def __init__(self, model, families: list[str], thresholds: dict[str, float], templates: DataFrame, anchors: list[str], grams: list[str]):
         self.model, self.families, self.thresholds = model, families, thresholds
-        self.templates, self.anchors = templates, anchors
+        self.templates, self.anchors, self.grams = templates, anchors, grams
 
-    def scan(self, rows: DataFrame) -> DataFrame:
-        """Windows of (.., words) that the classifier takes for a licence notice: family, probability, likeness, confirmed."""
+    def scan(self, rows: DataFrame, scratch: Scratch) -> DataFrame:
+        """Windows of (.., words) that the classifier takes for a licence notice: family, probability, likeness, confirmed.
+
+        The few windows that need scoring are written with their n-grams, which the scoring expressions read many times.
+        """
         anchors = F.array(*[F.lit(w) for w in self.anchors])
         found = windows(rows.filter(F.arrays_overlap("words", anchors))).filter(F.arrays_overlap("words", anchors))
-        scored = self.model.transform(found.withColumn("grams", ngrams("words"))).withColumn("p", vector_to_array("probability"))
+        joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+        needles = F.array(*[F.lit(f" {g} ") for g in self.grams])
+        found = found.filter(F.exists(F.array(joined), lambda text: F.exists(needles, lambda g: F.contains(text, g))))    # joins the words once
+        found = scratch.save(found.withColumn("grams", ngrams("words")), "windows")
+        scored = self.model.transform(found).withColumn("p", vector_to_array("probability"))
         named = F.array(*[F.lit(f) for f in self.families])
         scored = scored.withColumn("probability", F.array_max(F.expr("slice(p, 2, size(p) - 1)"))).withColumn(
             "family", named[F.expr("cast(array_position(slice(p, 2, size(p) - 1), probability) - 1 as int)")])
@@ -136,6 +144,25 @@ def calibrated(held: DataFrame, families: list[str]) -> dict[str, float]:
     return out
 
 
+def needed(weights, intercepts, vocabulary: list[str], thresholds: list[float], by_frequency: list[str], words: bool) -> list[str]:
+    """Words (or n-grams) without any of which no window reaches a family's threshold.
+
+    A family's probability reaches its threshold t only where its logit exceeds the unknown class's by log(t / (1 - t)).
+    The others, taken from the commonest on, cannot add up to that for any family: n-grams by their own weights, words by
+    those of all n-grams of them and stop words. ``weights`` and ``intercepts`` have the unknown class first.
+    """
+    stop = set(STOP.split())
+    gain = np.maximum(weights[1:] - weights[:1], 0.0)
+    need = np.log(np.array(thresholds) / (1 - np.array(thresholds))) - (intercepts[1:] - intercepts[0])
+    parts = [set(g.split(" ")) - stop if words else {g} for g in vocabulary]
+    spare: set[str] = set()
+    for x in by_frequency:
+        tried = spare | {x}
+        if (gain[:, [p <= tried for p in parts]].sum(axis=1) < need).all():
+            spare = tried
+    return [x for x in by_frequency if x not in spare]
+
+
 def fit_scanner(docs: DataFrame) -> LicenseScanner:
     """Train on template variants and a bounded sample of the paragraphs of (id, row, text) that hold an anchor word."""
     spark = docs.sparkSession
@@ -166,8 +193,16 @@ def fit_scanner(docs: DataFrame) -> LicenseScanner:
     fit = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", regParam=1e-3, elasticNetParam=0.5, maxIter=100)
     model = Pipeline(stages=[count, fit]).fit(train)
     thresholds = calibrated(model.transform(held).select("family", vector_to_array("probability").alias("p")), families)
+    # what is scored at all: paragraphs and windows with an anchor word, and of those the windows with a needed n-gram
+    ordinary = rows.filter("family = ''").select(F.explode(F.array_intersect("grams", F.array(*[F.lit(g) for g in vocabulary]))).alias("g"))
+    seen = {r["g"]: r["count"] for r in ordinary.groupBy("g").count().collect()}        # at most the vocabulary
+    last = model.stages[-1]
+    fitted = last.coefficientMatrix.toArray(), last.interceptVector.toArray(), vocabulary, [thresholds[f] for f in families]
+    common = lambda g: (-seen.get(g, 0), g)
+    anchors = needed(*fitted, sorted(anchors, key=common), words=True)
+    grams = needed(*fitted, sorted(vocabulary, key=common), words=False)
     templates = notice.groupBy("family").agg(F.collect_list("grams").alias("templates")).checkpoint()
-    return LicenseScanner(model, families, thresholds, templates, anchors)
+    return LicenseScanner(model, families, thresholds, templates, anchors, grams)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanner: LicenseScanner | None = None) -> DataFrame:
@@ -184,7 +219,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = keyed_rows(docs, id_col, text_col)
     base = scratch.save(rows.select("id", "row", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda p: p != "")).cast("long").alias("n_paragraphs")), "rows")
     scanner = scanner or fit_scanner(rows)
-    hits = scanner.scan(paragraphs(rows, scanner.anchors))
+    hits = scanner.scan(paragraphs(rows, scanner.anchors), scratch)
     by_block = hits.groupBy("row", "block").agg(
         F.count_distinct(F.when(~F.col("whole"), F.col("at"))).alias("n"),
         F.max(F.struct("confirmed", "likeness", "probability", "family")).alias("best"))
