@@ -31,6 +31,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark)}/loanlens-llm/{label}-{uuid.uuid4().hex}"
         self.n = 0
+        self.tables: list[str] = []
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -42,6 +43,14 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Write ``df`` bucketed by ``key`` into as many buckets as a shuffle has partitions: joins on the key do not move it."""
+        table = f"loanlens_{name}_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.option("compression", "zstd").option("path", self.path(name)).bucketBy(buckets, key).format("parquet").saveAsTable(table)
+        self.tables.append(table)
+        return self.spark.table(table)
+
     def drop(self, df: DataFrame) -> None:
         """Remove the files of a table this run saved."""
         folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
@@ -53,6 +62,8 @@ class Scratch:
         """Write the final table outside the scratch folder, then remove the folder."""
         path = self.root.replace("/loanlens-llm/", "/loanlens-llm/result-")
         df.write.option("compression", "zstd").parquet(path)
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self._delete(self.root)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -239,7 +239,7 @@ def _with_answers(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
     out = blocks
     for i, a in enumerate(answers):
         rows = a.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(f"a{i}"))
-        out = out.join(rows, "block", "left")
+        out = out.join(rows.hint("shuffle_hash"), "block", "left")       # the hash table holds the answers, the texts pass by
     return out
 
 
@@ -261,13 +261,14 @@ def cut_repeats(docs: DataFrame, scratch: Scratch, length: int, with_text: bool)
     k = length - PERIOD + 1
     if k < 8:
         raise ValueError(f"length must be at least {PERIOD + 7}")
-    blocks = scratch.save(_blocks(docs), "blocks")
+    # three passes read the texts beside small answers to their block: the texts are bucketed by block and never shuffled
+    blocks = scratch.save_bucketed(_blocks(docs), "blocks", "block")
     # copies of a whole document: the first stands for all, and all of them go if long enough
     each = blocks.select("block", F.posexplode("digests").alias("at", "d"))
     first = each.groupBy("d").agg(F.min(F.struct("block", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("d", "first")
     marks = scratch.save(each.join(first, "d").groupBy("block").agg(F.collect_list(
         F.struct("at", (F.struct("block", "at") == F.col("first")).alias("stands"))).alias("copies")), "copies")
-    marked = blocks.join(marks, "block", "left")
+    marked = blocks.join(marks.hint("shuffle_hash"), "block", "left")
     total = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(8, total // BUCKET_BYTES + 1))
     wide = 2 * buckets         # a suffix has twice the bytes of a sample's name
