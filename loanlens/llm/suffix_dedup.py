@@ -1,7 +1,7 @@
 """Removal of byte strings that repeat anywhere in a corpus, by blockwise suffix sorting.
 
 Every suffix matters only through its first ``length`` bytes, so suffixes are sorted by a
-128-bit fingerprint of that prefix. Sorting all suffixes at once would move several times the
+96-bit fingerprint of that prefix. Sorting all suffixes at once would move several times the
 corpus; the construction is blockwise instead:
 
 1. the documents are packed into text blocks of a few MB, written once. Copies of a whole
@@ -13,7 +13,7 @@ corpus; the construction is blockwise instead:
    task, which yields the rank class "occurs again" of each sample. Different strings with the
    same name only add suffixes to the next step;
 3. only suffixes that see a repeated sample within the period can have a long common prefix.
-   They are sorted by two independent 64-bit fingerprints of their prefix, again one suffix
+   They are sorted by two independent fingerprints (64 and 32 bits) of their prefix, again one suffix
    bucket per task; a suffix whose neighbour in the bucket carries the same pair is a repeated string;
 4. the answers return to the text blocks as bit strings and the covered bytes are cut.
 
@@ -105,7 +105,7 @@ def _word_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _second_names(text: np.ndarray, k: int, wanted: np.ndarray) -> np.ndarray:
-    """Second fingerprints as in ``_names``, polynomials over the mixed 8-byte words at every offset.
+    """Second fingerprints (32 bits) as in ``_names``, polynomials over the mixed 8-byte words at every offset.
 
     Over single bytes, polynomials modulo 2^64 are equal for some regular strings; mixed words have no such order.
     """
@@ -120,7 +120,15 @@ def _second_names(text: np.ndarray, k: int, wanted: np.ndarray) -> np.ndarray:
         total = np.zeros(len(word) + 1, np.uint64)
         np.cumsum(mix(word + np.uint64(0x632BE59BD9B4E019)) * up[:len(word)], out=total[1:])
         out.append(mix((total[k - 7:] - total[:m]) * down[:m])[wanted[a:a + m]])
-    return np.concatenate(out)
+    return (np.concatenate(out) >> np.uint64(32)).astype(np.uint32)
+
+
+def _order(names: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Positions in order of the names, their second halves deciding where equal names differ in them."""
+    order = np.argsort(names, kind="stable")
+    s, t = names[order], second[order]
+    same = s[1:] == s[:-1]
+    return order if (t[1:][same] == t[:-1][same]).all() else np.lexsort((second, names))
 
 
 def _sampled(off: np.ndarray, skip: np.ndarray, k: int, n: int) -> np.ndarray:
@@ -169,7 +177,7 @@ def _distinct(names: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray,
     if second is None:
         s, back, count = np.unique(names, return_inverse=True, return_counts=True)
         return s, None, back, count
-    order = np.lexsort((second, names))
+    order = _order(names, second)
     s, t = names[order], second[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1])
@@ -201,8 +209,8 @@ def _again(parts: list[np.ndarray], seconds: list[bytes | None]) -> list[np.ndar
         if not len(again):
             return [np.zeros(len(s), bool) for s in parts]
         return [again[np.minimum(np.searchsorted(again, s), len(again) - 1)] == s for s in parts]
-    second = np.concatenate([np.frombuffer(t, np.uint64) for t in seconds])
-    order = np.lexsort((second, every))
+    second = np.concatenate([np.frombuffer(t, np.uint32) for t in seconds])
+    order = _order(every, second)
     every, second = every[order], second[order]
     same = (every[1:] == every[:-1]) & (second[1:] == second[:-1])
     again = np.zeros(len(order), bool)
