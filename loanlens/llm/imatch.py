@@ -124,14 +124,15 @@ def fingerprints(docs: DataFrame, lexicon, id_col: str = "doc_id", text_col: str
     """``docs`` with ``fingerprint``: the hex hashes of all subsets, equal for equal texts."""
     from pyspark.sql.types import StringType, StructType
     rest = [c for c in docs.columns if c != "fingerprint"]
+    safe = [f"c{i}" for i in range(len(rest))]          # a name with a dot cannot pass through mapInArrow
 
     def stamp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [x for _, _, data, off in chunks(batch.column(rest.index(text_col))) for x in _hex(_signatures(_term_sets(data, off), lexicon.value))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*rest, "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*safe, "fingerprint"])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
-    return rows.mapInArrow(stamp, StructType([*rows.schema.fields]).add("fingerprint", StringType()))
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, safe)])
+    return rows.mapInArrow(stamp, StructType([*rows.schema.fields]).add("fingerprint", StringType())).toDF(*rest, "fingerprint")
 
 
 def with_next(texts: DataFrame, blocks: int) -> DataFrame:

@@ -265,17 +265,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     field = spark.sparkContext.broadcast(fit_on_labels(plain, known, "y", limit, fit_line_field))
 
     rest = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
+    safe = [f"c{i}" for i in range(len(rest))]          # a name with a dot cannot pass through mapInArrow
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, safe)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(rest.index(text_col))
             parts = [field.value.documents(data, off) for _, _, data, off in chunks(text)]
             value = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, pa.float64())], [*rest, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, pa.float64())], [*safe, "score"])
 
     schema = StructType([*rows.schema.fields]).add("score", DoubleType())
-    return rows.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return rows.mapInArrow(score, schema).toDF(*rest, "score").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def held_out(id_col: str, modulus: int, remainder: int):

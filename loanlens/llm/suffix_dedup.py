@@ -348,9 +348,10 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200)
     """
     scratch = Scratch(docs.sparkSession, "suffix")
     rest = [c for c in docs.columns if c != text_col]
-    texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    safe = {c: f"c{i}" for i, c in enumerate(rest)}          # field names of the struct that carries the other columns
+    texts = docs.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in safe.items()]).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     cut = cut_repeats(texts, scratch, length, with_text=True)
-    return scratch.result(cut.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in docs.columns]))
+    return scratch.result(cut.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"id.{safe[c]}").alias(c) for c in docs.columns]))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
