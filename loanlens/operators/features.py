@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import agg_name, positive_flag, recode_status
+from ..roles import INST_DERIVED
 from ..session import ensure_checkpoint_dir
 from .ranking import exact_quantiles
 
@@ -279,10 +280,8 @@ def cash_features(cash: DataFrame, prefix: str = "cash") -> DataFrame:
 
 
 def _inst_derived(inst: DataFrame) -> DataFrame:
-    return keyed(inst).withColumns({
-        "Days_till_deadline": F.col("DAYS_INSTALMENT") - F.col("DAYS_ENTRY_PAYMENT"),
-        "Amt_deficit": F.col("AMT_INSTALMENT") - F.col("AMT_PAYMENT"),
-    })
+    """Adds the derived columns that ``inst`` does not bring along."""
+    return keyed(inst).withColumns({c: F.expr(e) for c, e in INST_DERIVED.items() if c not in inst.columns})
 
 
 def installment_features(inst: DataFrame, prefix: str = "inst") -> DataFrame:

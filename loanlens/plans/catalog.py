@@ -46,7 +46,7 @@ def T(spark, sf_dir) -> LoanTables:
 @register("feature_mart_20")
 def q_feature_mart_20(spark, d):
     t = T(spark, d)
-    return marts.feature_mart_20(t.app, t.cash, t.inst, t.bureau, t.prev)
+    return marts.feature_mart_20(t.app, t.cash, t.inst_derived, t.bureau, t.prev)
 
 
 @register("join_feature_tables")

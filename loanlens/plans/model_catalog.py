@@ -19,7 +19,7 @@ from ..operators import splits as sp
 from ..roles import (APP_COLS_TARGET_20, PROFITABLE_THRESHOLD, REFUSED_BINARY_COLUMNS, REFUSED_FEAT_SEL_AFTER_PREP, REFUSED_FEAT_SEL_BEFORE_PREP,
                      REFUSED_ONE_HOT_COLUMNS, REFUSED_PASSTHROUGH_COLUMNS, REFUSED_TARGET_COLUMNS, REQUEST_FIELDS,
                      TARGET_DROP_AFTER_ALL, TARGET_DROP_AFTER_LATEST)
-from ..sources.tables import work_dir
+from ..sources.tables import work_dir, written
 from ..streaming import scoring as sc
 from . import marts
 from .catalog import T, impact_report, register
@@ -34,7 +34,12 @@ DROP_DEMO = ["NAME_CONTRACT_TYPE_XNA", "NAME_TYPE_SUITE_Group of people"]
 
 def mart20(spark, d) -> DataFrame:
     t = T(spark, d)
-    return marts.feature_mart_20(t.app, t.cash, t.inst, t.bureau, t.prev)
+    return marts.feature_mart_20(t.app, t.cash, t.inst_derived, t.bureau, t.prev)
+
+
+def written_mart20(spark, d) -> DataFrame:
+    """The mart joined and aggregated once; fits, splits and transforms read its table."""
+    return written(mart20(spark, d), "mart20")
 
 
 def target_pipeline(use_gender: bool = False) -> Pipeline:
@@ -120,20 +125,20 @@ MART_NUMERIC = ["EXT_SOURCE_2", "EXT_SOURCE_3", "AMT_GOODS_PRICE", "EXT_SOURCE_1
 
 @register("missing_value_fill")
 def q_missing_fill(spark, d):
-    m = mart20(spark, d)
+    m = written_mart20(spark, d)
     return stg.MissingValueFill(inputCols=MART_NUMERIC).fit(m).transform(m).select("SK_ID_CURR", *MART_NUMERIC)
 
 
 @register("column_role_pipeline")
 def q_role_pipeline(spark, d):
-    m = mart20(spark, d)
+    m = written_mart20(spark, d)
     model = target_pipeline().fit(m)
     return _named(model.transform(m), model.stages[-1].feature_names(), "SK_ID_CURR", LABEL_T)
 
 
 @register("fit_transform_split")
 def q_fit_transform_split(spark, d):
-    pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
+    pm, tr_, va = tr.fit_transform_split(written_mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
     names = pm.stages[-1].feature_names()
     return _named(tr_, names, "SK_ID_CURR", LABEL_T).withColumn("part", F.lit("train")).unionByName(
         _named(va, names, "SK_ID_CURR", LABEL_T).withColumn("part", F.lit("valid")))
@@ -147,15 +152,12 @@ def q_naive(spark, d):
     return tr.naive_baseline_log_loss(folds, LABEL_T)
 
 
-def _target_fit(spark, d, max_iter=60, patience=15):
+def _target_fit(spark, d, max_iter=60, patience=15, mart=None):
     """Preprocessing and boosted trees of the payment-difficulty model. The two
     prepared parts are written once, since every boosting round reads them."""
-    pm, tr_, va = tr.fit_transform_split(mart20(spark, d), target_pipeline(), LABEL_T, "SK_ID_CURR")
-    parts = []
-    for name, part in (("train", tr_), ("valid", va)):
-        path = work_dir(spark, f"target-{name}")
-        part.select("SK_ID_CURR", LABEL_T, "features").write.parquet(path)
-        parts.append(spark.read.parquet(path))
+    mart = mart if mart is not None else written_mart20(spark, d)
+    pm, tr_, va = tr.fit_transform_split(mart, target_pipeline(), LABEL_T, "SK_ID_CURR")
+    parts = [written(part.select("SK_ID_CURR", LABEL_T, "features"), f"target-{name}") for name, part in (("train", tr_), ("valid", va))]
     res = tr.train_with_early_stopping(*parts, _gbt(LABEL_T, max_iter), patience)
     return pm, *parts, res
 
@@ -205,8 +207,8 @@ def q_experiments(spark, d):
 
 @register("refit_full")
 def q_refit(spark, d):
-    _, _, _, res = _target_fit(spark, d)
-    m = mart20(spark, d)
+    m = written_mart20(spark, d)
+    _, _, _, res = _target_fit(spark, d, mart=m)
     model = tr.refit_full(m, target_pipeline(), _gbt(LABEL_T), res.best_round)
     return tr.positive_probability(model.transform(m)).select("SK_ID_CURR", LABEL_T, "score")
 
@@ -214,13 +216,13 @@ def q_refit(spark, d):
 @register("hyperparameter_search")
 def q_search(spark, d):
     """Six trials, three of them guided, of up to 40 rounds with patience 5 (the operator's defaults: 100, 90, 1,000 and 20)."""
-    return tr.hyperparameter_search(spark, mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), n_trials=6, k=5,
+    return tr.hyperparameter_search(spark, written_mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), n_trials=6, k=5,
                                     max_iter=40, patience=5, startup=3)
 
 
 @register("model_leaderboard")
 def q_leaderboard(spark, d):
-    return tr.model_leaderboard(spark, mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), sample_frac=0.2, k=3)
+    return tr.model_leaderboard(spark, written_mart20(spark, d), LABEL_T, "SK_ID_CURR", target_pipeline(), sample_frac=0.2, k=3)
 
 
 def _refusal_model(spark, d, max_iter=60) -> PipelineModel:
@@ -242,7 +244,7 @@ def q_final_test(spark, d):
     """Held-out run of both problems: log loss, average precision, curve,
     confusion cells and report at each problem's profitable threshold (the
     refusal model's is fixed, the other's comes from the training rows)."""
-    m = rel.holdout_split(mart20(spark, d), "SK_ID_CURR", 0.05, 42)
+    m = rel.holdout_split(written_mart20(spark, d), "SK_ID_CURR", 0.05, 42)
     r = rel.holdout_split(refusal_frame(spark, d), "SK_ID_PREV", 0.05, 42)
     out = []
     for name, df, label, pipeline, gbt, threshold in (
@@ -261,8 +263,8 @@ def q_final_test(spark, d):
 
 # ------------------------------------------------------------------ §L attribution
 
-def _contrib(spark, d):
-    pm, _, va, res = _target_fit(spark, d, max_iter=60, patience=15)
+def _contrib(spark, d, mart=None):
+    pm, _, va, res = _target_fit(spark, d, max_iter=60, patience=15, mart=mart)
     names = pm.stages[-1].feature_names()
     return at.tree_contributions(res.model, va, keep=["SK_ID_CURR"]), names, va, pm
 
@@ -304,7 +306,8 @@ def q_backward(spark, d):
     t = T(spark, d)
     full = marts.feature_mart_full(t.app, t.bureau, t.balance, t.cash, t.inst, t.card, t.prev)
     cols = [c for c in full.columns if c.startswith("bur_")] + [c for c in APP_COLS_TARGET_20 if c != LABEL_T]
-    pm, tr_, va = tr.fit_transform_split(full.select("SK_ID_CURR", LABEL_T, *cols), target_pipeline(), LABEL_T, "SK_ID_CURR")
+    full = written(full.select("SK_ID_CURR", LABEL_T, *cols), "backward-mart")      # read by the fit and by both parts
+    pm, tr_, va = tr.fit_transform_split(full, target_pipeline(), LABEL_T, "SK_ID_CURR")
     names, parts = pm.stages[-1].feature_names(), []
     for name, part in (("train", tr_), ("valid", va)):       # read by every round
         path = work_dir(spark, f"backward-{name}")
@@ -317,9 +320,10 @@ def q_backward(spark, d):
 @register("shadow_feature_selection")
 def q_shadow(spark, d):
     """Twenty iterations on the 20-feature mart, merged with the contributions of its boosted trees."""
-    c, names, _, pm = _contrib(spark, d)
+    mart = written_mart20(spark, d)
+    c, names, _, pm = _contrib(spark, d, mart)
     rank = at.feature_importance_rank(at.contributions_long(c, names, ["SK_ID_CURR"]))
-    m = _named(pm.transform(mart20(spark, d)), names, "SK_ID_CURR", LABEL_T)
+    m = _named(pm.transform(mart), names, "SK_ID_CURR", LABEL_T)
     return at.shadow_feature_selection(spark, m, names, LABEL_T, "SK_ID_CURR", iterations=20, importances=rank)
 
 

@@ -22,10 +22,13 @@ text as CTEs, so both engines read exactly the same derived table.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..roles import INST_DERIVED
+
 REF_DATE = "2002-01-01"
 
 
@@ -268,16 +271,40 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """Spark DataFrame of one stand-in view."""
+def load(spark: SparkSession, sf_dir: str, view: str, derived: Mapping[str, str] | None = None) -> DataFrame:
+    """Spark DataFrame of one stand-in view, plus ``derived`` columns: SQL expressions over the view's columns."""
     spec = ALL[view]
     frames = [read_table(spark, sf_dir, t) for t in spec.tables]
     df = frames[0]
+    exprs = {c: render(e, "spark") for c, e in spec.columns}
+    derived = derived or {}
+    whole = exprs | {c: _inlined(e, exprs) for c, e in derived.items()}
     if len(frames) == 2:
-        df = df.join(frames[1], on=_join_expr(spec.join_on, frames[0], frames[1]), how="inner")
+        # what one table alone decides is computed before the join, which then shuffles no raw column only it reads
+        for i, frame in enumerate(frames):
+            own = {c: e for c, e in whole.items() if _reads_only(e, frame, frames[1 - i])}
+            frames[i] = frame.selectExpr("*", *[f"{e} AS `{_EARLY}{c}`" for c, e in own.items()])
+            exprs |= {c: f"`{_EARLY}{c}`" for c in own}
+        df = frames[0].join(frames[1], on=_join_expr(spec.join_on, frames[0], frames[1]), how="inner")
     if spec.where:
         df = df.where(spec.where)
-    return df.selectExpr(*[f"{render(e, 'spark')} AS `{c}`" for c, e in spec.columns])
+    exprs = {c: _inlined(e, exprs) for c, e in derived.items()} | exprs      # what both tables decide reads the early columns
+    return df.selectExpr(*[f"{exprs[c]} AS `{c}`" for c in whole])
+
+
+_EARLY = "_early_"      # a view's column computed before its join
+
+
+def _inlined(expr: str, exprs: Mapping[str, str]) -> str:
+    """``expr`` over columns of a view, with their expressions in place of their names."""
+    return re.sub(r"\w+", lambda w: f"({exprs[w[0]]})" if w[0] in exprs else w[0], expr)
+
+
+def _reads_only(expr: str, frame: DataFrame, other: DataFrame) -> bool:
+    words = set(re.findall(r"\w+", expr))
+    if expr in words:       # a column as it is
+        return False
+    return bool(words & set(frame.columns)) and not words & set(other.columns)
 
 
 def _join_expr(cond: str, left: DataFrame, right: DataFrame):
@@ -302,13 +329,14 @@ class LoanTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def _get(self, view):
-        return load(self.spark, self.sf_dir, view)
+    def _get(self, view, derived=None):
+        return load(self.spark, self.sf_dir, view, derived)
 
     app = property(lambda self: self._get("v_app"))
     bureau = property(lambda self: self._get("v_bur"))
     balance = property(lambda self: self._get("v_bal"))
     inst = property(lambda self: self._get("v_inst"))
+    inst_derived = property(lambda self: self._get("v_inst", INST_DERIVED))     # derived before the view's join
     cash = property(lambda self: self._get("v_cash"))
     card = property(lambda self: self._get("v_cred"))
     prev = property(lambda self: self._get("v_prev"))

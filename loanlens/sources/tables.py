@@ -22,6 +22,14 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
     return f"{base}/loanlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared location and read back, for jobs that read it several times
+    (a plan is computed again by every fit and transform that reads it)."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan_table(spark: SparkSession, directory: str, name: str, columns=None) -> DataFrame:
     """Parquet read with NaN turned into NULL once; selecting ``columns`` here
     lets the scan read only those (``ReadSchema``)."""
