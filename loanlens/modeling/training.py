@@ -170,6 +170,19 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
     return model._copyValues(cut)
 
 
+ROWS_PER_TASK = 2_000_000        # rows of one training task, where the cores do not ask for more tasks
+
+
+def training_partitions(df: DataFrame) -> DataFrame:
+    """``df`` in at most two partitions a core, or more where one would hold over ``ROWS_PER_TASK`` rows.
+
+    Every level of every tree shuffles the node statistics of each partition,
+    whatever rows it holds, so a table of many small files would shuffle far
+    more than its rows need."""
+    rows = df.count()
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK)))
+
+
 def train_with_early_stopping(train: DataFrame, valid: DataFrame, gbt: GBTClassifier, patience: int = 50) -> BoostResult:
     """Boost until ``patience`` rounds pass without a new best validation loss,
     and keep the trees of the best round (Spark's logistic loss is twice the
@@ -177,6 +190,7 @@ def train_with_early_stopping(train: DataFrame, valid: DataFrame, gbt: GBTClassi
     times the patience and double while the rule has not stopped yet, up to
     maxIter; the last fit is cut to its best round, never fitted again."""
     rounds = min(gbt.getMaxIter(), 4 * patience)
+    train = training_partitions(train)
     while True:
         full = gbt.copy({gbt.maxIter: rounds}).fit(train)
         va = [x / 2 for x in full.evaluateEachIteration(valid)]
