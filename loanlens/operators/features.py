@@ -10,7 +10,7 @@ Null grouping keys are dropped first (pandas ``groupby`` drops them).
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,9 +50,38 @@ def stat(column: str | Column, how: str) -> Column:
     return _STATS[how](c)
 
 
-def spec_aggs(prefix: str, spec: Sequence[tuple[str, Sequence[str]]]) -> list[Column]:
-    """``[(column, [stats])]`` -> aliased aggregates ``prefix_column_stat``."""
-    return [stat(F.col(f"`{c}`"), s).alias(agg_name(prefix, c, s)) for c, stats in spec for s in stats]
+def spec_aggs(prefix: str, spec: Sequence[tuple[str, Sequence[str]]], few: Mapping[str, list] | None = None) -> list[Column]:
+    """``[(column, [stats])]`` -> aliased aggregates ``prefix_column_stat``; distinct counts of the columns in ``few``
+    (``few_values``) take no shuffle of their own."""
+    few = few or {}
+    return [(distinct_of_few(c, few[c]) if s == "nunique" and c in few else stat(F.col(f"`{c}`"), s)).alias(agg_name(prefix, c, s))
+            for c, stats in spec for s in stats]
+
+
+FEW = 63  # distinct values that the bits of one long stand for
+
+
+def few_values(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+    """The distinct values (no NULL) of every column that has at most ``FEW``, from one scan; other columns are left out.
+    At most ``FEW`` values a column reach the driver."""
+    found = {}
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v")) for i, c in enumerate(cols)])).alias("r"))
+    rows = cells.select("r.*").where("v is not null").distinct().limit(FEW * len(cols) + 1).collect()
+    if len(rows) > FEW * len(cols):                     # which columns have few is not known
+        return found
+    for i, c in enumerate(cols):
+        values = sorted(r["v"] for r in rows if r["i"] == i)
+        if 0 < len(values) <= FEW:
+            found[c] = values
+    return found
+
+
+def distinct_of_few(column: str, values: Sequence) -> Column:
+    """Exact distinct count of a column that holds no value outside ``values``: one bit a value, or-ed. A plain
+    aggregate, where ``count(distinct)`` of several columns repeats every row once a column with all its buffers."""
+    c = F.col(f"`{column}`")
+    bit = F.coalesce(*[F.when(c == v, F.lit(1 << i).cast("bigint")) for i, v in enumerate(values)])
+    return F.coalesce(F.bit_count(F.bit_or(bit)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def keyed(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -92,26 +121,38 @@ def _status_stats(s: Column) -> list[Column]:
             F.max(open_s).alias("STATUS_max")]
 
 
+MONTH_ZERO_STATUSES = 16  # statuses of month 0 that each take a count of their own
+
+
 def balance_status_features(balance: DataFrame) -> DataFrame:
     """Per loan: status at month 0 (``STATUS_last``) plus mean/std/max of the
     status over months that were not closed.
 
     A loan whose rows are all closed and which has no month-0 row is absent; a
     loan with several month-0 rows yields one row per month-0 row (the
-    reference's outer merge). Rows are counted by (loan, status, is month 0)
-    first, combined map-side, so a loan of any length becomes a few counts; the
-    statistics and the month-0 rows both follow from them, from one scan.
+    reference's outer merge). A loan of any length becomes a few counts on the
+    map side; the statistics and the month-0 rows both follow from them. The
+    statuses that month 0 holds are read first: when they are few, each has its
+    count per loan in one aggregate, else rows are counted by (loan, status, is
+    month 0) and the counts of a loan collected.
     """
     s, n = F.col("S"), F.col("n")
     is_open = s.isNotNull() & (s != -1)                  # X (NULL) counts as open but adds no value
-    counts = (balance.select(LOAN, recode_status("STATUS").alias("S"),
-                             F.coalesce(F.col("MONTHS_BALANCE") == 0, F.lit(False)).alias("now"))
-              .groupBy(LOAN, "S", "now").agg(F.count(F.lit(1)).alias("n")))
-    loans = counts.groupBy(LOAN).agg(
+    rows = balance.select(LOAN, recode_status("STATUS").alias("S"), F.coalesce(F.col("MONTHS_BALANCE") == 0, F.lit(False)).alias("now"))
+    statuses = [r["S"] for r in rows.where("now").select("S").distinct().limit(MONTH_ZERO_STATUSES + 1).collect()]
+    if 0 < len(statuses) <= MONTH_ZERO_STATUSES:
+        rows = rows.withColumn("n", F.lit(1).cast("bigint"))
+        held = [F.lit(v).cast("double") for v in statuses]
+        last = [count_true(F.col("now") & s.eqNullSafe(v)).alias(f"n{i}") for i, v in enumerate(held)]
+        listed = F.filter(F.array(*[F.struct(v.alias("S"), F.col(f"n{i}").alias("n")) for i, v in enumerate(held)]), lambda x: x["n"] > 0)
+    else:
+        rows = rows.groupBy(LOAN, "S", "now").agg(F.count(F.lit(1)).alias("n"))
+        last = [F.collect_list(F.when(F.col("now"), F.struct("S", "n"))).alias("n0")]       # at most one entry per status
+        listed = F.col("n0")
+    loans = rows.groupBy(LOAN).agg(
         F.sum(F.when(is_open, n)).alias("N"), F.sum(F.when(is_open, n * s)).alias("T"),
         F.sum(F.when(is_open, n * s * s)).alias("Q"), F.max(F.when(is_open, s)).alias("STATUS_max"),
-        count_true(is_open | s.isNull()).alias("open"),
-        F.collect_list(F.when(F.col("now"), F.struct("S", "n"))).alias("last"))     # at most one entry per status
+        count_true(is_open | s.isNull()).alias("open"), *last).withColumn("last", listed)
     N, total = F.col("N"), F.col("T")
     loans = loans.where((F.col("open") > 0) | (F.size("last") > 0)).select(
         LOAN, F.explode_outer("last").alias("l"), (total / N).alias("STATUS_mean"),
@@ -222,12 +263,17 @@ BUREAU_SPEC = [
 ]
 
 
-def bureau_features(bureau_merged: DataFrame, prefix: str = "bur", extra: Sequence[Column] = ()) -> DataFrame:
+def bureau_features(bureau_merged: DataFrame, prefix: str = "bur", extra: Sequence[Column] = (),
+                    values: DataFrame | None = None) -> DataFrame:
     """Per client: 33 bureau features (amount stats, distinct counts, status
-    means, category counts, overdue/prolong flags, positive end-date stats)."""
+    means, category counts, overdue/prolong flags, positive end-date stats).
+
+    ``values``: the bureau rows before the merge, which hold every value of the
+    columns counted distinct. With it those with few values are counted by bits."""
+    few = few_values(values, [c for c, stats in BUREAU_SPEC if "nunique" in stats]) if values is not None else {}
     end = F.col("DAYS_CREDIT_ENDDATE")
     end_pos = F.when(end > 0, end)
-    aggs = spec_aggs(prefix, BUREAU_SPEC)
+    aggs = spec_aggs(prefix, BUREAU_SPEC, few)
     aggs += one_hot_counts("CREDIT_ACTIVE", BUREAU_CREDIT_ACTIVE, f"{prefix}_")
     aggs += [count_true(positive_flag("CREDIT_DAY_OVERDUE")).alias(f"{prefix}_Has_overdue_sum"),
              count_true(positive_flag("CNT_CREDIT_PROLONG")).alias(f"{prefix}_Has_prolong_sum")]
@@ -241,7 +287,7 @@ def bureau_features(bureau_merged: DataFrame, prefix: str = "bur", extra: Sequen
 
 
 def bureau_and_latest_features(bureau_merged: DataFrame, days: int = 365, prefix: str = "bur",
-                               lat_prefix: str = "bur_lat") -> DataFrame:
+                               lat_prefix: str = "bur_lat", values: DataFrame | None = None) -> DataFrame:
     """``bureau_features`` and ``bureau_latest_features`` in one scan and one
     shuffle: the last-year features become conditional aggregates, NULL for a
     client without a last-year loan (what the left join onto the application
@@ -250,7 +296,7 @@ def bureau_and_latest_features(bureau_merged: DataFrame, days: int = 365, prefix
     has_recent = count_true(recent) > 0
     lat = [F.when(has_recent, F.count(F.when(recent, F.col("DAYS_CREDIT")))).alias(f"{lat_prefix}_DAYS_CREDIT")]
     lat += [F.avg(F.when(recent, F.col(c))).alias(f"{lat_prefix}_{c}") for c in BUREAU_LATEST_SPEC]
-    return bureau_features(bureau_merged, prefix, extra=lat)
+    return bureau_features(bureau_merged, prefix, extra=lat, values=values)
 
 
 BUREAU_LATEST_SPEC = ["CREDIT_DAY_OVERDUE", "AMT_CREDIT_MAX_OVERDUE", "CNT_CREDIT_PROLONG", "AMT_CREDIT_SUM",
@@ -312,20 +358,47 @@ CARD_SPEC_TAIL = [
 ]
 
 
+HOT_ROWS = 1_000_000  # rows of one key that one task may sort
+
+
 def grouped_medians(df: DataFrame, key: str, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Exact interpolated medians of several columns per key, from one global
-    ranking of (column, key, value): a key holding a third of all rows is
-    spread over many range partitions, never buffered in one aggregate."""
-    long = df.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("_c"), F.col(c).cast("double").alias("_x"))
-                                               for c, n in zip(cols, names)])).alias("r")).select(key, "r.*")
+    """Exact interpolated medians of several columns per key. The rows of a key
+    are ranked by windows in one task; keys with more than ``HOT_ROWS`` rows (at
+    most one per that many rows of the table) go through one global ranking of
+    (column, key, value) instead, which spreads a key over many tasks."""
+    df = df.select(F.col(key), *[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)])
+    df = df.where(F.coalesce(*[F.col(n) for n in names]).isNotNull())
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(key)
+    if hot.isEmpty():
+        return _window_medians(df, key, names)
+    hot = F.broadcast(hot)
+    return _window_medians(df.join(hot, key, "left_anti"), key, names).unionByName(
+        _ranked_medians(df.join(hot, key, "left_semi"), key, names))
+
+
+def _window_medians(df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    whole = Window.partitionBy(key)
+    df = df.withColumns({f"_n{i}": F.count(n).over(whole) for i, n in enumerate(names)})
+    for i, n in enumerate(names):
+        df = df.withColumn(f"_r{i}", F.row_number().over(whole.orderBy(F.col(n).asc_nulls_last())) - 1)
+
+    def median(i: int, n: str) -> Column:
+        pos = F.lit(0.5) * (F.col(f"_n{i}") - 1)
+        low, high = [F.max(F.when(F.col(f"_r{i}") == side(pos), F.col(n))) for side in (F.floor, F.ceil)]
+        return (low + (high - low) * F.max(pos - F.floor(pos))).alias(n)
+    return df.groupBy(key).agg(*[median(i, n) for i, n in enumerate(names)])
+
+
+def _ranked_medians(df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    long = df.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("_c"), F.col(n).alias("_x")) for n in names])).alias("r")).select(key, "r.*")
     q = exact_quantiles(long, "_x", [0.5], groups=["_c", key])
     return q.groupBy(key).pivot("_c", list(names)).agg(F.first("q"))
 
 
 def card_features(card: DataFrame, prefix: str = "cred", exact_skew_safe_median: bool = True) -> DataFrame:
     """45 card features + active count. The two medians are exact and
-    interpolated; by default they come from global ranks (skew-safe), else
-    from Spark's ``median`` aggregate (one buffer of distinct values per key)."""
+    interpolated; by default they come from ranks (skew-safe), else from
+    Spark's ``median`` aggregate (one buffer of distinct values per key)."""
     keyed_card = keyed(card)
     medians = [(c, agg_name(prefix, c, "median")) for c, stats in CARD_SPEC_TAIL if "median" in stats]
     tail = CARD_SPEC_TAIL
@@ -366,13 +439,14 @@ def prev_application_features(prev: DataFrame, prefix: str = "prev") -> DataFram
     """Five one-hot families summed per client plus amount/rate statistics."""
     p = f"{prefix}_"
     df = keyed(prev).withColumn("Credit_diff", F.col("AMT_APPLICATION") - F.col("AMT_CREDIT"))
+    few = few_values(df, [c for c, stats in PREV_SPEC if "nunique" in stats])
     return df.groupBy(KEY).agg(
         *one_hot_counts("NAME_CONTRACT_TYPE", PREV_CONTRACT_TYPES, p),
         *one_hot_counts("NAME_CONTRACT_STATUS", PREV_CONTRACT_STATUSES, p),
         *one_hot_counts("NAME_PORTFOLIO", PREV_PORTFOLIOS, p),
         *one_hot_counts("NAME_PRODUCT_TYPE", PREV_PRODUCT_TYPES, p),
         *one_hot_counts("NAME_YIELD_GROUP", PREV_YIELD_GROUPS, p),
-        *spec_aggs(prefix, PREV_SPEC),
+        *spec_aggs(prefix, PREV_SPEC, few),
     )
 
 

@@ -100,7 +100,7 @@ def q_merge_balance(spark, d):
 @register("bureau_features")
 def q_bureau_features(spark, d):
     t = T(spark, d)
-    return fe.bureau_features(marts.bureau_with_status(t.bureau, t.balance))
+    return fe.bureau_features(marts.bureau_with_status(t.bureau, t.balance), values=t.bureau)
 
 
 @register("bureau_latest_features")

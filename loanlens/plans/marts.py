@@ -46,7 +46,7 @@ def feature_mart_full(app: DataFrame, bureau: DataFrame, balance: DataFrame, cas
     """All six feature tables on the application."""
     merged = bureau_with_status(bureau, balance)
     return join_feature_tables(app, [
-        fe.bureau_and_latest_features(merged), fe.cash_features(cash),
+        fe.bureau_and_latest_features(merged, values=bureau), fe.cash_features(cash),
         fe.installment_features(inst), fe.card_features(card), fe.prev_application_features(prev)])
 
 

@@ -179,3 +179,62 @@ def test_full_outer_merge_splits_a_hot_loan(spark):
     want = bureau.join(feats, "SK_ID_BUREAU", "full_outer").collect()
     assert out.columns == ["SK_ID_BUREAU", "k", "pad", "STATUS_mean"]
     assert sorted(map(repr, rows)) == sorted(map(repr, want))
+
+
+def test_few_values_are_counted_by_bits_and_many_by_distinct(spark):
+    df = spark.range(4000).selectExpr("id % 7 as k", "if(id % 7 = 3 or id % 5 = 0, null, cast(id % 11 as string)) as a", "cast(id % 64 as string) as b",
+                                      "cast(id % 63 as string) as `c.d`", "cast(null as string) as e")
+    few = fe.few_values(df, ["a", "b", "c.d", "e"])
+    assert sorted(few) == ["a", "c.d"] and len(few["a"]) == 11 and len(few["c.d"]) == 63      # 64 values do not fit
+    spec = [(c, ["nunique"]) for c in ("a", "b", "c.d", "e")]
+    got, want = [{r["k"]: r for r in df.groupBy("k").agg(*fe.spec_aggs("x", spec, f)).collect()} for f in (few, None)]
+    assert got == want and want[3]["x_a_nunique"] == 0 and want[0]["x_c.d_nunique"] == 9
+    assert df.groupBy("k").agg(*fe.spec_aggs("x", spec, few)).dtypes == df.groupBy("k").agg(*fe.spec_aggs("x", spec)).dtypes
+    assert fe.few_values(df, ["b"]) == {} and fe.few_values(df.where("false"), ["a"]) == {}
+
+
+def test_mart_repeats_no_bureau_row_for_its_distinct_counts(spark):
+    from loanlens.plans import marts
+    from loanlens.sources import standins
+    from tests.conftest import SF
+    t = standins.LoanTables(spark, SF)
+    for out in (fe.bureau_and_latest_features(marts.bureau_with_status(t.bureau, t.balance), values=t.bureau), fe.prev_application_features(t.prev)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "distinct" not in plan and "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 150])
+def test_grouped_medians_by_window_and_by_rank(spark, monkeypatch, hot_rows):
+    import numpy as np
+    from loanlens.operators import ranking
+    ranked = []
+    plain = ranking._sorted_checkpoint
+    monkeypatch.setattr(ranking, "_sorted_checkpoint", lambda df, order: ranked.append(df.select("k").distinct().count()) or plain(df, order))
+    monkeypatch.setattr(fe, "HOT_ROWS", hot_rows)
+    rng = np.random.default_rng(3)
+    rows = [(int(k), None if i % 9 == 0 else round(float(x), 2), None if k == 4 else i % 6) for i, (k, x) in
+            enumerate(zip(np.where(np.arange(900) % 3 == 0, 7, np.arange(900) % 11), rng.normal(size=900)))]
+    rows += [(50, None, None), (51, 2.5, None), (52, 1.0, 4), (52, 2.0, 4)]
+    df = spark.createDataFrame(rows, "k long, x double, y int")
+    got = {r["k"]: (r["mx"], r["my"]) for r in fe.grouped_medians(df, "k", ["x", "y"], ["mx", "my"]).collect()}
+    assert ranked == ([] if hot_rows > 900 else [1])              # only the hot key is ranked over the whole table
+    by = {}
+    for k, x, y in rows:
+        for part, v in zip(by.setdefault(k, ([], [])), (x, y)):
+            part += [] if v is None else [v]
+    want = {k: tuple(pytest.approx(float(np.median(v))) if v else None for v in p) for k, p in by.items() if any(p)}
+    assert got == want and 50 not in got and got[52] == (1.5, 4.0)
+
+
+def test_status_features_with_few_and_many_statuses_agree(spark, monkeypatch):
+    df = spark.range(6000).selectExpr("if(id % 4 = 0, 3L, if(id % 97 = 0, null, id % 800)) as SK_ID_BUREAU", "if(id % 13 = 0, null, -(id % 3)) as MONTHS_BALANCE",
+                                      "case id % 7 when 0 then 'C' when 1 then 'X' when 2 then null else cast(id % 7 + 0.5 as string) end as STATUS")
+
+    def rows(d):
+        return sorted((tuple(None if x is None else round(x, 9) for x in r) for r in fe.balance_status_features(d).collect()), key=repr)
+    one = fe.balance_status_features(df)._jdf.queryExecution().executedPlan().toString()
+    few, none_now = rows(df), rows(df.where("MONTHS_BALANCE < 0"))
+    monkeypatch.setattr(fe, "MONTH_ZERO_STATUSES", 3)
+    many = fe.balance_status_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in one and "collect_list" in many
+    assert few == rows(df) and len(few) > 1000 and none_now == rows(df.where("MONTHS_BALANCE < 0")) and none_now
