@@ -9,8 +9,9 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import SparkContext, StorageLevel, keyword_only
+from pyspark import SparkContext, StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators.splits import stratified_folds, stratified_split
-from ..sources.tables import work_dir
+from ..sources.tables import remove_folder, work_dir
 from .search import SEARCH_SPACE, hyperparameter_search  # noqa: F401
 from .stages import (DropColumns, MissingValueFill, NamedOneHotEncoder, SentinelImputer, SmoothedTargetEncoder,
                      SparseOneHotEncoder, _JsonParams)
@@ -104,7 +105,11 @@ def column_role_pipeline(onehot_cols: Sequence[str] = (), target_cols: Sequence[
 def fit_transform_split(df: DataFrame, pipeline: Pipeline, label: str, key: str, test_size: float = 0.2,
                         seed: int = 42):
     """Stratified split, fit on the training part only, transform both parts."""
-    parts = stratified_split(df, label, key, test_size, seed)
+    return fit_transform_parts(stratified_split(df, label, key, test_size, seed), pipeline)
+
+
+def fit_transform_parts(parts: DataFrame, pipeline: Pipeline):
+    """``fit_transform_split`` of rows that carry their ``split``."""
     train = parts.where(F.col("split") == "train").drop("split")
     valid = parts.where(F.col("split") == "test").drop("split")
     model = pipeline.fit(train)
@@ -171,16 +176,25 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
 
 
 ROWS_PER_TASK = 2_000_000        # rows of one training task, where the cores do not ask for more tasks
+LEAST_TASK_ROWS = 50_000         # a boosting task of fewer rows takes longer to start than to run
+
 
+def training_tasks(spark, rows: int, least_rows: int = 0) -> int:
+    """Tasks of a pass over ``rows`` training rows: at most two a core and one per ``least_rows`` rows, or more where
+    one would hold over ``ROWS_PER_TASK`` rows."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    if least_rows:
+        tasks = min(tasks, max(1, -(-rows // least_rows)))
+    return max(tasks, -(-rows // ROWS_PER_TASK))
 
-def training_partitions(df: DataFrame) -> DataFrame:
-    """``df`` in at most two partitions a core, or more where one would hold over ``ROWS_PER_TASK`` rows.
+
+def training_partitions(df: DataFrame, least_rows: int = 0) -> DataFrame:
+    """``df`` in at most ``training_tasks`` partitions.
 
     Every level of every tree shuffles the node statistics of each partition,
     whatever rows it holds, so a table of many small files would shuffle far
     more than its rows need."""
-    rows = df.count()
-    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK)))
+    return df.coalesce(training_tasks(df.sparkSession, df.count(), least_rows))
 
 
 def train_with_early_stopping(train: DataFrame, valid: DataFrame, gbt: GBTClassifier, patience: int = 50) -> BoostResult:
@@ -190,7 +204,7 @@ def train_with_early_stopping(train: DataFrame, valid: DataFrame, gbt: GBTClassi
     times the patience and double while the rule has not stopped yet, up to
     maxIter; the last fit is cut to its best round, never fitted again."""
     rounds = min(gbt.getMaxIter(), 4 * patience)
-    train = training_partitions(train)
+    train = training_partitions(train, LEAST_TASK_ROWS)
     while True:
         full = gbt.copy({gbt.maxIter: rounds}).fit(train)
         va = [x / 2 for x in full.evaluateEachIteration(valid)]
@@ -216,23 +230,33 @@ def model_metrics(model, df: DataFrame, label: str) -> dict:
 def feature_set_experiments(spark, df: DataFrame, sets: Mapping[str, Sequence[str]], label: str, key: str,
                             make_pipeline, gbt: GBTClassifier, patience: int = 50) -> DataFrame:
     """Same learner on several column sets: (set, n_features, rounds, log_loss, ap).
-    The input is persisted (memory, spilling to disk) for the loop, since
-    every fit and evaluation reads it again."""
-    rows = []
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    for name, cols in sets.items():
-        sub = df.select(key, label, *cols)
-        pm, tr, va = fit_transform_split(sub, make_pipeline(cols), label, key)
-        # the fits and metrics read only the vector, so the wide columns are not kept
-        tr, va = (part.select(key, label, "features").persist(StorageLevel.MEMORY_AND_DISK) for part in (tr, va))
+
+    The input with its split and each set's vectors are written, as every fit
+    and evaluation reads them again and each task of a boosting round carries
+    the plan behind its rows. While the tasks of one fit are few for the cores,
+    several sets run at once (up to three tasks a core together); a set's
+    vectors are removed when it is done."""
+    base = work_dir(spark, "experiments")
+
+    def saved(part, name):
+        part.write.parquet(f"{base}/{name}")
+        return spark.read.schema(part.schema).parquet(f"{base}/{name}")
+    wanted = saved(df.select(*dict.fromkeys([key, label, *(c for cols in sets.values() for c in cols)])), "wanted")
+    rows = saved(stratified_split(wanted, label, key), "rows")
+
+    def run(numbered):
+        i, (name, cols) = numbered
+        pm, *parts = fit_transform_parts(rows.select(key, label, *cols, "split"), make_pipeline(cols))
+        tr, va = (saved(part.select(key, label, "features"), f"{i}/{to}") for part, to in zip(parts, ("train", "valid")))
         res = train_with_early_stopping(tr, va, gbt.copy({gbt.labelCol: label}), patience)
         m = model_metrics(res.model, va, label)
-        n_feat = len(pm.stages[-1].feature_names())
-        rows.append((name, n_feat, res.best_round, float(m["log_loss"]), float(m["average_precision"])))
-        tr.unpersist()
-        va.unpersist()
-    df.unpersist()
-    return spark.createDataFrame(rows, "feature_set string, n_features int, rounds int, log_loss double, "
+        remove_folder(spark, f"{base}/{i}")
+        return name, len(pm.stages[-1].feature_names()), res.best_round, float(m["log_loss"]), float(m["average_precision"])
+    at_once = 3 * spark.sparkContext.defaultParallelism // training_tasks(spark, rows.count(), LEAST_TASK_ROWS)
+    with ThreadPool(max(1, min(len(sets), at_once))) as pool:
+        found = pool.map(inheritable_thread_target(spark)(run), enumerate(sets.items()), chunksize=1)
+    remove_folder(spark, base)
+    return spark.createDataFrame(found, "feature_set string, n_features int, rounds int, log_loss double, "
                                        "average_precision double")
 
 

@@ -22,6 +22,12 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
     return f"{base}/loanlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``work_dir`` that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the shared location and read back, for jobs that read it several times
     (a plan is computed again by every fit and transform that reads it)."""

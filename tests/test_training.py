@@ -140,3 +140,34 @@ def test_out_of_fold_predictions_cover_every_row_once(spark):
     board = tr.model_leaderboard(spark, df, "y", "k", tr.column_role_pipeline(label_col="y", exclude_cols=["k"]), 1.0, 2, models={"svc": models["svc"], "lr": models["lr"]}).collect()
     assert {r["model"] for r in board} == {"lr", "svc"} and all(r["auc"] > 0.8 and r["mcc"] > 0.4 for r in board)
     assert board[0]["auc"] >= board[1]["auc"]
+
+
+# ---------------------------------------------------------------- experiments
+
+def test_experiments_split_once_and_boost_on_written_vectors(spark, monkeypatch):
+    import os
+    rng = np.random.default_rng(5)
+    rows = [(i, float(a), float(b), int(a + b + rng.normal(0, 0.5) > 0)) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int").repartition(7)
+    splits, trained = [], []
+    split, train = tr.stratified_split, tr.train_with_early_stopping
+    monkeypatch.setattr(tr, "stratified_split", lambda *a, **k: splits.append(1) or split(*a, **k))
+    monkeypatch.setattr(tr, "train_with_early_stopping", lambda *a, **k: trained.append(a[0].inputFiles()) or train(*a, **k))
+    gbt = GBTClassifier(labelCol="y", maxIter=5, maxDepth=2, seed=1)
+    sets = {"a": ["a"], "both": ["a", "b"], "a again": ["a"]}
+    out = tr.feature_set_experiments(spark, df, sets, "y", "k", lambda cols: tr.column_role_pipeline(label_col="y", exclude_cols=["k"]), gbt, 2).collect()
+    assert [r["feature_set"] for r in out] == list(sets) and [r["n_features"] for r in out] == [1, 2, 1]
+    assert out[0][1:] == out[2][1:] and out[1]["log_loss"] < out[0]["log_loss"]
+    assert len(splits) == 1 and len(trained) == 3 and all(trained)      # one split; every fit reads files, not the plan behind them
+    assert not any(os.path.exists(f.removeprefix("file:")) for files in trained for f in files)
+    _, tr_, va = tr.fit_transform_split(df.select("k", "y", "a", "b"), tr.column_role_pipeline(label_col="y", exclude_cols=["k"]), "y", "k")
+    alone = train(tr_, va, gbt, 2)
+    assert out[1]["rounds"] == alone.best_round and out[1]["log_loss"] == pytest.approx(tr.model_metrics(alone.model, va, "y")["log_loss"])
+
+
+def test_boosting_tasks_follow_the_rows(spark, monkeypatch):
+    df = spark.range(1000).repartition(100)
+    assert tr.training_partitions(df, 400).rdd.getNumPartitions() == min(3, 2 * spark.sparkContext.defaultParallelism)
+    assert tr.training_partitions(df, 1).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tr, "ROWS_PER_TASK", 20)
+    assert tr.training_partitions(df, 400).rdd.getNumPartitions() == 50
