@@ -200,10 +200,10 @@ def training_partitions(df: DataFrame, least_rows: int = 0) -> DataFrame:
 def train_with_early_stopping(train: DataFrame, valid: DataFrame, gbt: GBTClassifier, patience: int = 50) -> BoostResult:
     """Boost until ``patience`` rounds pass without a new best validation loss,
     and keep the trees of the best round (Spark's logistic loss is twice the
-    log loss). Spark cannot continue a fit, so the allowed rounds start at four
+    log loss). Spark cannot continue a fit, so the allowed rounds start at ten
     times the patience and double while the rule has not stopped yet, up to
     maxIter; the last fit is cut to its best round, never fitted again."""
-    rounds = min(gbt.getMaxIter(), 4 * patience)
+    rounds = min(gbt.getMaxIter(), 10 * patience)
     train = training_partitions(train, LEAST_TASK_ROWS)
     while True:
         full = gbt.copy({gbt.maxIter: rounds}).fit(train)

@@ -152,19 +152,20 @@ def q_naive(spark, d):
     return tr.naive_baseline_log_loss(folds, LABEL_T)
 
 
-def _target_fit(spark, d, max_iter=60, patience=15, mart=None):
+def _target_fit(spark, d, max_iter=60, patience=15, mart=None, depth=4):
     """Preprocessing and boosted trees of the payment-difficulty model. The two
     prepared parts are written once, since every boosting round reads them."""
     mart = mart if mart is not None else written_mart20(spark, d)
     pm, tr_, va = tr.fit_transform_split(mart, target_pipeline(), LABEL_T, "SK_ID_CURR")
     parts = [written(part.select("SK_ID_CURR", LABEL_T, "features"), f"target-{name}") for name, part in (("train", tr_), ("valid", va))]
-    res = tr.train_with_early_stopping(*parts, _gbt(LABEL_T, max_iter), patience)
+    res = tr.train_with_early_stopping(*parts, _gbt(LABEL_T, max_iter, depth=depth), patience)
     return pm, *parts, res
 
 
 @register("boosted_tree_classifier")
 def q_gbt(spark, d):
-    _, _, va, res = _target_fit(spark, d)
+    """The reference's fit: up to 500 rounds at rate 0.1, patience 50 and its library's depth of 6."""
+    _, _, va, res = _target_fit(spark, d, max_iter=500, patience=50, depth=6)
     return tr.positive_probability(res.model.transform(va)).select("SK_ID_CURR", LABEL_T, "score")
 
 

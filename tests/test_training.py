@@ -171,3 +171,30 @@ def test_boosting_tasks_follow_the_rows(spark, monkeypatch):
     assert tr.training_partitions(df, 1).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
     monkeypatch.setattr(tr, "ROWS_PER_TASK", 20)
     assert tr.training_partitions(df, 400).rdd.getNumPartitions() == 50
+
+
+# ---------------------------------------------------------------- the whole fit
+
+def test_boosted_tree_query_runs_the_references_fit(spark, monkeypatch):
+    from loanlens.plans import model_catalog as mc
+    rng = np.random.default_rng(6)
+    rows = [(i, int(x > 0.5), "XNA" if i % 9 == 0 else f"o{i % 3}", f"e{i % 2}", float(x)) for i, x in enumerate(rng.normal(size=200))]
+    mart = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, ORGANIZATION_TYPE string, NAME_EDUCATION_TYPE string, AMT double")
+    monkeypatch.setattr(mc, "written_mart20", lambda spark, d: mart)
+    asked, train = [], tr.train_with_early_stopping
+
+    def short(train_part, valid_part, gbt, patience=50):
+        asked.append((gbt.getMaxIter(), patience, gbt.getStepSize(), gbt.getMaxDepth()))
+        return train(train_part, valid_part, gbt.copy({gbt.maxIter: 3}), patience)
+    monkeypatch.setattr(tr, "train_with_early_stopping", short)
+    out = mc.q_gbt(spark, "unused").collect()
+    assert asked == [(500, 50, 0.1, 6)] and len(out) == 40 and all(0 < r["score"] < 1 for r in out)
+
+
+def test_a_fit_that_still_improves_runs_once(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 10), int(i % 10 > 4)) for i in range(100)], "a double, y int")
+    df = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    fits, plain = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, d: fits.append(self.getMaxIter()) or plain(self, d))
+    res = tr.train_with_early_stopping(df, df, GBTClassifier(labelCol="y", maxIter=20, maxDepth=1, stepSize=0.05, seed=1), patience=2)
+    assert fits == [20] and res.best_round == 20 and len(res.curve) == 20
