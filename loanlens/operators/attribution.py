@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -284,18 +285,72 @@ def _shadow_moves(n: int, features: Sequence[str], seed: int) -> list[tuple[int,
     return moves
 
 
+SHADOW_BLOCK_ROWS = 100_000     # ranks put together by one task, and rows sent on at once
+LEAST_BLOCK_ROWS = 5_000        # smaller blocks are not worth a task, where the cores ask for more
+
+
 def _shadow(ranked: DataFrame, n: int, features: Sequence[str], seed: int) -> DataFrame:
-    """``ranked`` (features and a row rank ``_r`` from 0) with a shuffled copy
-    ``shadow_<f>`` of each feature: the value of f at rank r goes to rank
-    (a_f * r + b_f) mod n. All copies travel in long form: one grouping by
-    their new rank and one join, whatever the number of features."""
-    moves = F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_r") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("_r"),
-                               F.col(f"`{f}`").cast("double").alias("v"))
-                      for i, (f, (a, b)) in enumerate(zip(features, _shadow_moves(n, features, seed)))])
-    long = ranked.select(F.explode(moves).alias("m")).select("m.*")
-    copies = long.groupBy("_r").agg(*[F.max(F.when(F.col("i") == i, F.col("v"))).alias(f"shadow_{f}")
-                                      for i, f in enumerate(features)])
-    return ranked.join(copies, on="_r")
+    """``ranked`` (features, a row rank ``_r`` from 0 and other numbers) with a
+    shuffled copy ``shadow_<f>`` of each feature: the value of f at rank r goes
+    to rank (a_f * r + b_f) mod n. The ranks are cut into blocks. A task sends
+    each block one row per feature with the places and values it has for it,
+    12 bytes a value, and the rows themselves; the block is filled in place, so
+    nothing is grouped by rank, joined or sorted."""
+    cores = ranked.sparkSession.sparkContext.defaultParallelism
+    block = -(-n // max(1, -(-n // SHADOW_BLOCK_ROWS), min(2 * cores, n // LEAST_BLOCK_ROWS)))
+    moves = _shadow_moves(n, features, seed)
+    rest = [c for c in ranked.columns if c != "_r" and c not in features]
+    own = [*rest, *features]
+    width, first = len(own), len(rest)
+    rows = ranked.select("_r", *[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(own)])
+
+    def dealt(ranks, values):
+        """Per block the rows' places and values, one line each."""
+        for i, (a, b) in enumerate([(1, 0), *moves]):
+            to = (ranks * a + b) % n
+            goes = to // block
+            low = goes.min()
+            sizes = np.bincount(goes - low)
+            order = np.argsort((goes - low).astype(np.uint16) if len(sizes) < 2 ** 16 else goes, kind="stable")     # 16 bits: a radix sort
+            places, v = (to - goes * block).astype(np.int32)[order], (values if i == 0 else values[:, first + i - 1])[order]
+            ends = np.cumsum(sizes)
+            for k in np.flatnonzero(sizes):
+                lo, hi = ends[k] - sizes[k], ends[k]
+                yield int(low + k), i, places[lo:hi].tobytes(), v[lo:hi].tobytes()
+
+    def deal(batches):
+        held, size = [], 0
+        for pdf in batches:
+            held.append(pdf)
+            size += len(pdf)
+            if size >= SHADOW_BLOCK_ROWS:
+                yield lines(held)
+                held, size = [], 0
+        if size:
+            yield lines(held)
+
+    def lines(held):
+        pdf = pd.concat(held)
+        return pd.DataFrame(dealt(pdf["_r"].to_numpy(np.int64), pdf.iloc[:, 1:].to_numpy(np.float64)), columns=["k", "i", "place", "v"])
+
+    def fill(key, pdf):
+        low = key[0] * block
+        out = np.full((min(block, n - low), width + len(moves)), np.nan)
+        for i, place, v in zip(pdf["i"], pdf["place"], pdf["v"]):
+            at, v = np.frombuffer(place, np.int32), np.frombuffer(v, np.float64)
+            if i == 0:
+                out[at, :width] = v.reshape(-1, width)
+            else:
+                out[at, width + i - 1] = v
+        full = pd.DataFrame(out, columns=[f"c{j}" for j in range(out.shape[1])])
+        full.insert(0, "_r", low + np.arange(len(out)))
+        return full
+    columns = [f"c{j} double" for j in range(width + len(moves))]
+    filled = rows.mapInPandas(deal, "k long, i int, place binary, v binary").groupBy("k").applyInPandas(fill, ", ".join(["_r long", *columns]))
+    types = dict(ranked.dtypes)
+    back = {c: F.col(f"c{j}").cast(types[c]).alias(c) for j, c in enumerate(own)}         # pandas' NaN comes back as null
+    return filled.select(*[back.get(c, c) for c in ranked.columns],
+                         *[F.col(f"c{width + i}").alias(f"shadow_{f}") for i, f in enumerate(features)])
 
 
 def _tail(hits: int, trials: int, upper: bool) -> float:
@@ -339,8 +394,10 @@ def shadow_feature_selection(spark, df: DataFrame, features: Sequence[str], labe
         data = _shadow(ranked.select("_r", label, *active), n, active, seed + it)
         cols = active + [f"shadow_{f}" for f in active]
         data = VectorAssembler(inputCols=cols, outputCol="_f", handleInvalid="keep").transform(data)
+        data = data.select(label, "_f").persist(StorageLevel.MEMORY_AND_DISK)      # a fit reads its rows four times
         imp = RandomForestClassifier(featuresCol="_f", labelCol=label, maxDepth=depth, numTrees=trees,
-                                     seed=seed + it).fit(data.select(label, "_f")).featureImportances.toArray()
+                                     seed=seed + it).fit(data).featureImportances.toArray()
+        data.unpersist()
         ran, best_shadow = it + 1, imp[len(active):].max()
         for i, f in enumerate(active):
             hits[f] += int(imp[i] > best_shadow)
